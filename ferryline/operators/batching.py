@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferryline.functions.filters import filter_spec
-from ferryline.operators.ranking import EXACT_IN_DOUBLE, MAX_BUCKETS, ROWS_PER_BUCKET, number_rows
+from ferryline.operators.ranking import EXACT_IN_DOUBLE, MAX_BUCKETS, ROWS_PER_BUCKET, number_rows, order_stats
 from ferryline.schemas import MAX_BATCH_SIZE, envelope
+from ferryline.sources.bodies import computed_once
 
 DEEP_PAGE = 100_000
 
@@ -24,9 +25,9 @@ def _take(total: int, limit: int | None) -> int:
     return min(limit, total) if limit else total
 
 
-def _cut_points(df: DataFrame, key: str, step: int, rows_per_bucket: int) -> list[int]:
+def _cut_points(df: DataFrame, key: str, step: int, rows_per_bucket: int, stats: dict) -> list[int]:
     """The keys at positions 1, 1 + step, 1 + 2 * step ...: only the key column is shuffled."""
-    numbered = number_rows(df.select(key), [key], rows_per_bucket=rows_per_bucket)
+    numbered = number_rows(df.select(key), [key], rows_per_bucket=rows_per_bucket, stats=stats)
     starts = numbered.where((F.col("position") - 1) % step == 0).select(key)
     return sorted(row[0] for row in starts.collect())  # at most MAX_BUCKETS keys, see the choice of step
 
@@ -56,16 +57,14 @@ def make_batches(
         raise ValueError(f"batch size must be between 1 and {MAX_BATCH_SIZE}")
     keys = [key] if isinstance(key, str) else list(key)
     carried = df.columns
-    integral = len(keys) == 1 and isinstance(
-        df.schema[keys[0]].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    stats = order_stats(df, keys)
+    total = stats["rows"]
+    integral = (
+        len(keys) == 1
+        and isinstance(df.schema[keys[0]].dataType, T.LongType | T.IntegerType | T.ShortType | T.ByteType)
+        and stats["present_0"] == total
+        and max(abs(stats.get("min_0") or 0), abs(stats.get("max_0") or 0)) < EXACT_IN_DOUBLE
     )
-    if integral:
-        reach, total, nulls = df.agg(
-            F.max(F.abs(keys[0])), F.count(F.lit(1)), F.count_if(F.col(keys[0]).isNull())
-        ).first()
-        integral = not nulls and (reach or 0) < EXACT_IN_DOUBLE
-    else:
-        total = df.count()
     wanted = _take(total, limit)
     count = math.ceil(wanted / size)
 
@@ -73,7 +72,7 @@ def make_batches(
         per_bucket = max(1, min(rows_per_bucket, math.ceil(total / _parallelism(df))) // size)
         per_bucket = max(per_bucket, math.ceil(total / (size * MAX_BUCKETS)))
         step = per_bucket * size
-        starts = _cut_points(df, keys[0], step, rows_per_bucket) if total > step else []
+        starts = _cut_points(df, keys[0], step, rows_per_bucket, stats) if total > step else []
         if len(starts) != len(set(starts)):
             raise ValueError(f"{keys[0]} does not identify a row")
         rows = df
@@ -99,7 +98,8 @@ def make_batches(
         # The rows already lie by _cut, and a batch never spans two cuts: no further exchange.
         batches = _batched(rows.withColumn("batch_number", number), ["_cut", "batch_number"], "_place", carried)
     else:
-        rows = number_rows(df, keys, out="_place", rows_per_bucket=rows_per_bucket).where(F.col("_place") <= wanted)
+        ranked = number_rows(df, keys, out="_place", rows_per_bucket=rows_per_bucket, stats=stats)
+        rows = ranked.where(F.col("_place") <= wanted)
         number = F.floor((F.col("_place") - 1) / size).cast("bigint") + 1
         batches = _batched(rows.withColumn("batch_number", number), ["batch_number"], "_place", carried)
 
@@ -128,21 +128,22 @@ def unwrap_batches(messages: DataFrame, item: T.StructType, body: str = "body")
     """Message bodies back to rows: an envelope or a bare array; no data is an error."""
     times = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     bare = F.ltrim(F.col(body)).startswith("[")
-    shape = envelope(item)
-    parsed = messages.withColumn(
-        "_envelope", F.when(~bare, F.from_json(body, shape, times))
-    ).withColumn("_bare", F.when(bare, F.from_json(body, T.ArrayType(item), times)))
-    opened = parsed.withColumn("_data", F.coalesce(F.col("_envelope.data"), F.col("_bare"))).withColumn(
-        "batch_id", F.col("_envelope.batch_id")
-    ).withColumn("collection", F.col("_envelope.collection"))
-    empty = F.col("_data").isNull() | (F.size("_data") == 0)
-    kept = [c for c in messages.columns if c not in (body, "batch_id", "collection", *item.names)]
-    items = opened.where(~empty).select(
-        *kept, "batch_id", "collection", F.inline("_data").alias(*item.names)
+    both = F.struct(
+        F.when(~bare, F.from_json(body, envelope(item), times)).alias("envelope"),
+        F.when(bare, F.from_json(body, T.ArrayType(item), times)).alias("bare"),
     )
-    reason = F.when(F.col("_envelope").isNull() & F.col("_bare").isNull(), "batch must be an array or an envelope")
-    errors = opened.where(empty).select(
-        *kept, "batch_id", body, reason.otherwise("batch must carry a non-empty data array").alias("error")
+    opened = computed_once(messages, "_parsed", both).withColumns({
+        "_data": F.coalesce(F.col("_parsed.envelope.data"), F.col("_parsed.bare")),
+        "batch_id": F.col("_parsed.envelope.batch_id"),
+        "collection": F.col("_parsed.envelope.collection"),
+    })
+    kept = [c for c in messages.columns if c not in (body, "batch_id", "collection", *item.names)]
+    items = opened.select(*kept, "batch_id", "collection", F.inline("_data").alias(*item.names))
+    readable = F.col("_parsed.envelope").isNotNull() | F.col("_parsed.bare").isNotNull()
+    errors = opened.where(F.col("_data").isNull() | (F.size("_data") == 0)).select(
+        *kept, "batch_id", body,
+        F.when(readable, "batch must carry a non-empty data array")
+        .otherwise("batch must be an array or an envelope").alias("error"),
     )
     return Unwrapped(items, errors)
 

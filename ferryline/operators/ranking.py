@@ -1,18 +1,19 @@
 """Exact row numbers and neighbours over whole tables, without a one-task window.
 
 ``row_number()`` over a global order, or per group when one group holds much of the table, sorts in a
-single task. Here the order columns are first cut into buckets of similar size, so that every window
-runs over (group, bucket); a small table of rows per (group, bucket) carries the totals across buckets.
+single task. Here the rows of such groups are first cut into buckets of similar size along the order,
+so that every window runs over (group, bucket); a small table of rows per (group, bucket) carries the
+totals across buckets. Groups of ordinary size keep one window each.
 
-Bucket edges come from a bounded sample and steer only the balance. Whatever the edges are, the
-numbers are exact: buckets follow the order, and ties between buckets cannot occur.
+A bounded sample decides which groups are cut, and where. It steers only the balance: whatever it
+shows, buckets follow the order and the numbers are exact.
 """
 
 from __future__ import annotations
 
 import math
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,10 +24,11 @@ from pyspark.sql import types as T
 
 ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 50_000
+ROWS_WORTH_A_TASK = 5_000
 SAMPLE_PER_BUCKET = 50
 EXACT_IN_DOUBLE = 2**53
 CHUNK = 6  # bytes of a string that fit a double exactly
-STRING_CHUNKS = 4
+STRING_CHUNKS = 8
 
 BUCKET = "_bucket"
 GROUP = "_group"
@@ -49,13 +51,16 @@ class Image:
     exact: bool  # equal images mean equal values, so the next order column may refine them
 
 
-def _stats(df: DataFrame, names: Sequence[str]) -> dict:
-    """Row count, and for longs and strings the range that decides their images: one narrow scan."""
+def order_stats(df: DataFrame, order: Sequence[str]) -> dict:
+    """Row count, and the ranges that decide the images of the order columns: one narrow scan."""
     aggregates = [F.count(F.lit(1)).alias("rows")]
-    for i, name in enumerate(names):
+    for i, name in enumerate(map(order_name, order)):
+        aggregates.append(F.count(name).alias(f"present_{i}"))
         kind = df.schema[name].dataType
         if isinstance(kind, (T.LongType, T.StringType)):
             aggregates += [F.min(name).alias(f"min_{i}"), F.max(name).alias(f"max_{i}")]
+        if isinstance(kind, T.StringType):
+            aggregates.append(F.max(F.octet_length(name)).alias(f"length_{i}"))
         if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
             aggregates += [F.year(F.min(name)).alias(f"min_{i}"), F.year(F.max(name)).alias(f"max_{i}")]
     return df.agg(*aggregates).first().asDict()
@@ -92,19 +97,21 @@ def _images(df: DataFrame, name: str, stats: dict, i: int) -> list[Image]:
     if isinstance(kind, T.BooleanType):
         return [Image(c.cast("int").cast("double"), True)]
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return [Image(F.when(F.isnan(c), F.lit(float("inf"))).otherwise(c.cast("double")), False)]
+        number = F.when(F.isnan(c), F.lit(float("inf"))).otherwise(c.cast("double"))
+        return [Image(number, True), Image(F.isnan(c).cast("int").cast("double"), True)]
     if isinstance(kind, T.DecimalType):
-        return [Image(c.cast("double"), False)]
+        return [Image(c.cast("double"), kind.precision <= 15)]
     if isinstance(kind, T.StringType):
         low, high = ((stats[f"{end}_{i}"] or "").encode() for end in ("min", "max"))
         shared = len(os.path.commonprefix([low, high]))
         raw = F.encode(c, "UTF-8")
         chunks = []
-        for k in range(STRING_CHUNKS):
+        for k in range(min(STRING_CHUNKS, max(1, math.ceil(((stats[f"length_{i}"] or 0) - shared) / CHUNK)))):
             digits = F.hex(F.substring(raw, shared + k * CHUNK + 1, CHUNK))
-            number = F.conv(F.rpad(digits, 2 * CHUNK, "0"), 16, 10).cast("double")
-            chunks.append(Image(number, k < STRING_CHUNKS - 1))
-        return chunks
+            chunks.append(Image(F.conv(F.rpad(digits, 2 * CHUNK, "0"), 16, 10).cast("double"), True))
+        # The length tells apart texts that differ only in trailing zero bytes.
+        complete = (stats[f"length_{i}"] or 0) <= shared + STRING_CHUNKS * CHUNK
+        return [*chunks, Image(F.octet_length(c).cast("double"), complete)]
     raise TypeError(f"cannot order by {name}: {kind.simpleString()}")
 
 
@@ -122,73 +129,137 @@ def _levels(df: DataFrame, order: Sequence[str], stats: dict) -> list[Column]:
     return levels
 
 
-def _edges(values: np.ndarray, buckets: int) -> tuple[list[float], list[float]]:
-    """Bucket edges from sampled values, and the values that alone fill more than one bucket."""
-    values = np.sort(values)
-    picks = values[(np.arange(1, buckets) * len(values)) // buckets]
-    distinct, slots = np.unique(picks, return_counts=True)
-    hot = distinct[slots >= 2]
-    inner = np.unique(np.concatenate([distinct, np.nextafter(hot, np.inf)]))
-    inner = inner[np.isfinite(inner)]
-    return [float("-inf"), *inner.tolist(), float("inf")], hot.tolist()
+def _numbers(values: np.ndarray, kind: str) -> Column:
+    """A literal array. As one text literal, it stays small in the plan however long it is."""
+    return F.split(F.lit(",".join(repr(v) for v in values.tolist())), ",").cast(f"array<{kind}>")
+
+
+def _bucket_column(out: DataFrame, fields: Sequence[str], points: np.ndarray, wanted: int) -> DataFrame:
+    """Add ``_bucket``, from 1 up, by the quantiles of the sampled ``points`` (rows of level values).
+
+    A Bucketizer places the first level. Where one of its values alone fills several buckets, its rows
+    find theirs by halving the list of edges on the remaining levels.
+    """
+    points = points[np.lexsort(points.T[::-1])]
+    edges = np.unique(points[(np.arange(1, wanted) * len(points)) // wanted], axis=0)
+    depth = next(d for d in range(1, edges.shape[1] + 1) if len(np.unique(edges[:, :d], axis=0)) == len(edges))
+    edges = edges[:, :depth]  # the levels that tell the edges apart
+    firsts, at, times = np.unique(edges[:, 0], return_index=True, return_counts=True)
+    splits, below, inside, value = [-np.inf], [0], [0], [-np.inf]
+    for first, begin, n in zip(firsts, at, times):
+        if n > 1 and first in (-np.inf, np.inf):
+            # No split can stand at infinity: its rows share a cut with their finite neighbours.
+            below[-1], inside[-1], value[-1] = int(begin), int(n), first
+        elif np.isfinite(first):
+            splits.append(first)
+            below.append(int(begin) if n > 1 else int(begin) + 1)
+            inside.append(int(n) if n > 1 else 0)
+            value.append(first)
+        if n > 1 and first < np.inf:
+            splits.append(np.nextafter(first, np.inf))
+            below.append(int(begin + n))
+            inside.append(0)
+            value.append(first)
+    keep = [i for i in range(len(splits)) if i + 1 == len(splits) or splits[i] < splits[i + 1]]
+    splits, below, inside, value = (np.array(part)[keep] for part in (splits, below, inside, value))
+
+    cutter = Bucketizer(splits=[*splits.tolist(), float("inf")], inputCol=fields[0], outputCol="_cut")
+    out = cutter.transform(out).withColumn("_cut", F.col("_cut").cast("int"))
+    start = F.get(_numbers(below, "int"), F.col("_cut"))
+    if not inside.any():
+        return out.withColumn(BUCKET, F.coalesce(start, F.lit(0)).cast("bigint") + 1).drop("_cut")
+
+    count = F.get(_numbers(inside, "int"), F.col("_cut"))
+    crowded = (count > 0) & (F.get(_numbers(value, "double"), F.col("_cut")) == F.col(fields[0]))
+    rest = [_numbers(edges[:, i], "double") for i in range(1, edges.shape[1])]
+
+    def reached(at: Column) -> Column:
+        """Whether the row stands at edge ``at`` or beyond, its first level being that of the edge."""
+        verdict = F.lit(True)
+        for field, edge in reversed(list(zip(fields[1:], rest))):
+            here = F.get(edge, at)
+            verdict = (F.col(field) > here) | ((F.col(field) == here) & verdict)
+        return verdict
+
+    def halve(found: Column, _: Column) -> Column:
+        middle = F.floor((found["low"] + found["high"]) / 2).cast("int")
+        open_, up = found["low"] < found["high"], reached(middle)
+        return F.struct(
+            F.when(open_ & up, middle + 1).otherwise(found["low"]).alias("low"),
+            F.when(open_ & ~up, middle).otherwise(found["high"]).alias("high"),
+        )
+
+    rounds = F.array_repeat(F.lit(0), int(inside.max()).bit_length())
+    found = F.aggregate(rounds, F.struct(start.alias("low"), (start + count).alias("high")), halve, lambda x: x["low"])
+    bucket = F.coalesce(F.when(crowded, found).otherwise(start), F.lit(0)).cast("bigint") + 1
+    return out.withColumn(BUCKET, bucket).drop("_cut")
 
 
 @dataclass(frozen=True)
 class Bucketed:
     frame: DataFrame
-    rows: int
-    buckets: int
+    cut: bool  # whether any group has more than one bucket
 
 
-def bucketed(df: DataFrame, order: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> Bucketed:
-    """Add ``_bucket``: a number that follows ``order``, with about ``rows_per_bucket`` rows each.
+def _grouped(df: DataFrame, partition: Sequence[str]) -> DataFrame:
+    # A struct is never null itself, so rows with a null group key still meet in the joins below.
+    return df.withColumn(GROUP, F.struct(*partition) if partition else F.lit(0))
 
-    A value of the first order column that fills several buckets by itself is split by the next one,
-    and so on, so a hot value does not make a hot bucket.
+
+def bucketed(
+    df: DataFrame,
+    order: Sequence[str],
+    partition: Sequence[str] = (),
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    stats: dict | None = None,
+) -> Bucketed:
+    """Add ``_group`` and ``_bucket``: 0 for the rows of a group that needs no cutting, else 1, 2, ...
+
+    Buckets follow ``order`` and hold about ``rows_per_bucket`` rows. A group is cut once the sample
+    finds more than twice that many rows in it, so at most half as many groups as buckets are cut.
     """
-    names = [order_name(o) for o in order]
-    stats = _stats(df, names)
+    grouped = _grouped(df, partition)
+    whole = Bucketed(grouped.withColumn(BUCKET, F.lit(0).cast("bigint")), False)
+    stats = stats or order_stats(df, order)
     rows = stats["rows"]
-    wanted = max(math.ceil(rows / rows_per_bucket), min(df.sparkSession.sparkContext.defaultParallelism, rows // 5_000))
-    wanted = min(wanted, MAX_BUCKETS)
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    wanted = min(MAX_BUCKETS, max(math.ceil(rows / rows_per_bucket), min(parallel, rows // ROWS_WORTH_A_TASK)))
     if wanted <= 1:
-        return Bucketed(df.withColumn(BUCKET, F.lit(0).cast("bigint")), rows, 1)
+        return whole
 
     levels = _levels(df, order, stats)
     fields = [f"_level{i}" for i in range(len(levels))]
-    sample = df.select(*[c.alias(f) for c, f in zip(levels, fields)])
+    key = F.xxhash64(GROUP)  # groups that share a hash are cut together, which does no harm
+    sample = grouped.select(key.alias("key"), *[c.alias(f) for c, f in zip(levels, fields)])
     fraction = SAMPLE_PER_BUCKET * wanted / rows
     if fraction < 1.0:
         sample = sample.sample(fraction, seed=11)
-    taken = sample.toArrow()  # about SAMPLE_PER_BUCKET * buckets rows of doubles, whatever the table holds
+    taken = sample.toArrow()  # about SAMPLE_PER_BUCKET * buckets rows of numbers, whatever the table holds
     points = np.column_stack([taken.column(f).to_numpy() for f in fields]).astype("float64")
+    keys = taken.column("key").to_numpy()
     if not len(points):
-        return Bucketed(df.withColumn(BUCKET, F.lit(0).cast("bigint")), rows, 1)
+        return whole
+    seen, hits = np.unique(keys, return_counts=True)
+    large = seen[hits * wanted > 2 * len(keys)]
+    if partition and not len(large):
+        return whole
 
-    out = df.withColumns(dict(zip(fields, levels)))
-    bucket, narrowed, buckets, used = F.lit(0).cast("bigint"), F.lit(True), wanted, 0
-    for i, field in enumerate(fields):
-        if buckets < 2 or not len(points):
-            break
-        splits, hot = _edges(points[:, i], buckets)
-        cut = f"_cut{i}"
-        out = Bucketizer(splits=splits, inputCol=field, outputCol=cut).transform(out)
-        width = len(splits) - 1
-        bucket = bucket * F.lit(width) + F.when(narrowed, F.col(cut).cast("bigint")).otherwise(F.lit(0))
-        used = i + 1
-        if not hot:
-            break
-        inside = np.isin(points[:, i], hot)
-        buckets = math.ceil(buckets * inside.mean())
-        points = points[inside]
-        narrowed = narrowed & F.col(field).isin(hot)
-    out = out.withColumn(BUCKET, bucket).drop(*fields, *[f"_cut{i}" for i in range(used)])
-    return Bucketed(out, rows, wanted)
+    belongs = np.isin(keys, large) if partition else np.ones(len(keys), bool)
+    share = max(2, math.ceil(wanted * belongs.mean()))
+    out = _bucket_column(grouped.withColumns(dict(zip(fields, levels))), fields, points[belongs], share)
+    if partition:
+        out = out.withColumn(BUCKET, F.when(key.isin(large.tolist()), F.col(BUCKET)).otherwise(F.lit(0).cast("bigint")))
+    return Bucketed(out.drop(*fields), True)
 
 
-def _grouped(df: DataFrame, partition: Sequence[str]) -> DataFrame:
-    # A struct is never null itself, so rows with a null group key still meet in the join below.
-    return df.withColumn(GROUP, F.struct(*partition) if partition else F.lit(0))
+def _across(rows: DataFrame, facts: Column, carried: Callable[[], Column], out: str) -> DataFrame:
+    """Join to every row of a cut group what ``carried`` says about its bucket, from ``facts`` per bucket.
+
+    ``carried`` is a window expression over the buckets of one group, at most MAX_BUCKETS rows.
+    """
+    facts = rows.where(F.col(BUCKET) > 0).groupBy(F.col(GROUP).alias("_g"), F.col(BUCKET).alias("_b")).agg(facts)
+    told = facts.select("_g", "_b", carried().alias(out))
+    return rows.join(told, (F.col(GROUP) == F.col("_g")) & (F.col(BUCKET) == F.col("_b")), "left").drop("_g", "_b")
 
 
 def number_rows(
@@ -197,24 +268,20 @@ def number_rows(
     partition: Sequence[str] = (),
     out: str = "position",
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    stats: dict | None = None,
 ) -> DataFrame:
     """``row_number()`` per ``partition`` (or overall) by ``order``, in tasks of bounded size.
 
-    ``order`` must identify a row within its partition. The rows are shuffled once.
+    ``order`` must identify a row within its partition. The rows are shuffled once. ``stats`` spares a
+    scan where the caller already has the :func:`order_stats`.
     """
-    cut = bucketed(df, order, rows_per_bucket)
-    rows = _grouped(cut.frame, partition)
+    cut = bucketed(df, order, partition, rows_per_bucket, stats)
     inside = F.row_number().over(Window.partitionBy(GROUP, BUCKET).orderBy(*sort_columns(order))).cast("bigint")
-    if cut.buckets == 1:
-        return rows.withColumn(out, inside).drop(GROUP, BUCKET)
-    counts = rows.groupBy(F.col(GROUP).alias("_g"), F.col(BUCKET).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    if not cut.cut:
+        return cut.frame.withColumn(out, inside).drop(GROUP, BUCKET)
     earlier = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_g", "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    return (
-        rows.join(starts, (F.col(GROUP) == F.col("_g")) & (F.col(BUCKET) == F.col("_b")))
-        .withColumn(out, F.col("_start") + inside)
-        .drop(GROUP, BUCKET, "_g", "_b", "_start")
-    )
+    rows = _across(cut.frame, F.count(F.lit(1)).alias("_n"), lambda: F.sum("_n").over(earlier), "_start")
+    return rows.withColumn(out, F.coalesce("_start", F.lit(0)) + inside).drop(GROUP, BUCKET, "_start")
 
 
 def with_next(
@@ -226,18 +293,11 @@ def with_next(
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """``lead(column)`` per ``partition`` by ascending ``order``, in tasks of bounded size."""
-    cut = bucketed(df, order, rows_per_bucket)
-    rows = _grouped(cut.frame, partition)
+    cut = bucketed(df, order, partition, rows_per_bucket)
     following = F.lead(F.struct(column)).over(Window.partitionBy(GROUP, BUCKET).orderBy(*sort_columns(order)))
-    if cut.buckets == 1:
-        return rows.withColumn(out, following[column]).drop(GROUP, BUCKET)
-    firsts = rows.groupBy(F.col(GROUP).alias("_g"), F.col(BUCKET).alias("_b")).agg(
-        F.min(F.struct(*order, F.struct(column).alias("_value"))).alias("_first")
-    )
+    if not cut.cut:
+        return cut.frame.withColumn(out, following[column]).drop(GROUP, BUCKET)
+    first = F.min(F.struct(*order, F.struct(column).alias("_value"))).alias("_first")
     later = Window.partitionBy("_g").orderBy("_b")
-    beyond = firsts.select("_g", "_b", F.lead("_first").over(later)["_value"].alias("_beyond"))
-    return (
-        rows.join(beyond, (F.col(GROUP) == F.col("_g")) & (F.col(BUCKET) == F.col("_b")))
-        .withColumn(out, F.coalesce(following, F.col("_beyond"))[column])
-        .drop(GROUP, BUCKET, "_g", "_b", "_beyond")
-    )
+    rows = _across(cut.frame, first, lambda: F.lead("_first").over(later)["_value"], "_beyond")
+    return rows.withColumn(out, F.coalesce(following, F.col("_beyond"))[column]).drop(GROUP, BUCKET, "_beyond")

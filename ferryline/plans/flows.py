@@ -21,26 +21,31 @@ from ferryline.sources.bodies import decode_messages
 from ferryline.sources.tables import append_valid
 
 
+def _delivered(sent: DataFrame, path: str) -> DataFrame:
+    """Published messages as a table, as a broker would keep them: consumers never repeat the batching."""
+    sent.write.mode("overwrite").parquet(path)
+    return sent.sparkSession.read.schema(sent.schema).parquet(path).select("correlation_id", "body")
+
+
 def archive_flow(
     items: DataFrame, size: int, collection: str, path: str, run_id: str, as_of: Column
 ) -> tuple[DataFrame, Reconciled]:
     """Batch, publish, consume, archive, and compare the archive with its source."""
-    batches = make_batches(items, "item_id", size, collection)
-    sent = publish_batches(batches, 0, "archive", 0, as_of)
-    received = unwrap_batches(sent.select("correlation_id", "body"), ITEM)
+    sent = publish_batches(make_batches(items, "item_id", size, collection), 0, "archive", 0, as_of)
+    received = unwrap_batches(_delivered(sent, f"{path}/messages"), ITEM)
     rows = archive_rows(received.items.select(*ITEM.names, "batch_id"), F.col("batch_id"), as_of).drop("batch_id")
     rules = [*required("name", "email", "original_id", "archive_batch"), unique("original_id")]
-    stored = append_valid(rows, rules, path, run_id).table
+    stored = append_valid(rows, rules, f"{path}/archive", run_id).table
     return stored, archive_reconcile(items, stored)
 
 
 def bulk_update_flow(
-    items: DataFrame, spec: Mapping, size: int, collection: str, priority: int, as_of: Column
+    items: DataFrame, spec: Mapping, size: int, collection: str, priority: int, path: str, as_of: Column
 ) -> Updated:
     """Select, batch, publish, consume, transition, and update the items by key."""
     work = items.where(filter_spec(spec))
     sent = publish_batches(make_batches(work, "item_id", size, collection), priority, "processing", 0, as_of)
-    received = unwrap_batches(sent.select("correlation_id", "body"), ITEM).items
+    received = unwrap_batches(_delivered(sent, f"{path}/messages"), ITEM).items
     changed = status_transition(received, as_of, F.col("correlation_id"))
     return keyed_update(items, changed, "item_id", TRANSITION_COLUMNS)
 

@@ -171,7 +171,7 @@ _BATCH_COUNTS = """SELECT 'someModel_batch_' || batch_number AS archive_batch, c
 
 ORACLES: dict[str, str] = {
     "scan_collection": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice >= 1000",
-    "decode_messages_good": _with(
+    "decode_messages": _with(
         "SELECT message_id, CAST(json_extract_string(body, '$.k') AS INT) AS k FROM v_messages WHERE message_id % 7 <> 0"
     ),
     "decode_messages_bad": _with(
@@ -181,7 +181,7 @@ ORACLES: dict[str, str] = {
     "table_inventory": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in COLLECTIONS
     ),
-    "append_valid_rows": _with(
+    "append_valid": _with(
         "SELECT item_id, name, status, priority, department, 'first' AS run_id FROM v_items "
         "WHERE department IS NOT NULL AND priority BETWEEN 1 AND 4"
     ),
@@ -205,7 +205,7 @@ FROM (SELECT n, count(*) AS size FROM (SELECT CAST(ceil(row_number() OVER (ORDER
 SELECT 'orders' AS table_name, count(*) AS rows_removed FROM orders
 UNION ALL SELECT 'customer', count(*) FROM customer UNION ALL SELECT 'events', count(*) FROM events
 UNION ALL SELECT 'total', (SELECT count(*) FROM orders) + (SELECT count(*) FROM customer) + (SELECT count(*) FROM events)""",
-    "filter_by_spec": _with(
+    "filter_spec": _with(
         "SELECT item_id, status, priority, department FROM v_items "
         "WHERE (status = 'failed' OR priority <= 2) AND department IS DISTINCT FROM 'building'"
     ),
@@ -256,7 +256,7 @@ SELECT message_id AS number,
   CASE WHEN message_id % 4 < 2 THEN md5('42:correlation_id:' || message_id) ELSE correlation_id END AS correlation_id,
   CASE WHEN message_id % 5 = 0 THEN md5('42:message_id:' || message_id) ELSE CAST(message_id AS VARCHAR) END AS message_id
 FROM v_messages"""),
-    "unwrap_batches_items": _with(
+    "unwrap_batches": _with(
         "SELECT 'someModel_batch_' || batch_number AS batch_id, 'someModel_batch_' || batch_number AS correlation_id, "
         "* EXCLUDE (batch_number) FROM batched", {"batched": _BATCHED}
     ),
@@ -277,7 +277,7 @@ SELECT error_id, code AS status_code, CASE WHEN code >= 500 OR error_id % 7 = 0
 FROM (SELECT error_id, CASE WHEN error_id % 5 = 0 THEN 200
   WHEN message LIKE 'NOT_FOUND%' OR message LIKE '%does not exist' THEN 404
   WHEN message LIKE 'PRECONDITION_FAILED%' THEN 409 ELSE 503 END AS code FROM v_errors)"""),
-    "mask_credentials_in_urls":
+    "mask_credentials":
         "SELECT page_id, regexp_replace('amqp://user' || page_id || ':p@ss@' || substr(url, 9), '//.*@', '//***:***@') AS masked FROM pages",
     "synth_items": _synth_items(),
     "synth_jobs": _synth_jobs(),
@@ -288,7 +288,7 @@ SELECT message_id, routing_key, queue FROM v_messages LEFT JOIN (VALUES ('proces
     "update_join": _with("SELECT * FROM line_join", {"line_updates": _LINES, "line_join": _LINE_JOIN}),
     "archive_reconcile_missing": _with("SELECT item_id, email FROM v_items WHERE item_id NOT IN (SELECT original_id FROM v_archive)"),
     "archive_reconcile_present": _with("SELECT item_id, email FROM v_items WHERE item_id IN (SELECT original_id FROM v_archive)"),
-    "archive_reconcile_batches": _with("SELECT archive_batch, count(*) AS archived FROM v_archive GROUP BY archive_batch"),
+    "archive_reconcile": _with("SELECT archive_batch, count(*) AS archived FROM v_archive GROUP BY archive_batch"),
     "find_by_original": _with(
         _LATEST_ARCHIVE.format(source="wanted"),
         {"wanted": "SELECT * FROM v_archive WHERE original_id IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)"},
@@ -340,7 +340,7 @@ FROM (SELECT parent_job_id, count(*) AS total_batches, count(*) FILTER (status =
         "FROM v_worker_log WHERE type = 'messageProcessed' GROUP BY consumer_type"
     ),
     "dead_letter_backlog": _with("SELECT count(*) AS available_messages FROM v_messages WHERE queue_type = 'deadletter'"),
-    "make_batches_of_orders": """
+    "make_batches": """
 SELECT 'someModel_batch_' || batch_number AS batch_id, 'someModel' AS collection, count(*) AS batch_size, batch_number,
   count(*) OVER () AS total_batches, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS item_ids
 FROM (SELECT o_orderkey, CAST(ceil(row_number() OVER (ORDER BY o_orderkey) / 100.0) AS BIGINT) AS batch_number FROM orders)
@@ -356,16 +356,16 @@ FROM (SELECT *, row_number() OVER (PARTITION BY correlation_id ORDER BY event_ts
         "SELECT message_id, queue_type, row_number() OVER (PARTITION BY queue_type "
         "ORDER BY priority DESC, published_at, message_id) AS delivery_position FROM v_messages"
     ),
-    "page_of_orders": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 500 OFFSET 1000",
+    "page": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 500 OFFSET 1000",
     "latest_archive": _with(_LATEST_ARCHIVE.format(source="v_archive")),
     "find_by_batch": _with("SELECT * FROM v_archive WHERE archive_batch = 'someModel_batch_3'"),
-    "allocate_sequence_numbers": """
+    "allocate_sequence": """
 SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_name) + (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') AS seq
 FROM customer""",
     "allocate_sequence_counters": """
 SELECT o_orderstatus AS name, count(*) + CASE WHEN o_orderstatus = 'F' THEN (SELECT count(*) FROM customer) ELSE 0 END AS seq
 FROM orders GROUP BY o_orderstatus""",
-    "work_order_of_items": _with(
+    "work_order": _with(
         "SELECT item_id, CASE status WHEN 'pending' THEN 1 WHEN 'processing' THEN 2 ELSE 3 END AS work_rank, created_at "
         "FROM v_items WHERE status <> 'success' ORDER BY work_rank, created_at, item_id"
     ),

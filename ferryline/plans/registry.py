@@ -38,7 +38,8 @@ def as_of():
 
 
 def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
+    """Register ``f`` under its name; a leading ``q_`` only keeps it apart from an operator of that name."""
+    QUERIES[f.__name__.removeprefix("q_")] = f
     return f
 
 
@@ -62,7 +63,7 @@ def _partly_broken(spark, folder):
 
 
 @query
-def decode_messages_good(spark, folder):
+def q_decode_messages(spark, folder):
     return decode_messages(_partly_broken(spark, folder), BODY).good.select("message_id", "content.k")
 
 
@@ -91,7 +92,7 @@ def table_inventory(spark, folder):
 
 
 @query
-def append_valid_rows(spark, folder):
+def q_append_valid(spark, folder):
     rules = [
         *validation.required("name", "department"),
         validation.one_of("status", ITEM_STATUSES),
@@ -167,7 +168,7 @@ def clear_tables(spark, folder):
 
 
 @query
-def filter_by_spec(spark, folder):
+def q_filter_spec(spark, folder):
     spec = {"$or": [{"status": "failed"}, {"priority": {"$lte": 2}}], "department": {"$ne": "building"}}
     return views.items(spark, folder).where(filter_spec(spec)).select("item_id", "status", "priority", "department")
 
@@ -265,7 +266,7 @@ def ensure_ids(spark, folder):
 
 
 @query
-def unwrap_batches_items(spark, folder):
+def q_unwrap_batches(spark, folder):
     batches = make_batches(views.items(spark, folder), "item_id", BATCH, "someModel")
     sent = routing.publish_batches(batches, 0, "archive", 0, as_of())
     return unwrap_batches(sent.select("correlation_id", "body"), ITEM).items.drop("collection")
@@ -298,7 +299,7 @@ def error_severity(spark, folder):
 
 
 @query
-def mask_credentials_in_urls(spark, folder):
+def q_mask_credentials(spark, folder):
     url = F.concat(F.lit("amqp://user"), F.col("page_id").cast("string"), F.lit(":p@ss@"), F.substr("url", F.lit(9)))
     return col.table(spark, folder, "pages").select("page_id", mask_credentials(url).alias("masked"))
 
@@ -361,7 +362,7 @@ def archive_reconcile_present(spark, folder):
 
 
 @query
-def archive_reconcile_batches(spark, folder):
+def archive_reconcile(spark, folder):
     return arc.archive_reconcile(views.items(spark, folder), views.archive(spark, folder)).per_batch
 
 
@@ -450,7 +451,7 @@ def dead_letter_backlog(spark, folder):
 
 
 @query
-def make_batches_of_orders(spark, folder):
+def q_make_batches(spark, folder):
     return _order_batches(spark, folder).select(
         "batch_id", "collection", "metadata.*",
         F.array_join(F.transform("data", lambda d: d["item_id"].cast("string")), ",").alias("item_ids"),
@@ -483,7 +484,7 @@ def delivery_order(spark, folder):
 
 
 @query
-def page_of_orders(spark, folder):
+def q_page(spark, folder):
     return page(col.table(spark, folder, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 1_000, 500)
 
 
@@ -498,7 +499,7 @@ def find_by_batch(spark, folder):
 
 
 @query
-def allocate_sequence_numbers(spark, folder):
+def q_allocate_sequence(spark, folder):
     counters = col.table(spark, folder, "orders").groupBy(F.col("o_orderstatus").alias("name")).agg(
         F.count(F.lit(1)).alias("seq")
     )
@@ -516,7 +517,7 @@ def allocate_sequence_counters(spark, folder):
 
 
 @query
-def work_order_of_items(spark, folder):
+def q_work_order(spark, folder):
     return work_order(views.items(spark, folder)).select("item_id", "work_rank", "created_at")
 
 
@@ -663,7 +664,8 @@ def archive_flow_missing(spark, folder):
 @query
 def bulk_update_flow(spark, folder):
     done = flows.bulk_update_flow(
-        views.items(spark, folder), {"status": {"$in": ["pending", "failed"]}}, BATCH, "someModel", 7, as_of()
+        views.items(spark, folder), {"status": {"$in": ["pending", "failed"]}}, BATCH, "someModel", 7,
+        work_folder(spark, "bulk-update-flow"), as_of(),
     )
     return done.target.select(*UPDATED)
 
@@ -671,7 +673,8 @@ def bulk_update_flow(spark, folder):
 @query
 def bulk_update_flow_stats(spark, folder):
     done = flows.bulk_update_flow(
-        views.items(spark, folder), {"status": {"$in": ["pending", "failed"]}}, BATCH, "someModel", 7, as_of()
+        views.items(spark, folder), {"status": {"$in": ["pending", "failed"]}}, BATCH, "someModel", 7,
+        work_folder(spark, "bulk-update-flow"), as_of(),
     )
     return done.stats
 

@@ -4,13 +4,22 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _CORRUPT = "_corrupt"
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column so that filters on it do not compute it again.
+
+    Catalyst copies an expression into every filter that is pushed below its projection; it does not
+    push filters through a generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 class Decoded(NamedTuple):
     good: DataFrame
     bad: DataFrame
@@ -19,8 +28,8 @@ class Decoded(NamedTuple):
 def decode_messages(df: DataFrame, schema: T.StructType, body: str = "body", out: str = "content") -> Decoded:
     """Parse ``body``; rows that do not parse go to ``bad`` with the reason and the untouched text."""
     wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = df.withColumn(
-        out, F.from_json(body, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    parsed = computed_once(
+        df, out, F.from_json(body, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     )
     broken = F.col(out).isNull() | F.col(f"{out}.{_CORRUPT}").isNotNull()
     good = parsed.where(~broken).withColumn(out, F.col(out).dropFields(_CORRUPT))
