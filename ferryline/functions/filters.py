@@ -18,25 +18,32 @@ def _any(parts: list[Column]) -> Column:
 
 
 def _equals(field: Column, value) -> Column:
-    return field.isNull() if value is None else F.coalesce(field == F.lit(value), F.lit(False))
+    return field.isNull() if value is None else field == F.lit(value)
 
 
 def _member(field: Column, values) -> Column:
     present = [v for v in values if v is not None]
-    found = F.coalesce(field.isin(present), F.lit(False)) if present else F.lit(False)
+    found = field.isin(present) if present else F.lit(False)
     return found | field.isNull() if len(present) < len(values) else found
 
 
-# A missing field never passes a range test, and always passes ``$ne`` and ``$nin``.
+def _no_member(field: Column, values) -> Column:
+    present = [v for v in values if v is not None]
+    absent = ~field.isin(present) if present else F.lit(True)
+    return field.isNotNull() & absent if len(present) < len(values) else field.isNull() | absent
+
+
+# A missing field never passes a range test, and always passes ``$ne`` and ``$nin``. The tests are plain
+# comparisons (null counts as not passed in a filter), so that they reach the Parquet scan.
 _TESTS = {
     "$eq": _equals,
-    "$ne": lambda field, value: ~_equals(field, value),
-    "$gt": lambda field, value: F.coalesce(field > F.lit(value), F.lit(False)),
-    "$gte": lambda field, value: F.coalesce(field >= F.lit(value), F.lit(False)),
-    "$lt": lambda field, value: F.coalesce(field < F.lit(value), F.lit(False)),
-    "$lte": lambda field, value: F.coalesce(field <= F.lit(value), F.lit(False)),
+    "$ne": lambda field, value: field.isNotNull() if value is None else ~field.eqNullSafe(F.lit(value)),
+    "$gt": lambda field, value: field > F.lit(value),
+    "$gte": lambda field, value: field >= F.lit(value),
+    "$lt": lambda field, value: field < F.lit(value),
+    "$lte": lambda field, value: field <= F.lit(value),
     "$in": _member,
-    "$nin": lambda field, values: ~_member(field, values),
+    "$nin": _no_member,
     "$exists": lambda field, wanted: field.isNotNull() if wanted else field.isNull(),
 }
 

@@ -134,7 +134,7 @@ def unwrap_batches(messages: DataFrame, item: T.StructType, body: str = "body")
     )
     opened = computed_once(messages, "_parsed", both).withColumns({
         "_data": F.coalesce(F.col("_parsed.envelope.data"), F.col("_parsed.bare")),
-        "batch_id": F.col("_parsed.envelope.batch_id"),
+        "batch_id": F.col("_parsed.envelope.batchId"),
         "collection": F.col("_parsed.envelope.collection"),
     })
     kept = [c for c in messages.columns if c not in (body, "batch_id", "collection", *item.names)]
@@ -168,11 +168,11 @@ def allocate_sequence(
 ) -> Allocated:
     """Give every row the next number of counter ``name`` (from 1 if it is new), and move the counter on."""
     keys = [key] if isinstance(key, str) else list(key)
-    current = counters.where(filter_spec({"name": name})).agg(F.max("seq")).first()[0] or 0
+    current = counters.where(F.col("name") == name).agg(F.max("seq")).first()[0] or 0
     ranked = number_rows(df, keys, out="_place", rows_per_bucket=rows_per_bucket)
     rows = ranked.withColumn("seq", F.col("_place") + F.lit(current)).drop("_place")
     moved = df.agg((F.count(F.lit(1)) + F.lit(current)).alias("seq")).select(F.lit(name).alias("name"), "seq")
-    others = counters.where(~filter_spec({"name": name})).select("name", "seq")
+    others = counters.where(filter_spec({"name": {"$ne": name}})).select("name", "seq")
     return Allocated(rows, others.unionByName(moved))
 
 

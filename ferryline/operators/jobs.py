@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferryline.functions.derived import elapsed_ms, plus_ms
+from ferryline.functions.derived import plus_ms
 from ferryline.operators.ranking import ROWS_PER_BUCKET, with_next
-from ferryline.schemas import JOB_TIMEOUT_MS
+from ferryline.schemas import JOB_MESSAGES, JOB_TIMEOUT_MS
 
 TIMEOUT_MESSAGE = "Processing worker timeout exceeded"
 
@@ -28,6 +28,46 @@ def job_transition(log: DataFrame, changes: DataFrame, key: str = "correlation_i
     return log.unionByName(changes.join(known, key, "left_semi"), allowMissingColumns=True)
 
 
+def job_message() -> Column:
+    """What the message of a change says, from ``status``, ``queue_type``, ``items``, ``deaths`` and ``error``."""
+    chosen = []
+    for status, queue, text in JOB_MESSAGES:
+        said = F.lit(text)
+        for name in ("items", "deaths", "error"):
+            if f"{{{name}}}" in text:
+                said = F.replace(said, F.lit(f"{{{name}}}"), F.coalesce(F.col(name).cast("string"), F.lit("")))
+        chosen.append(F.when((F.col("status") == status) & (F.col("queue_type") == queue), said))
+    return F.coalesce(*chosen)
+
+
+def job_changes(units: DataFrame, at: Column) -> DataFrame:
+    """Transition rows for units of work; needs the columns :func:`job_message` reads and ``correlation_id``.
+
+    Starting sets a start time; finishing sets an end time, and full progress unless it failed.
+    """
+    starts = F.col("status").isin("processing", "dead_letter_processing")
+    done = F.col("status").isin("completed", "dead_letter_completed")
+    ends = done | F.col("status").isin("failed", "dead_letter_failed")
+    return units.select(
+        "correlation_id", "status", at.alias("event_ts"),
+        F.when(starts, at).alias("start_time"),
+        F.when(ends, at).alias("end_time"),
+        F.when(done, 100.0).alias("progress"),
+        F.when(done, F.col("items").cast("bigint")).alias("processed_items"),
+        job_message().alias("message"),
+        F.when(F.col("status").isin("failed", "dead_letter_failed"), F.col("error")).alias("error"),
+    )
+
+
+def published_jobs(messages: DataFrame, at: Column) -> DataFrame:
+    """The pending job every published batch starts as."""
+    return messages.select(
+        F.col("correlation_id").alias("job_id"), "correlation_id", F.lit("pending").alias("status"),
+        F.lit("batch").alias("job_type"), F.col("batch_size").alias("total_items"),
+        F.lit(0).cast("bigint").alias("processed_items"), F.lit(0.0).alias("progress"), at.alias("event_ts"),
+    )
+
+
 def job_progress(log: DataFrame) -> DataFrame:
     """Batches and items done per parent job, from the current state of its jobs."""
     current = latest_state(log, "correlation_id", ["event_ts", "seq"])
@@ -51,7 +91,8 @@ def dead_letter_jobs(dead_letters: DataFrame, jobs: DataFrame) -> DataFrame:
 
 
 def timed_out(started: Column, following: Column, as_of: Column, limit_ms: int) -> Column:
-    return elapsed_ms(started, F.coalesce(following, as_of)) >= limit_ms
+    """Whether nothing came up to and including the limit."""
+    return F.coalesce(following, as_of) > plus_ms(started, F.lit(limit_ms))
 
 
 def processing_timeout(

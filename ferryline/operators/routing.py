@@ -92,9 +92,16 @@ def ensure_ids(df: DataFrame, seed: int, key: str) -> DataFrame:
 def publish_batches(
     batches: DataFrame, priority: int, queue_type: str, ttl_ms: int, as_of: Column, seed: int = 0
 ) -> DataFrame:
-    """Batches as message rows: body text, routing, ids, headers."""
+    """Batches as message rows: body text (an envelope), routing, ids, headers."""
     if not 0 <= priority <= MAX_PRIORITY:
         raise ValueError(f"priority must be between 0 and {MAX_PRIORITY}")
+    metadata = F.struct(
+        F.col("metadata.batch_size").alias("batchSize"),
+        F.col("metadata.batch_number").alias("batchNumber"),
+        F.col("metadata.total_batches").alias("totalBatches"),
+        iso(as_of).alias("timestamp"),
+    )
+    body = F.struct(F.col("batch_id").alias("batchId"), "collection", "data", metadata.alias("metadata"))
     sized = batches.select(
         F.col("batch_id").alias("correlation_id"),
         F.lit(None).cast("string").alias("message_id"),
@@ -103,7 +110,7 @@ def publish_batches(
         F.lit(queue_type).alias("queue_type"),
         F.lit(ttl_ms).cast("bigint").alias("delay_ms"),
         F.col("metadata.batch_size").alias("batch_size"),
-        F.to_json(F.struct("batch_id", "collection", "data", "metadata"), TIMES).alias("body"),
+        F.to_json(body, TIMES).alias("body"),
     )
     return ensure_ids(message_headers(route_message(sized), as_of), seed, "correlation_id")
 

@@ -12,12 +12,12 @@ from ferryline.functions.filters import filter_spec
 from ferryline.operators.archive import Reconciled, archive_reconcile, archive_rows
 from ferryline.operators.batching import make_batches, unwrap_batches
 from ferryline.operators.failures import dead_letter_triage, split_outcomes
-from ferryline.operators.jobs import job_transition
+from ferryline.operators.jobs import job_changes, job_transition
 from ferryline.operators.routing import publish_batches
 from ferryline.operators.updates import TRANSITION_COLUMNS, Updated, keyed_update, status_transition
 from ferryline.operators.validation import required, unique
 from ferryline.schemas import ITEM
-from ferryline.sources.bodies import decode_messages
+from ferryline.sources.bodies import mark_undecodable
 from ferryline.sources.tables import append_valid
 
 
@@ -58,16 +58,17 @@ class Failures(NamedTuple):
 
 def failure_flow(messages: DataFrame, log: DataFrame, body_schema, as_of: Column) -> Failures:
     """Decode, retry or dead-letter, triage the dead letters, and record it on their jobs."""
-    decoded = decode_messages(messages, body_schema)
-    readable = decoded.good.drop("content")
-    broken = decoded.bad.drop("error").withColumn("handler_failed", F.lit(True))
-    outcomes = split_outcomes(readable.unionByName(broken), as_of, F.lit("handler failed"))
+    marked = mark_undecodable(messages, body_schema)
+    judged = marked.withColumn("handler_failed", F.col("handler_failed") | F.col("undecodable"))
+    reason = F.when(F.col("undecodable"), "undecodable body").otherwise("handler failed")
+    outcomes = split_outcomes(judged, as_of, reason).drop("content")
     dead = outcomes.where(F.col("outcome") == "dead_letter")
     triaged = dead_letter_triage(
         dead.withColumns({"death_count": F.col("x_death_count"), "original_queue": F.col("x_first_death_queue")})
     )
-    changes = triaged.select(
-        F.col("message_id").alias("seq"), "correlation_id", as_of.alias("event_ts"),
-        F.lit("dead_letter_completed").alias("status"),
+    units = triaged.select(
+        "correlation_id", F.lit("dead_letter_completed").alias("status"), F.lit("deadletter").alias("queue_type"),
+        F.lit(1).alias("items"), "deaths", F.lit(None).cast("string").alias("error"),
     )
-    return Failures(outcomes, triaged, job_transition(log, changes))
+    log = job_transition(log, job_changes(units, as_of))
+    return Failures(outcomes, triaged, log)

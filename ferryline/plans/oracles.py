@@ -192,6 +192,10 @@ SELECT 'someModel_batch_' || n AS correlation_id, md5('0:message_id:someModel_ba
   'high' AS h_priority, count(*) OVER () AS total_batches
 FROM (SELECT n, count(*) AS size FROM (SELECT CAST(ceil(row_number() OVER (ORDER BY o_orderkey) / 100.0) AS BIGINT) AS n
   FROM orders) GROUP BY n)""",
+    "published_jobs": f"""
+SELECT 'someModel_batch_' || n AS job_id, 'someModel_batch_' || n AS correlation_id, 'pending' AS status, 'batch' AS job_type,
+  count(*) AS total_items, CAST(0 AS BIGINT) AS processed_items, CAST(0 AS DOUBLE) AS progress, {AS_OF} AS event_ts
+FROM (SELECT CAST(ceil(row_number() OVER (ORDER BY o_orderkey) / 100.0) AS BIGINT) AS n FROM orders) GROUP BY n""",
     "keyed_update": _with(
         f"SELECT {_transition(chr(39) + 'run-1' + chr(39))} FROM v_items i WHERE i.status <> 'success' AND i.item_id % 2 = 0 "
         f"UNION ALL SELECT {_KEPT} FROM v_items i WHERE NOT (i.status <> 'success' AND i.item_id % 2 = 0)"
@@ -261,7 +265,7 @@ FROM v_messages"""),
         "* EXCLUDE (batch_number) FROM batched", {"batched": _BATCHED}
     ),
     "unwrap_batches_errors": _with("""
-SELECT message_id, 'e' AS batch_id, '{"batch_id": "e", "collection": "someModel", "data": []}' AS body,
+SELECT message_id, 'e' AS batch_id, '{"batchId": "e", "collection": "someModel", "data": []}' AS body,
   'batch must carry a non-empty data array' AS error FROM v_messages WHERE message_id % 3 = 2"""),
     "classify_errors": _with("""
 SELECT error_id, CASE WHEN message IN ('NOT_FOUND - no queue app.x', 'queue does not exist') THEN 'QueueNotFoundError'
@@ -403,10 +407,10 @@ FROM (SELECT m.*, p.expired_key, CASE WHEN NOT (ttl_ms > 0 AND wait_ms > ttl_ms)
   FROM v_messages m LEFT JOIN policy p ON m.queue_type = p.queue_type)"""),
     "job_status_stream": _with("SELECT correlation_id, event_ts, seq, status FROM latest", {"latest": _LATEST_JOB}),
     "processing_timeout": _with(
-        _late(f"{_ms('event_ts', f'coalesce(next_ts, {AS_OF})')} >= 300000"), {"entries": _NEXT_ENTRY}
+        _late(f"coalesce(next_ts, {AS_OF}) > event_ts + INTERVAL 300 SECOND"), {"entries": _NEXT_ENTRY}
     ),
     "processing_timeout_stream": _with(
-        _late("(next_ts IS NULL OR next_ts - event_ts >= INTERVAL 300 SECOND) AND event_ts + INTERVAL 300 SECOND "
+        _late("(next_ts IS NULL OR next_ts > event_ts + INTERVAL 300 SECOND) AND event_ts + INTERVAL 300 SECOND "
               "<= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"), {"entries": _NEXT_ENTRY}
     ),
     "dead_letter_triage": _with(f"""
@@ -422,7 +426,10 @@ FROM (SELECT *, coalesce(death_count, 1) AS deaths FROM v_messages WHERE queue_t
     ),
     "bulk_update_stream_jobs": _with(
         "SELECT 'someModel_batch_' || batch_number AS correlation_id, 'completed' AS status, 100.0::DOUBLE AS progress, "
-        "count(*) AS processed_items FROM batched GROUP BY batch_number", {"batched": _BATCHED}
+        "count(*) AS processed_items, 'Successfully processed ' || count(*) || ' items in worker thread' AS message "
+        "FROM batched GROUP BY batch_number UNION ALL "
+        "SELECT 'someModel_batch_' || batch_number, 'processing', NULL, NULL, 'Processing ' || count(*) || ' items in worker thread' "
+        "FROM batched GROUP BY batch_number", {"batched": _BATCHED}
     ),
     "throughput": _with("""
 SELECT time_bucket(INTERVAL 1 HOUR, published_at) AS window_start, time_bucket(INTERVAL 1 HOUR, published_at) + INTERVAL 1 HOUR AS window_end,
@@ -448,14 +455,16 @@ SELECT * FROM (SELECT date_trunc('day', published_at)::TIMESTAMP AS window_start
     ),
     "failure_flow_triage": _with(f"""
 SELECT message_id, deaths, queue_name AS origin, {_TRIAGE} AS action,
-  CAST(CASE WHEN deaths < 3 THEN 5000 * deaths END AS BIGINT) AS requeue_delay_ms
+  CAST(CASE WHEN deaths < 3 THEN 5000 * deaths END AS BIGINT) AS requeue_delay_ms,
+  CASE WHEN message_id % 7 = 0 THEN 'undecodable body' ELSE 'handler failed' END AS x_death_reason
 FROM (SELECT *, x_retries + 1 AS deaths FROM split WHERE outcome = 'dead_letter')""",
         {"handled": "SELECT * REPLACE (handler_failed OR message_id % 7 = 0 AS handler_failed) FROM v_messages",
          "judged": _JUDGED.format(source="handled"), "split": _SPLIT}),
     "failure_flow_jobs": _with("""
-SELECT correlation_id, status, count(*) AS entries FROM (SELECT correlation_id, status FROM known
-  UNION ALL SELECT correlation_id, 'dead_letter_completed' FROM split
-    WHERE outcome = 'dead_letter' AND correlation_id IN (SELECT correlation_id FROM known)) GROUP BY correlation_id, status""",
+SELECT correlation_id, status, message, count(*) AS entries FROM (SELECT correlation_id, status, NULL AS message FROM known
+  UNION ALL SELECT correlation_id, 'dead_letter_completed',
+    'Dead letter processing completed for 1 items (deaths: ' || (x_retries + 1) || ')' FROM split
+    WHERE outcome = 'dead_letter' AND correlation_id IN (SELECT correlation_id FROM known)) GROUP BY ALL""",
         {"known": "SELECT * FROM v_job_log WHERE seq % 2 = 0",
          "handled": "SELECT * REPLACE (handler_failed OR message_id % 7 = 0 AS handler_failed) FROM v_messages",
          "judged": _JUDGED.format(source="handled"), "split": _SPLIT}),

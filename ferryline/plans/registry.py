@@ -116,10 +116,16 @@ def publish_batches(spark, folder):
     return sent.select(
         "correlation_id", "message_id", "exchange", "routing_key", "reported_queue", "delivered_queue", "priority",
         "expiration", F.col("headers")["batchSize"].alias("h_batch_size"), F.col("headers")["priority"].alias("h_priority"),
-        F.get_json_object("body", "$.metadata.total_batches").cast("bigint").alias("total_batches"),
+        F.get_json_object("body", "$.metadata.totalBatches").cast("bigint").alias("total_batches"),
     )
 
 
+@query
+def published_jobs(spark, folder):
+    sent = routing.publish_batches(_order_batches(spark, folder), 0, "processing", 0, as_of())
+    return jobs.published_jobs(sent, as_of())
+
+
 def _transitions(items):
     work = validation.work_set(items, "process_all")
     return updates.status_transition(work.where(F.col("item_id") % 2 == 0), as_of(), "run-1")
@@ -277,9 +283,9 @@ def unwrap_batches_errors(spark, folder):
     number = F.col("message_id")
     bodies = views.messages(spark, folder).select(
         number,
-        F.when(number % 3 == 0, F.concat(F.lit('{"batch_id": "b", "collection": "someModel", "data": ['), "body", F.lit("]}")))
+        F.when(number % 3 == 0, F.concat(F.lit('{"batchId": "b", "collection": "someModel", "data": ['), "body", F.lit("]}")))
         .when(number % 3 == 1, F.concat(F.lit("["), "body", F.lit("]")))
-        .otherwise(F.lit('{"batch_id": "e", "collection": "someModel", "data": []}')).alias("body"),
+        .otherwise(F.lit('{"batchId": "e", "collection": "someModel", "data": []}')).alias("body"),
     )
     return unwrap_batches(bodies, BODY).errors
 
@@ -626,7 +632,7 @@ def bulk_update_stream_jobs(spark, folder):
     home = work_folder(spark, "bulk-update-jobs")
     stream = _published(spark, folder, home, "processing")
     running.run_available(spark, consumers.bulk_update_stream(stream, ITEM, f"{home}/log", as_of()), f"{home}/checkpoint")
-    return spark.read.parquet(f"{home}/log/jobs").select("correlation_id", "status", "progress", "processed_items")
+    return spark.read.parquet(f"{home}/log/jobs").select("correlation_id", "status", "progress", "processed_items", "message")
 
 
 @query
@@ -691,12 +697,15 @@ def failure_flow(spark, folder):
 
 @query
 def failure_flow_triage(spark, folder):
-    return _failures(spark, folder).triaged.select("message_id", "deaths", "origin", "action", "requeue_delay_ms")
+    return _failures(spark, folder).triaged.select(
+        "message_id", "deaths", "origin", "action", "requeue_delay_ms", "x_death_reason"
+    )
 
 
 @query
 def failure_flow_jobs(spark, folder):
-    return _failures(spark, folder).log.groupBy("correlation_id", "status").agg(F.count(F.lit(1)).alias("entries"))
+    log = _failures(spark, folder).log
+    return log.groupBy("correlation_id", "status", "message").agg(F.count(F.lit(1)).alias("entries"))
 
 
 @query

@@ -23,9 +23,10 @@ ITEM = T.StructType([
 ])
 
 BATCH_METADATA = T.StructType([
-    T.StructField("batch_size", T.LongType()),
-    T.StructField("batch_number", T.LongType()),
-    T.StructField("total_batches", T.LongType()),
+    T.StructField("batchSize", T.LongType()),
+    T.StructField("batchNumber", T.LongType()),
+    T.StructField("totalBatches", T.LongType()),
+    T.StructField("timestamp", T.StringType()),
 ])
 
 EVENT = T.StructType([
@@ -41,7 +42,7 @@ EVENT = T.StructType([
 def envelope(item: T.StructType) -> T.StructType:
     """The body of a batch message carrying rows of type ``item``."""
     return T.StructType([
-        T.StructField("batch_id", T.StringType()),
+        T.StructField("batchId", T.StringType()),
         T.StructField("collection", T.StringType()),
         T.StructField("data", T.ArrayType(item)),
         T.StructField("metadata", BATCH_METADATA),
@@ -104,6 +105,19 @@ REVIEW_DEATHS = 3
 PERMANENT_DEATHS = 5
 CLEAR_CONFIRMATION = "DELETE_ALL_DATA"
 
+# What a job's message says: status, kind of queue, text with the number of items, the deaths or the error.
+JOB_MESSAGES = (
+    ("processing", "processing", "Processing {items} items in worker thread"),
+    ("processing", "priority", "Processing {items} high-priority items in worker thread"),
+    ("completed", "processing", "Successfully processed {items} items in worker thread"),
+    ("completed", "priority", "Successfully processed {items} high-priority items in worker thread"),
+    ("failed", "processing", "Processing failed in worker thread: {error}"),
+    ("failed", "priority", "Priority processing failed in worker thread: {error}"),
+    ("dead_letter_processing", "deadletter", "Processing {items} dead letter items (deaths: {deaths}) in worker thread"),
+    ("dead_letter_completed", "deadletter", "Dead letter processing completed for {items} items (deaths: {deaths})"),
+    ("dead_letter_failed", "deadletter", "Dead letter processing failed in worker thread: {error}"),
+)
+
 ARCHIVE_REASON = "bulk_migration"
 ARCHIVE_SOURCE = "somemodels"
 ARCHIVE_ACTOR = "archive-worker"

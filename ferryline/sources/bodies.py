@@ -25,13 +25,18 @@ class Decoded(NamedTuple):
     bad: DataFrame
 
 
-def decode_messages(df: DataFrame, schema: T.StructType, body: str = "body", out: str = "content") -> Decoded:
-    """Parse ``body``; rows that do not parse go to ``bad`` with the reason and the untouched text."""
+def mark_undecodable(df: DataFrame, schema: T.StructType, body: str = "body", out: str = "content") -> DataFrame:
+    """Parse ``body`` into ``out`` and tell in ``undecodable`` where that failed: one pass for both kinds."""
     wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = computed_once(
-        df, out, F.from_json(body, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    )
+    content = F.from_json(body, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    parsed = computed_once(df, out, content)
     broken = F.col(out).isNull() | F.col(f"{out}.{_CORRUPT}").isNotNull()
-    good = parsed.where(~broken).withColumn(out, F.col(out).dropFields(_CORRUPT))
-    bad = parsed.where(broken).drop(out).withColumn("error", F.lit("undecodable body"))
-    return Decoded(good, bad)
+    return parsed.withColumns({"undecodable": broken, out: F.col(out).dropFields(_CORRUPT)})
+
+
+def decode_messages(df: DataFrame, schema: T.StructType, body: str = "body", out: str = "content") -> Decoded:
+    """Parse ``body``; rows that do not parse go to ``bad`` with the reason and the untouched text."""
+    marked = mark_undecodable(df, schema, body, out)
+    good = marked.where(~F.col("undecodable")).drop("undecodable")
+    bad = marked.where("undecodable").drop(out, "undecodable")
+    return Decoded(good, bad.withColumn("error", F.lit("undecodable body")))

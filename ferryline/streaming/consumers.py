@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ferryline.operators.archive import archive_rows
 from ferryline.operators.batching import unwrap_batches
-from ferryline.operators.jobs import latest_state
+from ferryline.operators.jobs import job_changes, latest_state
 from ferryline.operators.updates import TRANSITION_COLUMNS, Updated, keyed_update, status_transition
 from ferryline.streaming.running import each_batch
 
@@ -31,25 +31,30 @@ def archive_stream(
         spark = batch.sparkSession
         opened = unwrap_batches(batch, item)
         foreign = F.coalesce(F.col("collection") != collection, F.lit(True))
-        refused = opened.items.where(foreign).select("batch_id", "correlation_id").distinct().select(
-            "correlation_id", F.lit("unsupported collection").alias("error")
-        )
-        opened.errors.select("correlation_id", "error").unionByName(refused).write.mode("overwrite").parquet(
-            f"{path}/errors/run_id={run_id}/batch_id={batch_id}"
-        )
-        rows = archive_rows(opened.items.where(~foreign).select(*item.names, "batch_id"), F.col("batch_id"), as_of)
-        rows = latest_state(rows.drop("batch_id"), "original_id", ["archive_batch"])
-        if batch_id > 0:
-            low, high = rows.agg(F.min("original_id"), F.max("original_id")).first()
-            earlier = (
-                spark.read.schema("original_id bigint, batch_id bigint").option("basePath", home).parquet(home)
-                .where((F.col("batch_id") < batch_id) & F.col("original_id").between(low, high))
-                .select("original_id")
+        received = opened.items.persist()  # parsed once for the steps below
+        try:
+            refused = received.where(foreign).select("correlation_id").distinct().withColumn(
+                "error", F.lit("unsupported collection")
             )
-            # Reduced to the ids of this micro-batch first, which is usually small enough to broadcast.
-            again = earlier.join(rows.select("original_id"), "original_id", "left_semi")
-            rows = rows.join(again, "original_id", "left_anti")
-        rows.write.mode("overwrite").parquet(f"{home}/batch_id={batch_id}")
+            opened.errors.select("correlation_id", "error").unionByName(refused).write.mode("overwrite").parquet(
+                f"{path}/errors/run_id={run_id}/batch_id={batch_id}"
+            )
+            named = received.where(~foreign).select(*item.names, "batch_id")
+            rows = archive_rows(named, F.col("batch_id"), as_of).drop("batch_id")
+            rows = latest_state(rows, "original_id", ["archive_batch"])
+            if batch_id > 0:
+                low, high = received.agg(F.min("item_id"), F.max("item_id")).first()
+                earlier = (
+                    spark.read.schema("original_id bigint, batch_id bigint").option("basePath", home).parquet(home)
+                    .where((F.col("batch_id") < batch_id) & F.col("original_id").between(low, high))
+                    .select("original_id")
+                )
+                # Reduced to the ids of this micro-batch first, which is usually small enough to broadcast.
+                again = earlier.join(received.select(F.col("item_id").alias("original_id")), "original_id", "left_semi")
+                rows = rows.join(again, "original_id", "left_anti")
+            rows.write.mode("overwrite").parquet(f"{home}/batch_id={batch_id}")
+        finally:
+            received.unpersist()
 
     return each_batch(stream, store)
 
@@ -60,21 +65,24 @@ def bulk_update_stream(
     """Envelopes to update rows and job transitions, kept as logs: the target is not rewritten per micro-batch."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        opened = unwrap_batches(batch.withColumn("run", F.col("correlation_id")), item)
-        changed = status_transition(opened.items, as_of, F.col("run"))
-        changed.select("item_id", *TRANSITION_COLUMNS).write.mode("overwrite").parquet(
-            f"{path}/updates/batch_id={batch_id}"
-        )
-        done = opened.items.groupBy("correlation_id").agg(F.count(F.lit(1)).alias("processed_items")).select(
-            "correlation_id", F.lit("completed").alias("status"), F.lit(100.0).alias("progress"), "processed_items"
-        )
-        failed = opened.errors.select(
-            "correlation_id", F.lit("failed").alias("status"), F.lit(0.0).alias("progress"),
-            F.lit(0).cast("bigint").alias("processed_items"),
-        )
-        done.unionByName(failed).withColumn("event_ts", as_of).write.mode("overwrite").parquet(
-            f"{path}/jobs/batch_id={batch_id}"
-        )
+        opened = unwrap_batches(batch, item)
+        received = opened.items.persist()  # parsed once for the steps below
+        try:
+            changed = status_transition(received, as_of, F.col("correlation_id"))
+            changed.select("item_id", *TRANSITION_COLUMNS).write.mode("overwrite").parquet(
+                f"{path}/updates/batch_id={batch_id}"
+            )
+            sizes = received.groupBy("correlation_id").agg(F.count(F.lit(1)).alias("items"))
+            done = sizes.select("*", F.explode(F.array(F.lit("processing"), F.lit("completed"))).alias("status"))
+            failed = opened.errors.select(
+                "correlation_id", F.lit(0).cast("bigint").alias("items"), F.lit("failed").alias("status"), "error"
+            )
+            units = done.unionByName(failed, allowMissingColumns=True).withColumns({
+                "queue_type": F.lit("processing"), "deaths": F.lit(None).cast("int"),
+            })
+            job_changes(units, as_of).write.mode("overwrite").parquet(f"{path}/jobs/batch_id={batch_id}")
+        finally:
+            received.unpersist()
 
     return each_batch(stream, store)
 

@@ -92,7 +92,7 @@ def test_unwrap_returns_what_was_batched(spark):
 def test_unwrap_accepts_bare_arrays_and_refuses_empty_ones(spark):
     bodies = {
         1: '[{"id": 1, "text": "a"}, {"id": 2, "text": null}]', 2: ' [{"id": 3}]', 3: "[]", 4: "{}", 5: '{"data": []}',
-        6: "not json", 7: None, 8: '{"batch_id": "b", "collection": "c", "data": [{"id": 9, "text": "z"}]}', 9: '{"data": 5}',
+        6: "not json", 7: None, 8: '{"batchId": "b", "collection": "c", "data": [{"id": 9, "text": "z"}]}', 9: '{"data": 5}',
     }
     messages = spark.createDataFrame(list(bodies.items()), "number int, body string")
     back = unwrap_batches(messages, ROW)
