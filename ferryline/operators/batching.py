@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferryline.functions.filters import filter_spec
+from ferryline.functions.once import computed_once
 from ferryline.operators.ranking import EXACT_IN_DOUBLE, MAX_BUCKETS, ROWS_PER_BUCKET, number_rows, order_stats
 from ferryline.schemas import MAX_BATCH_SIZE, envelope
-from ferryline.sources.bodies import computed_once
 
 DEEP_PAGE = 100_000
 

@@ -22,11 +22,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ferryline.functions.once import computed_once
+
 ROWS_PER_BUCKET = 500_000
 MAX_BUCKETS = 50_000
 ROWS_WORTH_A_TASK = 5_000
 SAMPLE_PER_BUCKET = 50
 EXACT_IN_DOUBLE = 2**53
+FARTHEST = 1.7976931348623157e308  # the largest double
 CHUNK = 6  # bytes of a string that fit a double exactly
 STRING_CHUNKS = 8
 
@@ -97,8 +100,10 @@ def _images(df: DataFrame, name: str, stats: dict, i: int) -> list[Image]:
     if isinstance(kind, T.BooleanType):
         return [Image(c.cast("int").cast("double"), True)]
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        number = F.when(F.isnan(c), F.lit(float("inf"))).otherwise(c.cast("double"))
-        return [Image(number, True), Image(F.isnan(c).cast("int").cast("double"), True)]
+        number = c.cast("double")
+        inside = F.least(F.lit(FARTHEST), F.greatest(F.lit(-FARTHEST), number))
+        beyond = F.when(F.isnan(c), 2.0).when(number > FARTHEST, 1.0).when(number < -FARTHEST, -1.0).otherwise(0.0)
+        return [Image(F.when(F.isnan(c), FARTHEST).otherwise(inside), True), Image(F.when(c.isNotNull(), beyond), True)]
     if isinstance(kind, T.DecimalType):
         return [Image(c.cast("double"), kind.precision <= 15)]
     if isinstance(kind, T.StringType):
@@ -121,7 +126,7 @@ def _levels(df: DataFrame, order: Sequence[str], stats: dict) -> list[Column]:
     for i, item in enumerate(order):
         images = _images(df, order_name(item), stats, i)
         for image in images:
-            number = F.coalesce(image.column, F.lit(float("-inf")))
+            number = F.coalesce(image.column, F.lit(-FARTHEST))
             # Adding zero turns -0.0 into 0.0, which edges and comparisons would tell apart.
             levels.append((-number if item.startswith("-") else number) + F.lit(0.0))
         if not images[-1].exact:
@@ -134,65 +139,85 @@ def _numbers(values: np.ndarray, kind: str) -> Column:
     return F.split(F.lit(",".join(repr(v) for v in values.tolist())), ",").cast(f"array<{kind}>")
 
 
+@dataclass
+class _Step:
+    """A stretch of one level, starting at ``value``: the edges before it, and the edges at it."""
+
+    at: float  # where it starts on the Bucketizer's axis
+    value: float
+    below: int
+    here: int
+    next: int = -1  # the crowd that tells the edges at ``value`` apart on the next level, if there are several
+
+
+def _steps(crowds: list[tuple[int, np.ndarray]], level: int, axis: Callable) -> tuple[list[_Step], list]:
+    """The steps of one level for every crowd (edges before it, its edges), and the crowds of the next."""
+    steps, following = [], []
+    for place, (before, edges) in enumerate(crowds):
+        steps.append(_Step(axis(place, None), -np.inf, before, 0))
+        values, begins, counts = np.unique(edges[:, level], return_index=True, return_counts=True)
+        for value, begin, count in zip(values, begins, counts):
+            step = _Step(axis(place, value), value, before + int(begin), int(count))
+            if count > 1:
+                step.next = len(following)
+                following.append((step.below, edges[begin : begin + count]))
+            steps.append(step)
+    return steps, following
+
+
 def _bucket_column(out: DataFrame, fields: Sequence[str], points: np.ndarray, wanted: int) -> DataFrame:
     """Add ``_bucket``, from 1 up, by the quantiles of the sampled ``points`` (rows of level values).
 
-    A Bucketizer places the first level. Where one of its values alone fills several buckets, its rows
-    find theirs by halving the list of edges on the remaining levels.
+    A Bucketizer places every row on the first level. A value that fills several buckets by itself is
+    crowded: its rows are placed on the next level, and so on. All crowds share one axis there, each
+    with its own stretch of it, so the number of Bucketizers depends on the levels, not on the crowds.
     """
     points = points[np.lexsort(points.T[::-1])]
     edges = np.unique(points[(np.arange(1, wanted) * len(points)) // wanted], axis=0)
-    depth = next(d for d in range(1, edges.shape[1] + 1) if len(np.unique(edges[:, :d], axis=0)) == len(edges))
-    edges = edges[:, :depth]  # the levels that tell the edges apart
-    firsts, at, times = np.unique(edges[:, 0], return_index=True, return_counts=True)
-    splits, below, inside, value = [-np.inf], [0], [0], [-np.inf]
-    for first, begin, n in zip(firsts, at, times):
-        if n > 1 and first in (-np.inf, np.inf):
-            # No split can stand at infinity: its rows share a cut with their finite neighbours.
-            below[-1], inside[-1], value[-1] = int(begin), int(n), first
-        elif np.isfinite(first):
-            splits.append(first)
-            below.append(int(begin) if n > 1 else int(begin) + 1)
-            inside.append(int(n) if n > 1 else 0)
-            value.append(first)
-        if n > 1 and first < np.inf:
-            splits.append(np.nextafter(first, np.inf))
-            below.append(int(begin + n))
-            inside.append(0)
-            value.append(first)
-    keep = [i for i in range(len(splits)) if i + 1 == len(splits) or splits[i] < splits[i + 1]]
-    splits, below, inside, value = (np.array(part)[keep] for part in (splits, below, inside, value))
-
-    cutter = Bucketizer(splits=[*splits.tolist(), float("inf")], inputCol=fields[0], outputCol="_cut")
-    out = cutter.transform(out).withColumn("_cut", F.col("_cut").cast("int"))
-    start = F.get(_numbers(below, "int"), F.col("_cut"))
-    if not inside.any():
-        return out.withColumn(BUCKET, F.coalesce(start, F.lit(0)).cast("bigint") + 1).drop("_cut")
-
-    count = F.get(_numbers(inside, "int"), F.col("_cut"))
-    crowded = (count > 0) & (F.get(_numbers(value, "double"), F.col("_cut")) == F.col(fields[0]))
-    rest = [_numbers(edges[:, i], "double") for i in range(1, edges.shape[1])]
-
-    def reached(at: Column) -> Column:
-        """Whether the row stands at edge ``at`` or beyond, its first level being that of the edge."""
-        verdict = F.lit(True)
-        for field, edge in reversed(list(zip(fields[1:], rest))):
-            here = F.get(edge, at)
-            verdict = (F.col(field) > here) | ((F.col(field) == here) & verdict)
-        return verdict
-
-    def halve(found: Column, _: Column) -> Column:
-        middle = F.floor((found["low"] + found["high"]) / 2).cast("int")
-        open_, up = found["low"] < found["high"], reached(middle)
-        return F.struct(
-            F.when(open_ & up, middle + 1).otherwise(found["low"]).alias("low"),
-            F.when(open_ & ~up, middle).otherwise(found["high"]).alias("high"),
-        )
-
-    rounds = F.array_repeat(F.lit(0), int(inside.max()).bit_length())
-    found = F.aggregate(rounds, F.struct(start.alias("low"), (start + count).alias("high")), halve, lambda x: x["low"])
-    bucket = F.coalesce(F.when(crowded, found).otherwise(start), F.lit(0)).cast("bigint") + 1
-    return out.withColumn(BUCKET, bucket).drop("_cut")
+    crowds, state = [(0, edges)], None
+    for level, field in enumerate(fields):
+        x = F.col(field)
+        if level == 0:
+            steps, following = _steps(crowds, level, lambda place, value: -np.inf if value is None else value)
+            axis, splits = x, [s.at for s in steps]
+        else:
+            # The values of all edges of this level, numbered, and a stretch of those numbers per crowd.
+            # Rows that are placed already go to the left of all crowds.
+            marks = np.unique(np.concatenate([edges[:, level] for _, edges in crowds]))
+            stretch = float(len(marks) + 1)
+            steps, following = _steps(
+                crowds, level,
+                lambda place, value: place * stretch + (0 if value is None else 1 + np.searchsorted(marks, value)),
+            )
+            ruler = Bucketizer(splits=[-np.inf, *marks.tolist(), np.inf], inputCol=field, outputCol="_mark")
+            out = ruler.transform(out)
+            axis = F.coalesce(F.col(f"{state}.crowd") * F.lit(stretch) + F.col("_mark"), F.lit(-1.0))
+            splits = [-np.inf, *[s.at for s in steps]]
+        cutter = Bucketizer(splits=[*map(float, splits), np.inf], inputCol="_axis", outputCol="_cut")
+        out = cutter.transform(out.withColumn("_axis", axis))
+        if level == 0 and not following:
+            return computed_once(out, BUCKET, F.col("_cut").cast("bigint") + 1).drop("_axis", "_cut")
+
+        place = F.greatest(F.lit(0), F.col("_cut").cast("int") - (0 if level == 0 else 1))
+
+        def told(kind: str, values: list) -> Column:
+            return F.get(_numbers(np.array(values), kind), place)
+
+        value, onward = told("double", [s.value for s in steps]), told("int", [s.next for s in steps])
+        below, here = told("int", [s.below for s in steps]), told("int", [s.here for s in steps])
+        placed = F.when(x < value, below).when((x > value) | (onward < 0), below + here)
+        crowd = F.when((x == value) & (onward >= 0), onward)
+        if level:
+            open_ = F.col(f"{state}.crowd").isNotNull()
+            placed = F.when(open_, placed).otherwise(F.col(f"{state}.placed"))
+            crowd = F.when(open_, crowd)
+        state, before = f"_state{level}", state
+        out = computed_once(out, state, F.struct(placed.alias("placed"), crowd.alias("crowd")))
+        out = out.drop("_axis", "_cut", "_mark", *([before] if before else []))
+        crowds = following
+        if not crowds:
+            break
+    return out.withColumn(BUCKET, F.col(f"{state}.placed").cast("bigint") + 1).drop(state)
 
 
 @dataclass(frozen=True)

@@ -90,15 +90,15 @@ def _iso(ts: str) -> str:
 # The columns of a status transition, for rows of v_items called i.
 def _transition(run: str) -> str:
     return f"""i.item_id, 'success' AS status,
-  CASE WHEN i.status = 'failed' THEN coalesce(i.retry_count, 0) + 1 ELSE i.retry_count END AS retry_count,
+  CASE WHEN i.status = 'failed' THEN coalesce(i.retry_count, 0) + 1 ELSE coalesce(i.retry_count, -1) END AS retry_count,
   CASE WHEN i.status = 'failed' THEN {AS_OF} END AS last_retry_at,
-  CASE WHEN i.status = 'processing' THEN {_ms('i.updated_at', AS_OF)} END AS processing_duration_ms,
+  CASE WHEN i.status = 'processing' THEN {_ms('i.updated_at', AS_OF)} ELSE -1 END AS processing_duration_ms,
   {AS_OF} AS last_processed, {run} AS processed_by, true AS processing_completed, i.department"""
 
 
-_KEPT = """i.item_id, i.status, i.retry_count, CAST(NULL AS TIMESTAMP) AS last_retry_at,
-  CAST(NULL AS BIGINT) AS processing_duration_ms, CAST(NULL AS TIMESTAMP) AS last_processed,
-  CAST(NULL AS VARCHAR) AS processed_by, CAST(NULL AS BOOLEAN) AS processing_completed, i.department"""
+_KEPT = """i.item_id, i.status, coalesce(i.retry_count, -1) AS retry_count, CAST(NULL AS TIMESTAMP) AS last_retry_at,
+  CAST(-1 AS BIGINT) AS processing_duration_ms, CAST(NULL AS TIMESTAMP) AS last_processed,
+  CAST(NULL AS VARCHAR) AS processed_by, false AS processing_completed, i.department"""
 
 _BATCHED = """SELECT *, CAST(ceil(row_number() OVER (ORDER BY item_id) / 100.0) AS BIGINT) AS batch_number FROM v_items"""
 _CUT_BODY = "CASE WHEN message_id % 7 = 0 THEN substr(body, 1, length(body) - 1) ELSE body END"
@@ -262,7 +262,7 @@ SELECT message_id AS number,
 FROM v_messages"""),
     "unwrap_batches": _with(
         "SELECT 'someModel_batch_' || batch_number AS batch_id, 'someModel_batch_' || batch_number AS correlation_id, "
-        "* EXCLUDE (batch_number) FROM batched", {"batched": _BATCHED}
+        "* EXCLUDE (batch_number) REPLACE (coalesce(retry_count, -1) AS retry_count) FROM batched", {"batched": _BATCHED}
     ),
     "unwrap_batches_errors": _with("""
 SELECT message_id, 'e' AS batch_id, '{"batchId": "e", "collection": "someModel", "data": []}' AS body,
@@ -374,26 +374,26 @@ FROM orders GROUP BY o_orderstatus""",
         "FROM v_items WHERE status <> 'success' ORDER BY work_rank, created_at, item_id"
     ),
     "stream_handler": _with(
-        "SELECT message_id, outcome, CASE WHEN outcome = 'retry' THEN x_retries + 1 WHEN outcome <> 'ok' THEN x_retries END AS next_retries, "
+        "SELECT message_id, outcome, CAST(CASE WHEN outcome = 'retry' THEN x_retries + 1 WHEN outcome <> 'ok' THEN x_retries ELSE -1 END AS BIGINT) AS next_retries, "
         "CASE outcome WHEN 'retry' THEN routing_key WHEN 'dead_letter' THEN dead_key END AS next_key FROM split",
         {"handled": "SELECT * REPLACE (handler_failed OR x_retries > 5 AS handler_failed) FROM v_messages",
          "judged": _JUDGED.format(source="handled"), "split": _SPLIT},
     ),
     "retry_policy": _with(
-        f"SELECT message_id, queue_type, {_OUTCOME} AS outcome, CASE WHEN again THEN x_retries + 1 ELSE x_retries END AS next_retries, "
+        f"SELECT message_id, queue_type, {_OUTCOME} AS outcome, CAST(CASE WHEN again THEN x_retries + 1 ELSE x_retries END AS BIGINT) AS next_retries, "
         "CASE WHEN again THEN published_at + to_milliseconds(delay_ms) END AS expires_at, "
         "CASE WHEN again THEN routing_key ELSE dead_key END AS next_key FROM judged WHERE handler_failed",
         {"judged": _JUDGED.format(source="v_messages")},
     ),
     "split_outcomes": _with(f"""
-SELECT message_id, outcome, CASE WHEN outcome = 'retry' THEN x_retries + 1 WHEN outcome <> 'ok' THEN x_retries END AS next_retries,
+SELECT message_id, outcome, CAST(CASE WHEN outcome = 'retry' THEN x_retries + 1 WHEN outcome <> 'ok' THEN x_retries ELSE -1 END AS BIGINT) AS next_retries,
   CASE WHEN outcome = 'retry' THEN published_at + to_milliseconds(delay_ms) END AS expires_at,
   CASE outcome WHEN 'retry' THEN routing_key WHEN 'dead_letter' THEN dead_key END AS next_key,
   CASE WHEN outcome = 'dead_letter' THEN 'handler failed' END AS x_death_reason,
   CASE WHEN outcome = 'dead_letter' THEN {AS_OF} END AS x_death_at,
   CASE WHEN outcome = 'dead_letter' THEN routing_key END AS x_original_routing_key,
   CASE WHEN outcome = 'dead_letter' THEN queue_name END AS x_first_death_queue,
-  CASE WHEN outcome = 'dead_letter' THEN x_retries + 1 END AS x_death_count FROM split""",
+  CASE WHEN outcome = 'dead_letter' THEN x_retries + 1 ELSE -1 END AS x_death_count FROM split""",
         {"judged": _JUDGED.format(source="v_messages"), "split": _SPLIT}),
     "outcome_counts": _with(
         "SELECT queue_type, outcome, count(*) AS messages FROM split GROUP BY queue_type, outcome",
@@ -415,7 +415,7 @@ FROM (SELECT m.*, p.expired_key, CASE WHEN NOT (ttl_ms > 0 AND wait_ms > ttl_ms)
     ),
     "dead_letter_triage": _with(f"""
 SELECT message_id, deaths, CASE WHEN message_id % 3 = 0 THEN 'unknown' ELSE 'app.processing.queue' END AS origin,
-  {_TRIAGE} AS action, CAST(CASE WHEN deaths < 3 THEN 5000 * deaths END AS BIGINT) AS requeue_delay_ms
+  {_TRIAGE} AS action, CAST(CASE WHEN deaths < 3 THEN 5000 * deaths ELSE -1 END AS BIGINT) AS requeue_delay_ms
 FROM (SELECT *, coalesce(death_count, 1) AS deaths FROM v_messages WHERE queue_type = 'deadletter')"""),
     "archive_stream": _with(
         f"SELECT item_id AS original_id, status, 'someModel_batch_' || batch_number AS archive_batch, {AS_OF} AS archived_at, "
@@ -428,7 +428,7 @@ FROM (SELECT *, coalesce(death_count, 1) AS deaths FROM v_messages WHERE queue_t
         "SELECT 'someModel_batch_' || batch_number AS correlation_id, 'completed' AS status, 100.0::DOUBLE AS progress, "
         "count(*) AS processed_items, 'Successfully processed ' || count(*) || ' items in worker thread' AS message "
         "FROM batched GROUP BY batch_number UNION ALL "
-        "SELECT 'someModel_batch_' || batch_number, 'processing', NULL, NULL, 'Processing ' || count(*) || ' items in worker thread' "
+        "SELECT 'someModel_batch_' || batch_number, 'processing', NULL, -1, 'Processing ' || count(*) || ' items in worker thread' "
         "FROM batched GROUP BY batch_number", {"batched": _BATCHED}
     ),
     "throughput": _with("""
@@ -455,7 +455,7 @@ SELECT * FROM (SELECT date_trunc('day', published_at)::TIMESTAMP AS window_start
     ),
     "failure_flow_triage": _with(f"""
 SELECT message_id, deaths, queue_name AS origin, {_TRIAGE} AS action,
-  CAST(CASE WHEN deaths < 3 THEN 5000 * deaths END AS BIGINT) AS requeue_delay_ms,
+  CAST(CASE WHEN deaths < 3 THEN 5000 * deaths ELSE -1 END AS BIGINT) AS requeue_delay_ms,
   CASE WHEN message_id % 7 = 0 THEN 'undecodable body' ELSE 'handler failed' END AS x_death_reason
 FROM (SELECT *, x_retries + 1 AS deaths FROM split WHERE outcome = 'dead_letter')""",
         {"handled": "SELECT * REPLACE (handler_failed OR message_id % 7 = 0 AS handler_failed) FROM v_messages",

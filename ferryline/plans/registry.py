@@ -131,17 +131,27 @@ def _transitions(items):
     return updates.status_transition(work.where(F.col("item_id") % 2 == 0), as_of(), "run-1")
 
 
+def numbered(df: DataFrame, *names: str) -> DataFrame:
+    """Show missing numbers as -1, so that every reader of the result sees whole numbers."""
+    return df.withColumns({name: F.coalesce(name, F.lit(-1)) for name in names})
+
+
 UPDATED = [
     "item_id", "status", "retry_count", "last_retry_at", "processing_duration_ms", "last_processed", "processed_by",
     "processing_completed", "department",
 ]
 
 
+def _shown(items: DataFrame) -> DataFrame:
+    shown = numbered(items.select(*UPDATED), "retry_count", "processing_duration_ms")
+    return shown.withColumn("processing_completed", F.coalesce("processing_completed", F.lit(False)))
+
+
 @query
 def keyed_update(spark, folder):
     items = views.items(spark, folder)
     new = updates.keyed_update(items, _transitions(items), "item_id", updates.TRANSITION_COLUMNS).target
-    return write_snapshot(new, work_folder(spark, "keyed-update"), 1).select(*UPDATED)
+    return _shown(write_snapshot(new, work_folder(spark, "keyed-update"), 1))
 
 
 @query
@@ -230,7 +240,7 @@ def archive_rows(spark, folder):
 
 @query
 def status_transition(spark, folder):
-    return updates.status_transition(views.items(spark, folder), as_of(), "run-1").select(*UPDATED)
+    return _shown(updates.status_transition(views.items(spark, folder), as_of(), "run-1"))
 
 
 @query
@@ -275,7 +285,7 @@ def ensure_ids(spark, folder):
 def q_unwrap_batches(spark, folder):
     batches = make_batches(views.items(spark, folder), "item_id", BATCH, "someModel")
     sent = routing.publish_batches(batches, 0, "archive", 0, as_of())
-    return unwrap_batches(sent.select("correlation_id", "body"), ITEM).items.drop("collection")
+    return numbered(unwrap_batches(sent.select("correlation_id", "body"), ITEM).items.drop("collection"), "retry_count")
 
 
 @query
@@ -540,7 +550,8 @@ def stream_handler(spark, folder):
 
     writer = running.stream_handler(stream, handle, f"{home}/filed", as_of(), F.lit("handler failed"))
     running.run_available(spark, writer, f"{home}/checkpoint")
-    return spark.read.parquet(f"{home}/filed").select("message_id", "outcome", "next_retries", "next_key")
+    filed = spark.read.parquet(f"{home}/filed").select("message_id", "outcome", "next_retries", "next_key")
+    return numbered(filed, "next_retries")
 
 
 @query
@@ -555,10 +566,11 @@ def _split(spark, folder):
 
 @query
 def split_outcomes(spark, folder):
-    return _split(spark, folder).select(
+    judged = _split(spark, folder).select(
         "message_id", "outcome", "next_retries", "expires_at", "next_key", "x_death_reason", "x_death_at",
         "x_original_routing_key", "x_first_death_queue", "x_death_count",
     )
+    return numbered(judged, "next_retries", "x_death_count")
 
 
 @query
@@ -599,7 +611,8 @@ def dead_letter_triage(spark, folder):
     dead = views.messages(spark, folder).where("queue_type = 'deadletter'").withColumn(
         "original_queue", F.when(F.col("message_id") % 3 != 0, "app.processing.queue")
     )
-    return fail.dead_letter_triage(dead).select("message_id", "deaths", "origin", "action", "requeue_delay_ms")
+    triaged = fail.dead_letter_triage(dead).select("message_id", "deaths", "origin", "action", "requeue_delay_ms")
+    return numbered(triaged, "requeue_delay_ms")
 
 
 def _published(spark, folder, home, queue_type):
@@ -624,7 +637,7 @@ def bulk_update_stream(spark, folder):
     home = work_folder(spark, "bulk-update")
     stream = _published(spark, folder, home, "processing")
     running.run_available(spark, consumers.bulk_update_stream(stream, ITEM, f"{home}/log", as_of()), f"{home}/checkpoint")
-    return consumers.apply_updates(spark, views.items(spark, folder), f"{home}/log").target.select(*UPDATED)
+    return _shown(consumers.apply_updates(spark, views.items(spark, folder), f"{home}/log").target)
 
 
 @query
@@ -632,7 +645,8 @@ def bulk_update_stream_jobs(spark, folder):
     home = work_folder(spark, "bulk-update-jobs")
     stream = _published(spark, folder, home, "processing")
     running.run_available(spark, consumers.bulk_update_stream(stream, ITEM, f"{home}/log", as_of()), f"{home}/checkpoint")
-    return spark.read.parquet(f"{home}/log/jobs").select("correlation_id", "status", "progress", "processed_items", "message")
+    log = spark.read.parquet(f"{home}/log/jobs")
+    return numbered(log.select("correlation_id", "status", "progress", "processed_items", "message"), "processed_items")
 
 
 @query
@@ -673,7 +687,7 @@ def bulk_update_flow(spark, folder):
         views.items(spark, folder), {"status": {"$in": ["pending", "failed"]}}, BATCH, "someModel", 7,
         work_folder(spark, "bulk-update-flow"), as_of(),
     )
-    return done.target.select(*UPDATED)
+    return _shown(done.target)
 
 
 @query
@@ -697,9 +711,9 @@ def failure_flow(spark, folder):
 
 @query
 def failure_flow_triage(spark, folder):
-    return _failures(spark, folder).triaged.select(
-        "message_id", "deaths", "origin", "action", "requeue_delay_ms", "x_death_reason"
-    )
+    triaged = _failures(spark, folder).triaged
+    shown = triaged.select("message_id", "deaths", "origin", "action", "requeue_delay_ms", "x_death_reason")
+    return numbered(shown, "requeue_delay_ms")
 
 
 @query
