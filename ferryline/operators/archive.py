@@ -36,7 +36,7 @@ class Reconciled(NamedTuple):
 
 def archive_reconcile(source: DataFrame, archive: DataFrame, key: str = "item_id") -> Reconciled:
     """Source rows without and with an archive row, and the archive rows of every batch."""
-    ids = archive.select(F.col("original_id").alias(key))
+    ids = archive.select(F.col("original_id").alias(key)).distinct()  # an id archived very often counts once
     per_batch = archive.groupBy("archive_batch").agg(F.count(F.lit(1)).alias("archived"))
     return Reconciled(source.join(ids, key, "left_anti"), source.join(ids, key, "left_semi"), per_batch)
 
@@ -53,7 +53,7 @@ def latest_archive(archive: DataFrame) -> DataFrame:
 
 def find_by_original(archive: DataFrame, ids: DataFrame) -> DataFrame:
     """The newest archive row of each of ``ids`` (one column, ``original_id``)."""
-    return latest_archive(archive.join(ids, "original_id", "left_semi"))
+    return latest_archive(archive.join(ids.select("original_id").distinct(), "original_id", "left_semi"))
 
 
 def find_by_batch(archive: DataFrame, batch: str) -> DataFrame:

@@ -103,6 +103,21 @@ def split_outcomes(
     })
 
 
+def requeue(judged: DataFrame, message_columns: Sequence[str], reason: Column, failed_at: Column) -> DataFrame:
+    """The retries among judged messages as messages again: same id, priority and body, one retry more.
+
+    Written to the folder their queue is read from, they come back with the next trigger; the count
+    they carry ends the cycle. ``expires_at`` stays with them.
+    """
+    again = judged.where(F.col("outcome") == "retry")
+    kept = [c for c in message_columns if c != "x_retries"]
+    return again.select(
+        *kept, F.col("next_retries").alias("x_retries"), "expires_at",
+        F.coalesce(policy_value(F.col("queue_type"), "queue"), F.lit("unknown")).alias("x_original_queue"),
+        reason.alias("x_retry_reason"), failed_at.alias("x_retry_at"),
+    )
+
+
 def expire_messages(messages: DataFrame, policy: Sequence[QueuePolicy] = QUEUES) -> DataFrame:
     """Messages that waited longer than their time to live leave: to the queue's dead-letter key, or dropped."""
     gone = (F.col("ttl_ms") > 0) & (F.col("wait_ms") > F.col("ttl_ms"))

@@ -395,6 +395,16 @@ SELECT message_id, outcome, CAST(CASE WHEN outcome = 'retry' THEN x_retries + 1
   CASE WHEN outcome = 'dead_letter' THEN queue_name END AS x_first_death_queue,
   CASE WHEN outcome = 'dead_letter' THEN x_retries + 1 ELSE -1 END AS x_death_count FROM split""",
         {"judged": _JUDGED.format(source="v_messages"), "split": _SPLIT}),
+    "requeue": _with(f"""
+SELECT message_id, correlation_id, queue_type, routing_key, priority, CAST(x_retries + 1 AS BIGINT) AS x_retries,
+  published_at + to_milliseconds(delay_ms) AS expires_at, queue_name AS x_original_queue,
+  'handler failed' AS x_retry_reason, {AS_OF} AS x_retry_at FROM split WHERE outcome = 'retry'""",
+        {"judged": _JUDGED.format(source="v_messages"), "split": _SPLIT}),
+    # Retried until the limit: the count ends at the limit, or stays where it was beyond it.
+    "retry_cycle": _with("""
+SELECT m.queue_type, CASE WHEN p.retrying AND p.exhausted_key IS NOT NULL THEN 'dead_letter' ELSE 'dropped' END AS outcome,
+  CAST(CASE WHEN p.retrying THEN greatest(m.x_retries, p.max_retries) ELSE m.x_retries END AS BIGINT) AS next_retries,
+  count(*) AS messages FROM v_messages m LEFT JOIN policy p ON m.queue_type = p.queue_type GROUP BY ALL"""),
     "outcome_counts": _with(
         "SELECT queue_type, outcome, count(*) AS messages FROM split GROUP BY queue_type, outcome",
         {"judged": _JUDGED.format(source="v_messages"), "split": _SPLIT},

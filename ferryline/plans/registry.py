@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,12 @@ from ferryline.operators import failures as fail
 from ferryline.operators import jobs, monitoring, routing, synth, updates, validation
 from ferryline.operators.batching import allocate_sequence, make_batches, page, unwrap_batches, work_order
 from ferryline.plans import flows
-from ferryline.schemas import CLEAR_CONFIRMATION, EVENT, ITEM, ITEM_STATUSES
+from ferryline.schemas import CLEAR_CONFIRMATION, EVENT, ITEM, ITEM_STATUSES, QUEUES
 from ferryline.session import work_folder
 from ferryline.sources import collections as col
 from ferryline.sources import views
 from ferryline.sources.bodies import decode_messages
-from ferryline.sources.tables import append_valid, write_snapshot
+from ferryline.sources.tables import append_valid, queue_folder, send, write_snapshot
 from ferryline.streaming import consumers, running
 from ferryline.streaming import jobs as job_streams
 
@@ -573,6 +574,26 @@ def split_outcomes(spark, folder):
     return numbered(judged, "next_retries", "x_death_count")
 
 
+@query
+def requeue(spark, folder):
+    columns = ["message_id", "correlation_id", "queue_type", "routing_key", "priority", "x_retries"]
+    return fail.requeue(_split(spark, folder), columns, F.lit("handler failed"), as_of())
+
+
+@query
+def retry_cycle(spark, folder):
+    """Messages whose handler never succeeds, sent round until none is retried; the counts they carry end it."""
+    left = views.messages(spark, folder).withColumn("handler_failed", F.lit(True))
+    ended, columns = [], left.columns
+    for _ in range(1 + max(p.max_retries or 0 for p in QUEUES)):
+        judged = fail.split_outcomes(left, as_of(), F.lit("handler failed"))
+        ended.append(judged.where("outcome <> 'retry'").select("queue_type", "outcome", "next_retries"))
+        left = fail.requeue(judged, columns, F.lit("handler failed"), as_of()).select(*columns)
+    return reduce(DataFrame.unionByName, ended).groupBy("queue_type", "outcome", "next_retries").agg(
+        F.count(F.lit(1)).alias("messages")
+    )
+
+
 @query
 def outcome_counts(spark, folder):
     return _split(spark, folder).groupBy("queue_type", "outcome").agg(F.count(F.lit(1)).alias("messages"))
@@ -616,11 +637,11 @@ def dead_letter_triage(spark, folder):
 
 
 def _published(spark, folder, home, queue_type):
-    """All items as published batch messages, written where a stream can read them."""
+    """All items as published batch messages, in the folder of their queue, as a stream."""
     batches = make_batches(views.items(spark, folder), "item_id", BATCH, "someModel")
     sent = routing.publish_batches(batches, 0, queue_type, 0, as_of())
-    sent.select("correlation_id", "body").write.parquet(f"{home}/messages")
-    return running.stream_scan(spark, f"{home}/messages", MESSAGE)
+    send(sent.select("correlation_id", "body", "delivered_queue"), f"{home}/queues", "r1")
+    return running.stream_scan(spark, queue_folder(f"{home}/queues", routing.ROUTES[queue_type][1]), MESSAGE)
 
 
 @query

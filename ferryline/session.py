@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings that matter for the plans; everything else is left to the cluster.
 SETTINGS = {
@@ -46,9 +46,3 @@ def work_folder(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="ferryline-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the work folder and read it back: cuts the lineage and survives lost executors."""
-    path = work_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

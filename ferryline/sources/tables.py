@@ -30,6 +30,18 @@ def append_valid(df: DataFrame, rules: Sequence[Rule], path: str, run_id: str) -
     return Appended(stored.withColumn("run_id", F.col("run_id").cast("string")), checked.bad, seen.get["inserted"])
 
 
+def send(messages: DataFrame, root: str, run_id: str, queue: str = "delivered_queue") -> None:
+    """Put messages into one folder per queue, where a stream of that queue finds them.
+
+    Sending a run again replaces nothing and adds files, as a broker would; consumers recognise repeats.
+    """
+    messages.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy(queue).parquet(root)
+
+
+def queue_folder(root: str, name: str, queue: str = "delivered_queue") -> str:
+    return f"{root}/{queue}={name}"
+
+
 def write_snapshot(df: DataFrame, root: str, version: int) -> DataFrame:
     """Write version ``version`` of a table next to the earlier ones, then point readers at it.
 

@@ -26,6 +26,7 @@ def archive_stream(
     reading only the id column of files whose id range meets the micro-batch.
     """
     home = f"{path}/rows/run_id={run_id}"
+    known = T.StructType([T.StructField("original_id", item["item_id"].dataType), T.StructField("batch_id", T.LongType())])
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -45,12 +46,13 @@ def archive_stream(
             if batch_id > 0:
                 low, high = received.agg(F.min("item_id"), F.max("item_id")).first()
                 earlier = (
-                    spark.read.schema("original_id bigint, batch_id bigint").option("basePath", home).parquet(home)
+                    spark.read.schema(known).option("basePath", home).parquet(home)
                     .where((F.col("batch_id") < batch_id) & F.col("original_id").between(low, high))
                     .select("original_id")
                 )
                 # Reduced to the ids of this micro-batch first, which is usually small enough to broadcast.
-                again = earlier.join(received.select(F.col("item_id").alias("original_id")), "original_id", "left_semi")
+                wanted = received.select(F.col("item_id").alias("original_id")).distinct()
+                again = earlier.join(wanted, "original_id", "left_semi")
                 rows = rows.join(again, "original_id", "left_anti")
             rows.write.mode("overwrite").parquet(f"{home}/batch_id={batch_id}")
         finally:

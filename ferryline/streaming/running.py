@@ -33,9 +33,12 @@ def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-def stream_scan(spark: SparkSession, path: str, schema: T.StructType, **options: str) -> DataFrame:
-    """A Parquet folder as a stream; a unit is done once the checkpoint has committed it."""
-    return spark.readStream.schema(schema).options(**options).parquet(path)
+def stream_scan(spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet", **options: str) -> DataFrame:
+    """A folder of files as a stream; a unit is done once the checkpoint has committed it.
+
+    ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound what one micro-batch takes in.
+    """
+    return spark.readStream.schema(schema).format(file_format).options(**options).load(path)
 
 
 def run_available(spark: SparkSession, writer: DataStreamWriter, checkpoint: str) -> None:
