@@ -15,10 +15,23 @@ from ferryline.schemas import (
 )
 
 
-def policy_value(queue_type: Column, field: str, policy: Sequence[QueuePolicy] = QUEUES) -> Column:
-    """A setting of the row's queue, null where the queue has none. Policies are configuration: no join."""
-    known = [(p.queue_type, getattr(p, field)) for p in policy if getattr(p, field) is not None]
-    return F.coalesce(*[F.when(queue_type == name, F.lit(value)) for name, value in known], F.lit(None))
+# The settings of a queue as a struct column.
+_POLICY_TYPES = {
+    "queue": "string", "retry": "boolean", "max_retries": "int", "retry_delay_ms": "bigint",
+    "exhausted_key": "string", "expired_key": "string",
+}
+
+
+def policy_of(queue_type: Column, policy: Sequence[QueuePolicy] = QUEUES) -> Column:
+    """The settings of the row's queue, null for an unknown one. Policies are configuration: no join."""
+    rows = [
+        F.when(
+            queue_type == p.queue_type,
+            F.struct(*[F.lit(getattr(p, name)).cast(kind).alias(name) for name, kind in _POLICY_TYPES.items()]),
+        )
+        for p in policy
+    ]
+    return F.coalesce(*rows)
 
 
 def classify_errors(df: DataFrame, message: str = "message") -> DataFrame:
@@ -62,22 +75,20 @@ def retry_policy(
     dead letters where its queue has them, and is dropped otherwise. A queue without retries rejects
     the message, which follows the queue's own dead-letter key.
     """
-    kind = F.col("queue_type")
     retries = F.coalesce(F.col("x_retries"), F.lit(0))
-    retrying = F.coalesce(policy_value(kind, "retry", policy), F.lit(False))
-    again = retrying & (retries < policy_value(kind, "max_retries", policy))
-    key = F.when(retrying, policy_value(kind, "exhausted_key", policy)).otherwise(
-        policy_value(kind, "expired_key", policy)
+    rules = F.col("_policy")
+    retrying = F.coalesce(rules["retry"], F.lit(False))
+    again = retrying & (retries < rules["max_retries"])
+    key = F.when(retrying, rules["exhausted_key"]).otherwise(rules["expired_key"])
+    decided = failures.withColumn("_policy", policy_of(F.col("queue_type"), policy)).withColumn(
+        "outcome", F.when(again, "retry").when(key.isNotNull(), "dead_letter").otherwise("dropped")
     )
-    outcome = F.when(again, "retry").when(key.isNotNull(), "dead_letter").otherwise("dropped")
-    return failures.withColumns({
-        "outcome": outcome,
+    outcome = F.col("outcome")
+    return decided.withColumns({
         "next_retries": F.when(outcome == "retry", retries + 1).otherwise(retries).cast("bigint"),
-        "expires_at": F.when(
-            outcome == "retry", plus_ms(F.col(failed_at), policy_value(kind, "retry_delay_ms", policy))
-        ),
+        "expires_at": F.when(outcome == "retry", plus_ms(F.col(failed_at), rules["retry_delay_ms"])),
         "next_key": F.when(outcome == "retry", F.col("routing_key")).when(outcome == "dead_letter", key),
-    })
+    }).drop("_policy")
 
 
 def split_outcomes(
@@ -88,17 +99,16 @@ def split_outcomes(
     ``death_count`` is written here, one more than the retries, so that triage finds it later.
     """
     judged = retry_policy(messages, policy=policy)
-    outcome = F.when(F.col("handler_failed"), F.col("outcome")).otherwise("ok")
-    dead = outcome == "dead_letter"
+    judged = judged.withColumn("outcome", F.when(F.col("handler_failed"), F.col("outcome")).otherwise("ok"))
+    dead = F.col("outcome") == "dead_letter"
     return judged.withColumns({
-        "outcome": outcome,
         "next_retries": F.when(F.col("handler_failed"), F.col("next_retries")),
         "expires_at": F.when(F.col("handler_failed"), F.col("expires_at")),
         "next_key": F.when(F.col("handler_failed"), F.col("next_key")),
         "x_death_reason": F.when(dead, reason),
         "x_death_at": F.when(dead, as_of),
         "x_original_routing_key": F.when(dead, F.col("routing_key")),
-        "x_first_death_queue": F.when(dead, policy_value(F.col("queue_type"), "queue", policy)),
+        "x_first_death_queue": F.when(dead, policy_of(F.col("queue_type"), policy)["queue"]),
         "x_death_count": F.when(dead, F.coalesce(F.col("x_retries"), F.lit(0)) + 1),
     })
 
@@ -113,7 +123,7 @@ def requeue(judged: DataFrame, message_columns: Sequence[str], reason: Column, f
     kept = [c for c in message_columns if c != "x_retries"]
     return again.select(
         *kept, F.col("next_retries").alias("x_retries"), "expires_at",
-        F.coalesce(policy_value(F.col("queue_type"), "queue"), F.lit("unknown")).alias("x_original_queue"),
+        F.coalesce(policy_of(F.col("queue_type"))["queue"], F.lit("unknown")).alias("x_original_queue"),
         reason.alias("x_retry_reason"), failed_at.alias("x_retry_at"),
     )
 
@@ -121,7 +131,7 @@ def requeue(judged: DataFrame, message_columns: Sequence[str], reason: Column, f
 def expire_messages(messages: DataFrame, policy: Sequence[QueuePolicy] = QUEUES) -> DataFrame:
     """Messages that waited longer than their time to live leave: to the queue's dead-letter key, or dropped."""
     gone = (F.col("ttl_ms") > 0) & (F.col("wait_ms") > F.col("ttl_ms"))
-    key = policy_value(F.col("queue_type"), "expired_key", policy)
+    key = policy_of(F.col("queue_type"), policy)["expired_key"]
     fate = F.when(~F.coalesce(gone, F.lit(False)), "waiting").when(key.isNotNull(), "dead_letter").otherwise("dropped")
     exchange = F.when(key.startswith("failed."), DEAD_LETTER_EXCHANGE).otherwise(MAIN_EXCHANGE)
     return messages.withColumns({

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -582,16 +581,16 @@ def requeue(spark, folder):
 
 @query
 def retry_cycle(spark, folder):
-    """Messages whose handler never succeeds, sent round until none is retried; the counts they carry end it."""
-    left = views.messages(spark, folder).withColumn("handler_failed", F.lit(True))
-    ended, columns = [], left.columns
-    for _ in range(1 + max(p.max_retries or 0 for p in QUEUES)):
-        judged = fail.split_outcomes(left, as_of(), F.lit("handler failed"))
-        ended.append(judged.where("outcome <> 'retry'").select("queue_type", "outcome", "next_retries"))
-        left = fail.requeue(judged, columns, F.lit("handler failed"), as_of()).select(*columns)
-    return reduce(DataFrame.unionByName, ended).groupBy("queue_type", "outcome", "next_retries").agg(
-        F.count(F.lit(1)).alias("messages")
-    )
+    """Messages whose handler never succeeds, sent round through storage until the counts they carry end it."""
+    home = work_folder(spark, "retry-cycle")
+    left = views.messages(spark, folder).drop("body").withColumn("handler_failed", F.lit(True))
+    columns = left.columns
+    for turn in range(1 + max(p.max_retries or 0 for p in QUEUES)):
+        path = f"{home}/filed/turn={turn}"
+        fail.split_outcomes(left, as_of(), F.lit("handler failed")).write.parquet(path)
+        left = fail.requeue(spark.read.parquet(path), columns, F.lit("handler failed"), as_of()).select(*columns)
+    filed = spark.read.option("basePath", f"{home}/filed").parquet(f"{home}/filed").where("outcome <> 'retry'")
+    return filed.groupBy("queue_type", "outcome", "next_retries").agg(F.count(F.lit(1)).alias("messages"))
 
 
 @query
