@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferryline.functions.derived import plus_ms
+from ferryline.operators.joins import join_to_one
 from ferryline.operators.ranking import ROWS_PER_BUCKET, with_next
 from ferryline.schemas import JOB_MESSAGES, JOB_TIMEOUT_MS
 
@@ -22,10 +23,12 @@ def latest_state(log: DataFrame, key: str | Sequence[str], order: Sequence[str])
     return log.groupBy(*keys).agg(last).select(*keys, "_last.*").select(*log.columns)
 
 
-def job_transition(log: DataFrame, changes: DataFrame, key: str = "correlation_id") -> DataFrame:
+def job_transition(
+    log: DataFrame, changes: DataFrame, key: str = "correlation_id", rows_per_task: int = ROWS_PER_BUCKET
+) -> DataFrame:
     """The log with ``changes`` appended; changes to unknown jobs are left out, never inserted."""
     known = log.select(key).distinct()
-    return log.unionByName(changes.join(known, key, "left_semi"), allowMissingColumns=True)
+    return log.unionByName(join_to_one(changes, known, [key], "left_semi", rows_per_task), allowMissingColumns=True)
 
 
 def job_message() -> Column:
@@ -82,12 +85,12 @@ def job_progress(log: DataFrame) -> DataFrame:
     return totals.withColumn("progress", F.round(F.least(F.lit(100.0), share), 4))
 
 
-def dead_letter_jobs(dead_letters: DataFrame, jobs: DataFrame) -> DataFrame:
+def dead_letter_jobs(dead_letters: DataFrame, jobs: DataFrame, rows_per_task: int = ROWS_PER_BUCKET) -> DataFrame:
     """Dead letters with the state of their job, which may be absent. ``jobs`` has one row per job."""
     state = jobs.select(
         "correlation_id", F.col("status").alias("job_status"), F.col("event_ts").alias("job_changed_at")
     )
-    return dead_letters.join(state, "correlation_id", "left")
+    return join_to_one(dead_letters, state, ["correlation_id"], "left", rows_per_task)
 
 
 def timed_out(started: Column, following: Column, as_of: Column, limit_ms: int) -> Column:

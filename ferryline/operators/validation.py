@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferryline.functions.filters import filter_spec
+from ferryline.operators.joins import join_to_one
+from ferryline.operators.ranking import ROWS_PER_BUCKET
 
 
 @dataclass(frozen=True)
@@ -41,12 +43,11 @@ class Checked(NamedTuple):
     bad: DataFrame
 
 
-def validate_rows(df: DataFrame, rules: Sequence[Rule]) -> Checked:
+def validate_rows(df: DataFrame, rules: Sequence[Rule], rows_per_task: int = ROWS_PER_BUCKET) -> Checked:
     """Split rows by ``rules``; ``bad`` carries the names of the broken rules in ``reasons``.
 
     Uniqueness counts copies per key first (with map-side partial counts) and joins only the repeated
-    keys back, so a key with very many copies never meets in one window; the join side it lands in is
-    split by adaptive skew handling. Null keys are not compared.
+    keys back, in pieces where a key has very many copies. Null keys are not compared.
     """
     marked, broken = df, []
     for i, rule in enumerate(rules):
@@ -59,7 +60,7 @@ def validate_rows(df: DataFrame, rules: Sequence[Rule]) -> Checked:
             df.where(whole).groupBy(*rule.unique).agg(F.count(F.lit(1)).alias("_copies"))
             .where("_copies > 1").select(*rule.unique, F.lit(True).alias(flag))
         )
-        marked = marked.join(repeated, list(rule.unique), "left")
+        marked = join_to_one(marked, repeated, rule.unique, "left", rows_per_task)
         broken.append(F.when(F.col(flag), F.lit(rule.name)))
     judged = marked.withColumn("reasons", F.array_compact(F.array(*broken))).select(*df.columns, "reasons")
     return Checked(judged.where(F.size("reasons") == 0).drop("reasons"), judged.where(F.size("reasons") > 0))
