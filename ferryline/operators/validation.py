@@ -66,11 +66,15 @@ def validate_rows(df: DataFrame, rules: Sequence[Rule], rows_per_task: int = ROW
     return Checked(judged.where(F.size("reasons") == 0).drop("reasons"), judged.where(F.size("reasons") > 0))
 
 
+def _value(value) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
+
+
 def _defaulted(field: Column, parts: Sequence[str], value) -> Column:
     """``field`` (a struct) with the nested field at ``parts`` filled."""
     head, rest = parts[0], parts[1:]
     inner = field.getField(head)
-    return field.withField(head, _defaulted(inner, rest, value) if rest else F.coalesce(inner, F.lit(value)))
+    return field.withField(head, _defaulted(inner, rest, value) if rest else F.coalesce(inner, _value(value)))
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
@@ -80,9 +84,9 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
         if rest:
             df = df.withColumn(head, _defaulted(F.col(head), rest, value))
         elif head in df.columns:
-            df = df.withColumn(head, F.coalesce(F.col(head), F.lit(value)))
+            df = df.withColumn(head, F.coalesce(F.col(head), _value(value)))
         else:
-            df = df.withColumn(head, F.lit(value))
+            df = df.withColumn(head, _value(value))
     return df
 
 

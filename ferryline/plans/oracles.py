@@ -227,6 +227,16 @@ SELECT item_id, concat_ws('; ', CASE WHEN department IS NULL THEN 'department is
   CASE WHEN copies > 1 THEN 'email,created_at is not unique' END) AS reasons
 FROM (SELECT *, count(*) OVER (PARTITION BY email, created_at) AS copies FROM v_items)
 WHERE department IS NULL OR priority NOT BETWEEN 1 AND 4 OR copies > 1"""),
+    "validate_jobs": f"""
+SELECT correlation_id, status, CAST(0 AS DOUBLE) AS progress, 'batch' AS job_type,
+  'job_id is required' || CASE WHEN status = 'success' THEN '; status is not allowed' ELSE '' END AS reasons
+FROM (SELECT correlation_id, CASE WHEN status = 'completed' THEN 'success' ELSE status END AS status
+  FROM ({_synth_jobs()}) WHERE CAST(right(correlation_id, 1) AS INT) % 2 = 0)""",
+    "archive_defaults": _with(f"""
+SELECT item_id AS original_id, CASE WHEN item_id % 4 = 0 THEN 'pending' ELSE status END AS status, {AS_OF} AS archived_at,
+  'bulk_migration' AS archive_reason, 'somemodels' AS source_collection, 'archive-worker' AS archived_by,
+  CASE WHEN item_id % 3 = 0 THEN 1 ELSE priority END AS priority, category, coalesce(department, 'general') AS department,
+  1 AS version, {AS_OF} AS last_modified, 'migration' AS source, region FROM v_items"""),
     "fill_defaults": _with(
         "SELECT item_id, coalesce(department, 'general') AS department, coalesce(department, 'general') AS nested_department, "
         "category, 'bulk_migration' AS archive_reason FROM v_items"

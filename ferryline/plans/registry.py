@@ -12,7 +12,7 @@ from ferryline.functions.errors import mask_credentials
 from ferryline.functions.filters import filter_spec
 from ferryline.operators import archive as arc
 from ferryline.operators import failures as fail
-from ferryline.operators import jobs, monitoring, routing, synth, updates, validation
+from ferryline.operators import jobs, models, monitoring, routing, synth, updates, validation
 from ferryline.operators.batching import allocate_sequence, make_batches, page, unwrap_batches, work_order
 from ferryline.plans import flows
 from ferryline.schemas import CLEAR_CONFIRMATION, EVENT, ITEM, ITEM_STATUSES, QUEUES
@@ -210,6 +210,38 @@ def validate_rows(spark, folder):
     return bad.select("item_id", F.array_join("reasons", "; ").alias("reasons"))
 
 
+@query
+def validate_jobs(spark, folder):
+    """Every second generated job lacks its id and has a status jobs do not know."""
+    made = synth.jobs_from_ids(col.table(spark, folder, "orders"), "o_orderkey", SEED, as_of())
+    raw = F.substr("correlation_id", F.length("correlation_id")).cast("int") % 2 == 0
+    loose = made.withColumns({
+        "job_id": F.when(~raw, F.col("job_id")),
+        "status": F.when(raw & (F.col("status") == "completed"), "success").otherwise(F.col("status")),
+    })
+    filled = validation.fill_defaults(loose, models.job_defaults(as_of()))
+    bad = validation.validate_rows(filled, models.job_rules()).bad
+    return bad.select("correlation_id", "status", "progress", "job_type", F.array_join("reasons", "; ").alias("reasons"))
+
+
+@query
+def archive_defaults(spark, folder):
+    sparse = views.items(spark, folder).select(
+        F.col("item_id").alias("original_id"),
+        F.when(F.col("item_id") % 4 != 0, F.col("status")).alias("status"),
+        F.struct(
+            F.when(F.col("item_id") % 3 != 0, F.col("priority")).alias("priority"), "category", "department",
+            F.lit(None).cast("int").alias("version"), F.lit(None).cast("timestamp_ntz").alias("last_modified"),
+            F.struct(F.lit(None).cast("string").alias("source"), "region").alias("metadata"),
+        ).alias("update_fields"),
+    )
+    return validation.fill_defaults(sparse, models.archive_defaults(as_of())).select(
+        "original_id", "status", "archived_at", "archive_reason", "source_collection", "archived_by",
+        "update_fields.priority", "update_fields.category", "update_fields.department", "update_fields.version",
+        "update_fields.last_modified", "update_fields.metadata.source", "update_fields.metadata.region",
+    )
+
+
 @query
 def fill_defaults(spark, folder):
     nested = views.items(spark, folder).select(

@@ -121,7 +121,7 @@ JOB_MESSAGES = (
 ARCHIVE_REASON = "bulk_migration"
 ARCHIVE_SOURCE = "somemodels"
 ARCHIVE_ACTOR = "archive-worker"
-ARCHIVE_DEFAULTS = {
+UPDATE_FIELD_DEFAULTS = {
     "priority": 1,
     "category": "normal",
     "department": "general",
