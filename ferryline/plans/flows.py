@@ -12,10 +12,10 @@ from ferryline.functions.filters import filter_spec
 from ferryline.operators.archive import Reconciled, archive_reconcile, archive_rows
 from ferryline.operators.batching import make_batches, unwrap_batches
 from ferryline.operators.failures import dead_letter_triage, split_outcomes
-from ferryline.operators.jobs import job_changes, job_transition
+from ferryline.operators.jobs import job_changes, job_transition, latest_state
+from ferryline.operators.models import archive_row_rules
 from ferryline.operators.routing import publish_batches
 from ferryline.operators.updates import TRANSITION_COLUMNS, Updated, keyed_update, status_transition
-from ferryline.operators.validation import required, unique
 from ferryline.schemas import ITEM
 from ferryline.sources.bodies import mark_undecodable
 from ferryline.sources.tables import append_valid
@@ -34,8 +34,9 @@ def archive_flow(
     sent = publish_batches(make_batches(items, "item_id", size, collection), 0, "archive", 0, as_of)
     received = unwrap_batches(_delivered(sent, f"{path}/messages"), ITEM)
     rows = archive_rows(received.items.select(*ITEM.names, "batch_id"), F.col("batch_id"), as_of).drop("batch_id")
-    rules = [*required("name", "email", "original_id", "archive_batch"), unique("original_id")]
-    stored = append_valid(rows, rules, f"{path}/archive", run_id).table
+    # A message delivered twice archives its rows once.
+    rows = latest_state(rows, "original_id", ["archive_batch"])
+    stored = append_valid(rows, archive_row_rules(), f"{path}/archive", run_id).table
     return stored, archive_reconcile(items, stored)
 
 

@@ -72,9 +72,9 @@ def decode_messages_bad(spark, folder):
     return decode_messages(_partly_broken(spark, folder), BODY).bad
 
 
-def _events_stream(spark, folder, **options):
+def _events_stream(spark, folder):
     # The bracket makes the path a pattern, which a stream accepts for one file as well as for a folder.
-    return running.stream_scan(spark, f"{folder}/events.parque[t]", EVENT, **options)
+    return running.stream_scan(spark, f"{folder}/events.parque[t]", EVENT, maxFilesPerTrigger="10000")
 
 
 @query

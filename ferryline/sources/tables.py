@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferryline.operators.validation import Rule, validate_rows
 
@@ -26,8 +27,9 @@ def append_valid(df: DataFrame, rules: Sequence[Rule], path: str, run_id: str) -
     seen = Observation("inserted")
     counted = checked.ok.observe(seen, F.count(F.lit(1)).alias("inserted"))
     counted.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
-    stored = df.sparkSession.read.option("basePath", path).parquet(path)
-    return Appended(stored.withColumn("run_id", F.col("run_id").cast("string")), checked.bad, seen.get["inserted"])
+    whole = T.StructType([*df.schema.fields, T.StructField("run_id", T.StringType())])
+    stored = df.sparkSession.read.schema(whole).option("basePath", path).parquet(path)
+    return Appended(stored, checked.bad, seen.get["inserted"])
 
 
 def send(messages: DataFrame, root: str, run_id: str, queue: str = "delivered_queue") -> None:
@@ -48,9 +50,10 @@ def write_snapshot(df: DataFrame, root: str, version: int) -> DataFrame:
     The version being read is never overwritten: readers move once the new one is complete.
     """
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{root}/data/version={version}")
+    path = f"{root}/data/version={version}"
+    df.write.mode("overwrite").parquet(path)
     spark.createDataFrame([(version,)], "version bigint").coalesce(1).write.mode("append").parquet(f"{root}/versions")
-    return read_snapshot(spark, root)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:

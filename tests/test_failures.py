@@ -206,6 +206,14 @@ def test_clearing_needs_the_confirmation(spark):
     assert emptied.count() == 0 and emptied.columns == ["id"]
 
 
+def test_declared_schemas_are_those_of_the_files(spark):
+    for name in col.COLLECTIONS:
+        inferred = spark.read.parquet(f"{FOLDER}/{name}.parquet")
+        declared = col.table(spark, FOLDER, name)
+        assert declared.dtypes == inferred.dtypes, name
+        assert declared.count() == inferred.count()
+
+
 def test_unknown_collections_are_refused(spark):
     with pytest.raises(ValueError):
         col.scan_collection(spark, FOLDER, "nothing")
