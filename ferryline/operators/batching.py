@@ -27,7 +27,11 @@ def _take(total: int, limit: int | None) -> int:
 
 def _cut_points(df: DataFrame, key: str, step: int, rows_per_bucket: int, stats: dict) -> list[int]:
     """The keys at positions 1, 1 + step, 1 + 2 * step ...: only the key column is shuffled."""
-    numbered = number_rows(df.select(key), [key], rows_per_bucket=rows_per_bucket, stats=stats)
+    keys = df.select(key)
+    if stats["rows"] <= rows_per_bucket:
+        numbered = keys.withColumn("position", F.row_number().over(Window.orderBy(key)))  # one bucket of bare keys
+    else:
+        numbered = number_rows(keys, [key], rows_per_bucket=rows_per_bucket, stats=stats)
     starts = numbered.where((F.col("position") - 1) % step == 0).select(key)
     return sorted(row[0] for row in starts.collect())  # at most MAX_BUCKETS keys, see the choice of step
 
