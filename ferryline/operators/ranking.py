@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ferryline.functions.derived import ntz_micros
 from ferryline.functions.once import computed_once
 
 ROWS_PER_BUCKET = 500_000
@@ -69,15 +70,6 @@ def order_stats(df: DataFrame, order: Sequence[str]) -> dict:
     return df.agg(*aggregates).first().asDict()
 
 
-def _ntz_micros(c: Column) -> Column:
-    """Microseconds since 1970 of a zone-less timestamp, whatever the session zone is."""
-    days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("double")
-    seconds = F.hour(c) * 3600 + F.minute(c) * 60
-    return days * 86_400_000_000.0 + seconds.cast("double") * 1e6 + F.round(
-        F.date_part(F.lit("SECOND"), c).cast("double") * 1e6
-    )
-
-
 def _images(df: DataFrame, name: str, stats: dict, i: int) -> list[Image]:
     kind, c = df.schema[name].dataType, F.col(name)
     if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
@@ -95,7 +87,7 @@ def _images(df: DataFrame, name: str, stats: dict, i: int) -> list[Image]:
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         # Microseconds fit a double exactly within about 285 years of 1970.
         near = 1700 < (stats[f"min_{i}"] or 1970) and (stats[f"max_{i}"] or 1970) < 2200
-        micros = F.unix_micros(c).cast("double") if isinstance(kind, T.TimestampType) else _ntz_micros(c)
+        micros = F.unix_micros(c).cast("double") if isinstance(kind, T.TimestampType) else ntz_micros(c)
         return [Image(micros, near)]
     if isinstance(kind, T.BooleanType):
         return [Image(c.cast("int").cast("double"), True)]

@@ -308,10 +308,10 @@ SELECT message_id, routing_key, queue FROM v_messages LEFT JOIN (VALUES ('proces
         {"wanted": "SELECT * FROM v_archive WHERE original_id IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)"},
     ),
     "dead_letter_jobs": _with("""
-SELECT m.message_id, m.correlation_id, m.priority, j.status AS job_status, j.event_ts AS job_changed_at
-FROM v_messages m LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY correlation_id ORDER BY event_ts DESC, seq DESC) AS place
-  FROM v_job_log WHERE seq % 3 = 0) j ON m.correlation_id = j.correlation_id AND j.place = 1
-WHERE m.queue_type = 'deadletter'"""),
+SELECT m.message_id, CASE WHEN m.message_id % 3 = 0 THEN m.correlation_id || '-unknown' ELSE m.correlation_id END AS correlation_id,
+  m.priority, j.status AS job_status, j.event_ts AS job_changed_at
+FROM v_messages m LEFT JOIN latest j ON m.correlation_id = j.correlation_id AND m.message_id % 3 <> 0
+WHERE m.queue_type = 'deadletter'""", {"latest": _LATEST_JOB}),
     "archive_stats": _with("SELECT status, count(*) AS archived, max(archived_at) AS latest_archive FROM v_archive GROUP BY status"),
     "queue_depth": _with("""
 SELECT CASE WHEN grouping(queue_type) = 1 THEN 'total' ELSE queue_type END AS queue_type,
@@ -484,8 +484,8 @@ FROM (SELECT *, x_retries + 1 AS deaths FROM split WHERE outcome = 'dead_letter'
 SELECT correlation_id, status, message, count(*) AS entries FROM (SELECT correlation_id, status, NULL AS message FROM known
   UNION ALL SELECT correlation_id, 'dead_letter_completed',
     'Dead letter processing completed for 1 items (deaths: ' || (x_retries + 1) || ')' FROM split
-    WHERE outcome = 'dead_letter' AND correlation_id IN (SELECT correlation_id FROM known)) GROUP BY ALL""",
-        {"known": "SELECT * FROM v_job_log WHERE seq % 2 = 0",
+    WHERE outcome = 'dead_letter' AND message_id % 3 <> 0 AND correlation_id IN (SELECT correlation_id FROM known)) GROUP BY ALL""",
+        {"known": "SELECT * FROM v_job_log",
          "handled": "SELECT * REPLACE (handler_failed OR message_id % 7 = 0 AS handler_failed) FROM v_messages",
          "judged": _JUDGED.format(source="handled"), "split": _SPLIT}),
     "status_overview": _with("SELECT status, count(*) AS items, max(updated_at) AS last_updated FROM v_items GROUP BY status"),

@@ -126,9 +126,14 @@ def published_jobs(spark, folder):
     return jobs.published_jobs(sent, as_of())
 
 
+STRANGE = 1_000_000_000
+
+
 def _transitions(items):
+    """Updates of all open items; those with odd ids are sent under an id no item has."""
     work = validation.work_set(items, "process_all")
-    return updates.status_transition(work.where(F.col("item_id") % 2 == 0), as_of(), "run-1")
+    changed = updates.status_transition(work, as_of(), "run-1")
+    return changed.withColumn("item_id", F.col("item_id") + F.when(F.col("item_id") % 2 == 1, STRANGE).otherwise(0))
 
 
 def numbered(df: DataFrame, *names: str) -> DataFrame:
@@ -377,7 +382,7 @@ def topic_route(spark, folder):
 
 def _line_updates(spark, folder):
     """Several updates per order, some for orders that do not exist."""
-    key = F.col("l_orderkey") + F.when(F.col("l_quantity") > 45, 1_000_000_000).otherwise(0)
+    key = F.col("l_orderkey") + F.when(F.col("l_quantity") > 45, STRANGE).otherwise(0)
     return col.table(spark, folder, "lineitem").select(
         key.alias("item_id"),
         F.when(F.col("l_returnflag") == "R", "failed").otherwise("success").alias("status"),
@@ -420,11 +425,19 @@ def find_by_original(spark, folder):
     return arc.find_by_original(views.archive(spark, folder), wanted)
 
 
+def _some_unknown(messages):
+    """Every third message belongs to a job nobody knows."""
+    unknown = F.concat("correlation_id", F.lit("-unknown"))
+    return messages.withColumn(
+        "correlation_id", F.when(F.col("message_id") % 3 == 0, unknown).otherwise(F.col("correlation_id"))
+    )
+
+
 @query
 def dead_letter_jobs(spark, folder):
-    dead = views.messages(spark, folder).where("queue_type = 'deadletter'").select("message_id", "correlation_id", "priority")
-    log = views.job_log(spark, folder).where("seq % 3 = 0")
-    return jobs.dead_letter_jobs(dead, jobs.latest_state(log, "correlation_id", ["event_ts", "seq"]))
+    dead = _some_unknown(views.messages(spark, folder).where("queue_type = 'deadletter'"))
+    state = jobs.latest_state(views.job_log(spark, folder), "correlation_id", ["event_ts", "seq"])
+    return jobs.dead_letter_jobs(dead.select("message_id", "correlation_id", "priority"), state)
 
 
 # ---- Aggregations --------------------------------------------------------------------------------
@@ -711,9 +724,7 @@ def throughput_stream(spark, folder):
     home = work_folder(spark, "throughput")
     counted = job_streams.throughput_stream(views.messages_of(_events_stream(spark, folder)), "1 day", "1 hour")
     running.run_available(spark, counted.writeStream.format("parquet").option("path", f"{home}/rows"), f"{home}/checkpoint")
-    return spark.read.schema(counted.schema).parquet(f"{home}/rows").withColumns({
-        name: F.col(name).cast("timestamp_ntz") for name in ("window_start", "window_end")
-    })
+    return spark.read.schema(counted.schema).parquet(f"{home}/rows")
 
 
 # ---- Flows ---------------------------------------------------------------------------------------
@@ -752,8 +763,8 @@ def bulk_update_flow_stats(spark, folder):
 
 
 def _failures(spark, folder):
-    log = views.job_log(spark, folder).select("seq", "correlation_id", "event_ts", "status").where("seq % 2 = 0")
-    return flows.failure_flow(_cut_bodies(views.messages(spark, folder)), log, BODY, as_of())
+    log = views.job_log(spark, folder).select("seq", "correlation_id", "event_ts", "status")
+    return flows.failure_flow(_some_unknown(_cut_bodies(views.messages(spark, folder))), log, BODY, as_of())
 
 
 @query

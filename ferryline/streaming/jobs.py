@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ferryline.functions.derived import plus_ms
+from ferryline.functions.derived import as_instant, as_ntz, plus_ms
 from ferryline.operators.jobs import TIMEOUT_MESSAGE, latest_state
 from ferryline.operators.monitoring import throughput
 from ferryline.schemas import JOB_TIMEOUT_MS
@@ -40,7 +40,7 @@ def processing_timeout_stream(stream: DataFrame, delay: str, limit_ms: int = JOB
     the session, and the state is one row per open session.
     """
     sessions = (
-        stream.withColumn("_at", F.col("event_ts").cast("timestamp"))
+        stream.withColumn("_at", as_instant(F.col("event_ts")))
         .withWatermark("_at", delay)
         .groupBy("correlation_id", F.session_window("_at", f"{limit_ms} milliseconds"))
         .agg(F.max(F.struct("event_ts", "seq", "status")).alias("_last"))
@@ -56,5 +56,6 @@ def processing_timeout_stream(stream: DataFrame, delay: str, limit_ms: int = JOB
 
 def throughput_stream(messages: DataFrame, width: str, delay: str) -> DataFrame:
     """Messages per queue and window; late ones beyond ``delay`` are left out by the watermark."""
-    timed = messages.withColumn("published_at", F.col("published_at").cast("timestamp"))
-    return throughput(timed.withWatermark("published_at", delay), width)
+    timed = messages.withColumn("published_at", as_instant(F.col("published_at")))
+    counted = throughput(timed.withWatermark("published_at", delay), width)
+    return counted.withColumns({name: as_ntz(F.col(name)) for name in ("window_start", "window_end")})

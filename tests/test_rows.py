@@ -121,6 +121,24 @@ def test_transitions_by_status(spark):
     assert all(r.processing_completed and r.processed_by == "batch-001" for r in out.values())
 
 
+def test_durations_do_not_depend_on_the_session_zone(spark):
+    from ferryline.functions.derived import elapsed_ms, plus_ms
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = spark.createDataFrame(
+            [(dt.datetime(2024, 3, 10, 0, 0), dt.datetime(2024, 3, 10, 5, 0)), (dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 1, 23, 59, 59, 998_500)),
+             (dt.datetime(2020, 2, 28), dt.datetime(2020, 3, 1, 0, 0, 0, 1_999)), (None, dt.datetime(2020, 1, 1))],
+            "a timestamp_ntz, b timestamp_ntz",
+        )
+        out = rows.select(elapsed_ms(F.col("a"), F.col("b")), plus_ms(F.col("a"), F.lit(18_000_000))).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r[0] for r in out] == [18_000_000, -1, 172_800_001, None]
+    assert out[0][1] == dt.datetime(2024, 3, 10, 5, 0)
+
+
 def test_keyed_update_sets_only_matches(spark):
     target = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, "c", 3)], "id int, x string, y int")
     changes = spark.createDataFrame([(1, None, 9, 1), (3, "old", 8, 1), (3, "c", 3, 2), (7, "z", 7, 1)], "id int, x string, y int, seq int")
