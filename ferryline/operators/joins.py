@@ -44,14 +44,20 @@ def _piece(df: DataFrame, pieces: int) -> Column:
 
 
 def join_to_one(
-    many: DataFrame, one: DataFrame, keys: Sequence[str], how: str, rows_per_task: int = ROWS_PER_BUCKET
+    many: DataFrame,
+    one: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    rows_per_task: int = ROWS_PER_BUCKET,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """``many.join(one, keys, how)`` for a ``one`` with at most one row per key; rows of hot keys are spread.
 
-    Hot keys are cut into pieces, and their row of ``one`` is repeated per piece; nothing else is.
+    Hot keys are cut into pieces, and their row of ``one`` is repeated per piece; nothing else is. They
+    are looked for in ``many``, or in ``source`` where that has the same keys and is cheaper to read.
     """
     keys = list(keys)
-    hot, pieces = hot_keys(many, keys, rows_per_task)
+    hot, pieces = hot_keys(many if source is None else source, keys, rows_per_task)
     if not hot:
         return many.join(one, keys, how)
     is_hot = F.xxhash64(*keys).isin(hot)

@@ -60,7 +60,7 @@ def validate_rows(df: DataFrame, rules: Sequence[Rule], rows_per_task: int = ROW
             df.where(whole).groupBy(*rule.unique).agg(F.count(F.lit(1)).alias("_copies"))
             .where("_copies > 1").select(*rule.unique, F.lit(True).alias(flag))
         )
-        marked = join_to_one(marked, repeated, rule.unique, "left", rows_per_task)
+        marked = join_to_one(marked, repeated, rule.unique, "left", rows_per_task, source=df)
         broken.append(F.when(F.col(flag), F.lit(rule.name)))
     judged = marked.withColumn("reasons", F.array_compact(F.array(*broken))).select(*df.columns, "reasons")
     return Checked(judged.where(F.size("reasons") == 0).drop("reasons"), judged.where(F.size("reasons") > 0))

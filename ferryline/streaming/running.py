@@ -64,7 +64,7 @@ def stream_handler(
 
     ``handle`` returns the rows with ``handler_failed``; failed ones go through the retry policy. All
     outcomes are written in one pass, to ``sink/batch_id=<n>/outcome=<outcome>``; a repeated
-    micro-batch replaces its own folder, so nothing is filed twice.
+    micro-batch replaces its own folder, so nothing is filed twice. A sink belongs to one checkpoint.
     """
 
     def file(batch: DataFrame, batch_id: int) -> None:
