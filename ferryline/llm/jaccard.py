@@ -263,7 +263,9 @@ def _left_open(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
 def jaccard_groups(
     docs: DataFrame, folder: str, size: int, percent: int, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row; sets link from a Jaccard similarity of ``percent`` / 100.
+    """``doc_id, n_shingles, component_id, text_key`` for every row; sets link from a Jaccard similarity of ``percent`` / 100.
+
+    ``text_key`` is ``xxhash64`` of the text, so that rows which share an id can be told apart.
 
     Words are compared with A-Z as a-z. A text with fewer than ``size`` words is one shingle. ``folder``: a new one
     that all executors reach.
@@ -315,4 +317,4 @@ def jaccard_groups(
     of_node = named.join(smallest, "component").select("node", "component_id")
     return signed.join(of_node, "node", "left").select(
         F.col("doc_id").alias(doc_id), F.col("n").alias("n_shingles"),
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "text_key")
