@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferryline.operators.jobs import latest_state
-from ferryline.operators.joins import join_to_one
 from ferryline.schemas import ARCHIVE_ACTOR, ARCHIVE_REASON, ARCHIVE_SOURCE
 
 
@@ -53,9 +52,11 @@ def latest_archive(archive: DataFrame) -> DataFrame:
 
 
 def find_by_original(archive: DataFrame, ids: DataFrame) -> DataFrame:
-    """The newest archive row of each of ``ids`` (one column, ``original_id``)."""
-    wanted = ids.select("original_id").distinct()
-    return latest_archive(join_to_one(archive, wanted, ["original_id"], "left_semi"))
+    """The newest archive row of each of ``ids`` (one column, ``original_id``).
+
+    A plain semi join: the planner broadcasts the ids where they are few.
+    """
+    return latest_archive(archive.join(ids.select("original_id").distinct(), "original_id", "left_semi"))
 
 
 def find_by_batch(archive: DataFrame, batch: str) -> DataFrame:

@@ -102,7 +102,7 @@ def make_batches(
         # The rows already lie by _cut, and a batch never spans two cuts: no further exchange.
         batches = _batched(rows.withColumn("batch_number", number), ["_cut", "batch_number"], "_place", carried)
     else:
-        ranked = number_rows(df, keys, out="_place", rows_per_bucket=rows_per_bucket, stats=stats)
+        ranked = number_rows(df, keys, out="_place", rows_per_bucket=rows_per_bucket, stats=stats, unique=True)
         rows = ranked.where(F.col("_place") <= wanted)
         number = F.floor((F.col("_place") - 1) / size).cast("bigint") + 1
         batches = _batched(rows.withColumn("batch_number", number), ["batch_number"], "_place", carried)
@@ -128,38 +128,71 @@ class Unwrapped(NamedTuple):
     errors: DataFrame
 
 
-def unwrap_batches(messages: DataFrame, item: T.StructType, body: str = "body") -> Unwrapped:
-    """Message bodies back to rows: an envelope or a bare array; no data is an error."""
-    times = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-    bare = F.ltrim(F.col(body)).startswith("[")
+TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+_CORRUPT = "_corrupt"
+
+
+def open_batches(messages: DataFrame, item: T.StructType, body: str = "body") -> DataFrame:
+    """Message bodies as one row per item, with ``error`` where there is none to work on.
+
+    A body is an envelope or a bare array, with white space around it or not. Items are read one by one: a null, one
+    that is no object or one with a field of the wrong type is an error of its own and spoils no other. ``sent_at`` and
+    ``batch_number`` tell the order in which batches were sent. An error carries the text it is about in ``body``.
+    """
+    bare = F.col(body).rlike(r"\A\s*\[")
+    texts = envelope(T.StringType())
     both = F.struct(
-        F.when(~bare, F.from_json(body, envelope(item), times)).alias("envelope"),
-        F.when(bare, F.from_json(body, T.ArrayType(item), times)).alias("bare"),
+        F.when(~bare, F.from_json(body, texts)).alias("envelope"),
+        F.when(bare, F.from_json(body, T.ArrayType(T.StringType()))).alias("bare"),
     )
     opened = computed_once(messages, "_parsed", both).withColumns({
         "_data": F.coalesce(F.col("_parsed.envelope.data"), F.col("_parsed.bare")),
         "batch_id": F.col("_parsed.envelope.batchId"),
         "collection": F.col("_parsed.envelope.collection"),
+        "sent_at": F.col("_parsed.envelope.metadata.timestamp"),
+        "batch_number": F.col("_parsed.envelope.metadata.batchNumber"),
     })
-    kept = [c for c in messages.columns if c not in (body, "batch_id", "collection", *item.names)]
-    items = opened.select(*kept, "batch_id", "collection", F.inline("_data").alias(*item.names))
     readable = F.col("_parsed.envelope").isNotNull() | F.col("_parsed.bare").isNotNull()
-    errors = opened.where(F.col("_data").isNull() | (F.size("_data") == 0)).select(
-        *kept, "batch_id", body,
-        F.when(readable, "batch must carry a non-empty data array")
-        .otherwise("batch must be an array or an envelope").alias("error"),
+    empty = F.coalesce(F.size("_data") == 0, F.lit(True))
+    told = ("batch_id", "collection", "sent_at", "batch_number")
+    kept = [c for c in messages.columns if c not in (body, *told, *item.names)]
+    rows = opened.select(*kept, *told, F.col(body).alias("_whole"), empty.alias("_empty"), readable.alias("_readable"),
+                         F.posexplode_outer("_data").alias("_pos", "_item"))
+    wide = T.StructType([*item.fields, T.StructField(_CORRUPT, T.StringType())])
+    options = {**TIMES, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    read = computed_once(rows, "_row", F.from_json("_item", wide, options))
+    error = (
+        F.when(F.col("_empty") & F.col("_readable"), "batch must carry a non-empty data array")
+        .when(F.col("_empty"), "batch must be an array or an envelope")
+        .when(F.col("_item").isNull(), "item must not be null")
+        .when(F.col("_row").isNull() | F.col(f"_row.{_CORRUPT}").isNotNull(), "item does not fit its fields")
+    )
+    return read.select(
+        *kept, *told, *[F.col(f"_row.{name}").alias(name) for name in item.names],
+        F.when(F.col("_empty"), F.col("_whole")).otherwise(F.col("_item")).alias(body), error.alias("error"),
     )
+
+
+def unwrap_batches(messages: DataFrame, item: T.StructType, body: str = "body") -> Unwrapped:
+    """The items of message bodies as rows, and what could not be read, with the reason: see :func:`open_batches`."""
+    opened = open_batches(messages, item, body)
+    told = ("collection", "sent_at", "batch_number")
+    items = opened.where("error IS NULL").drop(body, "error")
+    errors = opened.where("error IS NOT NULL").drop(*told, *item.names)
     return Unwrapped(items, errors)
 
 
 def page(df: DataFrame, key: str, skip: int, n: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Rows ``skip + 1`` to ``skip + n`` by ``key``. Deep pages are ranked instead of carried to one task."""
+    """Rows ``skip + 1`` to ``skip + n`` by ``key``, in its order. ``key`` must identify a row.
+
+    Deep pages are ranked instead of carried to one task; the result is the same.
+    """
     if skip < 0 or n < 0:
         raise ValueError("skip and n must not be negative")
     if skip + n <= DEEP_PAGE:
         return df.orderBy(key).offset(skip).limit(n)
     ranked = number_rows(df, [key], out="_place", rows_per_bucket=rows_per_bucket)
-    return ranked.where(F.col("_place").between(skip + 1, skip + n)).drop("_place")
+    return ranked.where(F.col("_place").between(skip + 1, skip + n)).drop("_place").orderBy(key)
 
 
 class Allocated(NamedTuple):
@@ -173,7 +206,7 @@ def allocate_sequence(
     """Give every row the next number of counter ``name`` (from 1 if it is new), and move the counter on."""
     keys = [key] if isinstance(key, str) else list(key)
     current = counters.where(F.col("name") == name).agg(F.max("seq")).first()[0] or 0
-    ranked = number_rows(df, keys, out="_place", rows_per_bucket=rows_per_bucket)
+    ranked = number_rows(df, keys, out="_place", rows_per_bucket=rows_per_bucket, unique=True)
     rows = ranked.withColumn("seq", F.col("_place") + F.lit(current)).drop("_place")
     moved = df.agg((F.count(F.lit(1)) + F.lit(current)).alias("seq")).select(F.lit(name).alias("name"), "seq")
     others = counters.where(filter_spec({"name": {"$ne": name}})).select("name", "seq")

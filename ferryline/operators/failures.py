@@ -113,7 +113,10 @@ def split_outcomes(
     })
 
 
-def requeue(judged: DataFrame, message_columns: Sequence[str], reason: Column, failed_at: Column) -> DataFrame:
+def requeue(
+    judged: DataFrame, message_columns: Sequence[str], reason: Column, failed_at: Column,
+    policy: Sequence[QueuePolicy] = QUEUES,
+) -> DataFrame:
     """The retries among judged messages as messages again: same id, priority and body, one retry more.
 
     Written to the folder their queue is read from, they come back with the next trigger; the count
@@ -123,7 +126,7 @@ def requeue(judged: DataFrame, message_columns: Sequence[str], reason: Column, f
     kept = [c for c in message_columns if c != "x_retries"]
     return again.select(
         *kept, F.col("next_retries").alias("x_retries"), "expires_at",
-        F.coalesce(policy_of(F.col("queue_type"))["queue"], F.lit("unknown")).alias("x_original_queue"),
+        F.coalesce(policy_of(F.col("queue_type"), policy)["queue"], F.lit("unknown")).alias("x_original_queue"),
         reason.alias("x_retry_reason"), failed_at.alias("x_retry_at"),
     )
 

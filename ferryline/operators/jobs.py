@@ -12,11 +12,17 @@ from ferryline.operators.joins import join_to_one
 from ferryline.operators.ranking import ROWS_PER_BUCKET, with_next
 from ferryline.schemas import JOB_MESSAGES, JOB_TIMEOUT_MS
 
-TIMEOUT_MESSAGE = "Processing worker timeout exceeded"
+# What a timeout says, by queue.
+TIMEOUT_MESSAGES = {"processing": "Processing worker timeout exceeded", "priority": "Priority worker timeout exceeded"}
+TIMEOUT_MESSAGE = TIMEOUT_MESSAGES["processing"]
 
 
 def latest_state(log: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row per key by ``order``: one aggregation, reduced before the shuffle, so hot keys stay cheap."""
+    """The last row per key by ``order``: one aggregation, reduced before the shuffle, so hot keys stay cheap.
+
+    The buffer is a struct, so Spark sorts by key before and after the shuffle; the sorts spill, and a key's rows are
+    one before they travel.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in log.columns if c not in keys]
     last = F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")
@@ -24,7 +30,7 @@ def latest_state(log: DataFrame, key: str | Sequence[str], order: Sequence[str])
 
 
 def job_transition(
-    log: DataFrame, changes: DataFrame, key: str = "correlation_id", rows_per_task: int = ROWS_PER_BUCKET
+    log: DataFrame, changes: DataFrame, key: str = "correlation_id", rows_per_task: int | None = None
 ) -> DataFrame:
     """The log with ``changes`` appended; changes to unknown jobs are left out, never inserted."""
     known = log.select(key).distinct()
@@ -43,6 +49,10 @@ def job_message() -> Column:
     return F.coalesce(*chosen)
 
 
+# Who worked on a unit, and where a dead letter came from and what became of it; carried where given.
+JOB_DETAILS = ("seq", "processed_by", "origin", "death_count", "action")
+
+
 def job_changes(units: DataFrame, at: Column) -> DataFrame:
     """Transition rows for units of work; needs the columns :func:`job_message` reads and ``correlation_id``.
 
@@ -59,6 +69,7 @@ def job_changes(units: DataFrame, at: Column) -> DataFrame:
         F.when(done, F.col("items").cast("bigint")).alias("processed_items"),
         job_message().alias("message"),
         F.when(F.col("status").isin("failed", "dead_letter_failed"), F.col("error")).alias("error"),
+        *[F.col(name) for name in JOB_DETAILS if name in units.columns],
     )
 
 
@@ -85,7 +96,7 @@ def job_progress(log: DataFrame) -> DataFrame:
     return totals.withColumn("progress", F.round(F.least(F.lit(100.0), share), 4))
 
 
-def dead_letter_jobs(dead_letters: DataFrame, jobs: DataFrame, rows_per_task: int = ROWS_PER_BUCKET) -> DataFrame:
+def dead_letter_jobs(dead_letters: DataFrame, jobs: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """Dead letters with the state of their job, which may be absent. ``jobs`` has one row per job."""
     state = jobs.select(
         "correlation_id", F.col("status").alias("job_status"), F.col("event_ts").alias("job_changed_at")
@@ -99,7 +110,8 @@ def timed_out(started: Column, following: Column, as_of: Column, limit_ms: int)
 
 
 def processing_timeout(
-    log: DataFrame, as_of: Column, limit_ms: int = JOB_TIMEOUT_MS, rows_per_bucket: int = ROWS_PER_BUCKET
+    log: DataFrame, as_of: Column, limit_ms: int = JOB_TIMEOUT_MS, rows_per_bucket: int = ROWS_PER_BUCKET,
+    queue_type: str = "processing",
 ) -> DataFrame:
     """A failure row for every entry into processing that nothing followed within the limit.
 
@@ -115,5 +127,5 @@ def processing_timeout(
         F.col("event_ts").alias("started_at"),
         plus_ms(F.col("event_ts"), F.lit(limit_ms)).alias("failed_at"),
         F.lit("failed").alias("status"),
-        F.lit(TIMEOUT_MESSAGE).alias("message"),
+        F.lit(TIMEOUT_MESSAGES[queue_type]).alias("message"),
     )

@@ -16,31 +16,39 @@ from pyspark.sql import functions as F
 from ferryline.operators.ranking import MAX_BUCKETS, ROWS_PER_BUCKET, SAMPLE_PER_BUCKET
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_BUCKET) -> tuple[list[int], int]:
-    """Hashes of the keys with more than twice ``rows_per_task`` rows, and the pieces the largest one needs.
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_BUCKET) -> dict[int, int]:
+    """Hashes of the keys with more than twice ``rows_per_task`` rows, and the pieces each of them needs.
 
-    Read off a bounded sample: at most half as many keys as the table has tasks' worth of rows.
+    Read off a bounded sample: at most half as many keys as the table has tasks' worth of rows. Pieces are powers of two.
     """
     rows = df.count()
     tasks = min(MAX_BUCKETS, math.ceil(rows / rows_per_task))
     if tasks <= 2:
-        return [], 1
+        return {}
     hashes = df.select(F.xxhash64(*keys).alias("key"))
     fraction = SAMPLE_PER_BUCKET * tasks / rows
     taken = (hashes.sample(fraction, seed=13) if fraction < 1.0 else hashes).toArrow().column("key").to_numpy()
     if not len(taken):
-        return [], 1
+        return {}
     seen, hits = np.unique(taken, return_counts=True)
-    large = hits * tasks > 2 * len(taken)
-    pieces = math.ceil(tasks * hits.max() / len(taken))
-    return seen[large].tolist(), max(2, pieces)
+    share = hits * tasks / len(taken)
+    return {int(k): 2 ** math.ceil(math.log2(n)) for k, n in zip(seen, share) if n > 2}
 
 
-def _piece(df: DataFrame, pieces: int) -> Column:
+def _pieces(keys: Sequence[str], hot: dict[int, int]) -> Column:
+    """Into how many pieces the rows of a key are cut: 1 for all but the hot ones."""
+    levels: dict[int, list[int]] = {}
+    for key, pieces in hot.items():
+        levels.setdefault(pieces, []).append(key)
+    chosen = [F.when(F.xxhash64(*keys).isin(listed), pieces) for pieces, listed in sorted(levels.items())]
+    return F.coalesce(*chosen, F.lit(1))
+
+
+def _piece(df: DataFrame, pieces: Column) -> Column:
     """A piece number that a repeated task gives a row again, whatever order its rows come in."""
     plain = [f.name for f in df.schema.fields if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
     # Equal rows share a hash; the partition they lie in tells copies apart.
-    return F.pmod(F.xxhash64(*plain) + F.spark_partition_id(), F.lit(pieces)).cast("int")
+    return F.pmod(F.xxhash64(*plain) + F.spark_partition_id(), pieces).cast("int")
 
 
 def join_to_one(
@@ -48,20 +56,21 @@ def join_to_one(
     one: DataFrame,
     keys: Sequence[str],
     how: str,
-    rows_per_task: int = ROWS_PER_BUCKET,
+    rows_per_task: int | None = None,
     source: DataFrame | None = None,
 ) -> DataFrame:
-    """``many.join(one, keys, how)`` for a ``one`` with at most one row per key; rows of hot keys are spread.
+    """``many.join(one, keys, how)`` for a ``one`` with at most one row per key.
 
-    Hot keys are cut into pieces, and their row of ``one`` is repeated per piece; nothing else is. They
-    are looked for in ``many``, or in ``source`` where that has the same keys and is cheaper to read.
+    Given ``rows_per_task``, keys with more rows than that are looked for (a count and a sampling scan) and their rows
+    spread: each is cut into the pieces it needs, and its row of ``one`` repeated as often; nothing else is. They are
+    looked for in ``many``, or in ``source`` where that has the same keys and is cheaper to read. Without it this is the
+    plain join, and defining it starts no job.
     """
     keys = list(keys)
-    hot, pieces = hot_keys(many if source is None else source, keys, rows_per_task)
+    hot = hot_keys(many if source is None else source, keys, rows_per_task) if rows_per_task else {}
     if not hot:
         return many.join(one, keys, how)
-    is_hot = F.xxhash64(*keys).isin(hot)
-    left = many.withColumn("_piece", F.when(is_hot, _piece(many, pieces)).otherwise(F.lit(0)))
-    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(F.lit(0)))
-    right = one.withColumn("_piece", F.explode(every))
+    pieces = _pieces(keys, hot)
+    left = many.withColumn("_piece", _piece(many, pieces))
+    right = one.withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
     return left.join(right, [*keys, "_piece"], how).drop("_piece")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferryline.functions.derived import elapsed_ms
 from ferryline.operators.jobs import latest_state
+from ferryline.schemas import QUEUES
 
 # What a log entry says about its worker, and which statuses are judged.
 STATUS_OF_ENTRY = {"ready": "ready", "messageProcessed": "processing", "error": "error", "crash": "crashed", "exit": "stopped"}
@@ -14,14 +18,23 @@ HEALTHY = ("ready", "processing")
 UNHEALTHY = ("error", "crashed")
 
 
-def queue_depth(messages: DataFrame, queue: str | None = None, consumers: DataFrame | None = None) -> DataFrame:
-    """Messages, and consumers where given, per queue and in total; or of one queue alone."""
+def queue_depth(
+    messages: DataFrame, queue: str | None = None, consumers: DataFrame | None = None,
+    known: Sequence[str] = tuple(p.queue_type for p in QUEUES),
+) -> DataFrame:
+    """Messages, and consumers where given, per queue and in total; or of one queue alone.
+
+    ``known`` queues, and the one asked for, are reported with 0 where nothing waits in them.
+    """
     counted = [messages.select("queue_type", F.lit(1).alias("_messages"), F.lit(None).cast("string").alias("_consumer"))]
     if consumers is not None:
         counted.append(consumers.select(
             "queue_type", F.lit(0).alias("_messages"), F.col("consumer").cast("string").alias("_consumer")
         ).distinct())
-    rows = counted[0] if len(counted) == 1 else counted[0].unionByName(counted[1])
+    listed = [(name,) for name in (known if queue is None else [queue])]
+    counted.append(messages.sparkSession.createDataFrame(listed, "queue_type string").select(
+        "queue_type", F.lit(0).alias("_messages"), F.lit(None).cast("string").alias("_consumer")))
+    rows = reduce(DataFrame.unionByName, counted)
     measures = [F.sum("_messages").alias("messages"), F.count("_consumer").alias("consumers")]
     if queue is not None:
         return rows.where(F.col("queue_type") == queue).groupBy("queue_type").agg(*measures)

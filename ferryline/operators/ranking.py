@@ -286,14 +286,21 @@ def number_rows(
     out: str = "position",
     rows_per_bucket: int = ROWS_PER_BUCKET,
     stats: dict | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """``row_number()`` per ``partition`` (or overall) by ``order``, in tasks of bounded size.
 
-    ``order`` must identify a row within its partition. The rows are shuffled once. ``stats`` spares a
-    scan where the caller already has the :func:`order_stats`.
+    ``order`` must identify a row within its partition; with ``unique``, rows that share it are refused.
+    The rows are shuffled once. ``stats`` spares a scan where the caller already has the :func:`order_stats`.
     """
     cut = bucketed(df, order, partition, rows_per_bucket, stats)
-    inside = F.row_number().over(Window.partitionBy(GROUP, BUCKET).orderBy(*sort_columns(order))).cast("bigint")
+    along = Window.partitionBy(GROUP, BUCKET).orderBy(*sort_columns(order))
+    inside = F.row_number().over(along).cast("bigint")
+    if unique:
+        # Equal rows share their bucket, so they are neighbours in one window.
+        here = F.struct(*map(order_name, order))
+        refused = F.raise_error(F.lit(f"{','.join(map(order_name, order))} does not identify a row")).cast("bigint")
+        inside = F.when(F.lag(here).over(along) == here, refused).otherwise(inside)
     if not cut.cut:
         return cut.frame.withColumn(out, inside).drop(GROUP, BUCKET)
     earlier = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -37,6 +37,7 @@ def route_message(df: DataFrame) -> DataFrame:
 def _pattern_regex(pattern: str) -> str:
     """A topic pattern as a regular expression: ``*`` is one word, ``#`` any number of words."""
     out, words = "", pattern.split(".")
+    words = [w for i, w in enumerate(words) if w != "#" or not i or words[i - 1] != "#"]  # a run of # says no more than one
     if words == ["#"]:
         return r"\A[\s\S]*\z"
     for i, word in enumerate(words):

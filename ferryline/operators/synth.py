@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferryline.functions.derived import below, pick, plus_ms
+from ferryline.functions.derived import below, ntz_micros, pick, plus_ms
 from ferryline.schemas import ITEM_STATUSES
 
 # ---- Fixed values: the lists rows are drawn from ---------------------------------------------------
@@ -56,6 +56,8 @@ def items_from_ids(ids: DataFrame, key: str, seed: int, as_of: Column) -> DataFr
         "version",
         F.concat(F.lit("Generated test data for "), F.concat_ws(" ", "_first", "_last")).alias("notes"),
         F.lit("seed-service").alias("source"), "region", "created_at", as_of.alias("updated_at"),
+        as_of.alias("last_modified"),
+        F.concat(F.lit("batch-"), F.floor(ntz_micros(as_of) / 1000).cast("string")).alias("batch"),
     )
 
 

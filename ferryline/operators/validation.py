@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ferryline.functions.filters import filter_spec
 from ferryline.operators.joins import join_to_one
-from ferryline.operators.ranking import ROWS_PER_BUCKET
 
 
 @dataclass(frozen=True)
@@ -43,11 +42,11 @@ class Checked(NamedTuple):
     bad: DataFrame
 
 
-def validate_rows(df: DataFrame, rules: Sequence[Rule], rows_per_task: int = ROWS_PER_BUCKET) -> Checked:
+def validate_rows(df: DataFrame, rules: Sequence[Rule], rows_per_task: int | None = None) -> Checked:
     """Split rows by ``rules``; ``bad`` carries the names of the broken rules in ``reasons``.
 
     Uniqueness counts copies per key first (with map-side partial counts) and joins only the repeated
-    keys back, in pieces where a key has very many copies. Null keys are not compared.
+    keys back; given ``rows_per_task``, in pieces where a key has more copies. Null keys are not compared.
     """
     marked, broken = df, []
     for i, rule in enumerate(rules):

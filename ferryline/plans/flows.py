@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferryline.functions.filters import filter_spec
-from ferryline.operators.archive import Reconciled, archive_reconcile, archive_rows
-from ferryline.operators.batching import make_batches, unwrap_batches
+from ferryline.operators.archive import Reconciled, archive_reconcile
+from ferryline.operators.batching import make_batches, open_batches, unwrap_batches
 from ferryline.operators.failures import dead_letter_triage, split_outcomes
 from ferryline.operators.jobs import job_changes, job_transition, latest_state
 from ferryline.operators.models import archive_row_rules
@@ -19,6 +19,7 @@ from ferryline.operators.updates import TRANSITION_COLUMNS, Updated, keyed_updat
 from ferryline.schemas import ITEM
 from ferryline.sources.bodies import mark_undecodable
 from ferryline.sources.tables import append_valid
+from ferryline.streaming.consumers import ARRIVAL, archivable
 
 
 def _delivered(sent: DataFrame, path: str) -> DataFrame:
@@ -32,10 +33,10 @@ def archive_flow(
 ) -> tuple[DataFrame, Reconciled]:
     """Batch, publish, consume, archive, and compare the archive with its source."""
     sent = publish_batches(make_batches(items, "item_id", size, collection), 0, "archive", 0, as_of)
-    received = unwrap_batches(_delivered(sent, f"{path}/messages"), ITEM)
-    rows = archive_rows(received.items.select(*ITEM.names, "batch_id"), F.col("batch_id"), as_of).drop("batch_id")
-    # A message delivered twice archives its rows once.
-    rows = latest_state(rows, "original_id", ["archive_batch"])
+    opened = open_batches(_delivered(sent, f"{path}/messages"), ITEM)
+    rows = archivable(opened, ITEM, as_of, collection).where("error IS NULL").drop("correlation_id", "body", "error")
+    # A message delivered twice archives its rows once; the last one sent wins.
+    rows = latest_state(rows, "original_id", ARRIVAL).drop("sent_at", "batch_number")
     stored = append_valid(rows, archive_row_rules(), f"{path}/archive", run_id).table
     return stored, archive_reconcile(items, stored)
 
@@ -67,9 +68,11 @@ def failure_flow(messages: DataFrame, log: DataFrame, body_schema, as_of: Column
     triaged = dead_letter_triage(
         dead.withColumns({"death_count": F.col("x_death_count"), "original_queue": F.col("x_first_death_queue")})
     )
+    steps = F.posexplode(F.array(F.lit("dead_letter_processing"), F.lit("dead_letter_completed"))).alias("seq", "status")
     units = triaged.select(
-        "correlation_id", F.lit("dead_letter_completed").alias("status"), F.lit("deadletter").alias("queue_type"),
-        F.lit(1).alias("items"), "deaths", F.lit(None).cast("string").alias("error"),
-    )
+        "correlation_id", steps, F.lit("deadletter").alias("queue_type"), F.lit(1).alias("items"), "deaths",
+        F.lit(None).cast("string").alias("error"), F.lit("deadletter-consumer").alias("processed_by"), "origin",
+        F.col("deaths").alias("death_count"), "action",
+    ).withColumn("seq", F.col("seq").cast("bigint"))
     log = job_transition(log, job_changes(units, as_of))
     return Failures(outcomes, triaged, log)

@@ -153,6 +153,7 @@ def _synth_items() -> str:
   (['sales','marketing','support','tech','admin'])[{template}] AS department,
   {_draw('version', 10)} + 1 AS version, 'Generated test data for ' || first || ' ' || last AS notes,
   'seed-service' AS source, {_chosen('region', synth.REGIONS)} AS region,
+  {AS_OF} AS last_modified, 'batch-' || epoch_ms({AS_OF}) AS batch,
   {AS_OF} - to_seconds({_draw('age', 90 * 86400)}) AS created_at, {AS_OF} AS updated_at
 FROM (SELECT o_orderkey, {_chosen('first', synth.FIRST_NAMES)} AS first, {_chosen('last', synth.LAST_NAMES)} AS last FROM orders)"""
 
@@ -272,7 +273,7 @@ SELECT message_id AS number,
 FROM v_messages"""),
     "unwrap_batches": _with(
         "SELECT 'someModel_batch_' || batch_number AS batch_id, 'someModel_batch_' || batch_number AS correlation_id, "
-        "* EXCLUDE (batch_number) REPLACE (coalesce(retry_count, -1) AS retry_count) FROM batched", {"batched": _BATCHED}
+        "* REPLACE (coalesce(retry_count, -1) AS retry_count), '2024-02-01T00:00:00.000Z' AS sent_at FROM batched", {"batched": _BATCHED}
     ),
     "unwrap_batches_errors": _with("""
 SELECT message_id, 'e' AS batch_id, '{"batchId": "e", "collection": "someModel", "data": []}' AS body,
@@ -317,6 +318,7 @@ WHERE m.queue_type = 'deadletter'""", {"latest": _LATEST_JOB}),
 SELECT CASE WHEN grouping(queue_type) = 1 THEN 'total' ELSE queue_type END AS queue_type,
   CAST(sum(messages) AS BIGINT) AS messages, CAST(sum(consumers) AS BIGINT) AS consumers
 FROM (SELECT queue_type, count(*) AS messages, 0 AS consumers FROM v_messages GROUP BY queue_type
+  UNION ALL SELECT unnest(['processing', 'priority', 'deadletter', 'retry', 'archive']), 0, 0
   UNION ALL SELECT CASE consumer_type WHEN 'ProcessingConsumer' THEN 'processing' WHEN 'PriorityConsumer' THEN 'priority'
     WHEN 'DeadLetterConsumer' THEN 'deadletter' ELSE 'archive' END, 0, count(DISTINCT worker_no)
   FROM v_worker_log GROUP BY 1) GROUP BY ROLLUP (queue_type)"""),
@@ -411,10 +413,6 @@ SELECT message_id, correlation_id, queue_type, routing_key, priority, CAST(x_ret
   'handler failed' AS x_retry_reason, {AS_OF} AS x_retry_at FROM split WHERE outcome = 'retry'""",
         {"judged": _JUDGED.format(source="v_messages"), "split": _SPLIT}),
     # Retried until the limit: the count ends at the limit, or stays where it was beyond it.
-    "retry_cycle": _with("""
-SELECT m.queue_type, CASE WHEN p.retrying AND p.exhausted_key IS NOT NULL THEN 'dead_letter' ELSE 'dropped' END AS outcome,
-  CAST(CASE WHEN p.retrying THEN greatest(m.x_retries, p.max_retries) ELSE m.x_retries END AS BIGINT) AS next_retries,
-  count(*) AS messages FROM v_messages m LEFT JOIN policy p ON m.queue_type = p.queue_type GROUP BY ALL"""),
     "outcome_counts": _with(
         "SELECT queue_type, outcome, count(*) AS messages FROM split GROUP BY queue_type, outcome",
         {"judged": _JUDGED.format(source="v_messages"), "split": _SPLIT},
@@ -430,9 +428,16 @@ FROM (SELECT m.*, p.expired_key, CASE WHEN NOT (ttl_ms > 0 AND wait_ms > ttl_ms)
         _late(f"coalesce(next_ts, {AS_OF}) > event_ts + INTERVAL 300 SECOND"), {"entries": _NEXT_ENTRY}
     ),
     "processing_timeout_stream": _with(
-        _late("(next_ts IS NULL OR next_ts > event_ts + INTERVAL 300 SECOND) AND event_ts + INTERVAL 300 SECOND "
-              "<= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"), {"entries": _NEXT_ENTRY}
+        _late(f"coalesce(next_ts, {AS_OF}) > event_ts + INTERVAL 300 SECOND"), {"entries": _NEXT_ENTRY}
+    ),
+    "processing_timeout_priority": _with(
+        "SELECT correlation_id, seq, 'Priority worker timeout exceeded' AS message FROM ("
+        + _late(f"coalesce(next_ts, {AS_OF}) > event_ts + INTERVAL 300 SECOND") + ")", {"entries": _NEXT_ENTRY}
     ),
+    "make_batches_text_key": """
+SELECT 'pages_batch_' || batch_number AS batch_id, count(*) AS items, min(page) AS first_page
+FROM (SELECT page, (row_number() OVER (ORDER BY page) - 1) // 100 + 1 AS batch_number
+  FROM (SELECT url || '#' || page_id AS page FROM pages)) GROUP BY batch_number""",
     "dead_letter_triage": _with(f"""
 SELECT message_id, deaths, CASE WHEN message_id % 3 = 0 THEN 'unknown' ELSE 'app.processing.queue' END AS origin,
   {_TRIAGE} AS action, CAST(CASE WHEN deaths < 3 THEN 5000 * deaths ELSE -1 END AS BIGINT) AS requeue_delay_ms
@@ -441,6 +446,15 @@ FROM (SELECT *, coalesce(death_count, 1) AS deaths FROM v_messages WHERE queue_t
         f"SELECT item_id AS original_id, status, 'someModel_batch_' || batch_number AS archive_batch, {AS_OF} AS archived_at, "
         "'archive-worker' AS archived_by, updated_at AS original_updated_at FROM batched", {"batched": _BATCHED}
     ),
+    "archive_stream_errors": _with("""
+SELECT correlation_id, error, count(*) AS items FROM (SELECT 'someModel_batch_' || batch_number AS correlation_id,
+  CASE item_id % 10 WHEN 7 THEN 'item does not fit its fields' WHEN 3 THEN 'name is required' ELSE 'archived' END AS error
+  FROM batched) GROUP BY ALL""", {"batched": _BATCHED}),
+    "bulk_update_stream_priority": _with(
+        "SELECT 'someModel_batch_' || batch_number AS correlation_id, 'completed' AS status, 100.0::DOUBLE AS progress, "
+        "count(*) AS processed_items, 'Successfully processed ' || count(*) || ' high-priority items in worker thread' AS message, "
+        "'priority-consumer' AS processed_by FROM batched GROUP BY batch_number", {"batched": _BATCHED}
+    ),
     "bulk_update_stream": _with(
         "SELECT " + _transition("'someModel_batch_' || batch_number") + " FROM batched i", {"batched": _BATCHED}
     ),
@@ -455,9 +469,9 @@ FROM (SELECT *, coalesce(death_count, 1) AS deaths FROM v_messages WHERE queue_t
 SELECT time_bucket(INTERVAL 1 HOUR, published_at) AS window_start, time_bucket(INTERVAL 1 HOUR, published_at) + INTERVAL 1 HOUR AS window_end,
   queue_type, count(*) AS messages FROM v_messages GROUP BY ALL"""),
     "throughput_stream": _with("""
-SELECT * FROM (SELECT date_trunc('day', published_at)::TIMESTAMP AS window_start,
+SELECT date_trunc('day', published_at)::TIMESTAMP AS window_start,
   date_trunc('day', published_at)::TIMESTAMP + INTERVAL 1 DAY AS window_end, queue_type, count(*) AS messages
-  FROM v_messages GROUP BY ALL) WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""),
+FROM v_messages GROUP BY ALL"""),
     "archive_flow": _with(_BATCH_COUNTS, {"batched": _BATCHED}),
     "archive_flow_missing": _with("SELECT item_id FROM v_items WHERE false"),
     "bulk_update_flow": _with(
@@ -482,8 +496,10 @@ FROM (SELECT *, x_retries + 1 AS deaths FROM split WHERE outcome = 'dead_letter'
          "judged": _JUDGED.format(source="handled"), "split": _SPLIT}),
     "failure_flow_jobs": _with("""
 SELECT correlation_id, status, message, count(*) AS entries FROM (SELECT correlation_id, status, NULL AS message FROM known
-  UNION ALL SELECT correlation_id, 'dead_letter_completed',
-    'Dead letter processing completed for 1 items (deaths: ' || (x_retries + 1) || ')' FROM split
+  UNION ALL SELECT correlation_id, step, CASE step WHEN 'dead_letter_completed'
+      THEN 'Dead letter processing completed for 1 items (deaths: ' || (x_retries + 1) || ')'
+      ELSE 'Processing 1 dead letter items (deaths: ' || (x_retries + 1) || ') in worker thread' END
+    FROM split, (SELECT unnest(['dead_letter_processing', 'dead_letter_completed']) AS step)
     WHERE outcome = 'dead_letter' AND message_id % 3 <> 0 AND correlation_id IN (SELECT correlation_id FROM known)) GROUP BY ALL""",
         {"known": "SELECT * FROM v_job_log",
          "handled": "SELECT * REPLACE (handler_failed OR message_id % 7 = 0 AS handler_failed) FROM v_messages",

@@ -72,9 +72,21 @@ def decode_messages_bad(spark, folder):
     return decode_messages(_partly_broken(spark, folder), BODY).bad
 
 
+SLICES = 4
+ROWS_PER_SLICE = 1_000_000
+
+
 def _events_stream(spark, folder):
-    # The bracket makes the path a pattern, which a stream accepts for one file as well as for a folder.
-    return running.stream_scan(spark, f"{folder}/events.parque[t]", EVENT, maxFilesPerTrigger="10000")
+    """The events as a stream of several files in the order of their numbers, one file to a micro-batch."""
+    events, path = col.table(spark, folder, "events"), work_folder(spark, "events")
+    told = events.agg(F.min("event_id").alias("low"), F.max("event_id").alias("high"), F.count("*").alias("rows")).first()
+    slices = max(SLICES, -(-told.rows // ROWS_PER_SLICE))
+    low, high = told.low or 0, told.high or 0
+    step = (high - low) // slices + 1
+    for start in range(low, high + 1, step):
+        part = events.where(F.col("event_id").between(start, start + step - 1))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return running.stream_scan(spark, path, EVENT, maxFilesPerTrigger="1")
 
 
 @query
@@ -624,20 +636,6 @@ def requeue(spark, folder):
     return fail.requeue(_split(spark, folder), columns, F.lit("handler failed"), as_of())
 
 
-@query
-def retry_cycle(spark, folder):
-    """Messages whose handler never succeeds, sent round through storage until the counts they carry end it."""
-    home = work_folder(spark, "retry-cycle")
-    left = views.messages(spark, folder).drop("body").withColumn("handler_failed", F.lit(True))
-    columns = left.columns
-    for turn in range(1 + max(p.max_retries or 0 for p in QUEUES)):
-        path = f"{home}/filed/turn={turn}"
-        fail.split_outcomes(left, as_of(), F.lit("handler failed")).write.parquet(path)
-        left = fail.requeue(spark.read.parquet(path), columns, F.lit("handler failed"), as_of()).select(*columns)
-    filed = spark.read.option("basePath", f"{home}/filed").parquet(f"{home}/filed").where("outcome <> 'retry'")
-    return filed.groupBy("queue_type", "outcome", "next_retries").agg(F.count(F.lit(1)).alias("messages"))
-
-
 @query
 def outcome_counts(spark, folder):
     return _split(spark, folder).groupBy("queue_type", "outcome").agg(F.count(F.lit(1)).alias("messages"))
@@ -665,10 +663,13 @@ def processing_timeout(spark, folder):
 
 @query
 def processing_timeout_stream(spark, folder):
-    home = work_folder(spark, "processing-timeout")
-    late = job_streams.processing_timeout_stream(views.job_log_of(_events_stream(spark, folder)), "1 hour")
+    home, log = work_folder(spark, "processing-timeout"), views.job_log_of(_events_stream(spark, folder))
+    late = job_streams.processing_timeout_stream(log, "1 hour")
     running.run_available(spark, late.writeStream.format("parquet").option("path", f"{home}/rows"), f"{home}/checkpoint")
-    return spark.read.schema(late.schema).parquet(f"{home}/rows")
+    folded = job_streams.status_log(job_streams.job_status_stream(log), f"{home}/log")
+    running.run_available(spark, folded, f"{home}/log-checkpoint")
+    status = job_streams.read_status(spark.read.option("basePath", f"{home}/log").parquet(f"{home}/log"))
+    return job_streams.read_timeouts(spark.read.schema(late.schema).parquet(f"{home}/rows"), status, as_of())
 
 
 @query
@@ -680,12 +681,23 @@ def dead_letter_triage(spark, folder):
     return numbered(triaged, "requeue_delay_ms")
 
 
-def _published(spark, folder, home, queue_type):
-    """All items as published batch messages, in the folder of their queue, as a stream."""
+FILES = 5
+
+
+def _published(spark, folder, home, queue_type, change=lambda body: body):
+    """All items as published batch messages, in the folder of their queue, as a stream of several files."""
     batches = make_batches(views.items(spark, folder), "item_id", BATCH, "someModel")
-    sent = routing.publish_batches(batches, 0, queue_type, 0, as_of())
-    send(sent.select("correlation_id", "body", "delivered_queue"), f"{home}/queues", "r1")
-    return running.stream_scan(spark, queue_folder(f"{home}/queues", routing.ROUTES[queue_type][1]), MESSAGE)
+    sent = routing.publish_batches(batches, 0, queue_type, 0, as_of()).select("correlation_id", "body", "delivered_queue")
+    sent = sent.withColumn("body", change(F.col("body"))).repartition(FILES, "correlation_id")
+    send(sent, f"{home}/queues", "r1")
+    return running.stream_scan(
+        spark, queue_folder(f"{home}/queues", routing.ROUTES[queue_type][1]), MESSAGE, maxFilesPerTrigger="1")
+
+
+def _some_broken(body):
+    """Ids that end in 7 are no numbers, and names of items whose id ends in 3 are missing."""
+    return F.regexp_replace(F.regexp_replace(
+        body, '"item_id":([0-9]*7),', '"item_id":"x$1",'), '"item_id":([0-9]*3),"name":"[^"]*"', '"item_id":$1,"name":null')
 
 
 @query
@@ -693,27 +705,54 @@ def archive_stream(spark, folder):
     home = work_folder(spark, "archive-stream")
     writer = consumers.archive_stream(_published(spark, folder, home, "archive"), ITEM, f"{home}/archive", "r1", as_of())
     running.run_available(spark, writer, f"{home}/checkpoint")
-    rows = spark.read.option("basePath", f"{home}/archive/rows").parquet(f"{home}/archive/rows")
+    rows = consumers.read_archive(spark, f"{home}/archive")
     return rows.select("original_id", "status", "archive_batch", "archived_at", "archived_by", "original_updated_at")
 
 
+def _archived_in_part(spark, folder):
+    home = work_folder(spark, "archive-errors")
+    stream = _published(spark, folder, home, "archive", _some_broken)
+    running.run_available(spark, consumers.archive_stream(stream, ITEM, f"{home}/archive", "r1", as_of()), f"{home}/checkpoint")
+    return f"{home}/archive"
+
+
 @query
-def bulk_update_stream(spark, folder):
+def archive_stream_errors(spark, folder):
+    """What broken items became: refused ones by batch and reason, and those archived."""
+    path = _archived_in_part(spark, folder)
+    refused = spark.read.parquet(f"{path}/errors").groupBy("correlation_id", "error").agg(F.count("*").alias("items"))
+    kept = consumers.read_archive(spark, path).groupBy(F.col("archive_batch").alias("correlation_id")).agg(
+        F.lit("archived").alias("error"), F.count("*").alias("items"))
+    return refused.unionByName(kept)
+
+
+def _updated(spark, folder, queue_type):
     home = work_folder(spark, "bulk-update")
-    stream = _published(spark, folder, home, "processing")
-    running.run_available(spark, consumers.bulk_update_stream(stream, ITEM, f"{home}/log", as_of()), f"{home}/checkpoint")
-    return _shown(consumers.apply_updates(spark, views.items(spark, folder), f"{home}/log").target)
+    stream = _published(spark, folder, home, queue_type)
+    writer = consumers.bulk_update_stream(stream, ITEM, f"{home}/log", as_of(), queue_type)
+    running.run_available(spark, writer, f"{home}/checkpoint")
+    return f"{home}/log"
+
+
+@query
+def bulk_update_stream(spark, folder):
+    return _shown(consumers.apply_updates(spark, views.items(spark, folder), _updated(spark, folder, "processing")).target)
 
 
 @query
 def bulk_update_stream_jobs(spark, folder):
-    home = work_folder(spark, "bulk-update-jobs")
-    stream = _published(spark, folder, home, "processing")
-    running.run_available(spark, consumers.bulk_update_stream(stream, ITEM, f"{home}/log", as_of()), f"{home}/checkpoint")
-    log = spark.read.parquet(f"{home}/log/jobs")
+    log = spark.read.parquet(f"{_updated(spark, folder, 'processing')}/jobs")
     return numbered(log.select("correlation_id", "status", "progress", "processed_items", "message"), "processed_items")
 
 
+@query
+def bulk_update_stream_priority(spark, folder):
+    """The priority queue's consumer, and the state of its jobs at the end."""
+    log = spark.read.parquet(f"{_updated(spark, folder, 'priority')}/jobs")
+    current = jobs.latest_state(log, "correlation_id", ["event_ts", "seq"])
+    return current.select("correlation_id", "status", "progress", "processed_items", "message", "processed_by")
+
+
 @query
 def throughput(spark, folder):
     return monitoring.throughput(views.messages(spark, folder), "1 hour")
@@ -723,8 +762,21 @@ def throughput(spark, folder):
 def throughput_stream(spark, folder):
     home = work_folder(spark, "throughput")
     counted = job_streams.throughput_stream(views.messages_of(_events_stream(spark, folder)), "1 day", "1 hour")
-    running.run_available(spark, counted.writeStream.format("parquet").option("path", f"{home}/rows"), f"{home}/checkpoint")
-    return spark.read.schema(counted.schema).parquet(f"{home}/rows")
+    running.run_available(spark, job_streams.status_log(counted, f"{home}/log"), f"{home}/checkpoint")
+    return job_streams.read_throughput(spark.read.option("basePath", f"{home}/log").parquet(f"{home}/log"))
+
+
+@query
+def processing_timeout_priority(spark, folder):
+    return jobs.processing_timeout(views.job_log(spark, folder), as_of(), queue_type="priority").select("correlation_id", "seq", "message")
+
+
+@query
+def make_batches_text_key(spark, folder):
+    """Batches of pages by a long text key that begins alike in all rows."""
+    pages = col.table(spark, folder, "pages").select(F.concat("url", F.lit("#"), "page_id").alias("page"), "page_id")
+    batches = make_batches(pages, "page", BATCH, "pages")
+    return batches.select("batch_id", F.size("data").cast("bigint").alias("items"), F.get("data", F.lit(0))["page"].alias("first_page"))
 
 
 # ---- Flows ---------------------------------------------------------------------------------------

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferryline.operators.validation import Rule, validate_rows
+from ferryline.operators.validation import Checked, Rule, validate_rows
 
 
 class Appended(NamedTuple):
@@ -18,16 +19,39 @@ class Appended(NamedTuple):
     inserted: int
 
 
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":  # the first run
+            return None
+        raise
+
+
+def _against(checked: Checked, others: DataFrame, rules: Sequence[Rule]) -> Checked:
+    """Rows whose key another run has stored go to ``bad``."""
+    ok, bad = checked
+    for rule in rules:
+        taken = others.select(*rule.unique).distinct()
+        again = ok.join(taken, list(rule.unique), "left_semi").withColumn("reasons", F.array(F.lit(rule.name)))
+        ok, bad = ok.join(taken, list(rule.unique), "left_anti"), bad.unionByName(again)
+    return Checked(ok, bad)
+
+
 def append_valid(df: DataFrame, rules: Sequence[Rule], path: str, run_id: str) -> Appended:
     """Append the rows that keep all ``rules``; the others do not stop them and are returned.
 
-    Rows land in ``path/run_id=<run_id>``, which a rerun replaces, so a repeated run adds nothing.
+    Rows land in ``path/run_id=<run_id>``, which a rerun replaces, so a repeated run adds nothing. What rules call
+    unique is compared with the rows of other runs too.
     """
+    whole = T.StructType([*df.schema.fields, T.StructField("run_id", T.StringType())])
     checked = validate_rows(df, rules)
+    others = _stored(df.sparkSession, path, whole)
+    if others is not None:
+        checked = _against(checked, others.where(F.col("run_id") != run_id), [r for r in rules if r.unique])
     seen = Observation("inserted")
     counted = checked.ok.observe(seen, F.count(F.lit(1)).alias("inserted"))
     counted.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
-    whole = T.StructType([*df.schema.fields, T.StructField("run_id", T.StringType())])
     stored = df.sparkSession.read.schema(whole).option("basePath", path).parquet(path)
     return Appended(stored, checked.bad, seen.get["inserted"])
 

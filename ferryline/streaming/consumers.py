@@ -1,4 +1,9 @@
-"""Consumers of batch messages: archiving and bulk updates."""
+"""Consumers of batch messages: archiving and bulk updates, both kept as logs that are folded when they are read.
+
+A micro-batch writes what it received and reads nothing of earlier ones, so its cost does not grow with them. Batches carry
+the time and number at which they were sent, and the fold goes by these: the result does not depend on how the stream was
+cut into micro-batches.
+"""
 
 from __future__ import annotations
 
@@ -10,79 +15,88 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ferryline.operators.archive import archive_rows
-from ferryline.operators.batching import unwrap_batches
+from ferryline.operators.batching import open_batches
 from ferryline.operators.jobs import job_changes, latest_state
+from ferryline.operators.models import archive_row_rules
 from ferryline.operators.updates import TRANSITION_COLUMNS, Updated, keyed_update, status_transition
 from ferryline.streaming.running import each_batch
 
+# In which order batches were sent; the id of the batch settles ties.
+ARRIVAL = ("sent_at", "batch_number", "archive_batch")
+
+
+def archivable(opened: DataFrame, item: T.StructType, as_of: Column, collection: str) -> DataFrame:
+    """Items of :func:`open_batches` as archive rows; ``error`` tells what keeps one out.
+
+    That is what could not be read, another collection, or a broken rule of archive rows. Every item gives one row.
+    """
+    foreign = F.when(F.coalesce(F.col("collection") != collection, F.lit(True)), F.lit("unsupported collection"))
+    named = opened.select(*item.names, "batch_id", "correlation_id", "body", "sent_at", "batch_number",
+                          F.coalesce("error", foreign).alias("error"))
+    rows = archive_rows(named, F.col("batch_id"), as_of).drop("batch_id")
+    broken = F.concat_ws(", ", *[F.when(rule.broken, F.lit(rule.name)) for rule in archive_row_rules()])
+    return rows.withColumn("error", F.coalesce("error", F.nullif(broken, F.lit(""))))
+
 
 def archive_stream(
     stream: DataFrame, item: T.StructType, path: str, run_id: str, as_of: Column, collection: str = "someModel"
 ) -> DataStreamWriter:
-    """Envelopes to archive rows, each original once per run.
+    """Envelopes to archive rows; :func:`read_archive` gives each original once.
 
-    Rows land in ``path/rows/run_id=<run>/batch_id=<n>``, refused messages in ``path/errors``. A repeated
-    micro-batch replaces its folders; an item published again in a later one is recognised by its id,
-    reading only the id column of files whose id range meets the micro-batch.
+    Rows land in ``path/rows/run_id=<run>/batch_id=<n>``, and what is refused in ``path/errors``, with the reason, one row
+    for each item or unreadable message. A repeated micro-batch replaces its folders.
     """
-    home = f"{path}/rows/run_id={run_id}"
-    known = T.StructType([T.StructField("original_id", item["item_id"].dataType), T.StructField("batch_id", T.LongType())])
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        opened = unwrap_batches(batch, item)
-        foreign = F.coalesce(F.col("collection") != collection, F.lit(True))
-        received = opened.items.persist()  # parsed once for the steps below
+        received = archivable(open_batches(batch, item), item, as_of, collection).persist()  # parsed once for both
         try:
-            refused = received.where(foreign).select("correlation_id").distinct().withColumn(
-                "error", F.lit("unsupported collection")
-            )
-            opened.errors.select("correlation_id", "error").unionByName(refused).write.mode("overwrite").parquet(
-                f"{path}/errors/run_id={run_id}/batch_id={batch_id}"
-            )
-            named = received.where(~foreign).select(*item.names, "batch_id")
-            rows = archive_rows(named, F.col("batch_id"), as_of).drop("batch_id")
-            rows = latest_state(rows, "original_id", ["archive_batch"])
-            if batch_id > 0:
-                low, high = received.agg(F.min("item_id"), F.max("item_id")).first()
-                earlier = (
-                    spark.read.schema(known).option("basePath", home).parquet(home)
-                    .where((F.col("batch_id") < batch_id) & F.col("original_id").between(low, high))
-                    .select("original_id")
-                )
-                # Reduced to the ids of this micro-batch first, which is usually small enough to broadcast.
-                wanted = received.select(F.col("item_id").alias("original_id")).distinct()
-                again = earlier.join(wanted, "original_id", "left_semi")
-                rows = rows.join(again, "original_id", "left_anti")
-            rows.write.mode("overwrite").parquet(f"{home}/batch_id={batch_id}")
+            place = f"run_id={run_id}/batch_id={batch_id}"
+            received.where("error IS NOT NULL").select("correlation_id", "body", "error").write.mode("overwrite").parquet(
+                f"{path}/errors/{place}")
+            received.where("error IS NULL").drop("correlation_id", "body", "error").write.mode("overwrite").parquet(
+                f"{path}/rows/{place}")
         finally:
             received.unpersist()
 
     return each_batch(stream, store)
 
 
+def read_archive(spark: SparkSession, path: str) -> DataFrame:
+    """The archive of all runs: of an original that came in several batches, the row of the last one sent."""
+    rows = spark.read.option("basePath", f"{path}/rows").parquet(f"{path}/rows").drop("run_id", "batch_id")
+    return latest_state(rows, "original_id", ARRIVAL).drop("sent_at", "batch_number")
+
+
 def bulk_update_stream(
-    stream: DataFrame, item: T.StructType, path: str, as_of: Column
+    stream: DataFrame, item: T.StructType, path: str, as_of: Column, queue_type: str = "processing",
+    known: DataFrame | None = None,
 ) -> DataStreamWriter:
-    """Envelopes to update rows and job transitions, kept as logs: the target is not rewritten per micro-batch."""
+    """Envelopes of a queue to update rows and job transitions: the target is not rewritten per micro-batch.
+
+    Items that cannot be read go to ``path/errors``; a message without any other one fails. Transitions are for the jobs
+    in ``known`` (a column ``correlation_id``), never for others; without it, for all. ``seq`` orders those of a job.
+    """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        opened = unwrap_batches(batch, item)
-        received = opened.items.persist()  # parsed once for the steps below
+        received = open_batches(batch, item).persist()  # parsed once for the steps below
         try:
-            changed = status_transition(received, as_of, F.col("correlation_id"))
-            changed.select("item_id", *TRANSITION_COLUMNS).write.mode("overwrite").parquet(
-                f"{path}/updates/batch_id={batch_id}"
-            )
-            sizes = received.groupBy("correlation_id").agg(F.count(F.lit(1)).alias("items"))
-            done = sizes.select("*", F.explode(F.array(F.lit("processing"), F.lit("completed"))).alias("status"))
-            failed = opened.errors.select(
-                "correlation_id", F.lit(0).cast("bigint").alias("items"), F.lit("failed").alias("status"), "error"
-            )
-            units = done.unionByName(failed, allowMissingColumns=True).withColumns({
-                "queue_type": F.lit("processing"), "deaths": F.lit(None).cast("int"),
+            good, bad = received.where("error IS NULL"), received.where("error IS NOT NULL")
+            changed = status_transition(good, as_of, F.col("correlation_id"))
+            changed.select("item_id", *TRANSITION_COLUMNS, "sent_at", "batch_number").write.mode("overwrite").parquet(
+                f"{path}/updates/batch_id={batch_id}")
+            bad.select("correlation_id", "body", "error").write.mode("overwrite").parquet(f"{path}/errors/batch_id={batch_id}")
+            units = received.groupBy("correlation_id").agg(
+                F.count_if(F.col("error").isNull()).alias("items"), F.min("error").alias("error"))
+            done = F.array(F.lit("processing"), F.lit("completed"))
+            steps = units.select("correlation_id", "items", "error", F.posexplode(
+                F.when(F.col("items") > 0, done).otherwise(F.array(F.lit("failed")))).alias("seq", "status"))
+            steps = steps.withColumns({
+                "seq": F.when(F.col("status") == "failed", 1).otherwise(F.col("seq")).cast("bigint"),
+                "queue_type": F.lit(queue_type), "deaths": F.lit(None).cast("int"), "processed_by": F.lit(f"{queue_type}-consumer"),
             })
-            job_changes(units, as_of).write.mode("overwrite").parquet(f"{path}/jobs/batch_id={batch_id}")
+            if known is not None:
+                steps = steps.join(known.select("correlation_id").distinct(), "correlation_id", "left_semi")
+            job_changes(steps, as_of).write.mode("overwrite").parquet(f"{path}/jobs/batch_id={batch_id}")
         finally:
             received.unpersist()
 
@@ -92,6 +106,6 @@ def bulk_update_stream(
 def apply_updates(
     spark: SparkSession, target: DataFrame, path: str, cols: Sequence[str] = TRANSITION_COLUMNS
 ) -> Updated:
-    """The target with all logged updates, the last one per key; write it as a new snapshot."""
+    """The target with all logged updates, the last one sent per key; write it as a new snapshot."""
     updates = spark.read.option("basePath", f"{path}/updates").parquet(f"{path}/updates")
-    return keyed_update(target, updates, "item_id", cols, ["batch_id", "processed_by"])
+    return keyed_update(target, updates, "item_id", cols, ["sent_at", "batch_number", "processed_by"])

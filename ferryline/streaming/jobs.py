@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -32,6 +32,24 @@ def read_status(log: DataFrame) -> DataFrame:
     return latest_state(log, "correlation_id", ["batch_id"]).drop("batch_id")
 
 
+def read_timeouts(closed: DataFrame, status: DataFrame, as_of: Column, limit_ms: int = JOB_TIMEOUT_MS) -> DataFrame:
+    """All timeouts: those the stream has told, and those still open in its state when it ended.
+
+    ``closed`` are the rows of :func:`processing_timeout_stream`, ``status`` those of :func:`read_status` over the same
+    entries. A job's last entry may be among both.
+    """
+    ends = plus_ms(F.col("event_ts"), F.lit(limit_ms))
+    left = status.where((F.col("status") == "processing") & (ends < as_of)).select(
+        "correlation_id", "seq", F.col("event_ts").alias("started_at"), ends.alias("failed_at"),
+        F.lit("failed").alias("status"), F.lit(TIMEOUT_MESSAGE).alias("message"))
+    return closed.unionByName(left).dropDuplicates(["correlation_id", "seq"])
+
+
+def read_throughput(log: DataFrame) -> DataFrame:
+    """The last count of every window and queue, closed or not, from a :func:`status_log` of :func:`throughput_stream`."""
+    return latest_state(log, ["window_start", "window_end", "queue_type"], ["batch_id"]).drop("batch_id")
+
+
 def processing_timeout_stream(stream: DataFrame, delay: str, limit_ms: int = JOB_TIMEOUT_MS) -> DataFrame:
     """A failure row once nothing followed an entry into processing within the limit.
 

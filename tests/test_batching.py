@@ -108,7 +108,7 @@ def test_pages_agree_shallow_and_deep(spark, monkeypatch):
     shallow = page(rows, "id", 500, 100).collect()
     monkeypatch.setattr("ferryline.operators.batching.DEEP_PAGE", 10)
     deep = page(rows, "id", 500, 100, rows_per_bucket=150).collect()
-    assert sorted(shallow) == sorted(deep) and len(deep) == 100
+    assert shallow == deep and len(deep) == 100
     assert page(rows, "id", 1_990, 100).count() == 10
     with pytest.raises(ValueError):
         page(rows, "id", -1, 5)
@@ -125,6 +125,15 @@ def test_sequences_continue_and_move_on(spark):
     assert {r.name: r.seq for r in fresh.counters.collect()} == {"a": 40, "b": 7, "new": 900}
 
 
+@pytest.mark.parametrize("rows_per_bucket", [100, 10**6])
+def test_repeated_keys_are_refused_whatever_their_type(spark, rows_per_bucket):
+    i = F.when(F.col("id") == 700, 699).otherwise(F.col("id"))
+    for key in (i, i + 2**60, F.concat(F.lit("k" * 60), i.cast("string"))):
+        rows = spark.range(1_000).select(key.alias("key"))
+        with pytest.raises(Exception, match="does not identify a row"):
+            make_batches(rows, "key", 10, "c", rows_per_bucket=rows_per_bucket).collect()
+
+
 def test_work_order(spark):
     items = spark.createDataFrame(
         [(1, "failed", 1), (2, "pending", 9), (3, "success", 0), (4, "processing", 5), (5, "pending", 2), (6, "pending", 2)],

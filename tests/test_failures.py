@@ -162,7 +162,9 @@ def test_rates_without_duration_or_work(spark):
 def test_queue_depth_of_one_queue(spark):
     messages = spark.createDataFrame([("a",), ("a",), ("b",)], "queue_type string")
     assert [tuple(r) for r in monitoring.queue_depth(messages, "a").collect()] == [("a", 2, 0)]
-    assert {r.queue_type: r.messages for r in monitoring.queue_depth(messages).collect()} == {"a": 2, "b": 1, "total": 3}
+    assert {r.queue_type: r.messages for r in monitoring.queue_depth(messages, known=["a", "c"]).collect()} == {
+        "a": 2, "b": 1, "c": 0, "total": 3}
+    assert [tuple(r) for r in monitoring.queue_depth(messages, "c").collect()] == [("c", 0, 0)]
 
 
 def test_archive_flow_leaves_nothing_out_and_can_be_repeated(spark):

@@ -37,9 +37,10 @@ def test_equals_the_plain_join(many, one, how):
 
 
 def test_only_the_hot_key_is_cut_and_evenly(many, one):
-    hot, pieces = hot_keys(many, ["key"], PER_TASK)
-    assert hot == [many.where("key = 'hot'").select(F.xxhash64("key")).first()[0]]
-    assert 8 <= pieces <= 13
+    hot = hot_keys(many, ["key"], PER_TASK)
+    assert list(hot) == [many.where("key = 'hot'").select(F.xxhash64("key")).first()[0]]
+    (pieces,) = hot.values()
+    assert 8 <= pieces <= 16
     joined = join_to_one(many, one, ["key"], "left", PER_TASK)
     plan = joined._jdf.queryExecution().analyzed().toString()
     assert "_piece" in plan
@@ -50,17 +51,36 @@ def test_only_the_hot_key_is_cut_and_evenly(many, one):
 def _pieces(many, pieces):
     from ferryline.operators.joins import _piece
 
-    return many.where("key = 'hot'").withColumn("p", _piece(many, pieces))
+    return many.where("key = 'hot'").withColumn("p", _piece(many, F.lit(pieces)))
 
 
 def test_even_keys_are_left_alone(many, one):
-    assert hot_keys(many.where("key <> 'hot'"), ["key"], PER_TASK)[0] == []
-    assert hot_keys(many, ["key"])[0] == []  # a small table
+    assert hot_keys(many.where("key <> 'hot'"), ["key"], PER_TASK) == {}
+    assert hot_keys(many, ["key"]) == {}  # a small table
+
+
+def test_each_key_gets_its_own_pieces(spark):
+    i = F.col("id")
+    rows = spark.range(40_000).select(F.when(i % 2 == 0, "a").when(i % 16 == 1, "b").otherwise(i.cast("string")).alias("key"))
+    names = {r.h: r.key for r in rows.where("key in ('a', 'b')").select("key", F.xxhash64("key").alias("h")).distinct().collect()}
+    found = {names[h]: n for h, n in hot_keys(rows, ["key"], 500).items()}
+    assert found["a"] >= 4 * found["b"] >= 8
+    assert join_to_one(rows, rows.distinct(), ["key"], "inner", 500).count() == 40_000
+
+
+def test_definitions_start_no_job(spark, many):
+    rows = many.select("key", "n")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("defining", "none")
+    validation.validate_rows(rows, [validation.unique("key")])
+    jobs.job_transition(rows.withColumnRenamed("key", "correlation_id"), rows.withColumnRenamed("key", "correlation_id"))
+    assert list(tracker.getJobIdsForGroup("defining")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_operators_with_a_hot_key(spark, many):
     rows = many.select("key", "n")
-    small, large = (validation.validate_rows(rows, [validation.unique("key")], size) for size in (PER_TASK, 10**6))
+    small, large = (validation.validate_rows(rows, [validation.unique("key")], size) for size in (PER_TASK, None))
     assert small.bad.exceptAll(large.bad).count() == large.bad.exceptAll(small.bad).count() == 0
     assert small.ok.count() == large.ok.count() and small.bad.where("key = 'hot'").count() == N // 3
     dead = rows.withColumnRenamed("key", "correlation_id")

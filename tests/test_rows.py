@@ -170,6 +170,8 @@ def test_routes(spark, queue, priority, key, reported, delivered):
     ("process.#", {"process.bulkUpdate", "process", "process.a.b", "process."}),
     ("#.bulkUpdate", {"process.bulkUpdate", "priority.bulkUpdate"}),
     ("process.#.b", {"process.a.b"}),
+    ("#.#", {"process.bulkUpdate", "priority.bulkUpdate", "process", "process.a.b", "process.", "", "xprocess.bulkUpdate.y"}),
+    ("process.#.#", {"process.bulkUpdate", "process", "process.a.b", "process."}),
     ("*.*.*", {"process.a.b", "xprocess.bulkUpdate.y"}),
     ("process", {"process"}),
     ("*", {"process", ""}),

@@ -51,13 +51,12 @@ def test_status_stream_equals_the_fold(spark, slices):
     assert sorted(job_streams.read_status(log).collect()) == sorted(wanted.collect())
 
 
-def test_throughput_stream_equals_closed_windows(spark, slices):
+def test_throughput_stream_equals_all_windows(spark, slices):
     home = work_folder(spark, "rate")
     counted = job_streams.throughput_stream(views.messages_of(stream(spark, slices)), "1 day", "1 hour")
-    running.run_available(spark, counted.writeStream.format("parquet").option("path", f"{home}/rows"), f"{home}/check")
-    got = spark.read.schema(counted.schema).parquet(f"{home}/rows")
-    last = table(spark, FOLDER, "events").agg(F.max("ts")).first()[0]
-    wanted = throughput(views.messages(spark, FOLDER), "1 day").where(F.col("window_end") <= F.lit(last) - F.expr("INTERVAL 1 HOUR"))
+    running.run_available(spark, job_streams.status_log(counted, f"{home}/log"), f"{home}/check")
+    got = job_streams.read_throughput(spark.read.option("basePath", f"{home}/log").parquet(f"{home}/log"))
+    wanted = throughput(views.messages(spark, FOLDER), "1 day").select(*got.columns)
     assert sorted(got.collect()) == sorted(wanted.collect()) and got.count() > 100
 
 
@@ -146,7 +145,7 @@ def test_archive_stream_keeps_each_item_once(spark, published):
     for check in ("check", "check-again"):
         writer = consumers.archive_stream(stream(spark, published, MESSAGE), ITEM, f"{home}/archive", "r1", as_of())
         running.run_available(spark, writer, f"{home}/{check}")
-        rows = spark.read.parquet(f"{home}/archive/rows")
+        rows = consumers.read_archive(spark, f"{home}/archive")
         assert rows.count() == rows.select("original_id").distinct().count() == items.count()
         refused = spark.read.parquet(f"{home}/archive/errors")
         assert {r.correlation_id: r.error for r in refused.collect()} == {
@@ -170,3 +169,48 @@ def test_bulk_update_stream_equals_one_update(spark, published):
     log = spark.read.parquet(f"{home}/log/jobs")
     assert sorted(r.correlation_id for r in log.where("status = 'failed'").collect()) == ["broken", "empty"]
     assert log.where("status = 'completed' and progress <> 100").count() == 0
+
+
+ENVELOPE = '{"batchId": "m_batch_%d", "collection": "someModel", "data": [%s], "metadata": {"batchNumber": %d, "timestamp": "2024-02-01T00:00:00.000Z"}}'
+ROW = '{"item_id": %s, "name": "%s", "email": "e", "status": "pending", "created_at": "2024-01-01T00:00:00.000000", ' \
+    '"updated_at": "2024-01-01T00:00:00.000000"}'
+
+
+def sent(spark, bodies, files):
+    path = work_folder(spark, "sent")
+    for k in range(files):
+        rows = [(f"c{i}", b) for i, b in enumerate(bodies) if i * files // len(bodies) == k]
+        spark.createDataFrame(rows, "correlation_id string, body string").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def test_no_item_vanishes(spark):
+    """Unreadable items, nulls, rows without a name and repeated ids all show up, as rows or as errors."""
+    items = [ROW % ('"x1"', "a"), ROW % ('"x2"', "b"), "null", "5", ROW % (7, "c"), ROW % (7, "c"), ROW % (8, "d"),
+             '{"item_id": 9, "email": "e", "status": "pending"}', ROW % ("null", "n")]
+    bodies = [" \n\t" + ENVELOPE % (1, ",".join(items), 1), "\n [" + ROW % (1, "bare") + "]"]
+    path, home = sent(spark, bodies, 1), work_folder(spark, "nothing-lost")
+    writer = consumers.archive_stream(stream(spark, path, MESSAGE), ITEM, f"{home}/a", "r1", as_of())
+    running.run_available(spark, writer, f"{home}/check")
+    kept = consumers.read_archive(spark, f"{home}/a")
+    refused = spark.read.parquet(f"{home}/a/errors").groupBy("error").count().collect()
+    assert sorted(r.original_id for r in kept.collect()) == [7, 8]
+    assert {r["error"]: r["count"] for r in refused} == {
+        "item does not fit its fields": 3, "item must not be null": 1, "original_id is required": 1, "unsupported collection": 1,
+        "name is required, original_created_at is required, original_updated_at is required": 1}
+
+
+@pytest.mark.parametrize("files", [1, 2, 4])
+def test_last_sent_update_wins_however_the_stream_is_cut(spark, files):
+    bodies = [ENVELOPE % (n, ROW % (1, f"n{n}"), n) for n in (9, 10, 2, 1)]
+    path, home = sent(spark, bodies, files), work_folder(spark, "cut")
+    known = spark.createDataFrame([("c0",), ("c1",), ("c2",)], "correlation_id string")
+    writer = consumers.bulk_update_stream(stream(spark, path, MESSAGE), ITEM, f"{home}/log", as_of(), "priority", known)
+    running.run_available(spark, writer, f"{home}/check")
+    target = spark.createDataFrame([(1, "pending")], "item_id bigint, status string")
+    assert [r.processed_by for r in consumers.apply_updates(spark, target, f"{home}/log").target.collect()] == ["c1"]
+    state = latest_state(spark.read.parquet(f"{home}/log/jobs"), "correlation_id", ["event_ts", "seq"]).collect()
+    assert sorted((r.correlation_id, r.status) for r in state) == [(f"c{i}", "completed") for i in range(3)]
+    archive = consumers.archive_stream(stream(spark, path, MESSAGE), ITEM, f"{home}/a", "r1", as_of())
+    running.run_available(spark, archive, f"{home}/check-a")
+    assert [r.name for r in consumers.read_archive(spark, f"{home}/a").collect()] == ["n10"]
