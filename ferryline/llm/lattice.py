@@ -30,6 +30,8 @@ SPACE = "▁"
 WORD = f"{SPACE}*[^{SPACE}]+|{SPACE}+"
 LONGEST_FOLDED = 1_000  # characters; the fold copies its state at every step, so longer words are walked in a task
 UNKNOWN_PENALTY = 10.0
+PLACES = "array<struct<score:double,first:int,id:int>>"
+HELD_WORDS = 500_000
 
 
 @dataclass(frozen=True)
@@ -66,15 +68,6 @@ def read_pieces(model: str) -> Pieces:
                   max(len(p) for p, _, _ in rows), min(s for _, _, s in rows))
 
 
-def normalised(text: Column) -> Column:
-    """Spaces as ``▁``, one more in front; an empty text stays empty."""
-    return F.when(F.length(text) > 0, F.concat(F.lit(SPACE), F.replace(text, F.lit(" "), F.lit(SPACE)))).otherwise(F.lit(""))
-
-
-def words_in(text: Column) -> Column:
-    return F.regexp_extract_all(normalised(text), F.lit(WORD), F.lit(0))
-
-
 def piece_table(spark: SparkSession, pieces: Pieces, folder: str) -> DataFrame:
     """``piece, id, score`` as a stored table: as large as the model's vocabulary, whatever the corpus."""
     rows = pa.table({"piece": [r[0] for r in pieces.rows], "id": pa.array([r[1] for r in pieces.rows], pa.int32()),
@@ -98,39 +91,30 @@ def lattice_edges(words: DataFrame, table: DataFrame, pieces: Pieces) -> DataFra
 
 
 def best_path(edges: Column) -> Column:
-    """Ids on the path of the highest sum of scores, -1 for an unknown character, as structs ``id, first``.
+    """The path of the highest sum of scores as structs ``score, first, id``; id -1 for an unknown character.
 
-    ``edges`` come in the order of ``last``, then ``first``; of equal sums the earlier ``first`` stays.
+    ``edges`` come in the order of ``last``, then ``first``; of equal sums the earlier ``first`` stays. The state has the
+    best way to every place so far: an edge opens the next place or improves the last one.
     """
-    start = F.struct(
-        F.array(F.lit(0.0)).alias("best"), F.array(F.struct(F.lit(-1).alias("id"), F.lit(-1).alias("first"))).alias("back"))
-
-    def step(state, e):
-        score = F.get(state["best"], e["first"]) + e["score"]
-        back = F.array(F.struct(e["id"].alias("id"), e["first"].alias("first")))
-
-        def held(s):
-            n = F.size(state["best"])
-            new = e["last"] >= n
-            kept = n - 1
-            return F.when(new, F.struct(F.concat(state["best"], F.array(s)).alias("best"), F.concat(state["back"], back).alias("back"))
-                          ).when(s > F.get(state["best"], kept), F.struct(
-                              F.concat(F.slice(state["best"], 1, kept), F.array(s)).alias("best"),
-                              F.concat(F.slice(state["back"], 1, kept), back).alias("back"))).otherwise(state)
-
-        return let(score, held)
-
-    def traced(state):
+    def step(best, e):
+        score = F.get(best, e["first"])["score"] + e["score"]
+        place = F.array(F.struct(score.alias("score"), e["first"].alias("first"), e["id"].alias("id")))
+        at = F.size(best) - 1
+        return F.when(e["last"] > at, F.concat(best, place)).when(
+            score > F.get(best, at)["score"], F.concat(F.slice(best, 1, at), place)).otherwise(best)
+
+    def traced(best):
         def hop(t, i):
-            here = F.get(state["back"], t["at"])
-            return F.when(t["at"] == i, F.struct(here["first"].alias("at"), F.concat(F.array(here), t["path"]).alias("path"))
-                          ).otherwise(t)
+            here = F.get(best, i)
+            return F.when(t["at"] == i, F.struct(
+                here["first"].alias("at"), F.concat(F.array(here), t["path"]).alias("path"))).otherwise(t)
 
-        size = F.size(state["back"])
-        first = F.struct((size - 1).alias("at"), F.array().cast("array<struct<id:int,first:int>>").alias("path"))
-        return F.when(size > 1, F.aggregate(F.sequence(size - 1, F.lit(1), F.lit(-1)), first, hop, lambda t: t["path"]))
+        first = F.struct((F.size(best) - 1).alias("at"), F.array().cast(PLACES).alias("path"))
+        return F.when(F.size(best) > 1, F.aggregate(
+            F.sequence(F.size(best) - 1, F.lit(1), F.lit(-1)), first, hop, lambda t: t["path"]))
 
-    return F.aggregate(edges, start, step, traced)
+    origin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("first"), F.lit(-1).alias("id")))
+    return F.aggregate(edges, origin, step, traced)
 
 
 def _with_bytes(path: Column, word: Column, pieces: Pieces) -> Column:
@@ -185,7 +169,31 @@ def encode_words(words: DataFrame, table: DataFrame, pieces: Pieces) -> DataFram
     return folded.unionByName(long.mapInArrow(_walked(pieces), "word string, ids array<int>"))
 
 
-def _assembled(folder: str, names: list[str]):
+def shown(text: str | None) -> str:
+    """Spaces as ``▁``, one more in front; an empty text stays empty."""
+    return SPACE + text.replace(" ", SPACE) if text else ""
+
+
+def _words_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``chunk, word``: the words of a chunk, each once unless there are more than HELD_WORDS."""
+    cut, held, seen = re.compile(WORD), None, set()
+
+    def flush():
+        words = pa.array(list(seen), pa.string())
+        return pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(held, pa.int64()), len(words)), words], ["chunk", "word"])
+
+    for batch in batches:
+        for chunk, text in zip(batch.column("chunk").to_pylist(), batch.column("text")):
+            if seen and (chunk != held or len(seen) > HELD_WORDS):
+                yield flush()
+                seen = set()
+            held = chunk
+            seen.update(cut.findall(shown(text.as_py())))
+    if seen:
+        yield flush()
+
+
+def _assembled(folder: str, width: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = pafs.FileSystem.from_uri(folder)
         held, ids = None, {}
@@ -199,9 +207,8 @@ def _assembled(folder: str, names: list[str]):
                     if store.get_file_info(path).type != pafs.FileType.NotFound:
                         for part in pads.dataset(path, filesystem=store, format="parquet").to_batches(columns=["word", "packed"]):
                             ids.update(zip(part.column("word").to_pylist(), part.column("packed").to_pylist()))
-                text = text.as_py()
-                shown = SPACE + text.replace(" ", SPACE) if text else ""
-                out.append(np.frombuffer(b"".join(map(ids.__getitem__, cut.findall(shown))), dtype=">i4"))
+                packed = b"".join(map(ids.__getitem__, cut.findall(shown(text.as_py()))))
+                out.append(np.frombuffer(packed, dtype=width))
             offsets = np.concatenate(([0], np.cumsum([o.size for o in out]))).astype(np.int32)
             flat = np.concatenate(out).astype(np.int32) if out else np.empty(0, np.int32)
             columns = [batch.column(i) for i, n in enumerate(batch.schema.names) if n not in names]
@@ -229,17 +236,18 @@ def encode(docs: DataFrame, folder: str, model: str, text: str = "text", out: st
     body, chunk, ids = without([*docs.columns, out], "body", "chunk", "ids")
     placed = docs.withColumn(body, text_of(text)).withColumn(chunk, F.xxhash64(F.input_file_name(), F.input_file_block_start()))
 
-    # A word once for each chunk; the exchange by word also serves the lattice and the lists of chunks.
-    seen = placed.select(F.col(chunk).alias("chunk"), F.explode(F.array_distinct(words_in(F.col(body)))).alias("word"))
-    seen = seen.groupBy("chunk", "word").agg(F.lit(1).alias("one")).drop("one")
-    # A fixed number of partitions: the rows are few and small beside the work that they make.
-    where = seen.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
+    # A word once for each chunk; the one exchange by word serves the lattice and the words' chunks, in a fixed number of
+    # partitions, as the rows are few and small beside the work that they make.
+    seen = placed.select(F.col(chunk).alias("chunk"), F.col(body).alias("text")).mapInArrow(_words_once, "chunk bigint, word string")
+    where = seen.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word").groupBy("word", "chunk").agg(
+        F.lit(1).alias("one")).drop("one")
     encoded = encode_words(where.select("word").distinct(), piece_table(spark, pieces, folder), pieces)
-    packed = F.unhex(F.array_join(F.transform("ids", lambda i: F.lpad(F.hex(i), 8, "0")), ""))
+    narrow = len(pieces.texts) <= 2**16
+    packed = F.unhex(F.array_join(F.transform("ids", lambda i: F.lpad(F.hex(i), 4 if narrow else 8, "0")), ""))
     entries = where.join(encoded, "word").select("chunk", "word", packed.alias("packed"))
     entries.repartition("chunk").write.partitionBy("chunk").parquet(f"{folder}/dictionary")
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    encoded = placed.mapInArrow(_assembled(f"{folder}/dictionary", [body, chunk, ids]), f"{shape}, `{ids}` array<int>")
+    encoded = placed.mapInArrow(_assembled(f"{folder}/dictionary", ">u2" if narrow else ">u4", [body, chunk, ids]), f"{shape}, `{ids}` array<int>")
     return encoded.withColumnRenamed(ids, out)
 
 
