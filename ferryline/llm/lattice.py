@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
 The pieces of a model are a table. Every different word of the corpus gives its substrings up to the longest piece; an
-equi-join with the pieces keeps the edges of its lattice, and a fold over the edges of a word finds the path of the highest
-sum of scores (Viterbi). This is the segmentation that the SentencePiece library makes of these pieces and scores in a
-unigram model; it is not the merge order of a BPE model, whose scores are ranks of merges.
+equi-join with the pieces keeps the edges of its lattice, and a fold over the edges of a word, a higher-order ``aggregate``,
+finds its path. For a unigram model that is the path of the highest sum of scores (``viterbi``). The scores of a BPE model
+are no log probabilities but ranks of merges, and the path of the highest sum is not what such a model means; there the
+fold joins the best pair of neighbours at a time along the same edges (``merges``), which gives the library's ids.
 
 A word is a run of ``▁`` with what follows up to the next one. No piece has ``▁`` behind another character, so the best
 path of a text is the best paths of its words. Each chunk of the documents, the part of a file that one task reads, gets
@@ -12,6 +13,7 @@ a dictionary of its own words, so no word that occurs often, and no text, is shu
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,6 +32,7 @@ SPACE = "▁"
 WORD = f"{SPACE}*[^{SPACE}]+|{SPACE}+"
 LONGEST_FOLDED = 1_000  # characters; the fold copies its state at every step, so longer words are walked in a task
 UNKNOWN_PENALTY = 10.0
+EDGES = "array<struct<cost:double,first:int,last:int>>"
 PLACES = "array<struct<score:double,first:int,id:int>>"
 HELD_WORDS = 500_000
 
@@ -117,6 +120,42 @@ def best_path(edges: Column) -> Column:
     return F.aggregate(edges, origin, step, traced)
 
 
+def merged_path(edges: Column, length: Column) -> Column:
+    """The path that merging leaves, as structs ``first, id``: of all edges that join two neighbours, the one of the
+    highest score is taken, the leftmost of equal ones, until none is left.
+
+    The state has the end of the symbol that starts at each place (-1 inside a symbol) and the edges that may still come.
+    """
+    empty = F.array().cast(EDGES)
+
+    def step(state, _):
+        ends, live = state["ends"], state["live"]
+        best = F.get(F.filter(live, lambda e: F.get(ends, F.get(ends, e["first"])) == e["last"]), F.lit(0))
+
+        def joined(b):
+            middle = F.get(ends, b["first"])
+            after = F.transform(ends, lambda v, i: F.when(i == b["first"], b["last"]).when(i == middle, -1).otherwise(v))
+            return let(after, lambda a: F.struct(a.alias("ends"), F.filter(
+                live, lambda e: (F.get(a, e["first"]) >= 0) & (F.get(a, e["first"]) < e["last"]) & (F.get(a, e["last"]) >= 0)
+            ).alias("live")))
+
+        return F.when(F.size(live) == 0, state).otherwise(let(best, lambda b: F.when(b.isNull(), F.struct(
+            ends.alias("ends"), empty.alias("live"))).otherwise(joined(b))))
+
+    def symbols(state):
+        starts = F.filter(F.sequence(F.lit(0), length - 1), lambda i: F.get(state["ends"], i) >= 0)
+        return F.transform(starts, lambda i: F.struct(i.alias("first"), F.get(F.filter(
+            edges, lambda e: (e["first"] == i) & (e["last"] == F.get(state["ends"], i))), F.lit(0))["id"].alias("id")))
+
+    long = F.filter(edges, lambda e: e["last"] > e["first"] + 1)
+    ranked = F.sort_array(F.transform(long, lambda e: F.struct(
+        (-e["score"]).alias("cost"), e["first"].alias("first"), e["last"].alias("last"))))
+    # The last place is past the end: it ends itself.
+    ends = F.transform(F.sequence(F.lit(0), length), lambda i: F.least(i + 1, length))
+    state = F.struct(ends.alias("ends"), ranked.alias("live"))
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(long), F.lit(1))), state, step, symbols)
+
+
 def _with_bytes(path: Column, word: Column, pieces: Pieces) -> Column:
     """Ids of a path; an unknown character becomes its bytes, or the unknown id in a model without them."""
     if not pieces.byte_ids:
@@ -131,26 +170,54 @@ def _with_bytes(path: Column, word: Column, pieces: Pieces) -> Column:
     return F.flatten(F.transform(path, lambda p: F.when(p["id"] < 0, spelled(p)).otherwise(F.array(p["id"]))))
 
 
-def _walked(pieces: Pieces):
-    """Long words, one after the other: the same path by a plain walk, in time and memory in proportion to the word."""
+def _viterbi(word: str, pieces: Pieces, table: dict) -> list[tuple[int, int]]:
+    best, back = [0.0], [(-1, 0)]
+    for last in range(1, len(word) + 1):
+        top = None
+        for first in range(max(0, last - pieces.longest), last):
+            found = table.get(word[first:last]) or ((-1, pieces.lowest - UNKNOWN_PENALTY) if first == last - 1 else None)
+            if found and (top is None or best[first] + found[1] > top[0]):
+                top = (best[first] + found[1], found[0], first)
+        best.append(top[0])
+        back.append(top[1:])
+    path, at = [], len(word)
+    while at:
+        path.append((back[at][0], back[at][1]))
+        at = back[at][1]
+    return path[::-1]
+
+
+def _merges(word: str, pieces: Pieces, table: dict) -> list[tuple[int, int]]:
+    ends, starts = list(range(1, len(word) + 1)), list(range(-1, len(word)))  # of the symbol at a place, and before it
+    heap: list[tuple[float, int, int, int]] = []
+
+    def offer(first: int) -> None:
+        middle = ends[first]
+        if middle < len(word) and (found := table.get(word[first:ends[middle]])):
+            heapq.heappush(heap, (-found[1], first, middle, ends[middle]))
+
+    for first in range(len(word) - 1):
+        offer(first)
+    while heap:
+        _, first, middle, last = heapq.heappop(heap)
+        if ends[first] != middle or ends[middle] != last:
+            continue
+        ends[first], ends[middle], starts[last] = last, -1, first
+        offer(first)
+        if first:
+            offer(starts[first])
+    return [(table.get(word[i:end], (-1,))[0], i) for i, end in enumerate(ends) if end > 0]
+
+
+def _walked(pieces: Pieces, fold: str):
+    """Long words, one after the other: the same path by a plain walk, in memory in proportion to the word."""
     table = {piece: (i, score) for piece, i, score in pieces.rows}
+    walk = {"viterbi": _viterbi, "merges": _merges}[fold]
 
     def ids(word: str) -> list[int]:
-        best, back = [0.0], [(-1, 0)]
-        for last in range(1, len(word) + 1):
-            top = None
-            for first in range(max(0, last - pieces.longest), last):
-                found = table.get(word[first:last]) or ((-1, pieces.lowest - UNKNOWN_PENALTY) if first == last - 1 else None)
-                if found and (top is None or best[first] + found[1] > top[0]):
-                    top = (best[first] + found[1], found[0], first)
-            best.append(top[0])
-            back.append(top[1:])
-        path, at = [], len(word)
-        while at:
-            i, first = back[at]
-            path.append([i] if i >= 0 else [pieces.byte_ids[b] for b in word[first].encode()] if pieces.byte_ids else [pieces.unknown])
-            at = first
-        return [i for step in reversed(path) for i in step]
+        found = walk(word, pieces, table)
+        unknown = lambda c: [pieces.byte_ids[b] for b in c.encode()] if pieces.byte_ids else [pieces.unknown]
+        return [i for piece, first in found for i in ([piece] if piece >= 0 else unknown(word[first]))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,14 +226,16 @@ def _walked(pieces: Pieces):
     return run
 
 
-def encode_words(words: DataFrame, table: DataFrame, pieces: Pieces) -> DataFrame:
+def encode_words(words: DataFrame, table: DataFrame, pieces: Pieces, fold: str) -> DataFrame:
     """``word, ids`` of different words. Edges stay where their word is, so they need no shuffle."""
     short = words.where(F.length("word") <= LONGEST_FOLDED)
     edges = lattice_edges(short, table, pieces).groupBy("word").agg(F.sort_array(F.collect_list(
         F.struct("last", "first", "id", "score"))).alias("edges"))
-    folded = edges.select("word", _with_bytes(best_path(F.col("edges")), F.col("word"), pieces).alias("ids"))
+    path = best_path(F.col("edges")) if fold == "viterbi" else let(
+        F.col("edges"), lambda e: merged_path(e, F.length("word")))
+    folded = edges.select("word", _with_bytes(path, F.col("word"), pieces).alias("ids"))
     long = words.where(F.length("word") > LONGEST_FOLDED)
-    return folded.unionByName(long.mapInArrow(_walked(pieces), "word string, ids array<int>"))
+    return folded.unionByName(long.mapInArrow(_walked(pieces, fold), "word string, ids array<int>"))
 
 
 def shown(text: str | None) -> str:
@@ -218,14 +287,15 @@ def _assembled(folder: str, width: str, names: list[str]):
     return run
 
 
-def encode(docs: DataFrame, folder: str, model: str, text: str = "text", out: str = "ids", stored: bool = False) -> DataFrame:
-    """Every input row with an array ``out`` of piece ids.
+def encode(docs: DataFrame, folder: str, model: str, text: str = "text", out: str = "ids", stored: bool = False,
+           fold: str = "viterbi") -> DataFrame:
+    """Every input row with an array ``out`` of piece ids. ``fold``: ``viterbi`` for unigram models, ``merges`` for BPE.
 
     ``folder``: a new one that all executors reach. ``stored``: the rows are a plain read of files; others are written
     first, as a chunk is known by its place in a file.
 
     Nulls: a null text has no ids, an empty array, as an empty one has. Repeated rows are encoded alike. Of paths of equal
-    sums the one whose last pieces begin earlier is taken. ``▁`` in a text is a space to the model. An empty table gives
+    sums the one whose last pieces begin earlier is taken, of merges of equal scores the leftmost. ``▁`` in a text is a space to the model. An empty table gives
     an empty result. Other columns pass through, whatever their names; ``out`` must be a new name.
     """
     spark = docs.sparkSession
@@ -241,7 +311,7 @@ def encode(docs: DataFrame, folder: str, model: str, text: str = "text", out: st
     seen = placed.select(F.col(chunk).alias("chunk"), F.col(body).alias("text")).mapInArrow(_words_once, "chunk bigint, word string")
     where = seen.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word").groupBy("word", "chunk").agg(
         F.lit(1).alias("one")).drop("one")
-    encoded = encode_words(where.select("word").distinct(), piece_table(spark, pieces, folder), pieces)
+    encoded = encode_words(where.select("word").distinct(), piece_table(spark, pieces, folder), pieces, fold)
     narrow = len(pieces.texts) <= 2**16
     packed = F.unhex(F.array_join(F.transform("ids", lambda i: F.lpad(F.hex(i), 4 if narrow else 8, "0")), ""))
     entries = where.join(encoded, "word").select("chunk", "word", packed.alias("packed"))

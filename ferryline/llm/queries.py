@@ -86,7 +86,7 @@ def op7_sentencepiece(spark, folder):
     """Ids of every document, and whether decoding them gives the text again."""
     model = tokenizer_file("piece_bpe_32k.model")
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    encoded = lattice.encode(docs, shared(spark, "lattice"), model, stored=True)
+    encoded = lattice.encode(docs, shared(spark, "lattice"), model, stored=True, fold="merges")
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return lattice.decode(encoded, model).select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", same.alias("round_trip"))
 
