@@ -9,6 +9,8 @@ otherwise the likeness of the template is a coincidence.
 
 from __future__ import annotations
 
+from string import punctuation
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,22 +31,35 @@ UNITS = (
 )
 NAME_MARK, NUMBER_SLOT, NAME_SLOT, UNIT_SLOT = "\u0001", "\u0002", "\u0003", "\u0004"
 SLOTS = (NUMBER_SLOT, NAME_SLOT, UNIT_SLOT)
+MARKS = "[\u0001-\u0004]+"
+# Single characters match by one table lookup, ranges would not.
+ASCII_PUNCTUATION = "[" + "".join(f"\\{c}" for c in punctuation) + "]+"
 
 
 def _plain(text: Column) -> Column:
-    """Words without punctuation; capitalised words inside a sentence carry a mark. White space stays as it is."""
-    clean = F.translate(text, "".join((NAME_MARK, *SLOTS)), "")
-    marked = F.regexp_replace(clean, r"(?<=[\p{Ll}\p{N},;]\x20)(?=\p{Lu})", NAME_MARK)
-    joined = F.regexp_replace(marked, r"(?<=\p{N})[.,](?=\p{N})", "")
-    return F.regexp_replace(joined, rf"[^\p{{L}}\p{{N}}{NAME_MARK}\x20\x09-\x0D]+", "")
+    """Words without punctuation; capitalised words inside a sentence carry a mark. White space stays as it is.
+
+    Patterns begin with the character they look for and look around from there, so that each pass is a plain scan.
+    """
+    clean = F.when(text.rlike(MARKS), F.regexp_replace(text, MARKS, "")).otherwise(text)
+    marked = F.regexp_replace(clean, r"\x20(?<=[\p{Ll}\p{N},;]\x20)(?=\p{Lu})", f" {NAME_MARK}")
+    joined = F.regexp_replace(marked, r"[.,](?<=[0-9][.,])(?=[0-9])", "")
+    ascii_only = F.regexp_replace(joined, ASCII_PUNCTUATION, "")
+    return F.regexp_replace(ascii_only, r"[^\x00-\x7F\p{L}\p{N}]+", "")
 
 
 def _slotted(plain: Column) -> Column:
     """The template of ``_plain`` text, word by word."""
-    numbers = F.regexp_replace(plain, r"(?<![\p{L}\p{N}])\p{N}+(?![\p{L}\p{N}])", NUMBER_SLOT)
-    units = F.regexp_replace(
-        numbers, rf"(?<={NUMBER_SLOT}\x20)(?i:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT_SLOT)
-    return F.lower(F.regexp_replace(units, rf"{NAME_MARK}\p{{L}}+", NAME_SLOT))
+    def numbered(p):
+        numbers = F.regexp_replace(p, r"\b[0-9]+\b", NUMBER_SLOT)
+        return F.regexp_replace(numbers, rf"{NUMBER_SLOT}\x20(?i:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"{NUMBER_SLOT} {UNIT_SLOT}")
+
+    def run(p):
+        units = F.when(p.rlike("[0-9]"), numbered(p)).otherwise(p)
+        return let(units, lambda u: F.lower(F.when(F.contains(u, F.lit(NAME_MARK)), F.regexp_replace(
+            u, rf"{NAME_MARK}\p{{L}}+", NAME_SLOT)).otherwise(u)))
+
+    return let(plain, run)
 
 
 def _hashes(words: Column) -> Column:
