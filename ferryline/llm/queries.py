@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ferryline.llm import hosts, lattice, token_files, warc
 from ferryline.llm.decontamination import leaks
 from ferryline.llm.jaccard import jaccard_groups
+from ferryline.llm.oracles import ORACLES  # noqa: F401
 from ferryline.llm.pseudonyms import Key, pseudonymise
 from ferryline.llm.quality import quality_report
 from ferryline.llm.secrets import find_secrets, secret_report
@@ -28,7 +29,6 @@ def tokenizer_file(name: str) -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def shared(spark: SparkSession, label: str) -> str:
@@ -46,7 +46,8 @@ def query(f):
 
 @query
 def op1_quality_rules(spark, folder):
-    return quality_report(table(spark, folder, "documents"), shared(spark, "quality"), ["doc_id"])
+    told = quality_report(table(spark, folder, "documents"), shared(spark, "quality"), ["doc_id"])
+    return told.withColumns({n: F.round(n, 6) for n in ("class_distance", "word_distance")})
 
 
 @query
