@@ -40,6 +40,10 @@ HEADLINES = {
     "throughput": "events",
     "stream_handler": "events",
     "job_status_stream": "events",
+    "synth_items": "orders",
+    "append_valid": "orders",
+    "validate_rows": "orders",
+    "clear_tables": "orders",
 }
 
 

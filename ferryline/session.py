@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -34,15 +37,22 @@ def local_session(cores: int | str = 8, app: str = "ferryline", **extra: str) ->
     return spark
 
 
+@cache
+def _local_scratch() -> str:
+    """One temporary folder for a local process, gone when it ends."""
+    path = tempfile.mkdtemp(prefix="ferryline-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared ``spark.checkpoint.dir`` of the session.
 
-    Only a session that names no such folder (a local test) gets a temporary one.
+    Only a session of one process (``local``) that names no such folder gets a temporary one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="ferryline-")
+        base = _local_scratch()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
