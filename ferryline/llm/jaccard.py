@@ -161,27 +161,30 @@ class _Tables:
 
 
 def components(edges: DataFrame, tables: _Tables) -> DataFrame:
-    """``node, component`` for every node of the edges ``a, b``: alternating large and small stars."""
+    """``node, component`` for every node of the edges ``a, b``: large and small stars in turn, a table a turn.
+
+    It ends when all edges lead from a node to its component: no node has two edges, none is at both ends.
+    """
     def turned(df):
         return df.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
 
-    current, before = tables.keep(turned(edges)), None
+    current = tables.keep(turned(edges))
     while True:
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
-        if state == before:
+        ends = current.select(F.col("u").alias("x"), F.lit(1).alias("from"), F.lit(0).alias("to")).unionByName(
+            current.select(F.col("v").alias("x"), F.lit(0).alias("from"), F.lit(1).alias("to")))
+        open_ends = ends.groupBy("x").agg(F.sum("from").alias("from"), F.max("to").alias("to")).where("from > 1 OR from > 0 AND to > 0")
+        if open_ends.isEmpty():
             break
-        before = state
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        large = tables.keep(turned(large))
+        large = turned(both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")))
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").select(F.explode(F.array(
             F.struct(F.col("u").alias("a"), F.col("m").alias("b")), F.struct(F.col("v").alias("a"), F.col("m").alias("b"))
         )).alias("e")).select("e.*")
         current = tables.keep(turned(small))
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        current.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+        current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
 def _merged(labels: DataFrame, links: DataFrame, tables: _Tables) -> DataFrame:
@@ -194,7 +197,7 @@ def _merged(labels: DataFrame, links: DataFrame, tables: _Tables) -> DataFrame:
     between = tables.keep(ends.where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
     if between.isEmpty():
         return labels
-    joined = tables.keep(components(between, tables))
+    joined = components(between, tables)
     moved = joined.select(F.col("node").alias("component"), F.col("component").alias("into"))
     return tables.keep(of.join(moved, "component", "left").select("node", F.coalesce("into", "component").alias("component"))
                        .unionByName(joined.join(of, "node", "left_anti")))
@@ -303,7 +306,8 @@ def jaccard_groups(
         if stars.where("more").isEmpty():
             break
         left = tables.keep(_left_open(stars, labels, percent))
-        labels = _merged(labels, _summed(_counted(left, segments)).where(_linked(percent)), tables)
+        if not left.isEmpty():
+            labels = _merged(labels, _summed(_counted(left, segments)).where(_linked(percent)), tables)
         beyond = counted.where("more").select(
             F.explode("beyond").alias("shingle"), "pivot", "node").select(F.xxhash64("pivot", "shingle").alias("key"), "node")
         named = beyond.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
