@@ -34,7 +34,8 @@ LONGEST_FOLDED = 1_000  # characters; the fold copies its state at every step, s
 UNKNOWN_PENALTY = 10.0
 EDGES = "array<struct<cost:double,first:int,last:int>>"
 PLACES = "array<struct<score:double,first:int,id:int>>"
-HELD_WORDS = 500_000
+HELD_WORDS = 200_000
+SLICE = 256
 
 
 @dataclass(frozen=True)
@@ -243,6 +244,13 @@ def shown(text: str | None) -> str:
     return SPACE + text.replace(" ", SPACE) if text else ""
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, so that what is made of them stays small beside the texts."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, SLICE):
+            yield batch.slice(low, SLICE)
+
+
 def _words_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``chunk, word``: the words of a chunk, each once unless there are more than HELD_WORDS."""
     cut, held, seen = re.compile(WORD), None, set()
@@ -267,14 +275,15 @@ def _assembled(folder: str, width: str, names: list[str]):
         store, root = pafs.FileSystem.from_uri(folder)
         held, ids = None, {}
         cut = re.compile(WORD)
-        for batch in batches:
+        for batch in _slices(batches):
             out = []
             for chunk, text in zip(batch.column(names[1]).to_pylist(), batch.column(names[0])):
                 if chunk != held:
                     held, ids = chunk, {}
                     path = f"{root}/chunk={chunk}"
                     if store.get_file_info(path).type != pafs.FileType.NotFound:
-                        for part in pads.dataset(path, filesystem=store, format="parquet").to_batches(columns=["word", "packed"]):
+                        for part in pads.dataset(path, filesystem=store, format="parquet").to_batches(
+                                columns=["word", "packed"], batch_readahead=1, fragment_readahead=1):
                             ids.update(zip(part.column("word").to_pylist(), part.column("packed").to_pylist()))
                 packed = b"".join(map(ids.__getitem__, cut.findall(shown(text.as_py()))))
                 out.append(np.frombuffer(packed, dtype=width))
@@ -323,14 +332,14 @@ def encode(docs: DataFrame, folder: str, model: str, text: str = "text", out: st
 
 def _spelled(texts: tuple[bytes, ...], ids: str, out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(ids)
-            flat, ends = column.flatten().to_pylist(), np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-            found, at = [], 0
-            for row, end in enumerate(ends):
-                spelled = b"".join(map(texts.__getitem__, flat[at:end])).decode("utf-8", "replace").replace(SPACE, " ")
-                found.append(spelled.removeprefix(" ") if column[row].is_valid else None)
-                at = end
+        for batch in _slices(batches):
+            found = []
+            for row in batch.column(ids):
+                if not row.is_valid:
+                    found.append(None)
+                    continue
+                spelled = b"".join(map(texts.__getitem__, row.values.to_pylist() if len(row) else ()))
+                found.append(spelled.decode("utf-8", "replace").replace(SPACE, " ").removeprefix(" "))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, out])
     return run
 
