@@ -42,7 +42,7 @@ def status_transition(
     })
 
 
-def _one_per_key(updates: DataFrame, key: str, cols: Sequence[str], order: Sequence[str]) -> DataFrame:
+def one_per_key(updates: DataFrame, key: str, cols: Sequence[str], order: Sequence[str]) -> DataFrame:
     if not order:
         return updates.select(key, *cols)
     return latest_state(updates.select(key, *cols, *[o for o in order if o not in cols]), key, order).select(key, *cols)
@@ -57,7 +57,7 @@ def update_join(
     """
     shared = [c for c in cols if c in target.columns]
     left = target.select(key, F.struct(F.lit(True).alias("_here"), *shared).alias("_old"))
-    right = _one_per_key(updates, key, cols, order).select(key, F.struct(F.lit(True).alias("_here"), *cols).alias("_new"))
+    right = one_per_key(updates, key, cols, order).select(key, F.struct(F.lit(True).alias("_here"), *cols).alias("_new"))
     outcome = (
         F.when(F.col("_new").isNull(), "untouched").when(F.col("_old").isNull(), "unmatched").otherwise("matched")
     )
@@ -91,7 +91,7 @@ def keyed_update(
     A set value may be null, so a match is told by the update's presence. Columns the target lacks are
     added. Write the result as a new snapshot; the path being read is never overwritten.
     """
-    right = _one_per_key(updates, key, cols, order).select(key, F.struct(*cols).alias("_new"))
+    right = one_per_key(updates, key, cols, order).select(key, F.struct(*cols).alias("_new"))
     joined = target.join(right, key, "left")
     hit = F.col("_new").isNotNull()
     new = joined.withColumns({

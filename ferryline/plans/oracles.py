@@ -201,6 +201,10 @@ FROM (SELECT CAST(ceil(row_number() OVER (ORDER BY o_orderkey) / 100.0) AS BIGIN
         f"SELECT {_transition(chr(39) + 'run-1' + chr(39))} FROM v_items i WHERE i.status <> 'success' AND i.item_id % 2 = 0 "
         f"UNION ALL SELECT {_KEPT} FROM v_items i WHERE NOT (i.status <> 'success' AND i.item_id % 2 = 0)"
     ),
+    "keyed_update_folders": _with(
+        f"SELECT {_transition(chr(39) + 'run-1' + chr(39))} FROM v_items i WHERE i.status <> 'success' AND i.item_id % 2 = 0 "
+        f"UNION ALL SELECT {_KEPT} FROM v_items i WHERE NOT (i.status <> 'success' AND i.item_id % 2 = 0)"
+    ),
     "job_transition": _with(
         "SELECT seq, correlation_id, event_ts, status FROM v_job_log UNION ALL "
         f"SELECT event_id + 1000000000, 'job-' || user_id, {AS_OF}, 'cancelled' FROM events WHERE event_id % 2 = 0"
