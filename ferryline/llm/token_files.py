@@ -25,9 +25,11 @@ from pyspark.sql import functions as F
 
 from ferryline.llm.columns import text_of
 
-CACHED_UNITS = 300_000
-# The vocabulary's own pattern never matches across the last space before a word, so texts may be cut there.
-UNIT = re.compile(r"(?= \S)")
+CACHED_UNITS = 600_000
+# Units of a text that the vocabulary's own pattern never matches across: a run of letters and digits before a mark or
+# white space, other runs, and white space up to the space in front of a word.
+UNIT = re.compile(r" ?[^\W_]+(?=[.,;:!?\s]|\Z)| ?\S+|\s+(?!\S)|\s+")
+ODD_SPACE = re.compile("[\x1c-\x1f\x85]")  # white space to one of the two patterns only: such texts are one unit
 
 
 class Encoder:
@@ -38,18 +40,34 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(model)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.line_end = self._ids(["\n"])[0].tolist()
+        self.recent: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, dtype="<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _fresh(self, units: list[str]) -> None:
+        """Units without white space but a space in front are encoded as lines of one text, which is cheaper than a call
+        for each: a line end between them is a piece of its own."""
+        lines = [u for u in units if not u.isspace() and not ODD_SPACE.search(u)] if len(self.line_end) == 1 else []
+        if lines:
+            (ids,) = self._ids(["\n".join(lines)])
+            cuts = np.flatnonzero(ids == self.line_end[0])
+            for unit, low, high in zip(lines, np.append(-1, cuts) + 1, np.append(cuts, ids.size)):
+                self.recent[unit] = ids[low:high].tobytes()
+        others = [u for u in units if u not in self.recent]
+        self.recent.update((u, ids.tobytes()) for u, ids in zip(others, self._ids(others)))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of every text."""
-        cut = [UNIT.split(text) for text in texts]
-        new = list({unit for units in cut for unit in units if unit not in self.known})
-        if len(self.known) + len(new) > CACHED_UNITS:
-            self.known = {}
-            new = list({unit for units in cut for unit in units})
-        for unit, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[unit] = np.array(found.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, units)) for units in cut]
+        cut = [[text] if ODD_SPACE.search(text) else UNIT.findall(text) for text in texts]
+        wanted = {unit for units in cut for unit in units}
+        if len(self.recent) > CACHED_UNITS:
+            self.known, self.recent = self.recent, {}
+        self._fresh([u for u in wanted if u not in self.recent and u not in self.known])
+        self.recent.update((u, self.known[u]) for u in wanted if u not in self.recent)
+        return [b"".join(map(self.recent.__getitem__, units)) for units in cut]
 
 
 @lru_cache(maxsize=1)
