@@ -136,9 +136,11 @@ def find_secrets(docs: DataFrame, text: str = "text", out: str = "secrets", rule
 
 def secret_report(found: DataFrame, keys: Sequence[str], out: str = "secrets") -> DataFrame:
     """``keys``, counts by kind, the SHA-256 of the base spans as text, and all spans as text."""
+    def of_kind(rank):
+        return F.size(F.filter(F.col(out), lambda s: s["rank"] == rank)).cast("bigint").alias(f"n_{KINDS[rank]}")
+
     base = F.filter(F.col(out), lambda s: s["rank"] < 3)
-    counts = [F.size(F.filter(F.col(out), lambda s, r=rank: s["rank"] == r)).cast("bigint").alias(f"n_{KINDS[rank]}")
-              for rank in range(len(KINDS))]
+    counts = [of_kind(rank) for rank in range(len(KINDS))]
     return found.select(*keys, *counts, F.sha2(_written(base), 256).alias("base_sha256"), _written(F.col(out)).alias("spans"))
 
 
