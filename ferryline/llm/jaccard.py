@@ -30,6 +30,7 @@ from ferryline.llm.shingles import mix, set_key, shingle_set
 
 FRAGMENTS = 4
 SMALL = (16, 64)  # of the groups of fragments, and of the groups that follow
+HOPS = 1
 KEYS_PER_BATCH = 500_000
 BROADCAST_TEXTS = 200_000
 _HIGH = np.uint64(32)
@@ -203,12 +204,12 @@ def _merged(labels: DataFrame, links: DataFrame, tables: _Tables) -> DataFrame:
                        .unionByName(joined.join(of, "node", "left_anti")))
 
 
-def _pairs(members: DataFrame, tables: _Tables, limit: int, hop: bool) -> DataFrame:
+def _pairs(members: DataFrame, tables: _Tables, limit: int, hops: int) -> DataFrame:
     """``key, node, first`` -> distinct ``pivot, node, more``.
 
     A group of up to ``limit`` members gives its pairs: at most ``limit`` / 2 a member. A larger one gives its members
-    with one pivot, the node of the smallest id, and ``more``. With ``hop``, the pivot is replaced by the node that is
-    its own pivot in most groups: groups of similar sets then share a pivot, and fewer counts lead further.
+    with one pivot, the node of the smallest id, and ``more``. With ``hops``, the pivot is replaced, as often, by the node
+    that is its own pivot in most groups: groups of similar sets then share a pivot, and fewer counts lead further.
     """
     order = F.struct(F.coalesce("first", F.lit(2**63 - 1)).alias("first"), F.col("node").alias("node"))
     group = Window.partitionBy("key")
@@ -221,11 +222,15 @@ def _pairs(members: DataFrame, tables: _Tables, limit: int, hop: bool) -> DataFr
         F.slice("l", i + 2, F.size("l")), lambda b: F.struct(a.alias("pivot"), b.alias("node")))))).alias("x"))
     small = both.select("x.*").distinct().withColumn("more", F.lit(False))
     stars = tables.keep(shared.where(f"c > {limit} AND node <> pivot").groupBy("pivot", "node").agg(F.count("*").alias("keys")))
-    if hop:
-        leaders = stars.groupBy("node").agg(F.max_by("pivot", F.struct("keys", "pivot")).alias("leader"))
-        moved = stars.join(leaders.withColumnRenamed("node", "pivot"), "pivot", "left")
-        stars = moved.select(F.coalesce("leader", "pivot").alias("pivot"), "node").unionByName(
-            moved.where("leader IS NOT NULL").select(F.col("leader").alias("pivot"), F.col("pivot").alias("node")))
+    leaders = stars.groupBy("node").agg(F.max_by("pivot", F.struct("keys", "pivot")).alias("leader"))
+    leaders = leaders.select(F.col("node").alias("pivot"), "leader")
+    # A pivot has a smaller id than the members of its group, so its own leader is never one of them.
+    stars = stars.withColumn("least", F.col("pivot")).select("pivot", "node", "least")
+    for _ in range(hops):
+        moved = stars.join(leaders, "pivot", "left")
+        stars = moved.select(F.coalesce("leader", "pivot").alias("pivot"), "node", "least")
+    stars = stars.select("pivot", "node").unionByName(
+        stars.where("pivot <> least").select("pivot", F.col("least").alias("node")))
     large = stars.where("pivot <> node").select("pivot", "node").distinct().withColumn("more", F.lit(True))
     return small.join(large, ["pivot", "node"], "left_anti").unionByName(large)
 
@@ -264,11 +269,13 @@ def _left_open(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_groups(
-    docs: DataFrame, folder: str, size: int, percent: int, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, folder: str, size: int, percent: int, doc_id: str = "doc_id", text: str = "text",
+    small: tuple[int, int] | None = None,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, text_key`` for every row; sets link from a Jaccard similarity of ``percent`` / 100.
 
-    ``text_key`` is ``xxhash64`` of the text, so that rows which share an id can be told apart.
+    ``text_key`` is ``xxhash64`` of the text, so that rows which share an id can be told apart. ``small``: up to how many
+    members a group lists its pairs, SMALL by default; lower values mean fewer pairs and more levels, and the same result.
 
     Words are compared with A-Z as a-z. A text with fewer than ``size`` words is one shingle. ``folder``: a new one
     that all executors reach.
@@ -279,12 +286,12 @@ def jaccard_groups(
     are ignored, whatever their names.
     """
     spark = docs.sparkSession
-    tables = _Tables(spark, folder)
+    tables, small = _Tables(spark, folder), small or SMALL
     read = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     keyed = read.withColumn("text_key", F.xxhash64("text"))
     signed = tables.keep(keyed.mapInArrow(_signatures(size), "doc_id bigint, text_key bigint, node bigint, n bigint"))
     keys = read.mapInArrow(_keys(size, percent), "key bigint, node bigint, first bigint")
-    pairs = tables.keep(_pairs(keys, tables, SMALL[0], hop=True))
+    pairs = tables.keep(_pairs(keys, tables, small[0], HOPS))
 
     # The sets of candidate nodes, made again from one text of each; a short list of texts is broadcast.
     nodes = pairs.select("pivot").union(pairs.select("node")).distinct().toDF("node")
@@ -313,7 +320,7 @@ def jaccard_groups(
         named = beyond.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
         apart = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
         members = beyond.join(apart.select("key"), "key", "left_semi").join(wanted.select("node", "first"), "node")
-        pairs = tables.keep(_pairs(members, tables, SMALL[1], hop=False))
+        pairs = tables.keep(_pairs(members, tables, small[1], 0))
 
     named = firsts.join(labels, "node", "left").select(
         "node", "first", F.coalesce("component", "node").alias("component"))
