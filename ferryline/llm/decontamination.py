@@ -126,7 +126,7 @@ def leaks(
         in_items.select("item_id", F.col("y.w").alias("w"), F.col("y.v").alias("want")).alias("i"),
         F.expr("p.item_id <=> i.item_id")).select("p.*", "i.w", "i.want").alias("p").join(
         in_docs.select("doc_id", "text_key", F.col("x.w").alias("w"), F.col("x.v").alias("have")).alias("h"),
-        F.expr("p.doc_id <=> h.doc_id AND p.text_key = h.text_key AND p.w = h.w")).select("p.*", "h.have")
+        F.expr("p.doc_id <=> h.doc_id AND p.text_key = h.text_key AND p.w = h.w")).select("p.*", "h.have").checkpoint()
     literal = slots.where("want = have").groupBy(*pair).agg(F.count_distinct("w").alias("same"))
     values = slots.select(*pair, F.explode(F.arrays_zip("want", "have")).alias("z"))
     fits = values.groupBy(*pair).agg(
