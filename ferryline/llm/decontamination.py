@@ -4,14 +4,15 @@ A text becomes a template: its words without punctuation, in lower case, with nu
 typed slots. Windows of five template words of an item are looked up among the windows of every document. Where a
 document holds four fifths of an item's windows, the values in its slots decide: the item's own values make an ``exact``
 leak; other values are a ``reparameterised`` question if each value of the item has one counterpart throughout;
-otherwise the likeness of the template is a coincidence.
+otherwise the likeness of the template is a coincidence. This is judged for the document as a whole and for every
+occurrence of the item in it; one that passes makes the leak.
 """
 
 from __future__ import annotations
 
 from string import punctuation
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferryline.llm.columns import let, text_of, without, words_of
@@ -120,25 +121,65 @@ def leaks(
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
     texts = keyed.join(ids, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t")), "left_semi")
     texts = texts.dropDuplicates(["doc_id", "text_key"])
-    in_docs = texts.select("doc_id", "text_key", F.explode(F.array_distinct(_filled_windows(F.col("body")))).alias("x"))
-    in_items = items.select("item_id", F.explode(F.array_distinct(_filled_windows(F.col("item_text")))).alias("y"))
-    slots = likely.select(*pair).alias("p").join(
-        in_items.select("item_id", F.col("y.w").alias("w"), F.col("y.v").alias("want")).alias("i"),
-        F.expr("p.item_id <=> i.item_id")).select("p.*", "i.w", "i.want").alias("p").join(
-        in_docs.select("doc_id", "text_key", F.col("x.w").alias("w"), F.col("x.v").alias("have")).alias("h"),
-        F.expr("p.doc_id <=> h.doc_id AND p.text_key = h.text_key AND p.w = h.w")).select("p.*", "h.have").checkpoint()
-    literal = slots.where("want = have").groupBy(*pair).agg(F.count_distinct("w").alias("same"))
-    values = slots.select(*pair, F.explode(F.arrays_zip("want", "have")).alias("z"))
-    fits = values.groupBy(*pair).agg(
-        F.count_distinct("z.want").alias("n_values"), F.count_distinct(F.struct("z.want", "z.have")).alias("n_pairs"))
-
-    def matched(other: str) -> Column:
-        return F.expr(f"l.doc_id <=> {other}.doc_id AND l.text_key = {other}.text_key AND l.item_id <=> {other}.item_id")
-
-    judged = likely.alias("l").join(literal.alias("s"), matched("s"), "left").join(fits.alias("f"), matched("f"), "left")
-    kind = F.when(F.coalesce("s.same", F.lit(0)) >= SHARE * F.col("l.windows"), "exact").when(
-        F.expr("f.n_values = f.n_pairs"), "reparameterised")
-    return judged.select("l.*", kind.alias("kind")).where("kind IS NOT NULL")
+    in_docs = texts.select("doc_id", "text_key", F.posexplode(_filled_windows(F.col("body"))).alias("d", "x"))
+    in_items = items.distinct().withColumn("item_key", F.xxhash64("item_text")).withColumn(
+        "y", _filled_windows(F.col("item_text"))).select("item_id", "item_key", F.size("y").alias("places"), F.posexplode("y").alias("i", "y"))
+    hits = likely.alias("p").join(
+        in_items.select("item_id", "item_key", "places", "i", F.col("y.w").alias("w"), F.col("y.v").alias("want")).alias("i"),
+        F.expr("p.item_id <=> i.item_id")).select("p.*", "i.item_key", "i.places", "i.i", "i.w", "i.want").alias("p").join(
+        in_docs.select("doc_id", "text_key", "d", F.col("x.w").alias("w"), F.col("x.v").alias("have")).alias("h"),
+        F.expr("p.doc_id <=> h.doc_id AND p.text_key = h.text_key AND p.w = h.w")).select("p.*", "h.d", "h.have").checkpoint()
+    key = [*pair, "found", "windows"]
+    ranked = _whole(hits, key).unionByName(_occurrences(hits, key))
+    kind = F.when(F.min("rank") == 0, "exact").otherwise("reparameterised")
+    return ranked.where("rank IS NOT NULL").groupBy(*key).agg(kind.alias("kind"))
+
+
+def _rank(same: Column, consistent: Column) -> Column:
+    """0 for an exact leak, 1 for a reparameterised one, null for none."""
+    return F.when(same >= SHARE * F.col("windows"), 0).when(consistent, 1).alias("rank")
+
+
+def _whole(hits: DataFrame, key: list[str]) -> DataFrame:
+    """``key, rank`` from all windows of a document, wherever they are."""
+    met = hits.select(*key, "w", "want", "have").distinct()
+    told = met.select(*key, "w", (F.col("want") == F.col("have")).alias("own"), F.explode_outer(F.arrays_zip("want", "have")).alias("z"))
+    return told.groupBy(*key).agg(
+        F.count_distinct(F.when(F.col("own"), F.col("w"))).alias("same"), F.count_distinct("z.want").alias("n_values"),
+        F.count_distinct(F.when(F.col("z").isNotNull(), F.col("z"))).alias("n_pairs"),
+    ).select(*key, _rank(F.col("same"), F.expr("n_pairs > 0 AND n_values = n_pairs")))
+
+
+def _occurrences(hits: DataFrame, key: list[str]) -> DataFrame:
+    """``key, rank`` of every occurrence: windows whose places in the document and in the item differ by about the same.
+
+    That difference, the shift, is cut into bins of half an item, each overlapping the next by its half: words put in or
+    left out may move it by a quarter of the item, and neighbouring occurrences lie in different bins. Of several hits of
+    one place of the item in a bin, the one whose shift most hits share counts. Hits alone on their shift may be chance,
+    so an occurrence also passes if those that are not suffice without them.
+    """
+    one = [*key, "item_key", "bin"]
+    step = F.greatest(F.lit(2), F.floor(F.col("places") / 4))
+    bins = F.floor((F.col("d") - F.col("i")) / step)
+    # All that follows groups the hits of one pair: they are dealt out once.
+    spread = hits.withColumn("shift", F.col("d") - F.col("i")).withColumn("bin", F.explode(F.array(bins, bins - 1)))
+    voted = spread.withColumn("votes", F.count("*").over(Window.partitionBy(*one, "shift")))
+    first = F.row_number().over(Window.partitionBy(*one, "i").orderBy(F.desc("votes"), "shift"))
+    chosen = voted.withColumn("n", first).where("n = 1")
+
+    def pairs(held):
+        return F.array_distinct(F.flatten(F.collect_list(F.when(held, F.arrays_zip("want", "have")))))
+
+    def consistent(found, z):
+        clear = F.size(F.array_distinct(F.transform(z, lambda x: x["want"]))) == F.size(z)
+        return (F.col(found) >= SHARE * F.col("windows")) & clear
+
+    firm = F.col("votes") > 1
+    return chosen.groupBy(*one).agg(
+        F.count_distinct("w").alias("met"), F.count_distinct(F.when(firm, F.col("w"))).alias("met_firm"),
+        F.count_distinct(F.when(F.col("want") == F.col("have"), F.col("w"))).alias("same"),
+        pairs(F.lit(True)).alias("z"), pairs(firm).alias("z_firm"),
+    ).select(*key, _rank(F.col("same"), consistent("met", F.col("z")) | consistent("met_firm", F.col("z_firm"))))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

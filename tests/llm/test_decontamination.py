@@ -43,3 +43,19 @@ def test_odd_rows(spark):
     assert without_leaks(docs, bench(spark, [])).count() == docs.count()
     assert without_leaks(docs, bench(spark, [])).columns == docs.columns
     assert leaks(documents(spark, []), bench(spark, [ITEM])).count() == 0
+
+
+def test_every_occurrence_is_judged(spark):
+    shared(spark, "leaks")
+    one = ITEM.replace("Alice", "Bertha").replace("120", "350").replace("45", "62")
+    two = ITEM.replace("Alice", "Carol").replace("120", "77").replace("45", "81")
+    mixed = ITEM.replace("named Alice", "named Bertha").replace("will Alice", "will Carol").replace("120 miles", "350 miles")
+    filler = "and here is some other writing that has nothing to do with it at all"
+    stray = f"{filler} at 4 travels 99 miles {filler}"
+    moved = one.replace("toward", "without any further stop toward")
+    texts = [one, f"{one} {two}", " ".join([one, two] * 20), f"{filler}. {one} {stray}", f"{stray}. {two}", f"{mixed} {mixed}",
+             f"{two} {ITEM}", f"{moved} {two}", f"{mixed} {filler} {one}", one[:90], f"{one[:90]} {filler * 9} {two[90:]}",
+             one.replace("toward", f"{filler} {filler} toward")]
+    found = {r.doc_id: r.kind for r in leaks(documents(spark, texts), bench(spark, [ITEM])).collect()}
+    again = "reparameterised"
+    assert found == {0: again, 1: again, 2: again, 3: again, 4: again, 6: "exact", 7: again, 8: again, 10: again, 11: again}
