@@ -1,11 +1,13 @@
 """Benchmark decontamination by templates.
 
 A text becomes a template: its words without punctuation, in lower case, with numbers, names and units of measure as
-typed slots. Windows of five template words of an item are looked up among the windows of every document. Where a
-document holds four fifths of an item's windows, the values in its slots decide: the item's own values make an ``exact``
-leak; other values are a ``reparameterised`` question if each value of the item has one counterpart throughout;
-otherwise the likeness of the template is a coincidence. This is judged for the document as a whole and for every
-occurrence of the item in it; one that passes makes the leak.
+typed slots. Three forms stand side by side: names are capitalised words inside sentences (``INSIDE``), or all capitalised
+words (``ALL``), or nothing is a slot (``LITERAL``; words all in capitals stay apart from others there: US, us). Windows of
+five words of an item are looked up among the windows of every document, shorter items by windows of their own length.
+Where a document holds four fifths of an item's windows, or ``RUN`` words of it in one piece, the values in its slots
+decide: the item's own values make an ``exact`` leak; other values are a ``reparameterised`` question if each value of the
+item has one counterpart throughout; otherwise the likeness of the template is a coincidence. This is judged for the
+document as a whole and for every occurrence of the item in it; one that passes makes the leak.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from ferryline.llm.columns import let, text_of, without, words_of
 
 WINDOW = 5
 SHARE = 0.8
+RUN = 20
 BROADCAST_WINDOWS = 1_000_000
 BROADCAST_ROWS = 200_000
 # Units of measure that may follow a number.
@@ -31,65 +34,103 @@ UNITS = (
     "degrees", "percent", "cent", "cents", "dollar", "dollars", "euro", "euros", "usd", "eur", "gbp",
 )
 NAME_MARK, NUMBER_SLOT, NAME_SLOT, UNIT_SLOT = "\u0001", "\u0002", "\u0003", "\u0004"
+HEAD_MARK, CAPITALS_MARK = "\u0005", "\u0006"
 SLOTS = (NUMBER_SLOT, NAME_SLOT, UNIT_SLOT)
-MARKS = "[\u0001-\u0004]+"
+MARKS = "[\u0001-\u0006]+"
+FORMS = INSIDE, ALL, LITERAL = "inside", "all", "literal"
 # Single characters match by one table lookup, ranges would not.
 ASCII_PUNCTUATION = "[" + "".join(f"\\{c}" for c in punctuation) + "]+"
 
 
 def _plain(text: Column) -> Column:
-    """Words without punctuation; capitalised words inside a sentence carry a mark. White space stays as it is.
+    """Words without punctuation, one space between them. Capitalised words carry a mark in front, one inside a sentence
+    and another elsewhere; words of two and more letters that are all capitals also one behind.
 
     Patterns begin with the character they look for and look around from there, so that each pass is a plain scan.
     """
     clean = F.when(text.rlike(MARKS), F.regexp_replace(text, MARKS, "")).otherwise(text)
-    marked = F.regexp_replace(clean, r"\x20(?<=[\p{Ll}\p{N},;]\x20)(?=\p{Lu})", f" {NAME_MARK}")
+    spaced = F.regexp_replace(clean, r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " ")
+    marked = F.regexp_replace(spaced, r"\x20(?<=[\p{Ll}\p{N},;]\x20)(?=\p{Lu})", f" {NAME_MARK}")
     joined = F.regexp_replace(marked, r"[.,](?<=[0-9][.,])(?=[0-9])", "")
     ascii_only = F.regexp_replace(joined, ASCII_PUNCTUATION, "")
-    return F.regexp_replace(ascii_only, r"[^\x00-\x7F\p{L}\p{N}]+", "")
+    bare = F.regexp_replace(ascii_only, r"[^\x00-\x7F\p{L}\p{N}]+", "")
+    heads = F.regexp_replace(bare, r"\p{Lu}(?<![^\x20]\p{Lu})", f"{HEAD_MARK}$0")
+    return F.regexp_replace(heads, rf"[{NAME_MARK}{HEAD_MARK}]\p{{Lu}}{{2,}}(?!\S)", f"$0{CAPITALS_MARK}")
 
 
-def _slotted(plain: Column) -> Column:
-    """The template of ``_plain`` text, word by word."""
+def _forms(text: Column) -> Column:
+    """Struct of the words of a text in each of FORMS, all of one length."""
     def numbered(p):
         numbers = F.regexp_replace(p, r"\b[0-9]+\b", NUMBER_SLOT)
         return F.regexp_replace(numbers, rf"{NUMBER_SLOT}\x20(?i:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"{NUMBER_SLOT} {UNIT_SLOT}")
 
+    def named(units, marks):
+        slots = F.regexp_replace(units, rf"[{marks}]\p{{L}}+{CAPITALS_MARK}?", NAME_SLOT)
+        return words_of(F.lower(F.translate(slots, f"{HEAD_MARK}{CAPITALS_MARK}", "")))
+
     def run(p):
+        literal = words_of(F.lower(F.translate(p, f"{NAME_MARK}{HEAD_MARK}", "")))
         units = F.when(p.rlike("[0-9]"), numbered(p)).otherwise(p)
-        return let(units, lambda u: F.lower(F.when(F.contains(u, F.lit(NAME_MARK)), F.regexp_replace(
-            u, rf"{NAME_MARK}\p{{L}}+", NAME_SLOT)).otherwise(u)))
+        return let(F.struct(units.alias("u"), literal.alias("l")), lambda x: F.struct(
+            named(x["u"], NAME_MARK).alias(INSIDE), named(x["u"], NAME_MARK + HEAD_MARK).alias(ALL), x["l"].alias(LITERAL)))
 
-    return let(plain, run)
+    return let(_plain(text), run)
 
 
 def _hashes(words: Column) -> Column:
     """Hash of every template window; a shorter text is one window, none without words."""
     def run(h):
-        long = F.transform(F.sequence(F.lit(0), F.size(h) - WINDOW), lambda i: F.xxhash64(
-            *[F.get(h, i + k) for k in range(WINDOW)]))
-        return F.when(F.size(h) >= WINDOW, long).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(
+        return F.when(F.size(h) >= WINDOW, _runs(h, WINDOW)).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(
             F.array().cast("array<bigint>"))
 
     return let(F.transform(words, lambda w: F.xxhash64(w)), run)
 
 
-def template_windows(text: Column) -> Column:
-    return let(words_of(_slotted(_plain(text))), _hashes)
+def _runs(h: Column, width: int) -> Column:
+    """Hashes of all runs of ``width`` word hashes, of which there are so many at least."""
+    return F.transform(F.sequence(F.lit(0), F.size(h) - width), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(width)]))
+
+
+def _short_hashes(words: Column, width: int) -> Column:
+    """As ``_hashes`` for items of ``width`` words, fewer than a window has."""
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.when(
+        F.size(h) >= width, _runs(h, width)).otherwise(F.array().cast("array<bigint>")))
+
+
+def template_windows(text: Column, short: tuple[int, ...] = ()) -> Column:
+    """The different windows of a text in all forms, and those as wide as the short items are."""
+    return let(_forms(text), lambda x: F.array_distinct(F.concat(
+        *[_hashes(x[f]) for f in FORMS], *[_short_hashes(x[f], n) for f in FORMS for n in short])))
+
+
+def _filled_windows(text: Column, short: tuple[int, ...] = (), item: bool = False) -> Column:
+    """Windows as structs of their place ``i``, the ``form``, the hash ``w`` and the values ``v`` of its slots, in order;
+    ``t`` is the hash of the place in the form INSIDE.
+
+    Short items are one window, and one more that is looked up inside of texts: with slots only where two words are none.
+    """
+    def placed(x, form, hashes, width):
+        held = F.transform(x[LITERAL], lambda v: F.translate(v, CAPITALS_MARK, ""))
+
+        def values(y, i):
+            return F.filter(F.transform(F.sequence(i, i + width - 1), lambda k: F.when(
+                F.get(x[form], k).isin(*SLOTS), F.get(y["held"], k))), lambda v: v.isNotNull())
 
+        return let(F.struct(hashes.alias("h"), _hashes(x[INSIDE]).alias("t"), held.alias("held")), lambda y: F.transform(y["h"], lambda w, i: F.struct(
+            i.alias("i"), F.lit(form).alias("form"), w.alias("w"), values(y, i).alias("v"),
+            F.coalesce(F.get(y["t"], i), w).alias("t"))))
 
-def _filled_windows(text: Column) -> Column:
-    """Windows as structs of the hash ``w`` and the values ``v`` of its slots, in order."""
     def run(x):
-        kinds, values = x["kinds"], x["values"]
-        width = F.least(F.lit(WINDOW), F.size(kinds))
-        return F.transform(_hashes(kinds), lambda w, i: F.struct(w.alias("w"), F.filter(
-            F.transform(F.sequence(i, i + width - 1), lambda k: F.when(
-                F.get(kinds, k).isin(*SLOTS), F.lower(F.translate(F.get(values, k), NAME_MARK, "")))),
-            lambda v: v.isNotNull()).alias("v")))
+        n = F.size(x[LITERAL])
+        parts = [placed(x, f, _hashes(x[f]), F.least(F.lit(WINDOW), n)) for f in FORMS]
+        for f in FORMS:
+            says = F.size(F.filter(x[f], lambda w: ~w.isin(*SLOTS))) >= 2
+            for k in short:
+                some = placed(x, f, _short_hashes(x[f], k), F.lit(k))
+                parts.append(F.filter(some, lambda _: (n == k) & (says | F.lit(f == LITERAL))) if item else some)
+        return F.concat(*parts)
 
-    both = let(_plain(text), lambda p: F.struct(words_of(_slotted(p)).alias("kinds"), words_of(p).alias("values")))
-    return let(both, run)
+    return let(_forms(text), run)
 
 
 def leaks(
@@ -103,17 +144,24 @@ def leaks(
     reported. Empty tables give an empty result. Other columns are ignored, whatever their names.
     """
     items = benchmark.select(F.col(item_id).alias("item_id"), text_of(item_text).alias("item_text"))
-    wanted = items.select("item_id", F.explode(F.array_distinct(template_windows(F.col("item_text")))).alias("w")).distinct()
-    sizes = wanted.groupBy("item_id").agg(F.count("*").alias("windows"))
+    in_items = items.distinct().withColumn("item_key", F.xxhash64("item_text")).withColumn(
+        "n", F.size(_forms(F.col("item_text"))[LITERAL]))
+    # At most as many as a window has words.
+    short = tuple(sorted(r.n for r in in_items.where(F.col("n").between(1, WINDOW - 1)).select("n").distinct().collect()))
+    in_items = in_items.withColumn("y", F.explode(_filled_windows(F.col("item_text"), short, item=True))).select(
+        "item_id", "item_key", F.greatest(F.col("n") - WINDOW + 1, F.lit(1)).alias("places"), "y.i", "y.form", "y.w", "y.t",
+        F.col("y.v").alias("want")).checkpoint()
+    wanted = in_items.select("item_id", "w", "t").distinct()
+    sizes = wanted.groupBy("item_id").agg(F.count_distinct("t").alias("windows"))
     read = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("body"))
     keyed = read.withColumn("text_key", F.xxhash64("body"))
     small = wanted.count() <= BROADCAST_WINDOWS
-    held = keyed.select("doc_id", "text_key", F.explode(F.array_distinct(template_windows(F.col("body")))).alias("w"))
+    held = keyed.select("doc_id", "text_key", F.explode(template_windows(F.col("body"), short)).alias("w"))
     met = held.join(F.broadcast(wanted) if small else wanted, "w")
     pair = ["doc_id", "text_key", "item_id"]
-    found = met.groupBy(*pair).agg(F.count_distinct("w").alias("found"))
+    found = met.groupBy(*pair).agg(F.count_distinct("t").alias("found"))
     enough = found.join(sizes.toDF("sized", "windows"), F.col("item_id").eqNullSafe(F.col("sized"))).where(
-        F.col("found") >= SHARE * F.col("windows")).select(*pair, "found", "windows")
+        F.col("found") >= F.least(SHARE * F.col("windows"), F.lit(RUN - WINDOW + 1))).select(*pair, "found", "windows")
     likely = enough.checkpoint()
 
     # The slots of likely pairs only: their texts are read again.
@@ -121,33 +169,39 @@ def leaks(
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
     texts = keyed.join(ids, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t")), "left_semi")
     texts = texts.dropDuplicates(["doc_id", "text_key"])
-    in_docs = texts.select("doc_id", "text_key", F.posexplode(_filled_windows(F.col("body"))).alias("d", "x"))
-    in_items = items.distinct().withColumn("item_key", F.xxhash64("item_text")).withColumn(
-        "y", _filled_windows(F.col("item_text"))).select("item_id", "item_key", F.size("y").alias("places"), F.posexplode("y").alias("i", "y"))
-    hits = likely.alias("p").join(
-        in_items.select("item_id", "item_key", "places", "i", F.col("y.w").alias("w"), F.col("y.v").alias("want")).alias("i"),
-        F.expr("p.item_id <=> i.item_id")).select("p.*", "i.item_key", "i.places", "i.i", "i.w", "i.want").alias("p").join(
-        in_docs.select("doc_id", "text_key", "d", F.col("x.w").alias("w"), F.col("x.v").alias("have")).alias("h"),
-        F.expr("p.doc_id <=> h.doc_id AND p.text_key = h.text_key AND p.w = h.w")).select("p.*", "h.d", "h.have").checkpoint()
-    key = [*pair, "found", "windows"]
-    ranked = _whole(hits, key).unionByName(_occurrences(hits, key))
+    in_docs = texts.select("doc_id", "text_key", F.explode(_filled_windows(F.col("body"), short)).alias("x"))
+    hits = likely.alias("p").join(in_items.withColumnRenamed("form", "item_form").alias("i"), F.expr("p.item_id <=> i.item_id")).select(
+        "p.*", "i.item_key", "i.places", "i.i", "i.item_form", "i.w", "i.t", "i.want").alias("p").join(
+        in_docs.select("doc_id", "text_key", F.col("x.i").alias("d"), "x.form", F.col("x.w").alias("w"), F.col("x.v").alias("have")).alias("h"),
+        F.expr("p.doc_id <=> h.doc_id AND p.text_key = h.text_key AND p.w = h.w")).select("p.*", "h.d", "h.form", "h.have")
+    # Two readings, one by the form INSIDE alone and one by all: what begins sentences may differ, or be a name.
+    alone = (F.col("form") == INSIDE) & (F.col("item_form") == INSIDE)
+    read_as = F.explode(F.when(alone, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))).alias("reading")
+    at = [*pair, "found", "windows", "reading", "item_key", "places", "i", "d", "t"]
+    slots = F.struct(F.size("want").alias("n"), F.col("want"), F.col("have"))
+    hits = hits.select("*", read_as).groupBy(*at).agg(
+        F.bool_or(F.col("want") == F.col("have")).alias("own"), F.max(slots).alias("z")).select(
+        *at, "own", "z.want", "z.have").withColumnRenamed("t", "w").checkpoint()
+    key = [*pair, "found", "windows", "reading"]
+    ranked = _whole(hits, key).unionByName(_occurrences(hits, key)).unionByName(_passages(hits, key)).drop("reading")
     kind = F.when(F.min("rank") == 0, "exact").otherwise("reparameterised")
-    return ranked.where("rank IS NOT NULL").groupBy(*key).agg(kind.alias("kind"))
+    return ranked.where("rank IS NOT NULL").groupBy(*key[:-1]).agg(kind.alias("kind"))
 
 
-def _rank(same: Column, consistent: Column) -> Column:
+def _rank(same: Column, *consistent: Column) -> Column:
     """0 for an exact leak, 1 for a reparameterised one, null for none."""
-    return F.when(same >= SHARE * F.col("windows"), 0).when(consistent, 1).alias("rank")
+    return F.when(same >= SHARE * F.col("windows"), 0).when(F.greatest(F.lit(False), *consistent), 1).alias("rank")
 
 
 def _whole(hits: DataFrame, key: list[str]) -> DataFrame:
     """``key, rank`` from all windows of a document, wherever they are."""
-    met = hits.select(*key, "w", "want", "have").distinct()
-    told = met.select(*key, "w", (F.col("want") == F.col("have")).alias("own"), F.explode_outer(F.arrays_zip("want", "have")).alias("z"))
+    met = hits.select(*key, "w", "own", "want", "have").distinct()
+    told = met.select(*key, "w", "own", F.explode_outer(F.arrays_zip("want", "have")).alias("z"))
     return told.groupBy(*key).agg(
-        F.count_distinct(F.when(F.col("own"), F.col("w"))).alias("same"), F.count_distinct("z.want").alias("n_values"),
+        F.count_distinct("w").alias("met"), F.count_distinct(F.when(F.col("own"), F.col("w"))).alias("same"),
+        F.count_distinct("z.want").alias("n_values"),
         F.count_distinct(F.when(F.col("z").isNotNull(), F.col("z"))).alias("n_pairs"),
-    ).select(*key, _rank(F.col("same"), F.expr("n_pairs > 0 AND n_values = n_pairs")))
+    ).select(*key, _rank(F.col("same"), F.expr(f"met >= {SHARE} * windows AND n_pairs > 0 AND n_values = n_pairs")))
 
 
 def _occurrences(hits: DataFrame, key: list[str]) -> DataFrame:
@@ -167,19 +221,33 @@ def _occurrences(hits: DataFrame, key: list[str]) -> DataFrame:
     first = F.row_number().over(Window.partitionBy(*one, "i").orderBy(F.desc("votes"), "shift"))
     chosen = voted.withColumn("n", first).where("n = 1")
 
-    def pairs(held):
-        return F.array_distinct(F.flatten(F.collect_list(F.when(held, F.arrays_zip("want", "have")))))
-
-    def consistent(found, z):
-        clear = F.size(F.array_distinct(F.transform(z, lambda x: x["want"]))) == F.size(z)
-        return (F.col(found) >= SHARE * F.col("windows")) & clear
-
     firm = F.col("votes") > 1
     return chosen.groupBy(*one).agg(
         F.count_distinct("w").alias("met"), F.count_distinct(F.when(firm, F.col("w"))).alias("met_firm"),
-        F.count_distinct(F.when(F.col("want") == F.col("have"), F.col("w"))).alias("same"),
-        pairs(F.lit(True)).alias("z"), pairs(firm).alias("z_firm"),
-    ).select(*key, _rank(F.col("same"), consistent("met", F.col("z")) | consistent("met_firm", F.col("z_firm"))))
+        F.count_distinct(F.when(F.col("own"), F.col("w"))).alias("same"),
+        _pairs(F.lit(True)).alias("z"), _pairs(firm).alias("z_firm"),
+    ).select(*key, _rank(F.col("same"), *[
+        (F.col(met) >= SHARE * F.col("windows")) & _clear(F.col(z)) for met, z in (("met", "z"), ("met_firm", "z_firm"))]))
+
+
+def _passages(hits: DataFrame, key: list[str]) -> DataFrame:
+    """``key, rank`` of every piece of RUN or more words of an item without a gap."""
+    one = [*key, "item_key", "shift"]
+    shifted = hits.withColumn("shift", F.col("d") - F.col("i"))
+    piece = F.col("i") - F.row_number().over(Window.partitionBy(*one).orderBy("i"))
+    held = shifted.withColumn("piece", piece).groupBy(*one, "piece").agg(
+        F.count("*").alias("n"), F.bool_and("own").alias("own"), _pairs(F.lit(True)).alias("z")).where(F.col("n") >= RUN - WINDOW + 1)
+    return held.select(*key, F.when(F.col("own"), 0).when(_clear(F.col("z")), 1).alias("rank"))
+
+
+def _pairs(held: Column) -> Column:
+    """The different pairs of values of an item and a document."""
+    return F.array_distinct(F.flatten(F.collect_list(F.when(held, F.arrays_zip("want", "have")))))
+
+
+def _clear(pairs: Column) -> Column:
+    """Whether each value of the item has one counterpart."""
+    return F.size(F.array_distinct(F.transform(pairs, lambda x: x["want"]))) == F.size(pairs)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

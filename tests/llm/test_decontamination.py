@@ -1,3 +1,5 @@
+import textwrap
+
 from llm.rows import documents, odd_documents
 
 from ferryline.llm.decontamination import leaks, without_leaks
@@ -59,3 +61,19 @@ def test_every_occurrence_is_judged(spark):
     found = {r.doc_id: r.kind for r in leaks(documents(spark, texts), bench(spark, [ITEM])).collect()}
     again = "reparameterised"
     assert found == {0: again, 1: again, 2: again, 3: again, 4: again, 6: "exact", 7: again, 8: again, 10: again, 11: again}
+
+
+def test_case_line_breaks_first_names_passages_and_short_items(spark):
+    shared(spark, "leaks")
+    tom = "Tom has 12 apples and 3 green pears in the old basket. Tom gives 5 of them to the poor man at the gate"
+    items = [ITEM, tom, "Who wrote Hamlet", "Add 3 to it"]
+    filler = "and here is some other writing that has nothing to do with it at all"
+    words = ITEM.split()
+    texts = [ITEM.lower(), ITEM.replace(" Alice", "\nAlice").replace(" Boston", " \n Boston"), textwrap.fill(ITEM, 60), ITEM.title(),
+             tom.replace("Tom", "Anna"), tom.replace("Tom", "Anna").replace("12", "31").replace(" 5 ", " 8 "),
+             f"{filler} {' '.join(words[4:25])} {filler}", f"{filler} {' '.join(words[4:16])} {filler}",
+             f"{filler}: who wrote Hamlet? {filler}", f"{filler} add 9 to it {filler}", f"{filler} who wrote Faust"]
+    found = {(r.doc_id, r.item_id): r.kind for r in leaks(documents(spark, texts), bench(spark, items)).collect()}
+    exact, again = "exact", "reparameterised"
+    assert found == {(0, 0): exact, (1, 0): exact, (2, 0): exact, (3, 0): exact, (4, 1): again, (5, 1): again, (6, 0): exact,
+                     (8, 2): exact, (9, 3): again, (10, 2): again}
