@@ -21,14 +21,21 @@ from ferryline.llm.columns import let, total
 ROUNDS = 8
 # The formats found, in the order in which they are tried at one place.
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,4})?)(?![A-Za-z0-9])"
 DATE = r"(?<![0-9.-])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9-])"
+DOTTED = r"(?<![0-9.])[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}(?![0-9]|\.[0-9])"
+SLASHED = r"(?<![0-9/])[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}(?![0-9/])"
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 CARD = r"(?<![0-9-])[0-9](?:[\x20-]?[0-9]){12,18}(?![0-9-])"
 PHONE = r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{3}\)[\x20.-]?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9-])"
-ANY = "|".join((EMAIL, IBAN, DATE, IP, SSN, CARD, PHONE))
-KINDS = (("email", EMAIL), ("iban", IBAN), ("date", DATE), ("ip", IP), ("ssn", SSN), ("card", CARD), ("phone", PHONE))
+FOREIGN = r"(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[\x20.-]?[0-9]{2,8}){2,4}(?![0-9-])"
+PLAIN_PHONE = r"(?<![0-9A-Za-z+.,/-])[2-9][0-9]{9}(?![0-9A-Za-z-]|[.,/][0-9])"
+KINDS = (
+    ("email", EMAIL), ("iban", IBAN), ("date", DATE), ("dotted", DOTTED), ("slashed", SLASHED), ("ip", IP), ("ssn", SSN),
+    ("card", CARD), ("phone", PHONE), ("foreign", FOREIGN), ("plain_phone", PLAIN_PHONE),
+)
+ANY = "|".join(pattern for _, pattern in KINDS)
 # 7 * 28 years of which every fourth is a leap year, from 1904-01-01 to 2099-12-31, are 147 * 487 days.
 FIRST_DAY, DAYS = "1904-01-01", (147, 487)
 LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -139,16 +146,26 @@ def _iban(value: Column, key: Key) -> Column:
     return F.when(valid & (F.length(_only_digits(body)) > 0), new)
 
 
-def _date(value: Column, key: Key) -> Column:
-    day = F.to_date(F.try_to_timestamp(value, F.lit("yyyy-MM-dd")))
+def _date(value: Column, key: Key, form: str = "yyyy-MM-dd") -> Column:
+    """A day has one pseudonym, however it is written."""
+    day = F.to_date(F.try_to_timestamp(value, F.lit(form)))
     first = F.lit(FIRST_DAY).cast("date")
     number = F.datediff(day, first)
     sizes = tuple(F.lit(n).cast("bigint") for n in DAYS)
     new = let(feistel(F.floor(number / DAYS[1]), number % DAYS[1], sizes, key, "date"),
-              lambda x: F.date_add(first, (x["l"] * DAYS[1] + x["r"]).cast("int")).cast("string"))
+              lambda x: F.date_format(F.date_add(first, (x["l"] * DAYS[1] + x["r"]).cast("int")), form))
     return F.when(number.between(0, DAYS[0] * DAYS[1] - 1), new)
 
 
+def _dotted(value: Column, key: Key) -> Column:
+    return _date(value, key, "dd.MM.yyyy")
+
+
+def _slashed(value: Column, key: Key) -> Column:
+    """Month first; where that is no day, day first."""
+    return F.coalesce(_date(value, key, "MM/dd/yyyy"), _date(value, key, "dd/MM/yyyy"))
+
+
 def _ip(value: Column, key: Key) -> Column:
     def run(parts):
         valid = ~F.exists(parts, lambda p: (p.cast("int") > 255) | p.rlike("^0[0-9]"))
@@ -185,6 +202,17 @@ def _phone(value: Column, key: Key) -> Column:
     return let(_only_digits(value), run)
 
 
+def _foreign(value: Column, key: Key) -> Column:
+    """Up to ten digits at the end are permuted, 8 to 15 there are in all; the first two stay."""
+    def run(d):
+        n = F.least(F.lit(10), F.length(d) - 2)
+        new = let(permuted_digits(F.substring(d, F.length(d) - n + 1, n), key, "phone"),
+                  lambda p: F.concat(F.substring(d, F.lit(1), F.length(d) - n), p))
+        return F.when(F.length(d).between(8, 15), let(new, lambda x: _refilled(value, x)))
+
+    return let(_only_digits(value), run)
+
+
 def _email(value: Column, key: Key) -> Column:
     """The local part keeps its length and the kind of each character; the keystream comes from the whole address, and a
     keyed tag keeps different addresses apart."""
@@ -202,7 +230,48 @@ def _email(value: Column, key: Key) -> Column:
                     F.lit("@example.invalid"))
 
 
-_BY_KIND = {"email": _email, "iban": _iban, "date": _date, "ip": _ip, "ssn": _ssn, "card": _card, "phone": _phone}
+def _pieces(value: Column, wanted: str, made) -> Column:
+    """``value`` with the first run of its groups that passes replaced: long runs before short ones, none across a group.
+
+    ``wanted`` is the separator of groups; there are at most 19 groups, and runs that cannot pass by length are not tried.
+    """
+    def run(groups):
+        spans = F.flatten(F.transform(F.sequence(F.lit(0), F.size(groups) - 1), lambda a: F.transform(
+            F.sequence(a, F.size(groups) - 1), lambda b: F.struct((a - b).alias("short"), a.alias("a"), b.alias("b")))))
+        text = lambda a, n: F.array_join(F.slice(groups, a + 1, n), "")
+        tried = F.transform(F.sort_array(spans), lambda s: let(
+            F.struct(text(s["a"], s["b"] - s["a"] + 1).alias("v")), lambda x: F.struct(made(x["v"]).alias("new"), s["a"].alias("a"), s["b"].alias("b"))))
+        passed = F.filter(tried, lambda x: x["new"].isNotNull())
+        return let(F.get(passed, F.lit(0)), lambda x: F.when(x.isNotNull(), F.concat(
+            text(F.lit(0), x["a"]), x["new"], text(x["b"] + 1, F.size(groups)))))
+
+    return let(F.regexp_extract_all(value, F.lit(wanted), F.lit(0)), run)
+
+
+def _card_in(value: Column, key: Key) -> Column:
+    """The whole candidate, or the longest run of its groups that is a card: a card beside other numbers."""
+    def of(v):
+        core = F.regexp_extract(v, "^([\\x20-]?)(.*)$", 2)
+        lead = F.regexp_extract(v, "^([\\x20-]?)(.*)$", 1)
+        return F.when(F.length(_only_digits(v)).between(13, 19), F.concat(lead, _card(core, key)))
+
+    return F.coalesce(_card(value, key), F.when(value.rlike("[\\x20-]"), _pieces(value, "[\\x20-]?[0-9]+", of)))
+
+
+def _iban_in(value: Column, key: Key) -> Column:
+    """The whole candidate, or without groups at its end that do not belong to it; spaces stay where they were."""
+    def spaced(v):
+        compact = F.regexp_replace(v, "\\x20", "")
+        groups = lambda n: F.trim(F.regexp_replace(n, "(.{4})", "$1 "))
+        return F.when(v.startswith(" ") | ~v.rlike("^[A-Z]{2}[0-9]{2}"), None).otherwise(let(_iban(compact, key), groups))
+
+    return F.when(F.contains(value, F.lit(" ")), _pieces(value, "\\x20?[A-Z0-9]+", spaced)).otherwise(_iban(value, key))
+
+
+_BY_KIND = {
+    "email": _email, "iban": _iban_in, "date": _date, "dotted": _dotted, "slashed": _slashed, "ip": _ip, "ssn": _ssn,
+    "card": _card_in, "phone": _phone, "foreign": _foreign, "plain_phone": _phone,
+}
 
 
 def pseudonym(value: Column, key: Key) -> Column:

@@ -68,3 +68,21 @@ def test_odd_rows(spark):
     done = pseudonymise(docs, KEY)
     assert done.count() == docs.count() and done.columns == [*docs.columns, "replaced"]
     assert pseudonymise(documents(spark, []), KEY).count() == 0
+
+
+def test_values_inside_candidates_and_other_shapes(spark):
+    cards = ["4111111111111111 123", "12 4111111111111111", "4111 1111 1111 1111 123"]
+    new = of(spark, [*cards, "4111111111111111", "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "24.12.1985", "12/24/1985",
+                     "1985-12-24", "24/12/1985", "+49 30 12345678", "5551234567", "555-123-4567", "32.12.1985"])
+    inner = new["4111111111111111"]
+    assert luhn(inner) and inner != "4111111111111111"
+    assert new[cards[0]] == f"{inner} 123" and new[cards[1]] == f"12 {inner}"
+    assert new[cards[2]].replace(" ", "") == f"{inner}123" and new[cards[2]][4::5] == "    "
+    assert new["DE89 3704 0044 0532 0130 00"].replace(" ", "") == new["DE89370400440532013000"] != "DE89370400440532013000"
+    y, m, d = new["1985-12-24"].split("-")
+    assert (new["24.12.1985"], new["12/24/1985"], new["24/12/1985"]) == (f"{d}.{m}.{y}", f"{m}/{d}/{y}", f"{d}/{m}/{y}")
+    assert new["+49 30 12345678"].startswith("+49 ") and new["+49 30 12345678"] != "+49 30 12345678"
+    assert new["5551234567"] == new["555-123-4567"].replace("-", "") and new["32.12.1985"] == "32.12.1985"
+    text = "pay 4111111111111111 123, born 24.12.1985, call 5551234567 or +49 30 12345678, IBAN DE89 3704 0044 0532 0130 00."
+    row = pseudonymise(documents(spark, [text]), KEY).collect()[0]
+    assert row.replaced == 5 and not any(v in row.text for v in ("4111111111111111", "24.12.1985", "5551234567", "12345678", "0532"))
