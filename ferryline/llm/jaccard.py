@@ -8,11 +8,8 @@ The global order of all shingles is the order of their fingerprints, so each fra
   make two sets equal in a fragment, as their own shingles fall into the same ranges.
 * Counting. Each candidate set is cut into ``FRAGMENTS`` ranges. The overlap of a pair is counted in every range by
   itself, and the counts are summed per pair.
-* Large groups. Beyond ``SMALL`` members no pairs are listed. All members are counted against one pivot. Two members that link
-  and are not both linked to the pivot share a shingle that the pivot lacks, or one of them is so much smaller than the
-  pivot that the counts with the pivot leave it open. The latter pairs are found by size and counted; shingles beyond
-  the pivot are the keys of the next, smaller groups. This ends when every group is one component, and no link
-  between two components is lost.
+* Large groups list no pairs: members are counted against a pivot, and what that leaves open goes on by differences from
+  the pivot (``linked_sets``). No link between two components is lost.
 
 Equal sets are one node from the start; copies are never expanded into pairs.
 """
@@ -23,14 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ferryline.llm.linked_sets import FRAGMENTS, Tables, settle
 from ferryline.llm.shingles import mix, set_key, shingle_set
 
-FRAGMENTS = 4
-SMALL = (16, 64)  # of the groups of fragments, and of the groups that follow
-HOPS = 1
 KEYS_PER_BATCH = 500_000
 BROADCAST_TEXTS = 200_000
 _HIGH = np.uint64(32)
@@ -72,7 +67,7 @@ def fragment_keys(values: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(found).view(np.int64)
 
 
-def _signatures(size: int):
+def signatures(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, counts = [], []
@@ -86,7 +81,7 @@ def _signatures(size: int):
     return run
 
 
-def _once(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, int | None, np.ndarray]]:
+def once(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, int | None, np.ndarray]]:
     """(node, smallest document id, set) of every different set in a batch: copies are dropped before the shuffle."""
     first: dict[int, int | None] = {}
     held: dict[int, np.ndarray] = {}
@@ -115,7 +110,7 @@ def _keys(size: int, percent: int):
                     pa.array(firsts, pa.int64()).take(pa.array(np.repeat(np.arange(len(keys)), lengths))),
                 ], ["key", "node", "first"])
 
-            for node, first, values in _once(batch, size):
+            for node, first, values in once(batch, size):
                 keys.append(fragment_keys(values, percent))
                 nodes.append(node)
                 firsts.append(first)
@@ -128,154 +123,73 @@ def _keys(size: int, percent: int):
     return run
 
 
-def _segments(size: int):
+def segments(size: int):
+    """Rows ``node, n, pieces`` of the different sets of a batch, each set in FRAGMENTS ranges of its sorted fingerprints."""
     cuts = (np.arange(1, FRAGMENTS, dtype=np.uint64) * np.uint64(2**64 // FRAGMENTS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, parts, pieces = [], [], []
-            for node, _, values in _once(batch, size):
-                for part, piece in enumerate(np.split(values, np.searchsorted(values, cuts))):
-                    nodes.append((node, values.size))
-                    parts.append(part)
-                    pieces.append(piece.view(np.int64))
+            nodes, counts, pieces = [], [], []
+            for node, _, values in once(batch, size):
+                nodes.append(node)
+                counts.append(values.size)
+                pieces += np.split(values, np.searchsorted(values, cuts))
             if nodes:
                 offsets = np.concatenate(([0], np.cumsum([p.size for p in pieces]))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([n for n, _ in nodes], pa.int64()), pa.array([n for _, n in nodes], pa.int64()),
-                    pa.array(parts, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(pieces))),
-                ], ["node", "n", "part", "piece"])
+                inner = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(pieces).view(np.int64)))
+                outer = pa.array(np.arange(len(nodes) + 1, dtype=np.int32) * FRAGMENTS)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(outer, inner)],
+                    ["node", "n", "pieces"])
     return run
 
 
-class _Tables:
-    """Numbered Parquet tables below one shared folder, so that no lineage grows and lost executors cost little."""
+def signed_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``doc_id, text, text_key`` of the documents."""
+    read = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return read.withColumn("text_key", F.xxhash64("text"))
 
-    def __init__(self, spark, folder: str):
-        self.spark, self.folder, self.count = spark, folder, 0
 
-    def keep(self, df: DataFrame) -> DataFrame:
-        self.count += 1
-        path = f"{self.folder}/t{self.count}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+def first_rows(signed: DataFrame) -> DataFrame:
+    """``node, first, text_key``: the smallest id and one text of every set."""
+    return signed.where("node IS NOT NULL").groupBy("node").agg(
+        F.min("doc_id").alias("first"), F.min("text_key").alias("text_key"))
 
 
-def components(edges: DataFrame, tables: _Tables) -> DataFrame:
-    """``node, component`` for every node of the edges ``a, b``: large and small stars in turn, a table a turn.
+def sets_from(rows: DataFrame, firsts: DataFrame, size: int, tables: Tables):
+    """The sets of asked nodes, made again from one text of each; a short list of texts is broadcast."""
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        chosen = tables.keep(firsts.join(nodes, "node", "left_semi").select(F.col("text_key").alias("chosen")).distinct())
+        if chosen.count() <= BROADCAST_TEXTS:
+            chosen = F.broadcast(chosen)
+        texts = rows.join(chosen, F.col("text_key") == F.col("chosen"), "left_semi").select("doc_id", "text")
+        pieces = texts.mapInArrow(segments(size), "node bigint, n bigint, pieces array<array<bigint>>")
+        return tables.keep(pieces.dropDuplicates(["node"]))
+    return sets_of
 
-    It ends when all edges lead from a node to its component: no node has two edges, none is at both ends.
-    """
-    def turned(df):
-        return df.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-
-    current = tables.keep(turned(edges))
-    while True:
-        ends = current.select(F.col("u").alias("x"), F.lit(1).alias("from"), F.lit(0).alias("to")).unionByName(
-            current.select(F.col("v").alias("x"), F.lit(0).alias("from"), F.lit(1).alias("to")))
-        open_ends = ends.groupBy("x").agg(F.sum("from").alias("from"), F.max("to").alias("to")).where("from > 1 OR from > 0 AND to > 0")
-        if open_ends.isEmpty():
-            break
-        both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = turned(both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")))
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").select(F.explode(F.array(
-            F.struct(F.col("u").alias("a"), F.col("m").alias("b")), F.struct(F.col("v").alias("a"), F.col("m").alias("b"))
-        )).alias("e")).select("e.*")
-        current = tables.keep(turned(small))
-    return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-
-
-def _merged(labels: DataFrame, links: DataFrame, tables: _Tables) -> DataFrame:
-    """The labels ``node, component`` after further links; only links between two components cost work."""
-    of = labels.select("node", "component")
-    ends = links.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    for end in ("a", "b"):
-        named = of.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
-        ends = ends.join(named, end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
-    between = tables.keep(ends.where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
-    if between.isEmpty():
-        return labels
-    joined = components(between, tables)
-    moved = joined.select(F.col("node").alias("component"), F.col("component").alias("into"))
-    return tables.keep(of.join(moved, "component", "left").select("node", F.coalesce("into", "component").alias("component"))
-                       .unionByName(joined.join(of, "node", "left_anti")))
-
-
-def _pairs(members: DataFrame, tables: _Tables, limit: int, hops: int) -> DataFrame:
-    """``key, node, first`` -> distinct ``pivot, node, more``.
-
-    A group of up to ``limit`` members gives its pairs: at most ``limit`` / 2 a member. A larger one gives its members
-    with one pivot, the node of the smallest id, and ``more``. With ``hops``, the pivot is replaced, as often, by the node
-    that is its own pivot in most groups: groups of similar sets then share a pivot, and fewer counts lead further.
-    """
-    order = F.struct(F.coalesce("first", F.lit(2**63 - 1)).alias("first"), F.col("node").alias("node"))
-    group = Window.partitionBy("key")
-    # The exchange by key serves the grouping, the window and the lists of small groups.
-    seen = members.repartition("key").groupBy("key", "node").agg(F.min("first").alias("first"))
-    sized = seen.select("key", "node", order.alias("o"), F.min(order).over(group).alias("p"), F.count("*").over(group).alias("c"))
-    shared = tables.keep(sized.where("c > 1").select("key", "node", F.col("p.node").alias("pivot"), "c"))
-    listed = shared.where(F.col("c") <= limit).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("l"))
-    both = listed.select(F.explode(F.flatten(F.transform("l", lambda a, i: F.transform(
-        F.slice("l", i + 2, F.size("l")), lambda b: F.struct(a.alias("pivot"), b.alias("node")))))).alias("x"))
-    small = both.select("x.*").distinct().withColumn("more", F.lit(False))
-    stars = tables.keep(shared.where(f"c > {limit} AND node <> pivot").groupBy("pivot", "node").agg(F.count("*").alias("keys")))
-    leaders = stars.groupBy("node").agg(F.max_by("pivot", F.struct("keys", "pivot")).alias("leader"))
-    leaders = leaders.select(F.col("node").alias("pivot"), "leader")
-    # A pivot has a smaller id than the members of its group, so its own leader is never one of them.
-    stars = stars.withColumn("least", F.col("pivot")).select("pivot", "node", "least")
-    for _ in range(hops):
-        moved = stars.join(leaders, "pivot", "left")
-        stars = moved.select(F.coalesce("leader", "pivot").alias("pivot"), "node", "least")
-    stars = stars.select("pivot", "node").unionByName(
-        stars.where("pivot <> least").select("pivot", F.col("least").alias("node")))
-    large = stars.where("pivot <> node").select("pivot", "node").distinct().withColumn("more", F.lit(True))
-    return small.join(large, ["pivot", "node"], "left_anti").unionByName(large)
-
-
-def _counted(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """The partial overlap of every pair in every fragment, and what the node has there beyond the pivot."""
-    of_pivot = segments.select(F.col("node").alias("pivot"), F.col("n").alias("n_pivot"), "part", F.col("piece").alias("held"))
-    of_node = segments.select("node", "n", "part", "piece")
-    return pairs.join(of_pivot, "pivot").join(of_node, ["node", "part"]).select(
-        "pivot", "node", "more", "n_pivot", "n", "part",
-        F.size(F.array_intersect("piece", "held")).alias("overlap"),
-        F.when(F.col("more"), F.array_except("piece", "held")).alias("beyond"),
-    )
-
-
-def _summed(counted: DataFrame) -> DataFrame:
-    return counted.groupBy("pivot", "node", "more", "n_pivot", "n").agg(F.sum("overlap").alias("common"))
-
-
-def _linked(percent: int):
-    return F.expr(f"100 * common >= {percent} * (n_pivot + n - common)")
-
-
-def _left_open(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one pivot whose counts with it allow a link without a further shared shingle."""
-    rows = stars.where("more").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    most = F.expr(f"(100 + {percent}) * common div {percent} - n")
-    least = F.expr(f"({percent} * n + 99) div 100")
-    left = rows.where(~_linked(percent) & (most >= least)).select(
-        "pivot", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"),
-        F.explode(F.sequence(least, most)).alias("n"))
-    right = rows.select("pivot", "n", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("common").alias("iy"))
-    found = left.join(right, ["pivot", "n"]).where(f"cx <> cy AND (100 + {percent}) * iy >= {percent} * (nx + n)")
-    return found.select(F.least("x", "y").alias("pivot"), F.greatest("x", "y").alias("node")).distinct().withColumn(
-        "more", F.lit(False))
+
+def named_rows(signed: DataFrame, firsts: DataFrame, labels: DataFrame, doc_id: str) -> DataFrame:
+    """``doc_id, n_shingles, component_id, node, text_key`` of every document from the components of the nodes."""
+    named = firsts.join(labels, "node", "left").select(
+        "node", "first", F.coalesce("component", "node").alias("component"))
+    smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    of_node = named.join(smallest, "component").select("node", "component", "component_id")
+    return signed.join(of_node, "node", "left").select(
+        F.col("doc_id").alias(doc_id), F.col("n").alias("n_shingles"),
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "component", "text_key")
 
 
 def jaccard_groups(
     docs: DataFrame, folder: str, size: int, percent: int, doc_id: str = "doc_id", text: str = "text",
-    small: tuple[int, int] | None = None,
+    listed: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, text_key`` for every row; sets link from a Jaccard similarity of ``percent`` / 100.
+    """``doc_id, n_shingles, component_id, component, text_key`` for every row; sets link from a Jaccard similarity of
+    ``percent`` / 100.
 
-    ``text_key`` is ``xxhash64`` of the text, so that rows which share an id can be told apart. ``small``: up to how many
-    members a group lists its pairs, SMALL by default; lower values mean fewer pairs and more levels, and the same result.
+    ``component`` names the group also where no id does (null for a text without words); ``text_key`` is ``xxhash64`` of
+    the text, so that rows which share an id can be told apart. ``listed``: up to how many members a group lists its
+    pairs, ``linked_sets.LISTED`` by default; other values give the same result.
 
     Words are compared with A-Z as a-z. A text with fewer than ``size`` words is one shingle. ``folder``: a new one
     that all executors reach.
@@ -285,47 +199,10 @@ def jaccard_groups(
     rows are equal sets. Ties: the smallest id names a component. An empty table gives an empty result. Other columns
     are ignored, whatever their names.
     """
-    spark = docs.sparkSession
-    tables, small = _Tables(spark, folder), small or SMALL
-    read = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    keyed = read.withColumn("text_key", F.xxhash64("text"))
-    signed = tables.keep(keyed.mapInArrow(_signatures(size), "doc_id bigint, text_key bigint, node bigint, n bigint"))
-    keys = read.mapInArrow(_keys(size, percent), "key bigint, node bigint, first bigint")
-    pairs = tables.keep(_pairs(keys, tables, small[0], HOPS))
-
-    # The sets of candidate nodes, made again from one text of each; a short list of texts is broadcast.
-    nodes = pairs.select("pivot").union(pairs.select("node")).distinct().toDF("node")
-    firsts = signed.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("first"), F.min("text_key").alias("text_key"))
-    wanted = tables.keep(firsts.join(nodes, "node", "left_semi"))
-    chosen = wanted.select(F.col("text_key").alias("chosen"))
-    if chosen.count() <= BROADCAST_TEXTS:
-        chosen = F.broadcast(chosen)
-    texts = keyed.join(chosen, F.col("text_key") == F.col("chosen"), "left_semi").select("doc_id", "text")
-    pieces = texts.mapInArrow(_segments(size), "node bigint, n bigint, part int, piece array<bigint>")
-    segments = tables.keep(pieces.dropDuplicates(["node", "part"]))
-
-    labels = tables.keep(spark.createDataFrame([], "node bigint, component bigint"))
-    while not pairs.isEmpty():
-        counted = tables.keep(_counted(pairs, segments))
-        stars = tables.keep(_summed(counted))
-        labels = _merged(labels, stars.where(_linked(percent)), tables)
-        if stars.where("more").isEmpty():
-            break
-        left = tables.keep(_left_open(stars, labels, percent))
-        if not left.isEmpty():
-            labels = _merged(labels, _summed(_counted(left, segments)).where(_linked(percent)), tables)
-        beyond = counted.where("more").select(
-            F.explode("beyond").alias("shingle"), "pivot", "node").select(F.xxhash64("pivot", "shingle").alias("key"), "node")
-        named = beyond.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-        apart = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        members = beyond.join(apart.select("key"), "key", "left_semi").join(wanted.select("node", "first"), "node")
-        pairs = tables.keep(_pairs(members, tables, small[1], 0))
-
-    named = firsts.join(labels, "node", "left").select(
-        "node", "first", F.coalesce("component", "node").alias("component"))
-    smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_node = named.join(smallest, "component").select("node", "component_id")
-    return signed.join(of_node, "node", "left").select(
-        F.col("doc_id").alias(doc_id), F.col("n").alias("n_shingles"),
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "text_key")
+    tables = Tables(docs.sparkSession, folder)
+    rows = signed_rows(docs, doc_id, text)
+    signed = tables.keep(rows.mapInArrow(signatures(size), "doc_id bigint, text_key bigint, node bigint, n bigint"))
+    firsts = first_rows(signed)
+    groups = rows.select("doc_id", "text").mapInArrow(_keys(size, percent), "key bigint, node bigint, first bigint")
+    labels = settle(groups, sets_from(rows, firsts, size, tables), percent, tables, listed)
+    return named_rows(signed, firsts, labels, doc_id)

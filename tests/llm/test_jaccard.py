@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 from llm.rows import WORD, documents, odd_documents
 
-from ferryline.llm import jaccard
+from ferryline.llm import jaccard, linked_sets
 from ferryline.sources.collections import table
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -61,7 +61,7 @@ def edited(words, dice, share):
 
 def test_large_groups_of_near_copies(spark, tmp_path, monkeypatch):
     """More copies than a small group may have, with and without their source, so that pivots and later levels work."""
-    monkeypatch.setattr(jaccard, "SMALL", (3, 3))
+    monkeypatch.setattr(linked_sets, "LISTED", (3, 3))
     dice = random.Random(7)
     texts = []
     for source in range(4):

@@ -43,3 +43,19 @@ def test_odd_rows(spark, tmp_path):
             out = stage(spark, spark.read.parquet(f"{tmp_path}/{number}-{rows}"), FOLDER)
             assert out.count() <= docs.count() and (rows == "odd" or out.count() == 0)
             assert number == 4 or out.columns == docs.columns
+
+
+def test_one_survivor_a_group(spark, tmp_path):
+    """Null ids, ids that several texts share, and rows repeated with other languages."""
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join(words[:-1] + [f"end{i}"]) for i in range(5)]
+    far = " ".join(f"z{i}" for i in range(40))
+    rows = [(None, near[0], "en"), (None, near[1], "en"), (7, near[2], "en"), (7, near[3], "en"), (9, near[4], "en"),
+            (None, far, "en"), (None, far + " more", "en"), (3, "one row", "fr"), (3, "one row", "de"), (None, None, "en"),
+            (None, "", "en")]
+    docs = spark.createDataFrame([(i, t, lang, "s", 1) for i, t, lang in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(f"{tmp_path}/in")
+    out = pipeline.near_duplicates(spark, spark.read.parquet(f"{tmp_path}/in"), FOLDER).collect()
+    assert sorted(map(str, [r.doc_id for r in out])) == ["3", "7", "None", "None", "None"]
+    assert [r.lang for r in out if r.doc_id == 3] == ["de"]
+    assert sum(bool(r.text) and r.text.startswith("z0") for r in out) == 1
