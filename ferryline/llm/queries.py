@@ -15,6 +15,7 @@ from ferryline.llm.pseudonyms import Key, pseudonymise
 from ferryline.llm.quality import quality_report
 from ferryline.llm.secrets import find_secrets, secret_report
 from ferryline.llm.sharding import shard
+from ferryline.llm.spelling import spelling_forms
 from ferryline.session import work_folder
 from ferryline.sources.collections import table
 
@@ -110,3 +111,8 @@ def op10_url_filters(spark, folder):
     bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
     outcomes = table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
     return hosts.judge_urls(table(spark, folder, "pages"), outcomes)
+
+
+@query
+def op13_spelling_variants(spark, folder):
+    return spelling_forms(table(spark, folder, "documents"), shared(spark, "spelling"))
