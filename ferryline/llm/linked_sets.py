@@ -1,28 +1,39 @@
 """Components of linked sets from groups of candidates, exactly and without listing the pairs of large groups.
 
-Groups are ``key, node, first``: two sets that link share a key. A small group lists its pairs. A larger one is a star:
+Groups are ``key, node, first``: two sets that link share a key. A group of few lists its pairs. A larger one is a star:
 every member is counted against one pivot ``v``. With ``m`` shingles of ``v`` that a member lacks, ``b`` that it has
 beyond ``v``, weight ``w = 100 m + percent b`` and limit ``t = (100 - percent) |v|``, two members link if and only if
 
     w(x) + w(y) <= t + (100 + percent) s,    s = shingles in which x and y differ from v alike.
 
-So a member with ``w <= t`` links with the pivot itself, and a link that the star does not show has an end ``y`` with
-``w(y) > t`` and ``s`` of at least ``(w(x) + w(y) - t) / (100 + percent)``. That many shared differences mean that the
-leading differences of both, in one order for all members, meet in one: those are the keys of the next level. Stars whose
-members are one component already are dropped, so a level starts from what is open only; its groups lack the former
-pivot, so levels end. No link between two components is lost.
+So a member with ``w <= t`` links with the pivot itself, and a star whose members are one component by then is done. Of the
+others,
+
+* a star of up to ``MEMBERS`` members and ``DIFFERENCES`` differences is settled by one task, which counts the shared
+  differences of all its members at once and gives back at most one link a member;
+* in a larger one, a link that the star does not show has an end ``y`` with ``w(y) > t`` and ``s`` of at least
+  ``(w(x) + w(y) - t) / (100 + percent)``. That many shared differences mean that the leading differences of both, in one
+  order for all members, meet in one: those are the keys of the next level. Its groups lack the former pivot, so levels
+  end.
+
+No link between two components is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FRAGMENTS = 4
-LISTED = (4, 8)  # members up to which a group lists its pairs: of the first groups, and of those that follow
+LISTED = (2, 4)  # members up to which a group lists its pairs: of the first groups, and of those that follow
 HOPS = 1
+MEMBERS = 512
+DIFFERENCES = 2_000_000
+BLOCK = 8_192
 
 
 class Tables:
@@ -140,8 +151,8 @@ def _counted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "most", F.expr(f"{100 - percent}L * n_pivot"))
 
 
-def _next_groups(stars: DataFrame, labels: DataFrame, percent: int, tables: Tables) -> DataFrame:
-    """``key, node, component, lead, open``: the leading differences of the members of stars that are not one component."""
+def _unsettled(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Members of stars that are not one component, with ``open`` and how many leading differences lead or open."""
     rows = stars.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     of_pivot = labels.select(F.col("node").alias("pivot"), F.col("component").alias("home"))
     rows = rows.join(of_pivot, "pivot", "left").withColumn("home", F.coalesce("home", "pivot"))
@@ -151,10 +162,58 @@ def _next_groups(stars: DataFrame, labels: DataFrame, percent: int, tables: Tabl
     rows = rows.join(lightest, "pivot")
     own = F.expr("greatest(1L, CAST(ceil((weight - most) / 100D) AS BIGINT))")
     other = F.expr(f"CAST(ceil((weight + lightest - most) / {100 + percent}D) AS BIGINT)")
-    rows = rows.select("pivot", "node", "component", "apart", "open",
-                       (F.size("apart") - F.greatest(own, other) + 1).alias("leads"), (F.size("apart") - own + 1).alias("opens"))
-    count = F.greatest("leads", F.when(F.col("open"), F.col("opens")).otherwise(0))
-    chosen = rows.where(count > 0).select(
+    rows = rows.withColumns({"leads": F.size("apart") - F.greatest(own, other) + 1, "opens": F.size("apart") - own + 1})
+    return rows.where("leads > 0 OR open AND opens > 0").select(
+        "pivot", "node", "component", "weight", "most", "apart", "open", "leads", "opens")
+
+
+def shared_differences(apart: pa.ListArray) -> np.ndarray:
+    """How many elements every two of the lists share; a list holds an element once."""
+    count = len(apart)
+    row = np.repeat(np.arange(count), np.diff(np.asarray(apart.offsets)))
+    _, place, often = np.unique(np.asarray(apart.flatten()), return_inverse=True, return_counts=True)
+    rare = often < 2
+    column = (np.cumsum(~rare) - 1)[place]
+    kept = ~rare[place]
+    row, column = row[kept], column[kept]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((count, count), np.float32)
+    for start in range(0, int((~rare).sum()), BLOCK):
+        at = slice(*np.searchsorted(column, (start, start + BLOCK)))
+        held = np.zeros((count, BLOCK), np.float32)
+        held[row[at], column[at] - start] = 1
+        out += held @ held.T
+    return out.astype(np.int64)
+
+
+def _links_of(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        nodes, component = table.column("node").to_pylist(), table.column("component").to_pylist()
+        weight, most = table.column("weight").to_numpy(), table.column("most").to_numpy()
+        shared = shared_differences(table.column("apart").combine_chunks())
+        linked = weight[:, None] + weight[None, :] <= most[:, None] + (100 + percent) * shared
+        root = {c: c for c in component}
+
+        def find(c):
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        found = []
+        for i, j in np.argwhere(np.triu(linked, 1)).tolist():
+            a, b = find(component[i]), find(component[j])
+            if a != b:
+                root[a] = b
+                found.append((nodes[i], nodes[j]))
+        return pa.table({"pivot": pa.array([a for a, _ in found], pa.int64()), "node": pa.array([b for _, b in found], pa.int64())})
+    return run
+
+
+def _next_groups(rows: DataFrame, tables: Tables) -> DataFrame:
+    """``key, node, component, lead, open``: the leading differences of the members of large stars."""
+    count = F.greatest("leads", F.when(F.col("open"), F.col("opens")).otherwise(0)).cast("int")
+    chosen = rows.select(
         "pivot", "node", "component", "leads", "opens", "open", F.posexplode(F.slice("apart", 1, count)).alias("i", "shingle"))
     members = tables.keep(chosen.select(
         F.xxhash64("pivot", "shingle").alias("key"), "node", "component", (F.col("i") < F.col("leads")).alias("lead"),
@@ -189,4 +248,13 @@ def settle(
             sets = sets_of(asked.select("pivot").union(asked.select("node")).distinct().toDF("node"))
         counted = tables.keep(_counted(asked, sets, percent))
         labels = _merged(labels, counted.where("weight <= most"), tables)
-        pairs, stars = _next_pairs(_next_groups(counted.where("star"), labels, percent, tables), tables, limits[1])
+        rows = tables.keep(_unsettled(counted.where("star"), labels, percent))
+        sizes = rows.groupBy("pivot").agg(F.count("*").alias("members"), F.sum(F.size("apart")).alias("differences"))
+        rows = rows.join(tables.keep(sizes), "pivot")
+        small = F.expr(f"members <= {MEMBERS} AND differences <= {DIFFERENCES}")
+        links = rows.where(small).groupBy("pivot").applyInArrow(_links_of(percent), "pivot bigint, node bigint")
+        labels = _merged(labels, tables.keep(links), tables)
+        large = rows.where(~small)
+        if large.isEmpty():
+            return labels
+        pairs, stars = _next_pairs(_next_groups(large, tables), tables, limits[1])

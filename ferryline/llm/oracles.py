@@ -84,4 +84,49 @@ SELECT page_id, host, path, CASE {name} END AS rule, CASE {verdict}
   round(mean, 4) AS bad_rate FROM p JOIN levels USING (host)"""
 
 
-ORACLES = {"op1_quality_rules": quality_sql(), "op10_url_filters": hosts_sql()}
+PHRASES_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+ p AS (SELECT lang, regexp_extract_all(x, '[^\x20\x09]+') AS w FROM
+    (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS x FROM d)),
+ sized AS (SELECT lang, w, unnest([1, 2, 3, 4]) AS m FROM p),
+ grams AS (SELECT lang, m, w[i:i + m - 1] AS ws FROM (SELECT lang, m, w, unnest(range(1, len(w) - m + 2)) AS i FROM sized WHERE len(w) >= m)),
+ f AS (SELECT lang, m, ws, count(*) AS a FROM grams GROUP BY lang, m, ws HAVING count(*) >= 30),
+ n AS (SELECT lang, count(*) AS n FROM grams WHERE m = 1 GROUP BY lang),
+ c AS (SELECT * FROM f WHERE m > 1),
+ cuts AS (SELECT c.lang, c.ws, c.m, c.a, k, l.a AS l, r.a AS r, (2000000::HUGEINT * c.a) // (l.a::HUGEINT + r.a) AS score
+   FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c JOIN f l ON l.lang = c.lang AND l.ws = c.ws[1:k]
+   JOIN f r ON r.lang = c.lang AND r.ws = c.ws[k + 1:c.m]),
+ best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+ parts AS (SELECT lang, ws[i:i + s - 1] AS ws, max(a) AS f FROM
+   (SELECT *, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM c)) GROUP BY ALL),
+ kept AS (SELECT b.*, array_to_string(b.ws, ' ') AS phrase FROM best b LEFT JOIN parts p ON p.lang = b.lang AND p.ws = b.ws
+   WHERE p.f IS NULL OR 100::HUGEINT * p.f < 80::HUGEINT * b.a),
+ placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS place FROM kept)
+SELECT lang, place AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM placed JOIN n USING (lang) WHERE place <= 2000"""
+
+
+def linked_sql(size: int, percent: int, more: str = "") -> str:
+    """Components of documents whose sets of ``size``-word shingles link; equal sets are one node."""
+    return rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^{BLANK}]+') AS w FROM documents),
+ s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {size} THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - {size - 2}), lambda i: array_to_string(w[i:i + {size - 1}], ' ')) END)) AS s FROM d),
+ named AS (SELECT doc_id, len(s) AS n, CASE WHEN len(s) > 0 THEN md5(array_to_string(s, chr(10))) END AS node, s FROM s),
+ nodes AS (SELECT node, any_value(n) AS n, any_value(s) AS s, min(doc_id) AS first FROM named WHERE node IS NOT NULL GROUP BY node),
+ tokens AS (SELECT node, n, unnest(s) AS g FROM nodes),
+ pairs AS (SELECT a.node AS a, b.node AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c FROM tokens a JOIN tokens b
+    ON a.g = b.g AND a.node <> b.node AND 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) GROUP BY ALL),
+ links AS (SELECT a, b FROM pairs WHERE 100 * c >= {percent} * (na + nb - c)),
+ reach AS (SELECT node, node AS other FROM nodes UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+ least AS (SELECT r.node, min(o.first) AS component FROM reach r JOIN nodes o ON o.node = r.other GROUP BY r.node)
+SELECT doc_id, n AS n_shingles, coalesce(component, doc_id) AS component_id{more}
+FROM named LEFT JOIN least ON least.node = named.node"""
+
+
+ORACLES = {
+    "op1_quality_rules": quality_sql(), "op8_ngram_jaccard_join": linked_sql(4, 85), "op10_url_filters": hosts_sql(),
+    "op11_odd_sketches": linked_sql(5, 85, ", doc_id = coalesce(component, doc_id) AS kept"),
+    "op12_phrase_collocations": PHRASES_SQL,
+}

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from ferryline.llm import hosts, lattice, token_files, warc
 from ferryline.llm.decontamination import leaks
 from ferryline.llm.jaccard import jaccard_groups
+from ferryline.llm.odd_sketches import odd_sketch_groups
 from ferryline.llm.oracles import ORACLES  # noqa: F401
+from ferryline.llm.phrases import collocations
 from ferryline.llm.pseudonyms import Key, pseudonymise
 from ferryline.llm.quality import quality_report
 from ferryline.llm.secrets import find_secrets, secret_report
@@ -96,7 +98,7 @@ def op7_sentencepiece(spark, folder):
 @query
 def op8_ngram_jaccard_join(spark, folder):
     found = jaccard_groups(table(spark, folder, "documents"), shared(spark, "jaccard"), 4, 85)
-    return found.drop("component")
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @query
@@ -113,6 +115,17 @@ def op10_url_filters(spark, folder):
     return hosts.judge_urls(table(spark, folder, "pages"), outcomes)
 
 
+@query
+def op11_odd_sketches(spark, folder):
+    found = odd_sketch_groups(table(spark, folder, "documents"), shared(spark, "sketches"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op12_phrase_collocations(spark, folder):
+    return collocations(table(spark, folder, "documents"), shared(spark, "phrases"))
+
+
 @query
 def op13_spelling_variants(spark, folder):
     return spelling_forms(table(spark, folder, "documents"), shared(spark, "spelling"))

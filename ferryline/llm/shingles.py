@@ -21,7 +21,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=4)
-def _powers(length: int) -> np.ndarray:
+def powers(length: int) -> np.ndarray:
     steps = np.full(length, _ODD, dtype=np.uint64)
     steps[0] = 1
     return np.cumprod(steps, dtype=np.uint64)
@@ -39,7 +39,7 @@ def word_hashes(text: str) -> np.ndarray:
     lengths = np.diff(np.append(starts, raw.size))
     place = np.arange(starts[0], raw.size) - np.repeat(starts, lengths)
     longest = int(lengths.max())
-    power = _powers(64) if longest <= 64 else _powers(1 << (longest - 1).bit_length())
+    power = powers(64) if longest <= 64 else powers(1 << (longest - 1).bit_length())
     return mix(np.add.reduceat(_LETTERS[raw[starts[0]:]] * power[place], starts - starts[0]))
 
 

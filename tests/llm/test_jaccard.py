@@ -59,9 +59,10 @@ def edited(words, dice, share):
     return " ".join(f"w{dice.random()}" if dice.random() < share else w for w in words)
 
 
-def test_large_groups_of_near_copies(spark, tmp_path, monkeypatch):
-    """More copies than a small group may have, with and without their source, so that pivots and later levels work."""
-    monkeypatch.setattr(linked_sets, "LISTED", (3, 3))
+@pytest.mark.parametrize("members", [3, 512])
+def test_large_groups_of_near_copies(spark, tmp_path, monkeypatch, members):
+    """More copies than a task may settle, with and without their source, so that pivots and later levels work."""
+    monkeypatch.setattr(linked_sets, "MEMBERS", members)
     dice = random.Random(7)
     texts = []
     for source in range(4):
