@@ -140,30 +140,46 @@ def open_batches(messages: DataFrame, item: T.StructType, body: str = "body") ->
     ``batch_number`` tell the order in which batches were sent. An error carries the text it is about in ``body``.
     """
     bare = F.col(body).rlike(r"\A\s*\[")
-    texts = envelope(T.StringType())
-    both = F.struct(
-        F.when(~bare, F.from_json(body, texts)).alias("envelope"),
+    wide = T.StructType([*item.fields, T.StructField(_CORRUPT, T.StringType())])
+    options = {**TIMES, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    # Sound messages are read with typed items in one go; only the others are read item by item.
+    sound = envelope(item)
+    whole = T.StructType([*sound.fields, T.StructField(_CORRUPT, T.StringType())])
+    once = computed_once(messages, "_sound", F.when(~bare, F.from_json(body, whole, options)))
+    fits = F.col("_sound").isNotNull() & F.col(f"_sound.{_CORRUPT}").isNull() & F.coalesce(F.size("_sound.data") > 0, F.lit(False))
+    fits = fits & ~F.exists("_sound.data", lambda r: r.isNull())
+    texts = F.struct(
+        F.when(~bare, F.from_json(body, envelope(T.StringType()))).alias("envelope"),
         F.when(bare, F.from_json(body, T.ArrayType(T.StringType()))).alias("bare"),
     )
-    opened = computed_once(messages, "_parsed", both).withColumns({
-        "_data": F.coalesce(F.col("_parsed.envelope.data"), F.col("_parsed.bare")),
-        "batch_id": F.col("_parsed.envelope.batchId"),
-        "collection": F.col("_parsed.envelope.collection"),
-        "sent_at": F.col("_parsed.envelope.metadata.timestamp"),
-        "batch_number": F.col("_parsed.envelope.metadata.batchNumber"),
+    opened = computed_once(once.withColumn("_fits", fits), "_parsed", F.when(~F.col("_fits"), texts))
+    read = F.struct(*[F.col(f"_sound.{name}").alias(name) for name in ("batchId", "collection", "metadata")])
+    slow = F.struct(*[F.col(f"_parsed.envelope.{name}").alias(name) for name in ("batchId", "collection", "metadata")])
+    head = F.when(F.col("_fits"), read).otherwise(slow)
+    unread = F.lit(None).cast(T.StructType([*wide.fields]))
+    items = F.when(F.col("_fits"), F.transform("_sound.data", lambda r: F.struct(
+        F.struct(*[r[name].alias(name) for name in item.names], F.lit(None).cast("string").alias(_CORRUPT)).alias("row"),
+        F.lit(None).cast("string").alias("text"))))
+    by_text = F.transform(F.coalesce("_parsed.envelope.data", "_parsed.bare"), lambda t: F.struct(unread.alias("row"), t.alias("text")))
+    opened = opened.withColumns({
+        "_data": F.coalesce(items, by_text),
+        "batch_id": head["batchId"],
+        "collection": head["collection"],
+        "sent_at": head["metadata"]["timestamp"],
+        "batch_number": head["metadata"]["batchNumber"],
     })
-    readable = F.col("_parsed.envelope").isNotNull() | F.col("_parsed.bare").isNotNull()
+    readable = F.col("_fits") | F.col("_parsed.envelope").isNotNull() | F.col("_parsed.bare").isNotNull()
     empty = F.coalesce(F.size("_data") == 0, F.lit(True))
     told = ("batch_id", "collection", "sent_at", "batch_number")
     kept = [c for c in messages.columns if c not in (body, *told, *item.names)]
-    rows = opened.select(*kept, *told, F.col(body).alias("_whole"), empty.alias("_empty"), readable.alias("_readable"),
-                         F.posexplode_outer("_data").alias("_pos", "_item"))
-    wide = T.StructType([*item.fields, T.StructField(_CORRUPT, T.StringType())])
-    options = {**TIMES, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    read = computed_once(rows, "_row", F.from_json("_item", wide, options))
+    rows = opened.select(*kept, *told, F.col(body).alias("_whole"), empty.alias("_empty"), readable.alias("_readable"), "_fits",
+                         F.posexplode_outer("_data").alias("_pos", "_held"))
+    one = F.when(F.col("_fits"), F.col("_held.row")).otherwise(F.from_json("_held.text", wide, options))
+    read = computed_once(rows.withColumn("_item", F.col("_held.text")), "_row", one)
     error = (
         F.when(F.col("_empty") & F.col("_readable"), "batch must carry a non-empty data array")
         .when(F.col("_empty"), "batch must be an array or an envelope")
+        .when(F.col("_fits"), None)
         .when(F.col("_item").isNull(), "item must not be null")
         .when(F.col("_row").isNull() | F.col(f"_row.{_CORRUPT}").isNotNull(), "item does not fit its fields")
     )

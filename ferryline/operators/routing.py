@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ferryline.functions.derived import filled_id, iso
 from ferryline.operators.ranking import ROWS_PER_BUCKET, number_rows
 from ferryline.schemas import BINDINGS, HIGH_PRIORITY_ABOVE, MAIN_EXCHANGE, MAX_PRIORITY, ROUTES
+from ferryline.session import checkpointed
 
 TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
@@ -68,6 +69,70 @@ def topic_route(messages: DataFrame, bindings: Sequence[tuple[str, str]] = BINDI
     return messages.withColumn("queue", F.explode_outer(matching_queues(F.col("routing_key"), bindings)))
 
 
+def _words(pattern: str) -> Column:
+    """The words of a pattern; a run of ``#`` says no more than one."""
+    words = F.split(F.col(pattern), "\\.")
+    return F.filter(words, lambda w, i: (w != "#") | (i == 0) | (F.get(words, i - 1) != "#"))
+
+
+def _trie(bindings: DataFrame) -> DataFrame:
+    """Edges ``node, word, child`` of the words of all patterns; a node is the number and text of the words that lead to it."""
+    words = bindings.select("pattern").distinct().select(_words("pattern").alias("w"))
+
+    def name(w, count):
+        return F.concat(count.cast("string"), F.lit(":"), F.array_join(F.slice(w, F.lit(1), count), "."))
+
+    steps = words.select("w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("i"))
+    return steps.select(
+        name(F.col("w"), F.col("i")).alias("node"), F.get("w", F.col("i")).alias("word"), name(F.col("w"), F.col("i") + 1).alias("child")
+    ).distinct()
+
+
+def matching_bindings(keys: DataFrame, bindings: DataFrame) -> DataFrame:
+    """``routing_key, queue`` of every binding ``pattern, queue`` that matches, each pair once, for a table of bindings.
+
+    The patterns form a trie, and all distinct keys walk it together, a word a step: an equi-join with the edges of the
+    node for the word itself and for ``*``. A node after ``#`` keeps what it holds, and is entered without a word as well.
+    Work follows the edges that match, not keys times bindings. There are as many steps as the longest key has words, and
+    each ends in a checkpoint, as the next one reads its states several times. Null keys and patterns match nothing.
+    """
+    known = bindings.where("pattern IS NOT NULL AND queue IS NOT NULL").select("pattern", "queue")
+    edges = checkpointed(_trie(known))
+    loops = edges.where("word = '#'").select("node", F.col("child").alias("any"))
+    plain = edges.where("word <> '#'").select("node", "word", "child")
+    walking = keys.where("routing_key IS NOT NULL").select("routing_key").distinct().withColumn("w", F.split("routing_key", "\\."))
+    steps = walking.agg(F.max(F.size("w"))).first()[0] or 0
+
+    def entered(states):
+        further = states.join(loops, "node").select("routing_key", "w", F.col("any").alias("node"), F.lit(True).alias("free"))
+        return states.select("routing_key", "w", "node", "free").unionByName(further).distinct()
+
+    states = checkpointed(entered(walking.withColumns({"node": F.lit("0:"), "free": F.lit(False)})))
+    ended = []
+    for i in range(steps):
+        ended.append(states.where(F.size("w") == i).select("routing_key", "node"))
+        states = states.where(F.size("w") > i)
+        # A word of a key that reads '#' is an ordinary one: no plain edge has it.
+        heard = F.array_distinct(F.array(F.get("w", F.lit(i)), F.lit("*")))
+        moved = states.select("routing_key", "w", "node", F.explode(heard).alias("word")).join(plain, ["node", "word"])
+        moved = moved.select("routing_key", "w", F.col("child").alias("node"), F.lit(False).alias("free"))
+        states = checkpointed(entered(moved.unionByName(states.where("free"))))
+    ended.append(states.select("routing_key", "node"))
+    reached = ended[0]
+    for part in ended[1:]:
+        reached = reached.unionByName(part)
+    words = _words("pattern")
+    ends = known.select(F.concat(F.size(words).cast("string"), F.lit(":"), F.array_join(words, ".")).alias("node"), "queue")
+    return reached.join(ends, "node").select("routing_key", "queue").distinct()
+
+
+def topic_route_table(messages: DataFrame, bindings: DataFrame) -> DataFrame:
+    """:func:`topic_route` for bindings in a table ``pattern, queue``: one row per message and queue, ``queue`` null where
+    no pattern matches. Keys are matched once each, however many messages carry them.
+    """
+    return messages.join(matching_bindings(messages, bindings), "routing_key", "left")
+
+
 def message_headers(df: DataFrame, as_of: Column) -> DataFrame:
     """Header map and expiration; needs ``batch_size``, ``priority``, ``queue_type`` and ``delay_ms``."""
     label = F.when(F.col("priority") > HIGH_PRIORITY_ABOVE, "high").otherwise("normal")

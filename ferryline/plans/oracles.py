@@ -304,6 +304,22 @@ FROM (SELECT error_id, CASE WHEN error_id % 5 = 0 THEN 200
 SELECT message_id, routing_key, queue FROM v_messages LEFT JOIN (VALUES ('process', 'app.processing.queue'),
   ('priority', 'app.priority.queue'), ('archive', 'app.archive.queue'), ('failed', 'app.deadletter.queue'),
   ('process', 'audit'), ('priority', 'audit'), ('archive', 'audit')) b(word, queue) ON split_part(routing_key, '.', 1) = word"""),
+    "topic_route_table": _with("""
+SELECT m.message_id, m.routing_key, count(DISTINCT queue) AS queues, min(queue) AS first_queue, max(queue) AS last_queue
+FROM keyed m LEFT JOIN found f ON f.message_id = m.message_id GROUP BY ALL""", {
+        "keyed": """SELECT message_id, split_part(routing_key, '.', 1) AS w1, split_part(routing_key, '.', 2) AS w2,
+  substr(correlation_id, 5) AS u, message_id % 100 AS k,
+  routing_key || '.u' || substr(correlation_id, 5) || '.k' || (message_id % 100) AS routing_key FROM v_messages""",
+        "bound": """SELECT o_orderkey % 6 AS kind, ['process', 'priority', 'archive', 'failed', 'misc'][o_orderkey % 5 + 1] AS w1,
+  CAST(o_custkey % 150 AS VARCHAR) AS u, o_orderkey % 100 AS k, 'queue-' || (o_orderkey % 40) AS queue FROM orders""",
+        "found": """SELECT message_id, queue FROM keyed m JOIN bound b ON b.u = m.u AND b.k = m.k
+  WHERE kind IN (2, 4) OR kind = 0 AND b.w1 = m.w1 AND m.w2 = 'bulkUpdate'
+  UNION SELECT message_id, queue FROM keyed m JOIN bound b ON b.w1 = m.w1 AND b.u = m.u WHERE kind = 1
+  UNION SELECT message_id, queue FROM keyed m JOIN bound b ON b.w1 = m.w1 AND b.k = m.k WHERE kind = 3"""}),
+    "to_kafka_rows": """
+SELECT 'app.priority.queue' AS topic, 'someModel_batch_' || n AS key, 'someModel_batch_' || n AS batch_id, count(*) AS items,
+  CAST(6 AS BIGINT) AS headers, 'processing' AS queue_type
+FROM (SELECT CAST(ceil(row_number() OVER (ORDER BY o_orderkey) / 100.0) AS BIGINT) AS n FROM orders) GROUP BY n""",
     "update_join": _with("SELECT * FROM line_join", {"line_updates": _LINES, "line_join": _LINE_JOIN}),
     "archive_reconcile_missing": _with("SELECT item_id, email FROM v_items WHERE item_id NOT IN (SELECT original_id FROM v_archive)"),
     "archive_reconcile_present": _with("SELECT item_id, email FROM v_items WHERE item_id IN (SELECT original_id FROM v_archive)"),
@@ -450,6 +466,10 @@ FROM (SELECT *, coalesce(death_count, 1) AS deaths FROM v_messages WHERE queue_t
         f"SELECT item_id AS original_id, status, 'someModel_batch_' || batch_number AS archive_batch, {AS_OF} AS archived_at, "
         "'archive-worker' AS archived_by, updated_at AS original_updated_at FROM batched", {"batched": _BATCHED}
     ),
+    "archive_stream_once": _with(
+        f"SELECT item_id AS original_id, status, 'someModel_batch_' || batch_number AS archive_batch, {AS_OF} AS archived_at, "
+        "'archive-worker' AS archived_by, updated_at AS original_updated_at FROM batched", {"batched": _BATCHED}
+    ),
     "archive_stream_errors": _with("""
 SELECT correlation_id, error, count(*) AS items FROM (SELECT 'someModel_batch_' || batch_number AS correlation_id,
   CASE item_id % 10 WHEN 7 THEN 'item does not fit its fields' WHEN 3 THEN 'name is required' ELSE 'archived' END AS error
@@ -476,6 +496,13 @@ SELECT time_bucket(INTERVAL 1 HOUR, published_at) AS window_start, time_bucket(I
 SELECT date_trunc('day', published_at)::TIMESTAMP AS window_start,
   date_trunc('day', published_at)::TIMESTAMP + INTERVAL 1 DAY AS window_end, queue_type, count(*) AS messages
 FROM v_messages GROUP BY ALL"""),
+    "throughput_late": _with("""
+SELECT date_trunc('day', published_at)::TIMESTAMP AS window_start, date_trunc('day', published_at)::TIMESTAMP + INTERVAL 1 DAY AS window_end,
+  queue_type, count(*) FILTER (NOT late) AS on_time, count(*) FILTER (late) AS late
+FROM (SELECT m.*, coalesce(date_trunc('day', published_at)::TIMESTAMP + INTERVAL 1 DAY <= mark, false) AS late
+  FROM v_messages m JOIN marked ON message_id % 4 = s) GROUP BY ALL""", {
+        "latest": "SELECT message_id % 4 AS s, max(published_at) AS latest FROM v_messages GROUP BY ALL",
+        "marked": "SELECT a.s, max(b.latest) - INTERVAL 10 DAY AS mark FROM latest a LEFT JOIN latest b ON b.s < a.s GROUP BY a.s"}),
     "archive_flow": _with(_BATCH_COUNTS, {"batched": _BATCHED}),
     "archive_flow_missing": _with("SELECT item_id FROM v_items WHERE false"),
     "bulk_update_flow": _with(

@@ -73,20 +73,10 @@ def decode_messages_bad(spark, folder):
     return decode_messages(_partly_broken(spark, folder), BODY).bad
 
 
-SLICES = 4
-ROWS_PER_SLICE = 1_000_000
-
-
 def _events_stream(spark, folder):
-    """The events as a stream of several files in the order of their numbers, one file to a micro-batch."""
-    events, path = col.table(spark, folder, "events"), work_folder(spark, "events")
-    told = events.agg(F.min("event_id").alias("low"), F.max("event_id").alias("high"), F.count("*").alias("rows")).first()
-    slices = max(SLICES, -(-told.rows // ROWS_PER_SLICE))
-    low, high = told.low or 0, told.high or 0
-    step = (high - low) // slices + 1
-    for start in range(low, high + 1, step):
-        part = events.where(F.col("event_id").between(start, start + step - 1))
-        part.coalesce(1).write.mode("append").parquet(path)
+    """The events as a stream of several files in the order of their times, one file to a micro-batch."""
+    path = work_folder(spark, "events")
+    running.write_source(col.table(spark, folder, "events"), path, "ts", "event_id")
     return running.stream_scan(spark, path, EVENT, maxFilesPerTrigger="1")
 
 
@@ -401,6 +391,43 @@ def topic_route(spark, folder):
     return routing.topic_route(views.messages(spark, folder), PATTERNS).select("message_id", "routing_key", "queue")
 
 
+def _bindings(spark, folder):
+    """A binding for every order: exact keys, one free word, and free runs of words at either end or within."""
+    kind, first = F.col("o_orderkey") % 6, F.get(F.array(*[F.lit(w) for w in ("process", "priority", "archive", "failed", "misc")]), (F.col("o_orderkey") % 5).cast("int"))
+    user, k = F.concat(F.lit("u"), F.col("o_custkey") % 150), F.concat(F.lit("k"), F.col("o_orderkey") % 100)
+
+    def joined(*words):
+        return F.concat_ws(".", *[F.lit(w) if isinstance(w, str) else w for w in words])
+
+    pattern = (
+        F.when(kind == 0, joined(first, "bulkUpdate", user, k)).when(kind == 1, joined(first, "*", user, "*"))
+        .when(kind == 2, joined("#", user, k)).when(kind == 3, joined(first, "#", k, "#", "#"))
+        .when(kind == 4, joined("*", "*", user, "#", k)).otherwise(joined(first, "bulkUpdate"))
+    )
+    queue = F.concat(F.lit("queue-"), F.col("o_orderkey") % 40)
+    return col.table(spark, folder, "orders").select(pattern.alias("pattern"), queue.alias("queue"))
+
+
+@query
+def topic_route_table(spark, folder):
+    """Messages with their user and number in the key, against as many bindings as there are orders."""
+    sent = views.messages(spark, folder).select("message_id", F.concat_ws(
+        ".", "routing_key", F.concat(F.lit("u"), F.substr("correlation_id", F.lit(5))),
+        F.concat(F.lit("k"), F.col("message_id") % 100)).alias("routing_key"))
+    found = routing.topic_route_table(sent, _bindings(spark, folder))
+    return found.groupBy("message_id", "routing_key").agg(
+        F.count("queue").alias("queues"), F.min("queue").alias("first_queue"), F.max("queue").alias("last_queue"))
+
+
+@query
+def to_kafka_rows(spark, folder):
+    rows = routing.to_kafka_rows(routing.publish_batches(_order_batches(spark, folder), 7, "processing", 30_000, as_of()))
+    named = F.map_from_entries(F.transform("headers", lambda h: F.struct(h["key"], F.decode(h["value"], "UTF-8"))))
+    return rows.select("topic", "key", F.get_json_object("value", "$.batchId").alias("batch_id"),
+                       F.get_json_object("value", "$.metadata.batchSize").cast("bigint").alias("items"),
+                       F.size("headers").cast("bigint").alias("headers"), named["queueType"].alias("queue_type"))
+
+
 def _line_updates(spark, folder):
     """Several updates per order, some for orders that do not exist."""
     key = F.col("l_orderkey") + F.when(F.col("l_quantity") > 45, STRANGE).otherwise(0)
@@ -657,12 +684,21 @@ def expire_messages(spark, folder):
     )
 
 
+def _nothing(batch, batch_id):
+    """A sink for streams of which only the state is wanted."""
+    batch.write.format("noop").mode("overwrite").save()
+
+
+def _status_state(spark, log):
+    home = work_folder(spark, "job-status")
+    folded = job_streams.job_status_stream(log)
+    running.run_available(spark, running.each_batch(folded, _nothing, "update"), f"{home}/checkpoint")
+    return job_streams.status_from_state(spark, f"{home}/checkpoint")
+
+
 @query
 def job_status_stream(spark, folder):
-    home = work_folder(spark, "job-status")
-    folded = job_streams.job_status_stream(views.job_log_of(_events_stream(spark, folder)))
-    running.run_available(spark, job_streams.status_log(folded, f"{home}/log"), f"{home}/checkpoint")
-    return job_streams.read_status(spark.read.option("basePath", f"{home}/log").parquet(f"{home}/log"))
+    return _status_state(spark, views.job_log_of(_events_stream(spark, folder)))
 
 
 @query
@@ -675,10 +711,7 @@ def processing_timeout_stream(spark, folder):
     home, log = work_folder(spark, "processing-timeout"), views.job_log_of(_events_stream(spark, folder))
     late = job_streams.processing_timeout_stream(log, "1 hour")
     running.run_available(spark, late.writeStream.format("parquet").option("path", f"{home}/rows"), f"{home}/checkpoint")
-    folded = job_streams.status_log(job_streams.job_status_stream(log), f"{home}/log")
-    running.run_available(spark, folded, f"{home}/log-checkpoint")
-    status = job_streams.read_status(spark.read.option("basePath", f"{home}/log").parquet(f"{home}/log"))
-    return job_streams.read_timeouts(spark.read.schema(late.schema).parquet(f"{home}/rows"), status, as_of())
+    return job_streams.read_timeouts(spark.read.schema(late.schema).parquet(f"{home}/rows"), _status_state(spark, log), as_of())
 
 
 @query
@@ -718,6 +751,19 @@ def archive_stream(spark, folder):
     return rows.select("original_id", "status", "archive_batch", "archived_at", "archived_by", "original_updated_at")
 
 
+@query
+def archive_stream_once(spark, folder):
+    """All batches are sent twice, the second time in later micro-batches: every original is archived once."""
+    home = work_folder(spark, "archive-once")
+    stream = _published(spark, folder, home, "archive")
+    queue = queue_folder(f"{home}/queues", routing.ROUTES["archive"][1])
+    send(spark.read.schema(MESSAGE).parquet(queue).withColumn("delivered_queue", F.lit(routing.ROUTES["archive"][1])), f"{home}/queues", "r2")
+    rows = consumers.archive_once(stream, ITEM, as_of(), "1 day")
+    running.run_available(spark, rows.writeStream.format("parquet").option("path", f"{home}/rows"), f"{home}/checkpoint")
+    kept = spark.read.schema(rows.schema).parquet(f"{home}/rows")
+    return kept.select("original_id", "status", "archive_batch", "archived_at", "archived_by", "original_updated_at")
+
+
 def _archived_in_part(spark, folder):
     home = work_folder(spark, "archive-errors")
     stream = _published(spark, folder, home, "archive", _some_broken)
@@ -775,6 +821,21 @@ def throughput_stream(spark, folder):
     return job_streams.read_throughput(spark.read.option("basePath", f"{home}/log").parquet(f"{home}/log"))
 
 
+LATE_SLICES = 4
+
+
+@query
+def throughput_late(spark, folder):
+    """Daily counts of a stream in which three of four slices of the events come late, with what the watermark leaves out."""
+    home = work_folder(spark, "throughput-late")
+    slice_of = F.coalesce(F.pmod("event_id", F.lit(LATE_SLICES)), F.lit(0)).cast("int")
+    running.write_slices(col.table(spark, folder, "events"), f"{home}/events", slice_of, LATE_SLICES)
+    stream = views.messages_of(running.stream_scan(spark, f"{home}/events", EVENT, maxFilesPerTrigger="1"))
+    writer = job_streams.throughput_with_late(stream, "1 day", 10 * 86_400_000, home)
+    running.run_available(spark, writer, f"{home}/checkpoint")
+    return job_streams.read_throughput_with_late(spark, home)
+
+
 @query
 def processing_timeout_priority(spark, folder):
     return jobs.processing_timeout(views.job_log(spark, folder), as_of(), queue_type="priority").select("correlation_id", "seq", "message")

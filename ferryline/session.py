@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the plans; everything else is left to the cluster.
 SETTINGS = {
@@ -56,3 +56,11 @@ def work_folder(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = _local_scratch()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the session's checkpoint folder, with no lineage left."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(work_folder(df.sparkSession, "checkpoints"))
+    return df.checkpoint()

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from ferryline.functions.derived import as_instant, as_ntz
 from ferryline.operators.archive import archive_rows
 from ferryline.operators.batching import open_batches
 from ferryline.operators.jobs import job_changes, latest_state
@@ -67,6 +68,21 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     return latest_state(rows, "original_id", ARRIVAL).drop("sent_at", "batch_number")
 
 
+def archive_once(
+    stream: DataFrame, item: T.StructType, as_of: Column, delay: str, collection: str = "someModel"
+) -> DataFrame:
+    """Envelopes to archive rows, each original once within ``delay`` of the time its batch was sent.
+
+    Keyed state drops what was archived before: a redelivered batch, in the same or a later micro-batch, gives no row.
+    State is one key per original, and keys older than the watermark go. The first row that arrives counts; refused items
+    are left to :func:`archive_stream`. Rows without a sending time cannot be placed and are left out.
+    """
+    rows = archivable(open_batches(stream, item), item, as_of, collection).where("error IS NULL AND sent_at IS NOT NULL")
+    timed = rows.withColumn("sent_at", as_instant(F.col("sent_at").cast("timestamp_ntz"))).withWatermark("sent_at", delay)
+    once = timed.dropDuplicatesWithinWatermark(["original_id"])
+    return once.drop("correlation_id", "body", "error", "batch_number").withColumn("sent_at", as_ntz(F.col("sent_at")))
+
+
 def bulk_update_stream(
     stream: DataFrame, item: T.StructType, path: str, as_of: Column, queue_type: str = "processing",
     known: DataFrame | None = None,

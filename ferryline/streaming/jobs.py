@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -19,6 +19,19 @@ def job_status_stream(stream: DataFrame) -> DataFrame:
     return stream.groupBy("correlation_id").agg(last).select("correlation_id", "_last.*")
 
 
+def status_from_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The current status of every job, read from the state of a :func:`job_status_stream` that ran with ``checkpoint``.
+
+    The state holds one row per job, whatever the stream has read, and nothing else is kept. Its readers need the state
+    store provider the stream ran with.
+    """
+    state = spark.read.format("statestore").option("path", checkpoint).load()
+    last = F.struct(*[F.col(f"value.`{name}`") for name in state.schema["value"].dataType.names])
+    rows = state.select(F.col("key.correlation_id").alias("correlation_id"), last.alias("_held"))
+    held = rows.schema["_held"].dataType.names[0]
+    return rows.select("correlation_id", F.col(f"_held.`{held}`").alias("_last")).select("correlation_id", "_last.*")
+
+
 def status_log(folded: DataFrame, path: str) -> DataStreamWriter:
     """Append the jobs each micro-batch changed, replacing the folder of a repeated one."""
 
@@ -77,3 +90,42 @@ def throughput_stream(messages: DataFrame, width: str, delay: str) -> DataFrame:
     timed = messages.withColumn("published_at", as_instant(F.col("published_at")))
     counted = throughput(timed.withWatermark("published_at", delay), width)
     return counted.withColumns({name: as_ntz(F.col(name)) for name in ("window_start", "window_end")})
+
+
+def throughput_with_late(messages: DataFrame, width: str, delay_ms: int, path: str) -> DataStreamWriter:
+    """Counts per window, queue and lateness, as one small file set per micro-batch; :func:`read_throughput_with_late`
+    adds them up.
+
+    A row is late if its window had ended by the watermark: the latest time of all earlier micro-batches less
+    ``delay_ms``. Every micro-batch writes its own latest time, so a repeated one judges its rows alike; nothing is lost,
+    on time and late are the input. Rows without a time are late.
+    """
+    schema = "latest timestamp, batch_id bigint"
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        timed = batch.withColumn("published_at", as_instant(F.col("published_at"))).persist()
+        try:
+            timed.agg(F.max("published_at").alias("latest")).coalesce(1).write.mode("overwrite").parquet(f"{path}/marks/batch_id={batch_id}")
+            marks = spark.read.schema(schema).option("basePath", f"{path}/marks").parquet(f"{path}/marks")
+            seen = marks.where(F.col("batch_id") < batch_id).agg(F.max("latest")).first()[0]
+            ended = F.lit(False) if seen is None else F.window("published_at", width)["end"] <= (
+                F.lit(seen) - F.make_dt_interval(secs=F.lit(delay_ms / 1000)))
+            judged = timed.withColumn("late", F.coalesce(ended, F.lit(True)))
+            sized = judged.withColumn("_window", F.window("published_at", width))
+            sized.groupBy("_window", "queue_type", "late").agg(F.count("*").alias("messages")).select(
+                F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"), "queue_type", "late",
+                "messages").write.mode("overwrite").parquet(f"{path}/counts/batch_id={batch_id}")
+        finally:
+            timed.unpersist()
+
+    return each_batch(messages, count)
+
+
+def read_throughput_with_late(spark: SparkSession, path: str) -> DataFrame:
+    """``window_start, window_end, queue_type, on_time, late``; rows without a time have no window."""
+    counts = spark.read.option("basePath", f"{path}/counts").parquet(f"{path}/counts")
+    summed = counts.groupBy("window_start", "window_end", "queue_type").agg(
+        F.sum(F.when(~F.col("late"), F.col("messages")).otherwise(0)).alias("on_time"),
+        F.sum(F.when(F.col("late"), F.col("messages")).otherwise(0)).alias("late"))
+    return summed.withColumns({name: as_ntz(F.col(name)) for name in ("window_start", "window_end")})

@@ -1,13 +1,14 @@
 """Filters, rules, defaults, transforms, routing and error classes on literal rows."""
 
 import datetime as dt
+import itertools
 
 import pytest
 from pyspark.sql import functions as F
 
 from ferryline.functions.errors import mask_credentials
 from ferryline.functions.filters import filter_spec
-from ferryline.operators import updates
+from ferryline.operators import routing, updates
 from ferryline.operators.failures import classify_errors, error_severity
 from ferryline.operators.routing import ensure_ids, message_headers, route_message, to_kafka_rows, topic_route
 from ferryline.operators.validation import (
@@ -224,3 +225,19 @@ def test_error_classes_and_severity(spark):
 def test_credentials_are_masked_to_the_last_at(spark):
     rows = spark.createDataFrame([("amqp://u:p@ss@host:5672/a",), ("amqp://host",), (None,)], "u string")
     assert [r[0] for r in rows.select(mask_credentials(F.col("u"))).collect()] == ["amqp://***:***@host:5672/a", "amqp://host", None]
+
+
+def test_bindings_in_a_table(spark):
+    """Every kind of pattern against every short key, as the expression form has it."""
+    words = ["a", "b", "#", "*", ""]
+    patterns = [".".join(p) for n in (1, 2, 3) for p in itertools.product(words, repeat=n)]
+    keys = [".".join(k) for n in (1, 2, 3, 4) for k in itertools.product(["a", "b", "", "#", "c:#"], repeat=n)]
+    bindings = [(p, f"q{i % 7}") for i, p in enumerate(patterns)]
+    sent = spark.createDataFrame([(i, k) for i, k in enumerate([*keys, keys[0], None])], "n int, routing_key string")
+    table = spark.createDataFrame([*bindings, bindings[3], (None, "never"), ("never", None)], "pattern string, queue string")
+    found = routing.topic_route_table(sent, table)
+    assert "NestedLoop" not in found._jdf.queryExecution().toString()
+    got = {(r.n, r.routing_key, r.queue) for r in found.select("n", "routing_key", "queue").collect()}
+    assert got == {(r.n, r.routing_key, r.queue) for r in routing.topic_route(sent, bindings).collect()}
+    none = routing.topic_route_table(sent, table.limit(0)).collect()
+    assert len(none) == len(keys) + 2 and not any(r.queue for r in none)

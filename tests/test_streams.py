@@ -9,6 +9,7 @@ from ferryline.operators.jobs import latest_state
 from ferryline.operators.monitoring import throughput
 from ferryline.operators.routing import publish_batches
 from ferryline.operators.updates import TRANSITION_COLUMNS, keyed_update, status_transition
+from ferryline.plans import registry
 from ferryline.plans.registry import MESSAGE
 from ferryline.schemas import EVENT, ITEM
 from ferryline.session import work_folder
@@ -214,3 +215,48 @@ def test_last_sent_update_wins_however_the_stream_is_cut(spark, files):
     archive = consumers.archive_stream(stream(spark, path, MESSAGE), ITEM, f"{home}/a", "r1", as_of())
     running.run_available(spark, archive, f"{home}/check-a")
     assert [r.name for r in consumers.read_archive(spark, f"{home}/a").collect()] == ["n10"]
+
+
+def test_sources_lose_no_event(spark, tmp_path):
+    """Events without a number and with a far one come out of every stream on the events, in several micro-batches."""
+    events = table(spark, FOLDER, "events").withColumn("event_id", F.when(F.col("event_id") % 10 == 0, None).when(
+        F.col("event_id") == 7, 10**15).otherwise(F.col("event_id")))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    spark.read.parquet(f"{FOLDER}/orders.parquet").write.parquet(f"{tmp_path}/orders.parquet")
+    assert registry.stream_scan(spark, str(tmp_path)).count() == registry.stream_handler(spark, str(tmp_path)).count() == 1000
+    counted = registry.throughput_stream(spark, str(tmp_path)).agg(F.sum("messages")).first()[0]
+    late = registry.throughput_late(spark, str(tmp_path)).agg(F.sum("on_time"), F.sum("late")).first()
+    assert counted == sum(late) == 1000 and late[1] > 100
+    jobs = registry.job_status_stream(spark, str(tmp_path))
+    wanted = latest_state(views.job_log_of(events), "correlation_id", ["event_ts", "seq"]).select(*jobs.columns)
+    assert sorted(map(repr, jobs.collect())) == sorted(map(repr, wanted.collect()))
+
+
+def test_source_files_follow_their_order(spark, tmp_path):
+    running.write_source(spark.range(1000).select((999 - F.col("id")).alias("n")), f"{tmp_path}/s", "n", parts=5, rows_per_file=90)
+    seen = []
+    writer = running.each_batch(stream(spark, f"{tmp_path}/s", "n bigint"), lambda b, i: seen.append(sorted(r.n for r in b.collect())))
+    running.run_available(spark, writer, f"{tmp_path}/check")
+    assert len(seen) >= 11 and [n for batch in seen for n in batch] == list(range(1000))
+
+
+def test_late_rows_after_a_repeated_batch(spark, tmp_path):
+    """A row is late if its window ended by the latest time seen before, less the delay; one without a time is late."""
+    rows = [("2024-01-05", 0), ("2024-01-01", 0), ("2024-01-03", 1), ("2024-01-04", 1), ("2024-01-09", 1), (None, 1), ("2024-01-06", 2)]
+    made = spark.createDataFrame(rows, "at string, s int").select(F.col("at").cast("timestamp_ntz").alias("published_at"), F.lit("q").alias("queue_type"), "s")
+    running.write_slices(made, f"{tmp_path}/in", F.col("s"), 3)
+    source = stream(spark, f"{tmp_path}/in", "published_at timestamp_ntz, queue_type string, s int")
+    writer = job_streams.throughput_with_late(source, "1 day", 86_400_000, str(tmp_path))
+    running.run_available(spark, writer, f"{tmp_path}/check")
+    got = {str(r.window_start)[:10]: (r.on_time, r.late) for r in job_streams.read_throughput_with_late(spark, str(tmp_path)).collect()}
+    assert got == {"2024-01-05": (1, 0), "2024-01-01": (1, 0), "2024-01-03": (0, 1), "2024-01-04": (1, 0), "2024-01-09": (1, 0),
+                   "None": (0, 1), "2024-01-06": (0, 1)}
+
+
+def test_state_holds_the_status_of_every_job(spark, slices):
+    home = work_folder(spark, "state")
+    folded = job_streams.job_status_stream(views.job_log_of(stream(spark, slices)))
+    running.run_available(spark, running.each_batch(folded, registry._nothing, "update"), f"{home}/check")
+    wanted = latest_state(views.job_log(spark, FOLDER), "correlation_id", ["event_ts", "seq"])
+    got = job_streams.status_from_state(spark, f"{home}/check")
+    assert sorted(got.collect()) == sorted(wanted.select(*got.columns).collect())
