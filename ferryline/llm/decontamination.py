@@ -97,10 +97,32 @@ def _short_hashes(words: Column, width: int) -> Column:
         F.size(h) >= width, _runs(h, width)).otherwise(F.array().cast("array<bigint>")))
 
 
+def _changed(h: Column, other: Column, width: int) -> Column:
+    """Hashes of the runs of ``width`` words in which two forms of one text differ, from the word hashes of both."""
+    places = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda k: F.get(h, k) != F.get(other, k))
+    starts = F.array_distinct(F.flatten(F.transform(places, lambda k: F.sequence(
+        F.greatest(F.lit(0), k - (width - 1)), F.least(k, F.size(h) - width)))))
+    hashed = F.transform(starts, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(width)]))
+    return F.when(F.size(h) >= width, hashed).otherwise(F.array().cast("array<bigint>"))
+
+
 def template_windows(text: Column, short: tuple[int, ...] = ()) -> Column:
-    """The different windows of a text in all forms, and those as wide as the short items are."""
-    return let(_forms(text), lambda x: F.array_distinct(F.concat(
-        *[_hashes(x[f]) for f in FORMS], *[_short_hashes(x[f], n) for f in FORMS for n in short])))
+    """The different windows of a text in all forms, and those as wide as the short items are.
+
+    Most windows hold no slot and are the same in all forms: a form is hashed only where it differs from the one before.
+    """
+    widths = (WINDOW, *short)
+
+    def run(x):
+        words = F.struct(*[F.transform(x[f], lambda w: F.xxhash64(w)).alias(f) for f in FORMS])
+        return let(words, lambda y: F.array_distinct(F.concat(
+            *[F.when(F.size(y[LITERAL]) >= n, _runs(y[LITERAL], n)).otherwise(F.array().cast("array<bigint>")) for n in widths],
+            *[_changed(y[f], y[before], n) for f, before in ((INSIDE, LITERAL), (ALL, INSIDE)) for n in widths],
+            # A text shorter than a window is one window in each form.
+            *[F.when(F.size(y[f]).between(1, WINDOW - 1), F.array(F.xxhash64(y[f]))).otherwise(F.array().cast("array<bigint>"))
+              for f in FORMS])))
+
+    return let(_forms(text), run)
 
 
 def _filled_windows(text: Column, short: tuple[int, ...] = (), item: bool = False) -> Column:
