@@ -124,23 +124,27 @@ def _keys(size: int, percent: int):
 
 
 def segments(size: int):
-    """Rows ``node, n, pieces`` of the different sets of a batch, each set in FRAGMENTS ranges of its sorted fingerprints."""
+    """Rows ``node, n, pieces, copied`` of the different sets of a batch, each set in FRAGMENTS ranges of its sorted fingerprints."""
     cuts = (np.arange(1, FRAGMENTS, dtype=np.uint64) * np.uint64(2**64 // FRAGMENTS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, counts, pieces = [], [], []
-            for node, _, values in once(batch, size):
-                nodes.append(node)
-                counts.append(values.size)
-                pieces += np.split(values, np.searchsorted(values, cuts))
-            if nodes:
+            held: dict[int, bool] = {}
+            counts, pieces = [], []
+            for text, copied in zip(batch.column("text"), batch.column("copied").to_pylist()):
+                values = shingle_set(text.as_py(), size)
+                node = set_key(values) if values.size else None
+                if node is not None and node not in held:
+                    held[node] = copied
+                    counts.append(values.size)
+                    pieces += np.split(values, np.searchsorted(values, cuts))
+            if held:
                 offsets = np.concatenate(([0], np.cumsum([p.size for p in pieces]))).astype(np.int32)
                 inner = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(pieces).view(np.int64)))
-                outer = pa.array(np.arange(len(nodes) + 1, dtype=np.int32) * FRAGMENTS)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(outer, inner)],
-                    ["node", "n", "pieces"])
+                outer = pa.array(np.arange(len(held) + 1, dtype=np.int32) * FRAGMENTS)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(held.keys(), pa.int64()), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(outer, inner),
+                    pa.array(held.values(), pa.bool_())], ["node", "n", "pieces", "copied"])
     return run
 
 
@@ -151,20 +155,22 @@ def signed_rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def first_rows(signed: DataFrame) -> DataFrame:
-    """``node, first, text_key``: the smallest id and one text of every set."""
+    """``node, first, text_key, copies``: the smallest id, one text and the number of rows of every set."""
     return signed.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("first"), F.min("text_key").alias("text_key"))
+        F.min("doc_id").alias("first"), F.min("text_key").alias("text_key"), F.count("*").alias("copies"))
 
 
 def sets_from(rows: DataFrame, firsts: DataFrame, size: int, tables: Tables):
     """The sets of asked nodes, made again from one text of each; a short list of texts is broadcast."""
     def sets_of(nodes: DataFrame) -> DataFrame:
-        chosen = tables.keep(firsts.join(nodes, "node", "left_semi").select(F.col("text_key").alias("chosen")).distinct())
+        chosen = tables.keep(firsts.join(nodes, "node", "left_semi").select(
+            F.col("text_key").alias("chosen"), (F.col("copies") > 1).alias("copied")))
         if chosen.count() <= BROADCAST_TEXTS:
             chosen = F.broadcast(chosen)
-        texts = rows.join(chosen, F.col("text_key") == F.col("chosen"), "left_semi").select("doc_id", "text")
-        pieces = texts.mapInArrow(segments(size), "node bigint, n bigint, pieces array<array<bigint>>")
-        return tables.keep(pieces.dropDuplicates(["node"]))
+        texts = rows.join(chosen, F.col("text_key") == F.col("chosen")).select("text", "copied")
+        # Only sets of several rows can come twice.
+        found = tables.keep(texts.mapInArrow(segments(size), "node bigint, n bigint, pieces array<array<bigint>>, copied boolean"))
+        return tables.keep(found.where("NOT copied").unionByName(found.where("copied").dropDuplicates(["node"])).drop("copied"))
     return sets_of
 
 

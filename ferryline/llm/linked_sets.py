@@ -34,6 +34,7 @@ HOPS = 1
 MEMBERS = 512
 DIFFERENCES = 2_000_000
 BLOCK = 8_192
+BROADCAST_NODES = 200_000
 
 
 class Tables:
@@ -141,7 +142,11 @@ def _next_pairs(members: DataFrame, tables: Tables, limit: int) -> tuple[DataFra
 
 def _counted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The overlap of every pair, counted fragment by fragment and summed; of stars also what differs, in one order."""
-    of_pivot = sets.select(F.col("node").alias("pivot"), F.col("n").alias("n_pivot"), F.col("pieces").alias("held"))
+    pivots = pairs.select(F.col("pivot").alias("node")).distinct()
+    if pivots.count() <= BROADCAST_NODES:
+        pivots = F.broadcast(pivots)
+    of_pivot = sets.join(pivots, "node", "left_semi").select(
+        F.col("node").alias("pivot"), F.col("n").alias("n_pivot"), F.col("pieces").alias("held"))
     met = pairs.join(of_pivot, "pivot").join(sets.select("node", "n", "pieces"), "node")
     parts = [(F.col("pieces")[i], F.col("held")[i]) for i in range(FRAGMENTS)]
     overlap: Column = sum((F.size(F.array_intersect(a, b)) for a, b in parts), F.lit(0))
@@ -151,20 +156,28 @@ def _counted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "most", F.expr(f"{100 - percent}L * n_pivot"))
 
 
-def _unsettled(stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Members of stars that are not one component, with ``open`` and how many leading differences lead or open."""
-    rows = stars.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    of_pivot = labels.select(F.col("node").alias("pivot"), F.col("component").alias("home"))
-    rows = rows.join(of_pivot, "pivot", "left").withColumn("home", F.coalesce("home", "pivot"))
-    rows = rows.withColumn("open", F.expr("weight > most AND component <> home"))
-    # Only stars with an open member go on; a partner's weight is at least that of the lightest open one.
-    lightest = rows.where("open").groupBy("pivot").agg(F.min("weight").alias("lightest"))
-    rows = rows.join(lightest, "pivot")
+def _component(rows: DataFrame, labels: DataFrame, node: str, out: str) -> DataFrame:
+    named = labels.select(F.col("node").alias(node), F.col("component").alias(out))
+    return rows.join(named, node, "left").withColumn(out, F.coalesce(out, node))
+
+
+def _unsettled(stars: DataFrame, labels: DataFrame) -> DataFrame:
+    """``pivot, lightest, members, differences`` of the stars with an open member: one that is in no component with the pivot."""
+    sizes = stars.select("pivot", "node", "weight", "most", F.size("apart").alias("size"))
+    rows = _component(_component(sizes, labels, "node", "component"), labels, "pivot", "home")
+    return rows.groupBy("pivot").agg(
+        F.min(F.when(F.expr("weight > most AND component <> home"), F.col("weight"))).alias("lightest"),
+        F.count("*").alias("members"), F.sum("size").alias("differences")).where("lightest IS NOT NULL")
+
+
+def _leading(percent: int) -> dict[str, Column]:
+    """How many differences of a member lead, and how many open: one more than may be left over if it links with any.
+
+    A partner of one that leads is an open member, so its weight is at least that of the lightest.
+    """
     own = F.expr("greatest(1L, CAST(ceil((weight - most) / 100D) AS BIGINT))")
     other = F.expr(f"CAST(ceil((weight + lightest - most) / {100 + percent}D) AS BIGINT)")
-    rows = rows.withColumns({"leads": F.size("apart") - F.greatest(own, other) + 1, "opens": F.size("apart") - own + 1})
-    return rows.where("leads > 0 OR open AND opens > 0").select(
-        "pivot", "node", "component", "weight", "most", "apart", "open", "leads", "opens")
+    return {"leads": F.size("apart") - F.greatest(own, other) + 1, "opens": F.size("apart") - own + 1}
 
 
 def shared_differences(apart: pa.ListArray) -> np.ndarray:
@@ -189,8 +202,8 @@ def shared_differences(apart: pa.ListArray) -> np.ndarray:
 
 def _links_of(percent: int):
     def run(table: pa.Table) -> pa.Table:
-        nodes, component = table.column("node").to_pylist(), table.column("component").to_pylist()
-        weight, most = table.column("weight").to_numpy(), table.column("most").to_numpy()
+        nodes, weight, most = table.column("node").to_pylist(), table.column("weight").to_numpy(), table.column("most").to_numpy()
+        component = [None if w <= m else n for n, w, m in zip(nodes, weight, most)]  # None: that of the pivot
         shared = shared_differences(table.column("apart").combine_chunks())
         linked = weight[:, None] + weight[None, :] <= most[:, None] + (100 + percent) * shared
         root = {c: c for c in component}
@@ -210,8 +223,10 @@ def _links_of(percent: int):
     return run
 
 
-def _next_groups(rows: DataFrame, tables: Tables) -> DataFrame:
+def _next_groups(rows: DataFrame, labels: DataFrame, tables: Tables) -> DataFrame:
     """``key, node, component, lead, open``: the leading differences of the members of large stars."""
+    rows = _component(_component(rows, labels, "node", "component"), labels, "pivot", "home")
+    rows = rows.withColumn("open", F.expr("weight > most AND component <> home")).where("leads > 0 OR open AND opens > 0")
     count = F.greatest("leads", F.when(F.col("open"), F.col("opens")).otherwise(0)).cast("int")
     chosen = rows.select(
         "pivot", "node", "component", "leads", "opens", "open", F.posexplode(F.slice("apart", 1, count)).alias("i", "shingle"))
@@ -248,13 +263,12 @@ def settle(
             sets = sets_of(asked.select("pivot").union(asked.select("node")).distinct().toDF("node"))
         counted = tables.keep(_counted(asked, sets, percent))
         labels = _merged(labels, counted.where("weight <= most"), tables)
-        rows = tables.keep(_unsettled(counted.where("star"), labels, percent))
-        sizes = rows.groupBy("pivot").agg(F.count("*").alias("members"), F.sum(F.size("apart")).alias("differences"))
-        rows = rows.join(tables.keep(sizes), "pivot")
+        stars = tables.keep(_unsettled(counted.where("star"), labels))
         small = F.expr(f"members <= {MEMBERS} AND differences <= {DIFFERENCES}")
+        # The differences travel once, to the task of their pivot.
+        rows = counted.where("star").join(stars, "pivot").withColumns(_leading(percent)).where("leads > 0 OR weight > most")
         links = rows.where(small).groupBy("pivot").applyInArrow(_links_of(percent), "pivot bigint, node bigint")
         labels = _merged(labels, tables.keep(links), tables)
-        large = rows.where(~small)
-        if large.isEmpty():
+        if stars.where(~small).isEmpty():
             return labels
-        pairs, stars = _next_pairs(_next_groups(large, tables), tables, limits[1])
+        pairs, stars = _next_pairs(_next_groups(rows.where(~small), labels, tables), tables, limits[1])
