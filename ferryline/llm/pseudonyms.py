@@ -20,7 +20,8 @@ from ferryline.llm.columns import let, total
 
 ROUNDS = 8
 # The formats found, in the order in which they are tried at one place.
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# A run of address characters is tried from its start only, or from where the last match ended.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,4})?)(?![A-Za-z0-9])"
 DATE = r"(?<![0-9.-])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9-])"
 DOTTED = r"(?<![0-9.])[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}(?![0-9]|\.[0-9])"

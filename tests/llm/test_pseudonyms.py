@@ -86,3 +86,11 @@ def test_values_inside_candidates_and_other_shapes(spark):
     text = "pay 4111111111111111 123, born 24.12.1985, call 5551234567 or +49 30 12345678, IBAN DE89 3704 0044 0532 0130 00."
     row = pseudonymise(documents(spark, [text]), KEY).collect()[0]
     assert row.replaced == 5 and not any(v in row.text for v in ("4111111111111111", "24.12.1985", "5551234567", "12345678", "0532"))
+
+
+def test_long_runs_and_addresses_side_by_side(spark):
+    """A megabyte without an address is looked through once; an address right behind another is found."""
+    texts = ["a" * 1_000_000, "1" * 1_000_000, "a." * 500_000 + "@", "me@site.org_you@site.org"]
+    rows = pseudonymise(documents(spark, texts), KEY).orderBy("doc_id").collect()
+    assert [r.replaced for r in rows] == [0, 0, 0, 2] and [r.text for r in rows[:3]] == texts[:3]
+    assert rows[3].text.count("@example.invalid") == 2
