@@ -25,11 +25,13 @@ SPACE_OF_IDS = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the name spa
 RECORD = "record_id string, type string, refers_to string, target_uri string, date string, content_type string, " \
     "payload_digest string, block_digest string, content_length bigint, block binary"
 _HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|head)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_BREAK = re.compile(r"</?(?:p|div|br|h[1-6]|li|ul|ol|tr|table|article|section|nav|header|footer|blockquote|pre)\b[^>]*>", re.I)
-_TAG = re.compile(r"</?[A-Za-z!?][^>]*(?:>|\Z)")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LINK = re.compile(r"<a\b[^>]*?\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_LANGUAGE = re.compile(r"<html\b[^>]*?\slang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
+# A tag ends at the next '<' at the latest, so an unclosed one is looked through once.
+_BREAK = re.compile(r"</?(?:p|div|br|h[1-6]|li|ul|ol|tr|table|article|section|nav|header|footer|blockquote|pre)\b[^<>]*>", re.I)
+_TAG = re.compile(r"</?[A-Za-z!?][^<>]*(?:>|\Z)")
+_TITLE, _TITLE_END = re.compile(r"<title\b[^<>]*>", re.I), re.compile(r"</title\s*>", re.I)
+_ANCHOR, _ROOT = re.compile(r"<a\b([^<>]*)", re.I), re.compile(r"<html\b([^<>]*)", re.I)
+_HREF = re.compile(r"\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_LANG = re.compile(r"\slang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
 
 
 def plain_text(page: str) -> str:
@@ -41,10 +43,13 @@ def plain_text(page: str) -> str:
 
 def facts(page: str) -> dict[str, list[str]]:
     """Title, language and links of a page, in their order."""
-    title, language = _TITLE.search(page), _LANGUAGE.search(page)
-    links = [entities.unescape(next(x for x in m.groups() if x is not None)) for m in _LINK.finditer(_HIDDEN.sub(" ", page))]
-    return {"title": [" ".join(entities.unescape(title[1]).split())] if title else [],
-            "language": [language[1]] if language else [], "outlink": links}
+    start, root = _TITLE.search(page), _ROOT.search(page)
+    end = _TITLE_END.search(page, start.end()) if start else None
+    title = [" ".join(entities.unescape(page[start.end():end.start()]).split())] if end else []
+    language = _LANG.search(root[1]) if root else None
+    found = (_HREF.search(m[1]) for m in _ANCHOR.finditer(_HIDDEN.sub(" ", page)))
+    links = [entities.unescape(next(x for x in m.groups() if x is not None)) for m in found if m]
+    return {"title": title, "language": [language[1]] if language else [], "outlink": links}
 
 
 def digest(data: bytes) -> str:

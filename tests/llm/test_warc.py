@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import re
+import time
 
 from ferryline.llm.warc import derive_records, facts, plain_text, write_warc
 from ferryline.sources.collections import table
@@ -61,3 +62,12 @@ def test_odd_rows(spark):
     got = derive_records(spark.createDataFrame(rows, shape), DATE).collect()
     assert len(got) == 12 and len({r.record_id for r in got}) == 9
     assert derive_records(spark.createDataFrame([], shape), DATE).count() == 0
+
+
+def test_unclosed_tags_of_a_megabyte():
+    """Pages of unclosed tags are looked through once."""
+    for piece in ("<a x", "<html x", "<title>", "<p y", "<!", "<script", "< ", "<a href=", "<a  "):
+        page = piece * (1_000_000 // len(piece))
+        start = time.perf_counter()
+        plain_text(page), facts(page)
+        assert time.perf_counter() - start < 10
