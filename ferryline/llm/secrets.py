@@ -1,9 +1,10 @@
 """Secret scans: fixed patterns, and strings whose characters look drawn at random.
 
-Candidates for the second kind are runs of ``min_run`` or more characters of keys and hashes. A window of ``window``
+Candidates for the second kind are runs of ``window`` or more characters of keys and hashes. A window of ``window``
 characters slides along a run; the counts of its characters change by the one that enters and the one that leaves, and
 with them the sum of ``c * log2(c)``, from which the Shannon entropy follows. The highest entropy of a run is held against
-the limit of its character class. Runs on the allow list are no secrets.
+the limit of its character class. Runs on the allow list are no secrets; alphabets and stand-ins within a run are cut
+out, and what is left is judged. What a pattern's span covers of a run is left out likewise.
 """
 
 from __future__ import annotations
@@ -27,10 +28,13 @@ ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_-="
 
 @dataclass(frozen=True)
 class EntropyRules:
-    """Limits in bits a character, by class: hex digits, one case with digits, mixed. ``allowed``: patterns of whole runs."""
+    """Limits in bits a character, by class: hex digits, one case with digits, mixed.
+
+    ``allowed``: patterns of whole runs, or pieces, that are no secrets. ``cut``: what is taken out of a run before its
+    pieces are judged, so that a secret beside it is seen.
+    """
 
     window: int = 20
-    min_run: int = 24
     hex_limit: float = 3.0
     single_case_limit: float = 3.5
     mixed_limit: float = 3.9
@@ -38,10 +42,12 @@ class EntropyRules:
         r"[A-Za-z]+",                                                              # words without digits
         r"[0-9]+",                                                                 # numbers
         r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",                     # UUIDs
-        r".*(0123456789|abcdefghijkl|ABCDEFGHIJKL).*",                             # alphabets
-        r"(?i).*(example|placeholder|changeme|redacted).*",                        # stand-ins
         r"[A-Za-z]{1,20}([-_/][A-Za-z]{1,20}|[-_/][0-9]{1,4})+",                   # paths and slugs
     )
+    cut: Sequence[str] = (
+        r"0123456789|abcdefghijkl|ABCDEFGHIJKL",                                   # alphabets
+        r"(?<![^/])[^/]*?(?i:example|placeholder|changeme|redacted)[^/]*",         # parts of a path that hold a stand-in
+    )
 
 
 def _located(text: Column, pattern: str) -> Column:
@@ -97,13 +103,33 @@ def highest_entropy(run: Column, window: int) -> Column:
     return let(places, fold)
 
 
-def _random_runs(text: Column, rules: EntropyRules) -> Column:
-    runs = _located(text, rf"[A-Za-z0-9+/_=-]{{{rules.min_run},}}")
+def _looks_random(run: Column, rules: EntropyRules) -> Column:
+    """Whether a piece of a run is as random as a secret, apart from what the allow list knows."""
     limit = lambda v: F.when(v.rlike(r"^[0-9a-fA-F]+$"), rules.hex_limit).when(
         v.rlike("[a-z]") & v.rlike("[A-Z]"), rules.mixed_limit).otherwise(rules.single_case_limit)
-    allowed = "|".join(f"(^{p}$)" for p in rules.allowed)
-    return F.filter(runs, lambda r: ~r["value"].rlike(allowed) & (
-        highest_entropy(r["value"], rules.window) >= limit(r["value"])))
+    allowed, cut = "|".join(f"(^{p}$)" for p in rules.allowed), "|".join(f"({p})" for p in rules.cut)
+    pieces = F.when(run.rlike(cut), F.split(run, cut, -1)).otherwise(F.array(run))
+    return ~run.rlike(allowed) & F.exists(pieces, lambda v: (F.length(v) >= rules.window) & ~v.rlike(allowed) & (
+        highest_entropy(v, rules.window) >= limit(v)))
+
+
+def _outside(run: Column, base: Column, text: Column) -> Column:
+    """The parts of a run that lie outside the sorted spans ``base``."""
+    part = lambda a, b: F.struct(a.alias("start"), b.alias("end"), F.substring(text, a + 1, b - a).alias("value"))
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    met = F.filter(base, lambda o: (o["start"] < run["end"]) & (run["start"] < o["end"]))
+    walked = F.aggregate(met, F.struct(run["start"].alias("at"), none.alias("l")), lambda s, o: F.struct(
+        F.greatest(s["at"], o["end"]).alias("at"),
+        F.when(o["start"] > s["at"], F.concat(s["l"], F.array(part(s["at"], o["start"])))).otherwise(s["l"]).alias("l")))
+    rest = let(walked, lambda s: F.when(s["at"] < run["end"], F.concat(s["l"], F.array(part(s["at"], run["end"])))).otherwise(s["l"]))
+    return F.when(F.size(met) == 0, F.array(run)).otherwise(rest)
+
+
+def _random_runs(text: Column, base: Column, rules: EntropyRules) -> Column:
+    """Runs of ``window`` characters or more, without what the spans ``base`` cover of them, that look random."""
+    runs = _located(text, rf"[A-Za-z0-9+/_=-]{{{rules.window},}}")
+    parts = F.flatten(F.transform(runs, lambda r: _outside(r, base, text)))
+    return F.filter(parts, lambda r: (F.length(r["value"]) >= rules.window) & _looks_random(r["value"], rules))
 
 
 def _spans(text: Column, rules: EntropyRules) -> Column:
@@ -114,8 +140,7 @@ def _spans(text: Column, rules: EntropyRules) -> Column:
 
     assigned = F.filter(_located(text, ASSIGN), lambda r: F.length(F.regexp_extract(r["value"], ASSIGN, 2)) >= 8)
     base = F.concat(kind(assigned, 0), kind(_located(text, ACCESS), 1), kind(_located(text, HEX), 2))
-    return let(base, lambda b: F.sort_array(F.concat(b, F.filter(kind(_random_runs(text, rules), 3), lambda r: ~F.exists(
-        b, lambda o: (o["start"] < r["end"]) & (r["start"] < o["end"]))))))
+    return let(F.sort_array(base), lambda b: F.sort_array(F.concat(b, kind(_random_runs(text, b, rules), 3))))
 
 
 def _written(spans: Column) -> Column:
