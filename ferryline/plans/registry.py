@@ -20,7 +20,7 @@ from ferryline.session import work_folder
 from ferryline.sources import collections as col
 from ferryline.sources import views
 from ferryline.sources.bodies import decode_messages
-from ferryline.sources.folders import update_folders, write_folders
+from ferryline.sources.folders import folders_for, update_folders, write_folders
 from ferryline.sources.tables import append_valid, queue_folder, send, write_snapshot
 from ferryline.streaming import consumers, running
 from ferryline.streaming import jobs as job_streams
@@ -166,8 +166,11 @@ def keyed_update(spark, folder):
 def keyed_update_folders(spark, folder):
     """The same on a table in folders by key, of which an update rewrites only those it touches."""
     items, home = views.items(spark, folder), work_folder(spark, "keyed-folders")
-    write_folders(items, home, "item_id")
-    return _shown(update_folders(spark, home, _transitions(items), "item_id", updates.TRANSITION_COLUMNS).table)
+    folders = folders_for(items.count())
+    write_folders(items, f"{home}/table", "item_id", folders)
+    done = update_folders(
+        spark, f"{home}/table", f"{home}/staged", items.schema, _transitions(items), "item_id", updates.TRANSITION_COLUMNS, folders)
+    return _shown(done.table)
 
 
 @query

@@ -1,12 +1,11 @@
-"""Tables in folders by a hash of their key: an update rewrites the folders it touches and leaves the others as they are.
+"""Keyed updates of a partitioned Parquet table: only the partitions that an update touches are read and written.
 
-A manifest names the version in which each folder was last written, and the columns of the table. A version that is being
-read is never overwritten; readers move on once the manifest of the next one is complete.
+The table is partitioned by ``folder``, a hash of its key. An update is joined with its folders, staged beside the table,
+and the staged rows replace those folders by Spark's dynamic partition overwrite.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
@@ -17,8 +16,8 @@ from pyspark.sql import types as T
 
 from ferryline.operators.updates import one_per_key
 
-FOLDERS = 64
-_MANIFEST = "folder int, version bigint, folders int, columns string"
+ROWS_PER_FOLDER = 1_000_000
+FILES_PER_FOLDER = 4
 
 
 class Changed(NamedTuple):
@@ -28,62 +27,49 @@ class Changed(NamedTuple):
     modified: int
 
 
-def _folder(key: str, folders: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(folders)).cast("int")
-
-
-def _manifest(spark: SparkSession, root: str) -> list:
-    """One row for each folder that has rows: at most as many as the table has folders."""
-    rows = spark.read.schema(f"{_MANIFEST}, manifest bigint").option("basePath", f"{root}/manifests").parquet(f"{root}/manifests")
-    latest = rows.agg(F.max("manifest")).first()[0]
-    return rows.where(F.col("manifest") == latest).collect()
+def folders_for(rows: int, least: int = 8) -> int:
+    """Into how many folders a table of so many rows is best cut; it stays what it was when the table was written."""
+    return max(least, -(-rows // ROWS_PER_FOLDER))
 
 
-def _write(df: DataFrame, root: str, key: str, folders: int, version: int) -> set[int]:
-    path = f"{root}/data/version={version}"
-    placed = df.withColumn("folder", _folder(key, folders)).repartition("folder")
-    placed.write.mode("overwrite").partitionBy("folder").parquet(path)
-    written = df.sparkSession.read.schema("folder int").option("basePath", path).parquet(path)
-    return {r.folder for r in written.distinct().collect()}
-
-
-def _point(spark: SparkSession, root: str, versions: dict[int, int], folders: int, schema: T.StructType, version: int) -> None:
-    rows = [(f, v, folders, schema.json()) for f, v in sorted(versions.items())] or [(-1, version, folders, schema.json())]
-    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{root}/manifests/manifest={version}")
+def _folder(key: str, folders: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(folders)).cast("int")
 
 
-def write_folders(df: DataFrame, root: str, key: str, folders: int = FOLDERS) -> DataFrame:
-    """Store ``df`` as a new table below ``root``."""
-    written = _write(df, root, key, folders, 1)
-    _point(df.sparkSession, root, {f: 1 for f in written}, folders, df.schema, 1)
-    return read_folders(df.sparkSession, root)
+def _dealt(df: DataFrame, key: str, folders: int) -> DataFrame:
+    """Rows by folder, a folder cut into several tasks, so that a task's share does not grow with the folder's."""
+    placed = df.withColumn("folder", _folder(key, folders))
+    piece = F.pmod(F.hash(F.col(key), F.lit("piece")), F.lit(FILES_PER_FOLDER))
+    return placed.repartition("folder", piece)
 
 
-def _read(spark: SparkSession, root: str, rows: list, schema: T.StructType) -> DataFrame:
-    paths = [f"{root}/data/version={r.version}/folder={r.folder}" for r in rows if r.folder >= 0]
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", f"{root}/data").parquet(*paths).select(*schema.names)
+def write_folders(df: DataFrame, path: str, key: str, folders: int) -> DataFrame:
+    """Store ``df``, which must have no column ``folder``, as a table of ``folders`` folders by ``key``."""
+    _dealt(df, key, folders).write.partitionBy("folder").parquet(path)
+    return read_folders(df.sparkSession, path, df.schema)
 
 
-def read_folders(spark: SparkSession, root: str) -> DataFrame:
-    """The table as the latest manifest has it; columns that came later are null in folders written before."""
-    rows = _manifest(spark, root)
-    return _read(spark, root, rows, T.StructType.fromJson(json.loads(rows[0].columns)))
+def read_folders(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table; columns of ``schema`` that came later are null in folders written before."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("folder", T.IntegerType())])).parquet(path).select(*schema.names)
 
 
 def update_folders(
-    spark: SparkSession, root: str, updates: DataFrame, key: str, cols: Sequence[str], order: Sequence[str] = ()
+    spark: SparkSession, path: str, staging: str, schema: T.StructType, updates: DataFrame, key: str, cols: Sequence[str],
+    folders: int, order: Sequence[str] = (),
 ) -> Changed:
     """Set ``cols`` in the rows whose key has an update, never insert, and count on the way.
 
-    Only folders with a key of ``updates`` are read, joined and written anew.
+    ``schema`` is that of the table, ``staging`` a new folder beside it. Only folders with a key of ``updates`` are read,
+    joined and written anew; a run that breaks off before the last write has changed nothing, and one that repeats gives
+    the same rows.
     """
-    rows = _manifest(spark, root)
-    schema, folders = T.StructType.fromJson(json.loads(rows[0].columns)), rows[0].folders
     last = one_per_key(updates, key, cols, order)
-    touched = {r.f for r in last.select(_folder(key, folders).alias("f")).distinct().collect()}
-    part = _read(spark, root, [r for r in rows if r.folder in touched], schema)
+    touched = [r.f for r in last.select(_folder(key, folders).alias("f")).distinct().collect()]  # ``folders`` at most
+    if not touched:
+        return Changed(read_folders(spark, path, schema), 0, 0, 0)
+    whole = spark.read.schema(T.StructType([*schema.fields, T.StructField("folder", T.IntegerType())])).parquet(path)
+    part = whole.where(F.col("folder").isin(touched))
     left = part.select(F.col(key).alias("_key"), F.struct(*schema.names).alias("_old"))
     right = last.select(F.col(key).alias("_new_key"), F.struct(*cols).alias("_new"))
     joined = left.join(right, F.col("_key") == F.col("_new_key"), "full_outer")
@@ -98,9 +84,8 @@ def update_folders(
     new = counted.where("_old IS NOT NULL").select(
         *[F.col(f"_old.{c}").alias(c) for c in kept],
         *[F.when(hit, F.col(f"_new.{c}")).otherwise(old[c]).alias(c) for c in cols])
-    version = max(r.version for r in rows) + 1
-    written = _write(new, root, key, folders, version)
-    versions = {r.folder: r.version for r in rows if r.folder >= 0 and r.folder not in touched} | {f: version for f in written}
-    _point(spark, root, versions, folders, new.schema, version)
+    _dealt(new, key, folders).write.mode("overwrite").partitionBy("folder").parquet(staging)
+    staged = read_folders(spark, staging, new.schema)
+    _dealt(staged, key, folders).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("folder").parquet(path)
     found = seen.get
-    return Changed(read_folders(spark, root), found["processed"], found["matched"], found["modified"])
+    return Changed(read_folders(spark, path, new.schema), found["processed"], found["matched"], found["modified"])

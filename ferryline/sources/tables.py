@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,12 +19,10 @@ class Appended(NamedTuple):
 
 
 def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).option("basePath", path).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":  # the first run
-            return None
-        raise
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):  # the first run
+        return None
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
 def _against(checked: Checked, others: DataFrame, rules: Sequence[Rule]) -> Checked:
