@@ -66,10 +66,10 @@ def update_folders(
     """
     last = one_per_key(updates, key, cols, order)
     touched = [r.f for r in last.select(_folder(key, folders).alias("f")).distinct().collect()]  # ``folders`` at most
-    if not touched:
-        return Changed(read_folders(spark, path, schema), 0, 0, 0)
     whole = spark.read.schema(T.StructType([*schema.fields, T.StructField("folder", T.IntegerType())])).parquet(path)
-    part = whole.where(F.col("folder").isin(touched))
+    part = whole.where(F.col("folder").isin(touched)) if touched else whole.limit(0)
+    if part.isEmpty():
+        return Changed(read_folders(spark, path, schema), last.count(), 0, 0)
     left = part.select(F.col(key).alias("_key"), F.struct(*schema.names).alias("_old"))
     right = last.select(F.col(key).alias("_new_key"), F.struct(*cols).alias("_new"))
     joined = left.join(right, F.col("_key") == F.col("_new_key"), "full_outer")
