@@ -496,6 +496,10 @@ SELECT time_bucket(INTERVAL 1 HOUR, published_at) AS window_start, time_bucket(I
 SELECT date_trunc('day', published_at)::TIMESTAMP AS window_start,
   date_trunc('day', published_at)::TIMESTAMP + INTERVAL 1 DAY AS window_end, queue_type, count(*) AS messages
 FROM v_messages GROUP BY ALL"""),
+    "stream_activity": _with("""
+SELECT worker_no, consumer_type, count(*) AS messages, count(*) FILTER (handler_failed)::BIGINT AS errors, true AS timed, 'exit' AS last
+FROM v_messages JOIN (VALUES ('processing', 0, 'ProcessingConsumer'), ('priority', 1, 'PriorityConsumer'),
+  ('archive', 2, 'ArchiveConsumer')) c(queue_type, worker_no, consumer_type) USING (queue_type) GROUP BY ALL"""),
     "throughput_late": _with("""
 SELECT date_trunc('day', published_at)::TIMESTAMP AS window_start, date_trunc('day', published_at)::TIMESTAMP + INTERVAL 1 DAY AS window_end,
   queue_type, count(*) FILTER (NOT late) AS on_time, count(*) FILTER (late) AS late

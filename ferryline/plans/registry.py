@@ -22,6 +22,7 @@ from ferryline.sources import views
 from ferryline.sources.bodies import decode_messages
 from ferryline.sources.folders import folders_for, update_folders, write_folders
 from ferryline.sources.tables import append_valid, queue_folder, send, write_snapshot
+from ferryline.streaming import activity as act
 from ferryline.streaming import consumers, running
 from ferryline.streaming import jobs as job_streams
 
@@ -839,6 +840,25 @@ def throughput_late(spark, folder):
     return job_streams.read_throughput_with_late(spark, home)
 
 
+LOGGED = (("processing", "ProcessingConsumer"), ("priority", "PriorityConsumer"), ("archive", "ArchiveConsumer"))
+
+
+@query
+def stream_activity(spark, folder):
+    """What the consumers of three queues tell of themselves while they run: messages and errors are those of the input."""
+    home, log = work_folder(spark, "activity"), None
+    running.write_source(col.table(spark, folder, "events"), f"{home}/events", "ts", "event_id")
+    for number, (queue, consumer) in enumerate(LOGGED):
+        source = running.stream_scan(spark, f"{home}/events", EVENT, maxFilesPerTrigger="1")
+        stream = act.observed(views.messages_of(source).where(F.col("queue_type") == queue), F.col("handler_failed"))
+        rows = act.run_logged(spark, running.each_batch(stream, _nothing), f"{home}/{queue}", number, consumer)
+        log = rows if log is None else log.unionByName(rows)
+    latency = monitoring.batch_latency(log).select("consumer_type", (F.col("mean_ms") <= F.col("max_ms")).alias("timed"))
+    ended = log.groupBy("consumer_type").agg(F.max_by("type", "seq").alias("last"))
+    return act.activity(log).join(latency, "consumer_type").join(ended, "consumer_type").select(
+        "worker_no", "consumer_type", "messages", "errors", "timed", "last")
+
+
 @query
 def processing_timeout_priority(spark, folder):
     return jobs.processing_timeout(views.job_log(spark, folder), as_of(), queue_type="priority").select("correlation_id", "seq", "message")
