@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -48,16 +48,40 @@ _TESTS = {
 }
 
 
-def filter_spec(spec: Mapping) -> Column:
+def _declared(name: str, value) -> Column:
+    return F.col(name)
+
+
+def free_field(column: str, declared: Sequence[str] = ()) -> Callable[[str, object], Column]:
+    """Fields for :func:`filter_spec` that no schema declares: paths into the VARIANT ``column``, read as the type of the
+    value they are compared with. A field that is missing, null or of another type is null. Names in ``declared`` stay
+    columns.
+    """
+    kinds = {bool: "boolean", int: "bigint", float: "double", str: "string"}
+
+    def of(name: str, value) -> Column:
+        if name in declared:
+            return F.col(name)
+        if "'" in name or not all(name.split(".")):
+            raise ValueError(f"no path: {name}")
+        sample = next((v for v in value if v is not None), "") if isinstance(value, (list, tuple)) else value
+        kind = kinds.get(type(sample), "string")
+        return F.try_variant_get(F.col(column), "$" + "".join(f"['{part}']" for part in name.split(".")), kind)
+
+    return of
+
+
+def filter_spec(spec: Mapping, field: Callable[[str, object], Column] = _declared) -> Column:
     """The predicate a filter document stands for; ``{}`` keeps every row.
 
     ``{"status": "failed"}``, ``{"priority": {"$gte": 3}}``, ``{"$or": [{...}, {...}]}``; dots in a
-    name reach into a struct. Anything else is refused rather than ignored.
+    name reach into a struct. Anything else is refused rather than ignored. ``field`` finds a field by its name and the
+    value it is compared with, a column by default.
     """
     parts = []
     for name, wanted in spec.items():
         if name in ("$and", "$or"):
-            branches = [filter_spec(branch) for branch in wanted]
+            branches = [filter_spec(branch, field) for branch in wanted]
             if not branches:
                 raise ValueError(f"{name} needs at least one filter")
             parts.append(_all(branches) if name == "$and" else _any(branches))
@@ -67,7 +91,7 @@ def filter_spec(spec: Mapping) -> Column:
             unknown = [op for op in wanted if op not in _TESTS]
             if unknown or not wanted:
                 raise ValueError(f"unsupported filter on {name}: {dict(wanted)}")
-            parts += [_TESTS[op](F.col(name), value) for op, value in wanted.items()]
+            parts += [_TESTS[op](field(name, "" if op == "$exists" else value), value) for op, value in wanted.items()]
         else:
-            parts.append(_equals(F.col(name), wanted))
+            parts.append(_equals(field(name, wanted), wanted))
     return _all(parts)

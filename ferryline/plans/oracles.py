@@ -304,6 +304,9 @@ FROM (SELECT error_id, CASE WHEN error_id % 5 = 0 THEN 200
 SELECT message_id, routing_key, queue FROM v_messages LEFT JOIN (VALUES ('process', 'app.processing.queue'),
   ('priority', 'app.priority.queue'), ('archive', 'app.archive.queue'), ('failed', 'app.deadletter.queue'),
   ('process', 'audit'), ('priority', 'audit'), ('archive', 'audit')) b(word, queue) ON split_part(routing_key, '.', 1) = word"""),
+    "filter_free_fields": _with("""
+SELECT item_id, status FROM v_items WHERE status <> 'success' AND (region = 'EUROPE' AND item_id % 2 = 0
+  OR priority >= 4 AND department IS NULL OR region = 'ASIA' AND priority < 2)"""),
     "topic_route_table": _with("""
 SELECT m.message_id, m.routing_key, count(DISTINCT queue) AS queues, min(queue) AS first_queue, max(queue) AS last_queue
 FROM keyed m LEFT JOIN found f ON f.message_id = m.message_id GROUP BY ALL""", {

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferryline.functions.errors import mask_credentials
-from ferryline.functions.filters import filter_spec
+from ferryline.functions.filters import filter_spec, free_field
 from ferryline.operators import archive as arc
 from ferryline.operators import failures as fail
 from ferryline.operators import jobs, models, monitoring, routing, synth, updates, validation
@@ -209,6 +209,16 @@ def q_filter_spec(spark, folder):
     return views.items(spark, folder).where(filter_spec(spec)).select("item_id", "status", "priority", "department")
 
 
+@query
+def filter_free_fields(spark, folder):
+    """A filter on paths that no schema declares, beside a declared column; bodies are parsed once, as VARIANT."""
+    held = F.to_json(F.struct("priority", F.struct("region", "department").alias("meta"), (F.col("item_id") % 2 == 0).alias("even")))
+    loose = views.items(spark, folder).select("item_id", "status", F.try_parse_json(held).alias("fields"))
+    spec = {"status": {"$ne": "success"}, "$or": [{"meta.region": "EUROPE", "even": True}, {"priority": {"$gte": 4}, "meta.department": None},
+            {"meta.region": {"$in": ["ASIA"]}, "meta.none": {"$exists": False}, "priority": {"$lt": 2}}]}
+    return loose.where(filter_spec(spec, free_field("fields", ["status"]))).select("item_id", "status")
+
+
 @query
 def count_where(spark, folder):
     return validation.count_where(views.items(spark, folder), {"status": {"$in": ["pending", "failed"]}, "department": None})

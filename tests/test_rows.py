@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ferryline.functions.errors import mask_credentials
-from ferryline.functions.filters import filter_spec
+from ferryline.functions.filters import filter_spec, free_field
 from ferryline.operators import routing, updates
 from ferryline.operators.failures import classify_errors, error_severity
 from ferryline.operators.routing import ensure_ids, message_headers, route_message, to_kafka_rows, topic_route
@@ -241,3 +241,18 @@ def test_bindings_in_a_table(spark):
     assert got == {(r.n, r.routing_key, r.queue) for r in routing.topic_route(sent, bindings).collect()}
     none = routing.topic_route_table(sent, table.limit(0)).collect()
     assert len(none) == len(keys) + 2 and not any(r.queue for r in none)
+
+
+def test_filters_on_free_fields(spark):
+    rows = [(1, '{"a": 1, "b": {"c": "x"}}'), (2, '{"a": "one", "b": {"c": null}}'), (3, "{}"), (4, "no json"), (5, None),
+            (6, '{"a": 2.5, "b": {"c": "y"}, "d e": true}'), (7, "[1]")]
+    held = spark.createDataFrame(rows, "n int, t string").select("n", F.try_parse_json("t").alias("v"))
+
+    def kept(spec):
+        return sorted(r.n for r in held.where(filter_spec(spec, free_field("v", ["n"]))).collect())
+
+    assert kept({"a": 1}) == [1] and kept({"a": {"$gt": 0.5}}) == [1, 6] and kept({"b.c": "x", "n": 1}) == [1]
+    assert kept({"b.c": {"$ne": "x"}}) == [2, 3, 4, 5, 6, 7] and kept({"b.c": None, "n": {"$lt": 4}}) == [2, 3]
+    assert kept({"d e": True}) == [6] and kept({"b.c": {"$exists": True}}) == [1, 6] and kept({"a": {"$in": [1, 7]}}) == [1]
+    with pytest.raises(ValueError):
+        kept({"a'b": 1})
