@@ -198,18 +198,21 @@ def one_edit(a: bytes, b: bytes) -> bool:
     return a[same:] == b[same + 1:]
 
 
-def _in_order(words: list[bytes], q: np.ndarray, p: np.ndarray) -> np.ndarray:
+def letter_table(words: list[bytes], sizes: np.ndarray) -> np.ndarray | None:
+    """The letters of the words, one row each; none where a word has more than ``LONG``."""
+    if sizes.max() > LONG:
+        return None
+    table = np.zeros((len(words), LONG + 1), np.uint8)
+    place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    table[np.repeat(np.arange(len(words)), sizes), place] = np.frombuffer(b"".join(words), np.uint8)
+    return table
+
+
+def _in_order(words: list[bytes], table: np.ndarray | None, sizes: np.ndarray, q: np.ndarray, p: np.ndarray) -> np.ndarray:
     """Which of the pairs of words are one edit apart, by the order of their letters."""
-    if not q.size:
-        return np.zeros(0, bool)
-    if max(len(words[i]) for i in np.unique(np.concatenate((q, p)))) > LONG:
-        return np.array([one_edit(words[i], words[j]) for i, j in zip(q, p)])
-    used, at = np.unique(np.concatenate((q, p)), return_inverse=True)
-    table = np.zeros((used.size, LONG + 1), np.uint8)
-    for row, i in enumerate(used):
-        table[row, :len(words[i])] = np.frombuffer(words[i], np.uint8)
-    size = np.array([len(words[i]) for i in used])
-    a, b, na, nb = table[at[:q.size]], table[at[q.size:]], size[at[:q.size]], size[at[q.size:]]
+    if table is None:
+        return np.array([one_edit(words[i], words[j]) for i, j in zip(q, p)], dtype=bool)
+    a, b, na, nb = table[q], table[p], sizes[q], sizes[p]
     replaced = (na == nb) & ((a != b).sum(axis=1) == 1)
     inside = np.arange(LONG)[None, :] < na[:, None]
     before = np.cumprod((a[:, :-1] == b[:, :-1]) & inside, axis=1, dtype=np.uint8).sum(axis=1)
@@ -220,10 +223,13 @@ def _in_order(words: list[bytes], q: np.ndarray, p: np.ndarray) -> np.ndarray:
 
 def search_cell(words: list[bytes], kinds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(query rows, point rows) of words one edit apart in one cell; the query is as long as the point or one shorter."""
-    places = vectors(words)
     points = np.flatnonzero(kinds & 1)
     if not points.size:
         return
+    places = vectors(words)
+    places = places[:, places.any(axis=0)]  # letters that no word of the cell has
+    sizes = np.array([len(w) for w in words])
+    table = letter_table(words, sizes)
     tree = grow(places, points, LEAF, {})
     dense = places.astype(np.float32 if places.sum(axis=1).max() <= 2_048 else np.float64)  # squares stay exact
     squares = (dense * dense).sum(axis=1)
@@ -237,7 +243,7 @@ def search_cell(words: list[bytes], kinds: np.ndarray) -> Iterator[tuple[np.ndar
                 q, p = own[i], leaf.rows[j]
                 for at in range(0, q.size, 16 * CHUNK):
                     some = slice(at, at + 16 * CHUNK)
-                    fits = _in_order(words, q[some], p[some])
+                    fits = _in_order(words, table, sizes, q[some], p[some])
                     yield q[some][fits], p[some][fits]
 
 
