@@ -37,16 +37,27 @@ BLOCK = 8_192
 BROADCAST_NODES = 200_000
 
 
+# Spark's own setting: shuffle files of an execution go when it ends, not when the driver happens to collect garbage.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Tables:
-    """Numbered Parquet tables below one shared folder, so that no lineage grows and lost executors cost little."""
+    """Numbered Parquet tables below one shared folder, so that no lineage grows and lost executors cost little.
+
+    A written table needs its shuffles no more, so their files are freed with it.
+    """
 
     def __init__(self, spark, folder: str):
         self.spark, self.folder, self.count = spark, folder, 0
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.count += 1
-        path = f"{self.folder}/t{self.count}"
-        df.write.parquet(path)
+        path, before = f"{self.folder}/t{self.count}", self.spark.conf.get(FREED, None)
+        self.spark.conf.set(FREED, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.unset(FREED) if before is None else self.spark.conf.set(FREED, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
