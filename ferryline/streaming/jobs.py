@@ -97,8 +97,8 @@ def throughput_with_late(messages: DataFrame, width: str, delay_ms: int, path: s
     adds them up.
 
     A row is late if its window had ended by the watermark: the latest time of all earlier micro-batches less
-    ``delay_ms``. Every micro-batch writes its own latest time, so a repeated one judges its rows alike; nothing is lost,
-    on time and late are the input. Rows without a time are late.
+    ``delay_ms``. Every micro-batch writes its own latest time, so a repeated one judges its rows alike; no row with a time is lost,
+    on time and late are the input. Rows without a time have no window and are not counted.
     """
     schema = "latest timestamp, batch_id bigint"
 
@@ -123,7 +123,7 @@ def throughput_with_late(messages: DataFrame, width: str, delay_ms: int, path: s
 
 
 def read_throughput_with_late(spark: SparkSession, path: str) -> DataFrame:
-    """``window_start, window_end, queue_type, on_time, late``; rows without a time have no window."""
+    """``window_start, window_end, queue_type, on_time, late``."""
     counts = spark.read.option("basePath", f"{path}/counts").parquet(f"{path}/counts")
     summed = counts.groupBy("window_start", "window_end", "queue_type").agg(
         F.sum(F.when(~F.col("late"), F.col("messages")).otherwise(0)).alias("on_time"),
