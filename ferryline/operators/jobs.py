@@ -82,20 +82,31 @@ def published_jobs(messages: DataFrame, at: Column) -> DataFrame:
     )
 
 
-def job_progress(log: DataFrame) -> DataFrame:
-    """Batches and items done per parent job, from the current state of its jobs."""
-    current = latest_state(log, "correlation_id", ["event_ts", "seq"])
-    totals = current.groupBy("parent_job_id").agg(
+PROGRESS_COUNTS = ("total_batches", "completed_batches", "failed_batches", "total_items", "processed_items")
+
+
+def progress_counts() -> list[Column]:
+    """The sums of PROGRESS_COUNTS over the current states of jobs."""
+    return [
         F.count(F.lit(1)).alias("total_batches"),
         F.count_if(F.col("status") == "completed").alias("completed_batches"),
         F.count_if(F.col("status") == "failed").alias("failed_batches"),
         F.sum(F.col("total_items").cast("bigint")).alias("total_items"),
         F.sum(F.col("processed_items").cast("bigint")).alias("processed_items"),
-    )
+    ]
+
+
+def progress_of(totals: DataFrame) -> DataFrame:
     share = F.coalesce(F.try_divide(F.col("processed_items") * 100.0, F.col("total_items")), F.lit(0.0))
     return totals.withColumn("progress", F.round(F.least(F.lit(100.0), share), 4))
 
 
+def job_progress(log: DataFrame) -> DataFrame:
+    """Batches and items done per parent job, from the current state of its jobs."""
+    current = latest_state(log, "correlation_id", ["event_ts", "seq"])
+    return progress_of(current.groupBy("parent_job_id").agg(*progress_counts()))
+
+
 def dead_letter_jobs(dead_letters: DataFrame, jobs: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """Dead letters with the state of their job, which may be absent. ``jobs`` has one row per job."""
     state = jobs.select(

@@ -544,3 +544,5 @@ SELECT correlation_id, status, message, count(*) AS entries FROM (SELECT correla
          "judged": _JUDGED.format(source="handled"), "split": _SPLIT}),
     "status_overview": _with("SELECT status, count(*) AS items, max(updated_at) AS last_updated FROM v_items GROUP BY status"),
 }
+# Streams that must come to the rows of the batch operators.
+ORACLES |= {f"{name}_stream": ORACLES[name] for name in ("dead_letter_jobs", "job_progress")}

@@ -715,6 +715,39 @@ def job_status_stream(spark, folder):
     return _status_state(spark, views.job_log_of(_events_stream(spark, folder)))
 
 
+HORIZON = "40 days"
+
+
+def _closing_events_stream(spark, folder):
+    """The events as a stream whose last file is one row from a far later time, which moves the watermark past all others."""
+    path = work_folder(spark, "closing-events")
+    events = col.table(spark, folder, "events")
+    # One row: the latest event, a year on, of a job of its own.
+    beat = events.agg(F.max("ts").alias("ts")).select(
+        F.lit(None).cast("bigint").alias("event_id"), (F.col("ts") + F.make_dt_interval(days=F.lit(365))).alias("ts"),
+        F.lit(-1).cast("bigint").alias("user_id"), F.lit("error").alias("event_type"))
+    running.write_source(events.unionByName(beat, allowMissingColumns=True), path, "ts", "event_id")
+    return running.stream_scan(spark, path, EVENT, maxFilesPerTrigger="1")
+
+
+@query
+def dead_letter_jobs_stream(spark, folder):
+    home, events = work_folder(spark, "dead-letter-jobs"), _closing_events_stream(spark, folder)
+    letters = _some_unknown(views.messages_of(events).where("queue_type = 'deadletter'"))
+    told = job_streams.dead_letter_jobs_stream(
+        letters.select("message_id", "correlation_id", "priority", "published_at"), views.job_log_of(events), "1 hour", HORIZON)
+    running.run_available(spark, told.writeStream.format("parquet").option("path", f"{home}/rows"), f"{home}/checkpoint")
+    return spark.read.schema(told.schema).parquet(f"{home}/rows").drop("published_at")
+
+
+@query
+def job_progress_stream(spark, folder):
+    home = work_folder(spark, "job-progress")
+    told = job_streams.job_progress_stream(views.job_log_of(_closing_events_stream(spark, folder)), "1 hour", HORIZON)
+    running.run_available(spark, told.writeStream.format("parquet").option("path", f"{home}/rows"), f"{home}/checkpoint")
+    return job_streams.read_progress(spark.read.schema(told.schema).parquet(f"{home}/rows"))
+
+
 @query
 def processing_timeout(spark, folder):
     return jobs.processing_timeout(views.job_log(spark, folder), as_of())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ferryline.functions.derived import as_instant, as_ntz, plus_ms
-from ferryline.operators.jobs import TIMEOUT_MESSAGE, latest_state
+from ferryline.operators.jobs import PROGRESS_COUNTS, TIMEOUT_MESSAGE, latest_state, progress_counts, progress_of
 from ferryline.operators.monitoring import throughput
 from ferryline.schemas import JOB_TIMEOUT_MS
 from ferryline.streaming.running import each_batch
@@ -85,6 +85,56 @@ def processing_timeout_stream(stream: DataFrame, delay: str, limit_ms: int = JOB
     )
 
 
+def dead_letter_jobs_stream(letters: DataFrame, transitions: DataFrame, delay: str, horizon: str, width: str = "1 day") -> DataFrame:
+    """Dead letters with the last state of their job within ``horizon`` before or after them, which may be absent.
+
+    A row comes out once the watermark is past all that could still join. Transitions are one row per job and ``width``
+    before they meet letters, so a busy job is joined with a few rows of its own, and the state of the join holds what lies
+    within the horizon. Needs ``published_at`` beside any columns in ``letters``; letters equal in every column, as
+    redelivered ones are, come out once. Letters without a correlation id have no job; those without a time never leave
+    the watermark and are left out.
+    """
+    kept = [c for c in letters.columns if c != "published_at"]
+    timed = letters.withColumn("published_at", as_instant(F.col("published_at"))).withWatermark("published_at", delay)
+    daily = (
+        transitions.withColumn("_at", as_instant(F.col("event_ts"))).withWatermark("_at", delay)
+        .groupBy(F.col("correlation_id").alias("_job"), F.window("_at", width))
+        .agg(F.max(F.struct("event_ts", "seq", "status")).alias("_state"))
+        .select("_job", F.window_time("window").alias("_ended"), "_state")
+    )
+    near = (
+        (F.col("correlation_id") == F.col("_job"))
+        & (F.col("_ended") >= F.col("published_at") - F.expr(f"INTERVAL {horizon}"))
+        & (F.col("_ended") <= F.col("published_at") + F.expr(f"INTERVAL {horizon}"))
+    )
+    # One event time a stream: a window closes the groups, and the exact time is an ordinary value beside it.
+    joined = timed.withColumn("_sent", F.unix_micros("published_at")).join(daily, near, "left")
+    told = joined.groupBy(*kept, "_sent", F.window("published_at", "1 second")).agg(F.max("_state").alias("_state"))
+    return told.select(*kept, as_ntz(F.timestamp_micros("_sent")).alias("published_at"),
+                       F.col("_state.status").alias("job_status"), F.col("_state.event_ts").alias("job_changed_at"))
+
+
+def job_progress_stream(log: DataFrame, delay: str, quiet: str) -> DataFrame:
+    """Counts per parent and day over the jobs that closed that day: two stateful steps, the second fed by the first.
+
+    A job closes when nothing has followed its last transition for ``quiet``; its last state is then added to its parent.
+    The state is one row per open job and one per parent and open day. :func:`read_progress` adds the days up.
+    """
+    last = F.max(F.struct("event_ts", "seq", "parent_job_id", "status", "total_items", "processed_items")).alias("_last")
+    closed = (
+        log.withColumn("_at", as_instant(F.col("event_ts"))).withWatermark("_at", delay)
+        .groupBy("correlation_id", F.session_window("_at", quiet)).agg(last)
+        .select(F.window_time("session_window").alias("_closed"), "_last.*")
+    )
+    return closed.groupBy("parent_job_id", F.window("_closed", "1 day")).agg(*progress_counts()).select(
+        "parent_job_id", as_ntz(F.col("window.start")).alias("closed_on"), *[F.col(n) for n in PROGRESS_COUNTS])
+
+
+def read_progress(rows: DataFrame) -> DataFrame:
+    """Progress per parent from all rows that :func:`job_progress_stream` has told."""
+    return progress_of(rows.groupBy("parent_job_id").agg(*[F.sum(n).alias(n) for n in PROGRESS_COUNTS]))
+
+
 def throughput_stream(messages: DataFrame, width: str, delay: str) -> DataFrame:
     """Messages per queue and window; late ones beyond ``delay`` are left out by the watermark."""
     timed = messages.withColumn("published_at", as_instant(F.col("published_at")))

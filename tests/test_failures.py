@@ -13,8 +13,8 @@ from ferryline.schemas import CLEAR_CONFIRMATION
 from ferryline.session import work_folder
 from ferryline.sources import collections as col
 from ferryline.sources import views
-from ferryline.sources.tables import append_valid, read_snapshot, write_snapshot
-from ferryline.operators.validation import required
+from ferryline.sources.tables import append_valid, key_ranges, read_snapshot, write_snapshot
+from ferryline.operators.validation import Rule, required
 
 FOLDER = "/root/testdata/sf0.001"
 T0 = dt.datetime(2024, 1, 1)
@@ -230,3 +230,25 @@ def test_generated_rows_are_stable_and_valid(spark):
     assert made.where("(completed_at is null) <> (status in ('pending', 'processing'))").count() == 0
     assert made.where("(error is null) <> (status <> 'failed')").count() == 0
     assert made.where("length(correlation_id) < 10").count() == 0
+
+
+def test_stored_keys_are_read_by_range(spark, tmp_path):
+    """Runs of other keys are skipped, a far key opens no range to itself, and repeated keys of any run are still found."""
+    rules, path = [Rule("key is taken", unique=("at",))], f"{tmp_path}/keyed"
+    rows = lambda low, high: spark.range(low, high).select(
+        (F.lit("2024-03-31 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("at"), "id")
+    for run in range(3):
+        done = append_valid(rows(run * 1000, run * 1000 + 1000), rules, path, f"r{run}", cluster_by="at")
+        assert done.inserted == 1000 and done.rejected.count() == 0
+    new = rows(2990, 3010).unionByName(rows(0, 1)).unionByName(spark.range(1).select(F.lit(None).cast("timestamp_ntz").alias("at"), "id"))
+    asked = spark.read.parquet(path).where(key_ranges(new, "at"))
+    assert asked.count() == 11
+    done = append_valid(new, rules, path, "r3")
+    assert sorted(r.id for r in done.rejected.collect()) == [0, *range(2990, 3000)]
+    assert done.inserted == 11 and done.table.count() == 3011
+
+
+def test_key_ranges_of_no_rows(spark):
+    assert spark.range(5).where(key_ranges(spark.range(0), "id")).count() == 0
+    far = spark.range(10).unionByName(spark.range(10**9, 10**9 + 1))
+    assert spark.range(0, 10**6, 1000).where(key_ranges(far, "id")).count() == 1

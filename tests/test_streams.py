@@ -260,3 +260,21 @@ def test_state_holds_the_status_of_every_job(spark, slices):
     wanted = latest_state(views.job_log(spark, FOLDER), "correlation_id", ["event_ts", "seq"])
     got = job_streams.status_from_state(spark, f"{home}/check")
     assert sorted(got.collect()) == sorted(wanted.select(*got.columns).collect())
+
+
+def test_letters_meet_the_state_around_them(spark, tmp_path):
+    """Redelivered letters come out once; without a job, or with one beyond the horizon, they come out alone."""
+    letters = [(1, "a", 5), (1, "a", 5), (2, "b", 5), (3, None, 6), (4, "c", 7), (9, "end", 400)]
+    changes = [("a", 4, 1, "processing"), ("a", 6, 3, "failed"), ("a", 6, 2, "completed"), ("c", 60, 1, "pending"), ("end", 400, 1, "x")]
+    at = lambda n: F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(days=F.col(n))
+    spark.createDataFrame(letters, "message_id int, correlation_id string, n int").select(
+        "message_id", "correlation_id", at("n").alias("published_at")).coalesce(1).write.parquet(f"{tmp_path}/letters")
+    spark.createDataFrame(changes, "correlation_id string, n int, seq int, status string").select(
+        "correlation_id", at("n").alias("event_ts"), "seq", "status").coalesce(1).write.parquet(f"{tmp_path}/changes")
+    told = job_streams.dead_letter_jobs_stream(
+        stream(spark, f"{tmp_path}/letters", "message_id int, correlation_id string, published_at timestamp_ntz"),
+        stream(spark, f"{tmp_path}/changes", "correlation_id string, event_ts timestamp_ntz, seq int, status string"), "1 hour", "10 days")
+    writer = told.writeStream.format("parquet").option("path", f"{tmp_path}/rows")
+    running.run_available(spark, writer, f"{tmp_path}/check")
+    got = spark.read.schema(told.schema).parquet(f"{tmp_path}/rows").collect()
+    assert sorted((r.message_id, r.job_status) for r in got) == [(1, "failed"), (2, None), (3, None), (4, None)]
