@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ferryline.llm import hosts
-from ferryline.llm.quality import COMMON_WORDS, QualityRules
+from ferryline.llm.quality import COMMON_WORDS, SHARES, STEPS, QualityRules
 
 BLANK = r"\x20\x09-\x0D"
 
@@ -15,16 +15,17 @@ def _listed(words) -> str:
 def quality_sql(rules: QualityRules = QualityRules()) -> str:
     lists = "MAP {" + ", ".join(f"'{lang}': {_listed(words)}" for lang, words in COMMON_WORDS.items()) + "}"
     classes = ["[^A-Z]", "[^0-9]", r"[^.,;:!?''\"()\-]", "[^#*$%&|<>]"]
+    limit = lambda x: f"least({x[1]}, greatest({x[0]}, m + {x[2]} * s))"
     counted = ", ".join(f"length(regexp_replace(t, '{c}', '', 'g'))" for c in classes)
     return f"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, CASE WHEN lang IN {tuple(COMMON_WORDS)} THEN lang END AS lang,
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, CASE WHEN lang IN {tuple(COMMON_WORDS)} THEN lang END AS lang,
     coalesce(text, '') AS t FROM documents),
  w AS (SELECT *, regexp_extract_all(t, '[^{BLANK}]+') AS ws, list_filter(string_split(t, chr(10)),
     lambda x: regexp_matches(x, '[^{BLANK}]')) AS ls, [{counted}] AS cs FROM d),
  win AS (SELECT rid, i, array_to_string(ws[i:i + 7], ' ') AS k FROM (SELECT rid, ws, unnest(range(1, len(ws) - 6)) AS i FROM w)),
  dup AS (SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, k) AS c FROM win) WHERE c > 1),
  covered AS (SELECT rid, count(DISTINCT i + j) AS n FROM (SELECT rid, i, unnest(range(8)) AS j FROM dup) GROUP BY rid),
- base AS (SELECT w.rid, doc_id, lang, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, cs[4] AS n_symbols,
+ base AS (SELECT w.rid, doc_id, source, lang, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, cs[4] AS n_symbols,
     len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
     list_concat(cs, [length(t) - list_sum(cs)::BIGINT, strlen(t) - length(t)]) AS classes,
     list_transform(({lists})[lang], lambda x: len(list_filter(ws, lambda y: y = x))) AS found
@@ -32,19 +33,24 @@ WITH d AS (SELECT row_number() OVER () AS rid, doc_id, CASE WHEN lang IN {tuple(
  bins AS (SELECT rid, lang, 'c' AS kind, unnest(range(6)) AS bin, unnest(classes) AS c FROM base WHERE lang IS NOT NULL
   UNION ALL SELECT rid, lang, 'w', unnest(range(9)), unnest(list_concat(found, [n_words - list_sum(found)::BIGINT]))
   FROM base WHERE lang IS NOT NULL),
- sums AS (SELECT lang, kind, bin, sum(c)::DOUBLE AS r FROM bins GROUP BY lang, kind, bin),
- refs AS (SELECT *, sum(r) OVER (PARTITION BY lang, kind) AS m FROM sums),
- parts AS (SELECT rid, kind, c / n AS p, r / m AS q, m FROM (SELECT *, sum(c) OVER (PARTITION BY rid, kind)::DOUBLE AS n FROM bins)
-  JOIN refs USING (lang, kind, bin) WHERE n > 0 AND m > 0),
- far AS (SELECT rid, kind, any_value(m) AS m, sqrt(greatest(0.0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
-  + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS distance FROM parts GROUP BY rid, kind),
- told AS (SELECT base.*, c.distance AS dc, x.distance AS dw, n_words >= {rules.min_words} AND x.m >= {rules.min_reference} AS measured,
+ long AS (SELECT bins.*, source, sum(c) OVER (PARTITION BY rid, kind) AS n FROM bins JOIN (SELECT rid, source, n_words FROM base) USING (rid) WHERE n_words >= {rules.min_words}),
+ sized AS (SELECT lang FROM base WHERE n_words >= {rules.min_words} GROUP BY lang HAVING count(*) >= {rules.min_reference}),
+ shares AS (SELECT lang, kind, bin, quantile_disc(r, 0.5) AS r FROM (SELECT lang, source, kind, bin,
+  quantile_disc(c * {SHARES} // n, 0.5) AS r FROM long JOIN sized USING (lang) GROUP BY ALL) GROUP BY lang, kind, bin),
+ refs AS (SELECT *, sum(r) OVER (PARTITION BY lang, kind)::DOUBLE AS m FROM shares),
+ parts AS (SELECT rid, lang, kind, c / n::DOUBLE AS p, r / m AS q FROM long JOIN refs USING (lang, kind, bin) WHERE n > 0 AND m > 0),
+ far AS (SELECT rid, lang, kind, sqrt(greatest(0.0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+  + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS distance FROM parts GROUP BY rid, lang, kind),
+ centre AS (SELECT lang, kind, quantile_disc(floor(distance * {STEPS})::BIGINT, 0.5) AS m FROM far GROUP BY lang, kind),
+ spread AS (SELECT lang, kind, any_value(m) AS m, quantile_disc(abs(floor(distance * {STEPS})::BIGINT - m), 0.5) AS s
+  FROM far JOIN centre USING (lang, kind) GROUP BY lang, kind),
+ limits AS (SELECT lang, kind, CASE WHEN kind = 'c' THEN {limit(rules.class_limit)} ELSE {limit(rules.word_limit)} END AS most FROM spread),
+ over AS (SELECT rid, kind, distance, distance * {STEPS} > most AS beyond FROM far JOIN limits USING (lang, kind)),
+ told AS (SELECT base.*, c.distance AS dc, x.distance AS dw, coalesce(c.beyond, false) OR coalesce(x.beyond, false) AS beyond,
   n_words < {rules.base_min_words} OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words AS base_failed
-  FROM base LEFT JOIN far c ON c.rid = base.rid AND c.kind = 'c' LEFT JOIN far x ON x.rid = base.rid AND x.kind = 'w')
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  round(CASE WHEN measured THEN dc END, 6) AS class_distance, round(CASE WHEN measured THEN dw END, 6) AS word_distance, base_failed,
-  NOT base_failed AND coalesce(CASE WHEN measured THEN dc END, 0) <= {rules.max_class_distance}
-  AND coalesce(CASE WHEN measured THEN dw END, 0) <= {rules.max_word_distance} AS kept FROM told"""
+  FROM base LEFT JOIN over c ON c.rid = base.rid AND c.kind = 'c' LEFT JOIN over x ON x.rid = base.rid AND x.kind = 'w')
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, round(dc, 6) AS class_distance,
+  round(dw, 6) AS word_distance, base_failed, NOT base_failed AND NOT beyond AS kept FROM told"""
 
 
 def _strength(level: str, limits: hosts.Reputation) -> str:

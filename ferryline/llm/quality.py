@@ -1,10 +1,13 @@
 """Quality rules: counts per document, and distance of its histograms from those of its language.
 
 Every document gives two histograms: characters by class, and the common words of its language (with one bin for all
-other words). The same histograms summed over all documents of a language are the reference. A document whose
-histogram lies further from its reference than a limit (Jensen-Shannon distance, base 2, 0 to 1) is not kept. Texts
-below ``min_words`` words say too little about a distribution, and references from fewer than ``min_reference`` words
-are no measure, so neither is judged by distance.
+other words). The reference of a language has in each bin the median over its sources of the median share of their documents: a
+document counts once however long it is, and a source once however many documents it has, so that junk does not move the
+reference while most sources are mostly sound. A document whose histogram
+lies further from its reference (Jensen-Shannon distance, base 2, 0 to 1) than the language's limit is not kept. The limit
+is the median distance and some median deviations of it, between two bounds. Texts below ``min_words`` words say too little
+about a distribution, and languages with fewer than ``min_reference`` longer texts have no measure, so neither is judged by
+distance. Medians are exact: they are read off counts of shares in steps of 1/1,000 and distances in steps of 1/10,000.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from string import ascii_uppercase, digits
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferryline.llm.columns import let, text_of, total, windows, without, words_of
@@ -29,19 +32,20 @@ COMMON_WORDS = {
 CHAR_CLASSES = {"upper": ascii_uppercase, "digit": digits, "mark": ".,;:!?'\"()-", "symbol": "#*$%&|<>"}
 BLANK = r"\x20\x09-\x0D"
 WINDOW = 8
+SHARES, STEPS = 1_000, 10_000
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 @dataclass(frozen=True)
 class QualityRules:
-    """``max_class_distance`` and ``max_word_distance`` are Jensen-Shannon distances."""
+    """Jensen-Shannon distances in steps of 1/``STEPS``: ``(least, most, deviations)`` of the limit for each histogram."""
 
     base_min_words: int = 20
     max_repeat_percent: int = 30
     min_words: int = 50
-    min_reference: int = 1_000
-    max_class_distance: float = 0.25
-    max_word_distance: float = 0.34
+    min_reference: int = 20
+    class_limit: tuple[int, int, int] = (1_000, 2_000, 20)
+    word_limit: tuple[int, int, int] = (2_000, 3_400, 6)
     common_words: Mapping[str, Sequence[str]] = field(default_factory=lambda: COMMON_WORDS)
 
 
@@ -107,24 +111,51 @@ def _distance(counts: Column, reference: Column) -> Column:
     return F.when((n > 0) & (m > 0), F.sqrt(F.greatest(divergence, F.lit(0.0))))
 
 
-def _sums(histograms: DataFrame, rules: QualityRules) -> DataFrame:
-    """``language, h`` summed per listed language: at most one row for each, whatever the input."""
-    widths = {"classes": len(CHAR_CLASSES) + 2, "commons": len(next(iter(rules.common_words.values()))) + 1}
-    sums = [F.sum(F.get(F.col(f"h.{n}"), F.lit(i))).alias(f"{n}{i}") for n, width in widths.items() for i in range(width)]
-    return histograms.where("language IS NOT NULL").groupBy("language").agg(*sums).select(
-        "language",
-        *[F.array(*[f"{n}{i}" for i in range(width)]).alias(f"ref_{n}") for n, width in widths.items()],
-    )
+def _medians(counted: DataFrame, *keys: str) -> DataFrame:
+    """``keys`` and the lower median ``m`` of ``v``, from rows ``keys, v, c``: a value and how often it occurs."""
+    place = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = counted.withColumns({"upto": F.sum("c").over(place), "all": F.sum("c").over(Window.partitionBy(*keys))})
+    return upto.where("2 * upto >= all").groupBy(*keys).agg(F.min("v").alias("m"))
 
 
-def language_references(docs: DataFrame, rules: QualityRules, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The reference histograms ``language, ref_classes, ref_commons`` from all documents."""
-    language = _language(F.col(lang), rules.common_words)
-    body = text_of(text)
-    return _sums(docs.select(
-        language.alias("language"),
-        let(words_of(body), lambda w: _histograms(body, w, language, rules.common_words)).alias("h"),
-    ), rules)
+def language_references(counted: DataFrame, rules: QualityRules) -> DataFrame:
+    """``language, ref_classes, ref_commons, class_limit, word_limit`` from rows ``language, source, h`` with the facts of documents.
+
+    Windows see counts of shares and distances, whose number is bounded; documents are counted before they are shuffled.
+    At most one row a listed language, with shares in steps of 1/``SHARES`` and limits in steps of 1/``STEPS``.
+    """
+    judged = counted.where("language IS NOT NULL").where(F.col("h.n_words") >= rules.min_words).select(
+        "language", "source", "h.classes", "h.commons")
+    classes = len(CHAR_CLASSES) + 2
+
+    def shares(counts):
+        return let(total(counts), lambda n: F.transform(counts, lambda c: F.floor(c * SHARES / n)))
+
+    bins = judged.select("language", "source", F.posexplode(F.concat(shares(F.col("classes")), shares(F.col("commons")))).alias("bin", "v"))
+    of_source = _medians(bins.groupBy("language", "source", "bin", "v").agg(F.count("*").alias("c")), "language", "source", "bin")
+    middle = _medians(of_source.groupBy("language", "bin", F.col("m").alias("v")).agg(F.count("*").alias("c")), "language", "bin")
+    sized = judged.groupBy("language").agg(F.count("*").alias("documents")).where(F.col("documents") >= rules.min_reference)
+    listed = middle.groupBy("language").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("bin", "m"))), lambda x: x["m"]).alias("ref"))
+    refs = listed.join(sized, "language").select(
+        "language", F.slice("ref", 1, classes).alias("ref_classes"),
+        F.slice("ref", classes + 1, F.size("ref") - classes).alias("ref_commons"))
+
+    far = judged.join(F.broadcast(refs), "language")
+    steps = F.array(*[F.floor(_distance(F.col(h), F.col(f"ref_{h}")) * STEPS) for h in ("classes", "commons")])
+    counts = far.select("language", F.posexplode(steps).alias("kind", "v")).where("v IS NOT NULL").groupBy(
+        "language", "kind", "v").agg(F.count("*").alias("c"))
+    centre = _medians(counts, "language", "kind")
+    apart = counts.join(F.broadcast(centre), ["language", "kind"]).groupBy(
+        "language", "kind", F.abs(F.col("v") - F.col("m")).alias("d")).agg(F.sum("c").alias("c")).withColumnRenamed("d", "v")
+    spread = _medians(apart, "language", "kind").withColumnRenamed("m", "s")
+    least, most, deviations = (F.element_at(F.array(F.lit(a), F.lit(b)), F.col("kind") + 1)
+                               for a, b in zip(rules.class_limit, rules.word_limit))
+    limits = centre.join(F.broadcast(spread), ["language", "kind"]).select(
+        "language", "kind", F.least(most, F.greatest(least, F.col("m") + deviations * F.col("s"))).alias("limit"))
+    chosen = limits.groupBy("language").agg(*[
+        F.max(F.when(F.col("kind") == i, F.col("limit"))).alias(f"{n}_limit") for i, n in enumerate(("class", "word"))])
+    return refs.join(F.broadcast(chosen), "language")
 
 
 def _facts(rules: QualityRules, text: str, lang: str) -> Column:
@@ -143,8 +174,9 @@ def _facts(rules: QualityRules, text: str, lang: str) -> Column:
         )))
 
 
-def _verdict(f: Column, classes: Column, commons: Column, rules: QualityRules) -> Column:
-    measured = (f["n_words"] >= rules.min_words) & (total(commons) >= rules.min_reference)
+def _verdict(f: Column, refs: Sequence[Column], rules: QualityRules) -> Column:
+    classes, commons, class_limit, word_limit = refs
+    measured = f["n_words"] >= rules.min_words
     far = F.struct(
         F.when(measured, _distance(f["classes"], classes)).alias("c"),
         F.when(measured, _distance(f["commons"], commons)).alias("w"),
@@ -155,50 +187,61 @@ def _verdict(f: Column, classes: Column, commons: Column, rules: QualityRules) -
         *[f[n].alias(n) for n in COUNTS],
         x["far"]["c"].alias("class_distance"), x["far"]["w"].alias("word_distance"),
         x["failed"].alias("base_failed"),
-        (~x["failed"] & (F.coalesce(x["far"]["c"], F.lit(0.0)) <= rules.max_class_distance)
-         & (F.coalesce(x["far"]["w"], F.lit(0.0)) <= rules.max_word_distance)).alias("kept"),
+        (~x["failed"] & F.coalesce(x["far"]["c"] * STEPS <= class_limit, F.lit(True))
+         & F.coalesce(x["far"]["w"] * STEPS <= word_limit, F.lit(True))).alias("kept"),
     ))
 
 
+REFERENCE = ("ref_classes", "ref_commons", "class_limit", "word_limit")
+
+
+def _counted(docs: DataFrame, folder: str, rules: QualityRules, names: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """``key, language, source, h``: the facts of every row, read once and stored in ``folder``, some 200 bytes a document."""
+    text, lang, source = names
+    counted = docs.select(F.struct(F.lit(0).alias("_"), *keys).alias("key"), F.col(source).cast("string").alias("source"),
+                          _language(F.col(lang), rules.common_words).alias("language"), _facts(rules, text, lang).alias("h"))
+    counted.write.mode("overwrite").parquet(folder)
+    return docs.sparkSession.read.schema(counted.schema).parquet(folder)
+
+
 def quality(
-    docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "text", lang: str = "lang", out: str = "quality"
+    docs: DataFrame, folder: str, rules: QualityRules = QualityRules(), text: str = "text", lang: str = "lang", out: str = "quality",
+    source: str = "source",
 ) -> DataFrame:
     """Every input row with a struct ``out``: the counts, both distances, ``base_failed`` and ``kept``.
 
-    The texts are read twice, for the references and for the verdicts, and never shuffled.
+    The texts are read twice, for the references and for the verdicts, and never shuffled. ``folder``: one that all
+    executors reach.
 
     Nulls: a null text is empty, so it has no words and fails the base rules; a null or unlisted language has no
-    reference, so its distances are null and only the base rules judge it. Repeated rows are judged one by one. An
+    reference, so its distances are null and only the base rules judge it; null sources are one source. Repeated rows are judged one by one. An
     empty table gives an empty result. Other columns pass through, whatever their names; ``out`` must be a new one.
     """
-    names = without([*docs.columns, out], "language", "ref_classes", "ref_commons")
-    refs = language_references(docs, rules, text, lang).toDF(*names)
+    names = without([*docs.columns, out], "language", *REFERENCE)
+    stored = _counted(docs, folder, rules, (text, lang, source), [])
+    refs = language_references(stored, rules).select("language", *REFERENCE).toDF(*names)
     language = _language(F.col(lang), rules.common_words)
     # One reference row for each listed language: a bound that does not grow with the documents.
     joined = docs.join(F.broadcast(refs), language == F.col(names[0]), "left")
-    verdict = let(_facts(rules, text, lang), lambda f: _verdict(f, F.col(names[1]), F.col(names[2]), rules))
+    verdict = let(_facts(rules, text, lang), lambda f: _verdict(f, [F.col(n) for n in names[1:]], rules))
     return joined.withColumn(out, verdict).drop(*names)
 
 
 def quality_report(
     docs: DataFrame, folder: str, keys: Sequence[str], rules: QualityRules = QualityRules(),
-    text: str = "text", lang: str = "lang",
+    text: str = "text", lang: str = "lang", source: str = "source",
 ) -> DataFrame:
-    """``keys`` and the fields of ``quality``, reading the texts once: the counts are written to ``folder`` first.
-
-    Same verdicts and rules for odd rows as ``quality``; the written table has some 200 bytes a document.
-    """
-    spark = docs.sparkSession
-    counted = docs.select(F.struct(*keys).alias("key"), _language(F.col(lang), rules.common_words).alias("language"),
-                          _facts(rules, text, lang).alias("h"))
-    counted.write.mode("overwrite").parquet(folder)
-    stored = spark.read.schema(counted.schema).parquet(folder)
-    joined = stored.join(F.broadcast(_sums(stored, rules)), "language", "left")
-    verdict = _verdict(F.col("h"), F.col("ref_classes"), F.col("ref_commons"), rules)
-    return joined.select("key", verdict.alias("v")).select("key.*", "v.*")
+    """``keys`` and the fields of ``quality``, reading the texts once. Same verdicts and rules for odd rows as ``quality``."""
+    stored = _counted(docs, folder, rules, (text, lang, source), keys)
+    joined = stored.join(F.broadcast(language_references(stored, rules)), "language", "left")
+    verdict = _verdict(F.col("h"), [F.col(n) for n in REFERENCE], rules)
+    return joined.select("key", verdict.alias("v")).select(*[f"key.{k}" for k in keys], "v.*")
 
 
-def keep_good(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "text", lang: str = "lang") -> DataFrame:
+def keep_good(
+    docs: DataFrame, folder: str, rules: QualityRules = QualityRules(), text: str = "text", lang: str = "lang",
+    source: str = "source",
+) -> DataFrame:
     """The rows whose verdict is ``kept``, with the input's columns."""
     (verdict,) = without(docs.columns, "verdict")
-    return quality(docs, rules, text, lang, verdict).where(F.col(f"{verdict}.kept")).select(*docs.columns)
+    return quality(docs, folder, rules, text, lang, verdict, source).where(F.col(f"{verdict}.kept")).select(*docs.columns)
