@@ -36,6 +36,7 @@ EDGES = "array<struct<cost:double,first:int,last:int>>"
 PLACES = "array<struct<score:double,first:int,id:int>>"
 HELD_WORDS = 200_000
 SLICE = 256
+PARTITIONS = 4
 
 
 @dataclass(frozen=True)
@@ -315,12 +316,18 @@ def encode(docs: DataFrame, folder: str, model: str, text: str = "text", out: st
     body, chunk, ids = without([*docs.columns, out], "body", "chunk", "ids")
     placed = docs.withColumn(body, text_of(text)).withColumn(chunk, F.xxhash64(F.input_file_name(), F.input_file_block_start()))
 
-    # A word once for each chunk; the one exchange by word serves the lattice and the words' chunks, in a fixed number of
-    # partitions, as the rows are few and small beside the work that they make.
-    seen = placed.select(F.col(chunk).alias("chunk"), F.col(body).alias("text")).mapInArrow(_words_once, "chunk bigint, word string")
-    where = seen.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word").groupBy("word", "chunk").agg(
-        F.lit(1).alias("one")).drop("one")
-    encoded = encode_words(where.select("word").distinct(), piece_table(spark, pieces, folder), pieces, fold)
+    # A word once for each chunk, written so that texts are cut once. The one exchange by word serves the lattice and the
+    # words' chunks; its number of partitions is fixed, as the rows are few and small beside the work that they make, and
+    # high enough for the edges of a partition's words to be sorted in memory.
+    found = "chunk bigint, word string"
+    cut = placed.select(F.col(chunk).alias("chunk"), F.col(body).alias("text")).mapInArrow(_words_once, found)
+    cut.write.parquet(f"{folder}/words")
+    partitions = PARTITIONS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    seen = spark.read.schema(found).parquet(f"{folder}/words").repartition(partitions, "word")
+    where = seen.groupBy("word", "chunk").agg(F.lit(1).alias("one")).drop("one")
+    # Asking for a chunk keeps both columns below the exchange, so that Spark sees it is the same.
+    words = seen.groupBy("word").agg(F.min("chunk").alias("any")).where("any IS NOT NULL").select("word")
+    encoded = encode_words(words, piece_table(spark, pieces, folder), pieces, fold)
     narrow = len(pieces.texts) <= 2**16
     packed = F.unhex(F.array_join(F.transform("ids", lambda i: F.lpad(F.hex(i), 4 if narrow else 8, "0")), ""))
     entries = where.join(encoded, "word").select("chunk", "word", packed.alias("packed"))
