@@ -229,14 +229,14 @@ def _walked(pieces: Pieces, fold: str):
 
 
 def encode_words(words: DataFrame, table: DataFrame, pieces: Pieces, fold: str) -> DataFrame:
-    """``word, ids`` of different words. Edges stay where their word is, so they need no shuffle."""
-    short = words.where(F.length("word") <= LONGEST_FOLDED)
+    """``word, ids`` of different words ``word, length``. Edges stay where their word is, so they need no shuffle."""
+    short = words.where(F.col("length") <= LONGEST_FOLDED)
     edges = lattice_edges(short, table, pieces).groupBy("word").agg(F.sort_array(F.collect_list(
         F.struct("last", "first", "id", "score"))).alias("edges"))
     path = best_path(F.col("edges")) if fold == "viterbi" else let(
         F.col("edges"), lambda e: merged_path(e, F.length("word")))
     folded = edges.select("word", _with_bytes(path, F.col("word"), pieces).alias("ids"))
-    long = words.where(F.length("word") > LONGEST_FOLDED)
+    long = words.where(F.col("length") > LONGEST_FOLDED).select("word")
     return folded.unionByName(long.mapInArrow(_walked(pieces, fold), "word string, ids array<int>"))
 
 
@@ -323,10 +323,10 @@ def encode(docs: DataFrame, folder: str, model: str, text: str = "text", out: st
     cut = placed.select(F.col(chunk).alias("chunk"), F.col(body).alias("text")).mapInArrow(_words_once, found)
     cut.write.parquet(f"{folder}/words")
     partitions = PARTITIONS * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    seen = spark.read.schema(found).parquet(f"{folder}/words").repartition(partitions, "word")
+    seen = spark.read.schema(found).parquet(f"{folder}/words").where("word IS NOT NULL").repartition(partitions, "word")
     where = seen.groupBy("word", "chunk").agg(F.lit(1).alias("one")).drop("one")
-    # Asking for a chunk keeps both columns below the exchange, so that Spark sees it is the same.
-    words = seen.groupBy("word").agg(F.min("chunk").alias("any")).where("any IS NOT NULL").select("word")
+    # What is asked of aggregates stays above the exchange, so that Spark sees it is the same for all.
+    words = seen.groupBy("word").agg(F.min("chunk").alias("any"), F.max(F.length("word")).alias("length")).where("any IS NOT NULL")
     encoded = encode_words(words, piece_table(spark, pieces, folder), pieces, fold)
     narrow = len(pieces.texts) <= 2**16
     packed = F.unhex(F.array_join(F.transform("ids", lambda i: F.lpad(F.hex(i), 4 if narrow else 8, "0")), ""))
