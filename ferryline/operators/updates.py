@@ -90,8 +90,11 @@ def keyed_update(
 
     A set value may be null, so a match is told by the update's presence. Columns the target lacks are
     added. Write the result as a new snapshot; the path being read is never overwritten.
+
+    Both sides are sorted by key: the size of stored messages says little of the updates read out of them, and by that
+    size Spark would gather them at the driver to broadcast them.
     """
-    right = one_per_key(updates, key, cols, order).select(key, F.struct(*cols).alias("_new"))
+    right = one_per_key(updates, key, cols, order).select(key, F.struct(*cols).alias("_new")).hint("merge")
     joined = target.join(right, key, "left")
     hit = F.col("_new").isNotNull()
     new = joined.withColumns({

@@ -243,6 +243,16 @@ def test_bindings_in_a_table(spark):
     assert len(none) == len(keys) + 2 and not any(r.queue for r in none)
 
 
+def test_updates_are_not_broadcast(spark):
+    """A file of messages says nothing of how many updates come out of it, so its size must not choose the join."""
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "item_id bigint, status string")
+    changed = spark.createDataFrame([(2, None), (3, "c")], "item_id bigint, status string")
+    done = updates.keyed_update(target, changed, "item_id", ["status"]).target
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted((r.item_id, r.status) for r in done.collect()) == [(1, "a"), (2, None)]
+
+
 def test_filters_on_free_fields(spark):
     rows = [(1, '{"a": 1, "b": {"c": "x"}}'), (2, '{"a": "one", "b": {"c": null}}'), (3, "{}"), (4, "no json"), (5, None),
             (6, '{"a": 2.5, "b": {"c": "y"}, "d e": true}'), (7, "[1]")]
