@@ -95,8 +95,9 @@ def matching_bindings(keys: DataFrame, bindings: DataFrame) -> DataFrame:
     node for the word itself and for ``*``. A node after ``#`` keeps what it holds, and is entered without a word as well.
     Work follows the edges that match, not keys times bindings. There are as many steps as the longest key has words, and
     each ends in a checkpoint, as the next one reads its states several times. Null keys and patterns match nothing.
+    Bindings made more than once count once from the start, or every key would meet each of their copies.
     """
-    known = bindings.where("pattern IS NOT NULL AND queue IS NOT NULL").select("pattern", "queue")
+    known = checkpointed(bindings.where("pattern IS NOT NULL AND queue IS NOT NULL").select("pattern", "queue").distinct())
     edges = checkpointed(_trie(known))
     loops = edges.where("word = '#'").select("node", F.col("child").alias("any"))
     plain = edges.where("word <> '#'").select("node", "word", "child")

@@ -243,6 +243,21 @@ def test_bindings_in_a_table(spark):
     assert len(none) == len(keys) + 2 and not any(r.queue for r in none)
 
 
+def test_bindings_made_often_are_walked_once(spark, monkeypatch):
+    """No step meets the copies of a binding; each of them used to meet every key that reached its pattern."""
+    held, keep = [], routing.checkpointed
+
+    def seen(df):
+        held.append(keep(df))
+        return held[-1]
+
+    monkeypatch.setattr(routing, "checkpointed", seen)
+    table = spark.range(1000).select(F.lit("a.*").alias("pattern"), F.concat(F.lit("q"), F.col("id") % 2).alias("queue"))
+    found = routing.topic_route_table(spark.createDataFrame([(1, "a.b"), (2, "b")], "n int, routing_key string"), table)
+    assert sorted((r.n, r.queue) for r in found.collect() if r.queue) == [(1, "q0"), (1, "q1")]
+    assert [df.count() for df in held if df.columns == ["pattern", "queue"]] == [2]
+
+
 def test_updates_are_not_broadcast(spark):
     """A file of messages says nothing of how many updates come out of it, so its size must not choose the join."""
     target = spark.createDataFrame([(1, "a"), (2, "b")], "item_id bigint, status string")
