@@ -169,11 +169,13 @@ def open_batches(messages: DataFrame, item: T.StructType, body: str = "body") ->
         "batch_number": head["metadata"]["batchNumber"],
     })
     readable = F.col("_fits") | F.col("_parsed.envelope").isNotNull() | F.col("_parsed.bare").isNotNull()
-    empty = F.coalesce(F.size("_data") == 0, F.lit(True))
+    empty = ~F.col("_fits") & F.coalesce(F.size(F.coalesce("_parsed.envelope.data", "_parsed.bare")) == 0, F.lit(True))
     told = ("batch_id", "collection", "sent_at", "batch_number")
     kept = [c for c in messages.columns if c not in (body, *told, *item.names)]
-    rows = opened.select(*kept, *told, F.col(body).alias("_whole"), empty.alias("_empty"), readable.alias("_readable"), "_fits",
-                         F.posexplode_outer("_data").alias("_pos", "_held"))
+    # Settled below the generator: every item of a message carries these, and must not carry the message with its other items.
+    messages_read = opened.select(*kept, *told, F.when(empty, F.col(body)).alias("_whole"), empty.alias("_empty"),
+                                  readable.alias("_readable"), "_fits", "_data")
+    rows = messages_read.select(*[c for c in messages_read.columns if c != "_data"], F.explode_outer("_data").alias("_held"))
     one = F.when(F.col("_fits"), F.col("_held.row")).otherwise(F.from_json("_held.text", wide, options))
     read = computed_once(rows.withColumn("_item", F.col("_held.text")), "_row", one)
     error = (

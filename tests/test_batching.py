@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferryline.operators.batching import allocate_sequence, make_batches, page, unwrap_batches, work_order
+from ferryline.operators.batching import allocate_sequence, make_batches, open_batches, page, unwrap_batches, work_order
 from ferryline.operators.routing import publish_batches
 
 ROW = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType())])
@@ -140,3 +140,12 @@ def test_work_order(spark):
         "item_id long, status string, created_at int",
     )
     assert [r.item_id for r in work_order(items).collect()] == [5, 6, 2, 4, 1]
+
+
+def test_an_item_does_not_carry_its_message(spark):
+    """What is generated per item holds neither the body nor the other items, or work grows with the square of a batch."""
+    messages = spark.createDataFrame([("c", "[1]")], "correlation_id string, body string")
+    opened = open_batches(messages, T.StructType([T.StructField("item_id", T.LongType())]))
+    lines = opened._jdf.queryExecution().executedPlan().toString().splitlines()
+    carried = [line.split("[", 1)[1].split("]")[0] for line in lines if "explode" in line and "(_data#" in line]
+    assert len(carried) == 1 and not any(name in carried[0] for name in ("_data", "_parsed", "_sound", "body"))
