@@ -770,17 +770,23 @@ def dead_letter_triage(spark, folder):
     return numbered(triaged, "requeue_delay_ms")
 
 
-FILES = 5
+DELIVERIES = 5
+
+
+def _files_per_delivery(spark, folder):
+    """Files that make up one of DELIVERIES micro-batches: each is a task, and holds about as many items however many there are."""
+    return running.files_for(col.table(spark, folder, "orders").count(), DELIVERIES)
 
 
 def _published(spark, folder, home, queue_type, change=lambda body: body):
-    """All items as published batch messages, in the folder of their queue, as a stream of several files."""
+    """All items as published batch messages, in the folder of their queue, as a stream of several micro-batches."""
+    files = _files_per_delivery(spark, folder)
     batches = make_batches(views.items(spark, folder), "item_id", BATCH, "someModel")
     sent = routing.publish_batches(batches, 0, queue_type, 0, as_of()).select("correlation_id", "body", "delivered_queue")
-    sent = sent.withColumn("body", change(F.col("body"))).repartition(FILES, "correlation_id")
+    sent = sent.withColumn("body", change(F.col("body"))).repartition(DELIVERIES * files, "correlation_id")
     send(sent, f"{home}/queues", "r1")
     return running.stream_scan(
-        spark, queue_folder(f"{home}/queues", routing.ROUTES[queue_type][1]), MESSAGE, maxFilesPerTrigger="1")
+        spark, queue_folder(f"{home}/queues", routing.ROUTES[queue_type][1]), MESSAGE, maxFilesPerTrigger=str(files))
 
 
 def _some_broken(body):
@@ -804,7 +810,8 @@ def archive_stream_once(spark, folder):
     home = work_folder(spark, "archive-once")
     stream = _published(spark, folder, home, "archive")
     queue = queue_folder(f"{home}/queues", routing.ROUTES["archive"][1])
-    send(spark.read.schema(MESSAGE).parquet(queue).withColumn("delivered_queue", F.lit(routing.ROUTES["archive"][1])), f"{home}/queues", "r2")
+    again = spark.read.schema(MESSAGE).parquet(queue).withColumn("delivered_queue", F.lit(routing.ROUTES["archive"][1]))
+    send(again.repartition(DELIVERIES * _files_per_delivery(spark, folder), "correlation_id"), f"{home}/queues", "r2")
     rows = consumers.archive_once(stream, ITEM, as_of(), "1 day")
     running.run_available(spark, rows.writeStream.format("parquet").option("path", f"{home}/rows"), f"{home}/checkpoint")
     kept = spark.read.schema(rows.schema).parquet(f"{home}/rows")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -53,6 +54,14 @@ def _in_name_order(spark: SparkSession, path: str) -> None:
         files.setTimes(place, start + 1000 * number, -1)
 
 
+ROWS_PER_FILE = 50_000
+
+
+def files_for(rows: int, parts: int, rows_per_file: int | None = None) -> int:
+    """Files that each of ``parts`` equal micro-batches of ``rows`` rows is made of; files are what its tasks share out."""
+    return max(1, math.ceil(rows / (parts * (rows_per_file or ROWS_PER_FILE))))
+
+
 def write_source(rows: DataFrame, path: str, *order: str, parts: int = 4, rows_per_file: int = 1_000_000) -> None:
     """Rows as the files of a stream, in the order of ``order``: all rows in one write, nulls first.
 

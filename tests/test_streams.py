@@ -240,6 +240,19 @@ def test_source_files_follow_their_order(spark, tmp_path):
     assert len(seen) >= 11 and [n for batch in seen for n in batch] == list(range(1000))
 
 
+@pytest.mark.parametrize("queue_type", ["processing", "archive"])
+def test_published_messages_of_a_micro_batch_lie_in_several_files(spark, monkeypatch, queue_type):
+    """1,500 items: 15 messages in five micro-batches as before, of three files each where a file takes 100 items."""
+    monkeypatch.setattr(running, "ROWS_PER_FILE", 100)
+    home, seen = work_folder(spark, "several"), []
+    source = registry._published(spark, FOLDER, home, queue_type)
+    writer = running.each_batch(source, lambda b, i: seen.append([r.correlation_id for r in b.collect()]))
+    running.run_available(spark, writer, f"{home}/check")
+    stored = spark.read.parquet(f"{home}/queues").select("correlation_id", F.input_file_name().alias("file"))
+    assert len(seen) <= registry.DELIVERIES < stored.select("file").distinct().count() <= 15
+    assert sorted(c for batch in seen for c in batch) == sorted(r.correlation_id for r in stored.collect())
+
+
 def test_late_rows_after_a_repeated_batch(spark, tmp_path):
     """A row is late if its window ended by the latest time seen before, less the delay; one without a time has no window."""
     rows = [("2024-01-05", 0), ("2024-01-01", 0), ("2024-01-03", 1), ("2024-01-04", 1), ("2024-01-09", 1), (None, 1), ("2024-01-06", 2)]
