@@ -75,10 +75,10 @@ def decode_messages_bad(spark, folder):
 
 
 def _events_stream(spark, folder):
-    """The events as a stream of several files in the order of their times, one file to a micro-batch."""
+    """The events as a stream of several micro-batches in the order of their times."""
     path = work_folder(spark, "events")
-    running.write_source(col.table(spark, folder, "events"), path, "ts", "event_id")
-    return running.stream_scan(spark, path, EVENT, maxFilesPerTrigger="1")
+    files = running.write_source(col.table(spark, folder, "events"), path, "ts", "event_id")
+    return running.stream_scan(spark, path, EVENT, maxFilesPerTrigger=str(files))
 
 
 @query
@@ -726,8 +726,8 @@ def _closing_events_stream(spark, folder):
     beat = events.agg(F.max("ts").alias("ts")).select(
         F.lit(None).cast("bigint").alias("event_id"), (F.col("ts") + F.make_dt_interval(days=F.lit(365))).alias("ts"),
         F.lit(-1).cast("bigint").alias("user_id"), F.lit("error").alias("event_type"))
-    running.write_source(events.unionByName(beat, allowMissingColumns=True), path, "ts", "event_id")
-    return running.stream_scan(spark, path, EVENT, maxFilesPerTrigger="1")
+    files = running.write_source(events.unionByName(beat, allowMissingColumns=True), path, "ts", "event_id")
+    return running.stream_scan(spark, path, EVENT, maxFilesPerTrigger=str(files))
 
 
 @query
@@ -897,9 +897,9 @@ LOGGED = (("processing", "ProcessingConsumer"), ("priority", "PriorityConsumer")
 def stream_activity(spark, folder):
     """What the consumers of three queues tell of themselves while they run: messages and errors are those of the input."""
     home, log = work_folder(spark, "activity"), None
-    running.write_source(col.table(spark, folder, "events"), f"{home}/events", "ts", "event_id")
+    files = running.write_source(col.table(spark, folder, "events"), f"{home}/events", "ts", "event_id")
     for number, (queue, consumer) in enumerate(LOGGED):
-        source = running.stream_scan(spark, f"{home}/events", EVENT, maxFilesPerTrigger="1")
+        source = running.stream_scan(spark, f"{home}/events", EVENT, maxFilesPerTrigger=str(files))
         stream = act.observed(views.messages_of(source).where(F.col("queue_type") == queue), F.col("handler_failed"))
         rows = act.run_logged(spark, running.each_batch(stream, _nothing), f"{home}/{queue}", number, consumer)
         log = rows if log is None else log.unionByName(rows)

@@ -62,16 +62,19 @@ def files_for(rows: int, parts: int, rows_per_file: int | None = None) -> int:
     return max(1, math.ceil(rows / (parts * (rows_per_file or ROWS_PER_FILE))))
 
 
-def write_source(rows: DataFrame, path: str, *order: str, parts: int = 4, rows_per_file: int = 1_000_000) -> None:
+def write_source(rows: DataFrame, path: str, *order: str, parts: int = 4, rows_per_file: int | None = None) -> int:
     """Rows as the files of a stream, in the order of ``order``: all rows in one write, nulls first.
 
-    Files hold shares of the rows, not of the values, so that a far value moves no other row. Where the store keeps no times
-    of its own, their order is that in which they were written.
+    Returns how many files at a time make ``parts`` micro-batches: their number stays, as each costs a round of commits,
+    and their files grow in number with the rows. Files hold shares of the rows, not of the values, so that a far value
+    moves no other row. Where the store keeps no times of its own, their order is that in which they were written.
     """
     spark = rows.sparkSession
-    dealt = rows.repartitionByRange(parts, *[F.col(c) for c in order]).sortWithinPartitions(*order)
-    dealt.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+    files = files_for(rows.count(), parts, rows_per_file)
+    dealt = rows.repartitionByRange(parts * files, *[F.col(c) for c in order]).sortWithinPartitions(*order)
+    dealt.write.parquet(path)
     _in_name_order(spark, path)
+    return files
 
 
 def write_slices(rows: DataFrame, path: str, slice_of: Column, slices: int) -> None:

@@ -240,6 +240,16 @@ def test_source_files_follow_their_order(spark, tmp_path):
     assert len(seen) >= 11 and [n for batch in seen for n in batch] == list(range(1000))
 
 
+def test_more_rows_make_more_files_and_no_more_micro_batches(spark, tmp_path):
+    """Micro-batches stay as many, and in order."""
+    files = running.write_source(spark.range(1000).select("id"), f"{tmp_path}/s", "id", parts=5, rows_per_file=90)
+    seen = []
+    source = running.stream_scan(spark, f"{tmp_path}/s", "id bigint", maxFilesPerTrigger=str(files))
+    writer = running.each_batch(source, lambda b, i: seen.append(sorted(r.id for r in b.collect())))
+    running.run_available(spark, writer, f"{tmp_path}/check")
+    assert files == 3 and 4 <= len(seen) <= 5 and [n for batch in seen for n in batch] == list(range(1000))
+
+
 @pytest.mark.parametrize("queue_type", ["processing", "archive"])
 def test_published_messages_of_a_micro_batch_lie_in_several_files(spark, monkeypatch, queue_type):
     """1,500 items: 15 messages in five micro-batches as before, of three files each where a file takes 100 items."""
