@@ -47,26 +47,27 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, dtype="<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _fresh(self, units: list[str]) -> None:
+    def _fresh(self, units: set[str], odd: set[str]) -> None:
         """Units without white space but a space in front are encoded as lines of one text, which is cheaper than a call
         for each: a line end between them is a piece of its own."""
-        lines = [u for u in units if not u.isspace() and not ODD_SPACE.search(u)] if len(self.line_end) == 1 else []
+        lines = [u for u in units - odd if not u.isspace()] if len(self.line_end) == 1 else []
         if lines:
             (ids,) = self._ids(["\n".join(lines)])
-            cuts = np.flatnonzero(ids == self.line_end[0])
-            for unit, low, high in zip(lines, np.append(-1, cuts) + 1, np.append(cuts, ids.size)):
-                self.recent[unit] = ids[low:high].tobytes()
-        others = [u for u in units if u not in self.recent]
+            raw, cuts = ids.tobytes(), np.flatnonzero(ids == self.line_end[0])
+            lows, highs = (4 * np.append(-1, cuts) + 4).tolist(), (4 * np.append(cuts, ids.size)).tolist()
+            self.recent.update((unit, raw[low:high]) for unit, low, high in zip(lines, lows, highs))
+        others = list(units.difference(lines))
         self.recent.update((u, ids.tobytes()) for u, ids in zip(others, self._ids(others)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of every text."""
-        cut = [[text] if ODD_SPACE.search(text) else UNIT.findall(text) for text in texts]
-        wanted = {unit for units in cut for unit in units}
+        odd = {text for text in texts if ODD_SPACE.search(text)}
+        cut = [[text] if text in odd else UNIT.findall(text) for text in texts]
         if len(self.recent) > CACHED_UNITS:
             self.known, self.recent = self.recent, {}
-        self._fresh([u for u in wanted if u not in self.recent and u not in self.known])
-        self.recent.update((u, self.known[u]) for u in wanted if u not in self.recent)
+        missing = set().union(*cut).difference(self.recent)
+        self.recent.update([(u, self.known[u]) for u in missing if u in self.known])
+        self._fresh(missing.difference(self.known), odd)
         return [b"".join(map(self.recent.__getitem__, units)) for units in cut]
 
 
