@@ -6,6 +6,8 @@ The global order of all shingles is the order of their fingerprints, so each fra
   length class are cut into more than ``k`` fragments, so two that link are equal in a whole fragment. A fragment that
   is not empty becomes a key; a set with too few such fragments also sends its empty ones. A shared passage does not
   make two sets equal in a fragment, as their own shingles fall into the same ranges.
+* Bounds. A parity bitmap of each set tells of how many shingles two sets differ at least; candidates that differ in
+  too many by that are none.
 * Counting. Each candidate set is cut into ``FRAGMENTS`` ranges. The overlap of a pair is counted in every range by
   itself, and the counts are summed per pair.
 * Large groups list no pairs: members are counted against a pivot, and what that leaves open goes on by differences from
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferryline.llm.linked_sets import FRAGMENTS, Tables, settle
-from ferryline.llm.shingles import mix, set_key, shingle_set
+from ferryline.llm.shingles import mix, parity, set_key, shingle_set
 
 KEYS_PER_BATCH = 500_000
 BROADCAST_TEXTS = 200_000
@@ -68,16 +70,20 @@ def fragment_keys(values: np.ndarray, percent: int) -> np.ndarray:
 
 
 def signatures(size: int):
+    """``doc_id, text_key, node, n, parity``; parity is null where the batch has the set already."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, counts = [], []
+            nodes, counts, parities = [], [], []
+            held: set[int | None] = {None}
             for text in batch.column("text"):
                 values = shingle_set(text.as_py(), size)
                 nodes.append(set_key(values) if values.size else None)
                 counts.append(values.size)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64())],
-                ["doc_id", "text_key", "node", "n"])
+                parities.append(None if nodes[-1] in held else parity(values))
+                held.add(nodes[-1])
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()),
+                pa.array(parities, pa.list_(pa.int64()))], ["doc_id", "text_key", "node", "n", "parity"])
     return run
 
 
@@ -168,9 +174,10 @@ def sets_from(rows: DataFrame, firsts: DataFrame, size: int, tables: Tables):
         if chosen.count() <= BROADCAST_TEXTS:
             chosen = F.broadcast(chosen)
         texts = rows.join(chosen, F.col("text_key") == F.col("chosen")).select("text", "copied")
-        # Only sets of several rows can come twice.
+        # Only sets of several rows can come twice; the others are not written again.
         found = tables.keep(texts.mapInArrow(segments(size), "node bigint, n bigint, pieces array<array<bigint>>, copied boolean"))
-        return tables.keep(found.where("NOT copied").unionByName(found.where("copied").dropDuplicates(["node"])).drop("copied"))
+        copied = tables.keep(found.where("copied").dropDuplicates(["node"]))
+        return found.where("NOT copied").unionByName(copied).drop("copied")
     return sets_of
 
 
@@ -207,8 +214,11 @@ def jaccard_groups(
     """
     tables = Tables(docs.sparkSession, folder)
     rows = signed_rows(docs, doc_id, text)
-    signed = tables.keep(rows.mapInArrow(signatures(size), "doc_id bigint, text_key bigint, node bigint, n bigint"))
+    told = tables.keep(rows.mapInArrow(
+        signatures(size), "doc_id bigint, text_key bigint, node bigint, n bigint, parity array<bigint>"))
+    signed = told.drop("parity")
     firsts = first_rows(signed)
+    parities = told.where("parity IS NOT NULL").select("node", "n", "parity")
     groups = rows.select("doc_id", "text").mapInArrow(_keys(size, percent), "key bigint, node bigint, first bigint")
-    labels = settle(groups, sets_from(rows, firsts, size, tables), percent, tables, listed)
+    labels = settle(groups, sets_from(rows, firsts, size, tables), percent, tables, listed, parities=parities)
     return named_rows(signed, firsts, labels, doc_id)

@@ -1,7 +1,7 @@
 """Components of linked sets from groups of candidates, exactly and without listing the pairs of large groups.
 
-Groups are ``key, node, first``: two sets that link share a key. A group of few lists its pairs. A larger one is a star:
-every member is counted against one pivot ``v``. With ``m`` shingles of ``v`` that a member lacks, ``b`` that it has
+Groups are ``key, node, first``: two sets that link share a key. A group of few lists its pairs. A larger one is a star,
+which falls into the parts between which parity bitmaps leave no link. In each, every member is counted against one pivot ``v``. With ``m`` shingles of ``v`` that a member lacks, ``b`` that it has
 beyond ``v``, weight ``w = 100 m + percent b`` and limit ``t = (100 - percent) |v|``, two members link if and only if
 
     w(x) + w(y) <= t + (100 + percent) s,    s = shingles in which x and y differ from v alike.
@@ -21,17 +21,20 @@ No link between two components is lost.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ferryline.llm.shingles import folded, odd_bits
+
 FRAGMENTS = 4
 LISTED = (2, 4)  # members up to which a group lists its pairs: of the first groups, and of those that follow
 HOPS = 1
 MEMBERS = 512
+COMPARED = 4_096  # members of a star whose bitmaps one task compares
 DIFFERENCES = 2_000_000
 BLOCK = 8_192
 BROADCAST_NODES = 200_000
@@ -151,6 +154,77 @@ def _next_pairs(members: DataFrame, tables: Tables, limit: int) -> tuple[DataFra
     return both.select("x.*").distinct(), stars.distinct()
 
 
+def _may_link(odd: np.ndarray, n: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of ``n`` and ``other`` shingles may link; they differ in ``odd`` at least."""
+    return (100 + percent) * np.maximum(odd, np.abs(n - other)) <= (100 - percent) * (n + other)
+
+
+def _likely(percent: int):
+    """Rows ``pivot, node`` of those ``pivot, node, n, parity, n_pivot, of_pivot`` that may link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            odd = np.zeros(batch.num_rows, np.int64)
+            for i, (a, b) in enumerate(zip(batch.column("parity"), batch.column("of_pivot"))):
+                a, b = a.values.to_numpy(), b.values.to_numpy()
+                words = min(a.size, b.size)
+                odd[i] = odd_bits(folded(a, words) ^ folded(b, words))
+            near = _may_link(odd, batch.column("n").to_numpy(), batch.column("n_pivot").to_numpy(), percent)
+            yield batch.select(["pivot", "node"]).filter(pa.array(near))
+    return run
+
+
+def _parts(percent: int):
+    """Rows ``pivot, node, star`` of the parts of a star, from ``node, n, parity`` of its members.
+
+    Members that may link are joined. A part in which only one member may link with others is pairs; another one is a star
+    around the member that may link with most.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("node")
+        nodes, n = table.column("node").to_numpy(), table.column("n").to_numpy()
+        bits = table.column("parity").combine_chunks()
+        lengths, flat = bits.value_lengths().to_numpy(), bits.flatten().to_numpy()
+        begins, words = np.cumsum(lengths) - lengths, lengths.min()
+        held = np.stack([folded(flat[b:b + k], words) for b, k in zip(begins, lengths)])
+        near = np.zeros((nodes.size, nodes.size), bool)
+        for i in range(nodes.size - 1):
+            near[i, i + 1:] = _may_link(odd_bits(held[i] ^ held[i + 1:]), n[i], n[i + 1:], percent)
+        near |= near.T
+        degree = near.sum(axis=1)
+        pivots, others, stars = [], [], []
+        while degree.any():
+            pivot = int(degree.argmax())
+            part, front = np.zeros(nodes.size, bool), near[pivot]
+            while front.any():
+                part |= front
+                front = near[front].any(axis=0) & ~part
+            star = bool(degree[part].sum() > 2 * degree[pivot])
+            degree[part], part[pivot] = 0, False
+            for node in nodes[part].tolist():
+                pivots.append(int(nodes[pivot]) if star else min(int(nodes[pivot]), node))
+                others.append(node if star else max(int(nodes[pivot]), node))
+                stars.append(star)
+        return pa.table({"pivot": pa.array(pivots, pa.int64()), "node": pa.array(others, pa.int64()), "star": pa.array(stars, pa.bool_())})
+    return run
+
+
+def _bounded(
+    pairs: DataFrame, stars: DataFrame, parities: DataFrame, percent: int, tables: Tables,
+) -> tuple[DataFrame, DataFrame]:
+    """The pairs that may link, and the stars in parts between which nothing may. Bitmaps are small beside their sets."""
+    pairs, stars = tables.keep(pairs), tables.keep(stars)
+    asked = pairs.select("pivot").union(pairs.select("node")).union(stars.select("pivot")).union(stars.select("node"))
+    held = tables.keep(parities.join(asked.distinct().toDF("node"), "node", "left_semi").dropDuplicates(["node"]))
+    of_pivot = held.select(F.col("node").alias("pivot"), F.col("n").alias("n_pivot"), F.col("parity").alias("of_pivot"))
+    likely = pairs.join(of_pivot, "pivot").join(held, "node").mapInArrow(_likely(percent), "pivot bigint, node bigint")
+    large = tables.keep(stars.groupBy("pivot").count().where(f"count >= {COMPARED}").select("pivot"))
+    compared = stars.join(large, "pivot", "left_anti")
+    members = compared.unionByName(compared.select("pivot", F.col("pivot").alias("node")).distinct()).join(held, "node")
+    parts = tables.keep(members.groupBy("pivot").applyInArrow(_parts(percent), "pivot bigint, node bigint, star boolean"))
+    return (likely.unionByName(parts.where("NOT star").drop("star")).distinct(),
+            stars.join(large, "pivot", "left_semi").unionByName(parts.where("star").drop("star")).distinct())
+
+
 def _counted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The overlap of every pair, counted fragment by fragment and summed; of stars also what differs, in one order."""
     pivots = pairs.select(F.col("pivot").alias("node")).distinct()
@@ -253,14 +327,18 @@ def _next_groups(rows: DataFrame, labels: DataFrame, tables: Tables) -> DataFram
 def settle(
     groups: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, tables: Tables,
     listed: tuple[int, int] | None = None, likely: Callable[[DataFrame], DataFrame] | None = None,
+    parities: DataFrame | None = None,
 ) -> DataFrame:
     """``node, component`` of the nodes that link, from groups ``key, node, first`` of candidates.
 
     ``sets_of(nodes)`` gives ``node, n, pieces`` of the asked nodes: every set cut into FRAGMENTS ranges of sorted
     fingerprints. ``likely`` may drop listed pairs ``pivot, node`` that cannot link, before they are counted.
+    ``parities``: ``node, n, parity`` of the nodes, repeated or not; what they rule out is never counted.
     """
     limits = listed or LISTED
     pairs, stars = _first_pairs(groups, tables, limits[0])
+    if parities is not None:
+        pairs, stars = _bounded(pairs, stars, parities, percent, tables)
     sets = None
     labels = tables.keep(tables.spark.createDataFrame([], "node bigint, component bigint"))
     while True:

@@ -7,6 +7,7 @@ of the XOR of two bitmaps tells how many samples differ, most precisely where fe
 * Candidates are groups of equal band keys. At a similarity of 0.85 a pair misses all bands in 1 of 25 million cases.
 * A small group lists its pairs, and a pair is dropped whose bitmaps estimate a similarity more than ``MARGIN`` below
   the threshold, six standard deviations or more. Large groups list none; their members are counted against a pivot.
+* The parity bitmap of a whole set bounds the differences of two sets; candidates beyond the threshold by that are none.
 * What is left is counted on the whole sets, and what a pivot leaves open goes on as in ``linked_sets``.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ferryline.llm.jaccard import first_rows, named_rows, sets_from, signed_rows
 from ferryline.llm.linked_sets import Tables, settle
-from ferryline.llm.shingles import mix, set_key, shingle_set
+from ferryline.llm.shingles import mix, parity, set_key, shingle_set
 
 BANDS, ROWS = 36, 6
 SAMPLES = BANDS * ROWS
@@ -71,10 +72,10 @@ def most_odd(least: float) -> int:
 
 
 def _signed(size: int):
-    """``doc_id, text_key, node, n, bands, sketch``; bands and sketch are null where the batch has the set already."""
+    """``doc_id, text_key, node, n, bands, sketch, parity``; the last three are null where the batch has the set already."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, counts, bands, sketches = [], [], [], []
+            nodes, counts, bands, sketches, parities = [], [], [], [], []
             held: set[int] = set()
             for text in batch.column("text"):
                 values = shingle_set(text.as_py(), size)
@@ -87,13 +88,15 @@ def _signed(size: int):
                     drawn = samples(values)
                     bands.append(band_keys(drawn))
                     sketches.append(odd_sketch(drawn))
+                    parities.append(parity(values))
                 else:
                     bands.append(None)
                     sketches.append(None)
+                    parities.append(None)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()),
-                pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))],
-                ["doc_id", "text_key", "node", "n", "bands", "sketch"])
+                pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64())), pa.array(parities, pa.list_(pa.int64()))],
+                ["doc_id", "text_key", "node", "n", "bands", "sketch", "parity"])
     return run
 
 
@@ -123,12 +126,13 @@ def odd_sketch_groups(
     tables = Tables(docs.sparkSession, folder)
     rows = signed_rows(docs, doc_id, text)
     signed = tables.keep(rows.mapInArrow(
-        _signed(size), "doc_id bigint, text_key bigint, node bigint, n bigint, bands array<bigint>, sketch array<bigint>"))
+        _signed(size), "doc_id bigint, text_key bigint, node bigint, n bigint, bands array<bigint>, sketch array<bigint>, parity array<bigint>"))
     firsts = first_rows(signed)
     groups = signed.select(F.explode("bands").alias("key"), "node", F.col("doc_id").alias("first"))
     sketches = signed.where("sketch IS NOT NULL").select("node", "sketch").dropDuplicates(["node"])
+    parities = signed.where("parity IS NOT NULL").select("node", "n", "parity")
     labels = settle(groups, sets_from(rows, firsts, size, tables), percent, tables, listed,
-                    likely=lambda pairs: likely_pairs(pairs, sketches, percent))
+                    likely=lambda pairs: likely_pairs(pairs, sketches, percent), parities=parities)
     named = named_rows(signed.select("doc_id", "text_key", "node", "n"), firsts, labels, doc_id)
     return named.withColumn("kept", F.col(doc_id).eqNullSafe(F.col("component_id"))).select(
         doc_id, "n_shingles", "component_id", "kept", "component", "text_key")

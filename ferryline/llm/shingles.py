@@ -9,6 +9,7 @@ import numpy as np
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LETTERS = np.random.Generator(np.random.PCG64(20240601)).integers(1, 2**64, 256, dtype=np.uint64)
 _BLANK = np.zeros(256, dtype=bool)
+MOST_BITS = 1 << 16
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _LETTERS[_BLANK] = 0
 
@@ -60,3 +61,26 @@ def set_key(values: np.ndarray) -> int:
     """One signed 64-bit name for a set, the same for equal sets."""
     name = mix(np.add.reduce(mix(values ^ _ODD), keepdims=True) + np.uint64(values.size))
     return int(name.view(np.int64)[0])
+
+
+def parity(values: np.ndarray) -> np.ndarray:
+    """A bitmap of a whole set, in 64-bit words: every fingerprint flips one bit, of a power of two that is no less than the set.
+
+    What two sets share cancels in the XOR, so its bits are never more than the fingerprints in which the sets differ.
+    """
+    width = min(MOST_BITS, max(64, 1 << (values.size - 1).bit_length()))
+    odd = np.bincount((values & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def folded(bitmaps: np.ndarray, words: int) -> np.ndarray:
+    """Parities, along the last axis, as they were with ``words`` words: halves are laid over one another."""
+    while bitmaps.shape[-1] > words:
+        half = bitmaps.shape[-1] // 2
+        bitmaps = bitmaps[..., :half] ^ bitmaps[..., half:]
+    return bitmaps
+
+
+def odd_bits(bitmaps: np.ndarray) -> np.ndarray:
+    """Set bits along the last axis; numpy counts those of the absolute value of signed words."""
+    return np.bitwise_count(bitmaps.view(np.uint64)).sum(axis=-1, dtype=np.int64)

@@ -1,10 +1,12 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from llm.rows import WORD, documents, odd_documents
 
 from ferryline.llm import jaccard, linked_sets
+from ferryline.llm.shingles import folded, odd_bits, parity
 from ferryline.sources.collections import table
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -75,6 +77,30 @@ def test_large_groups_of_near_copies(spark, tmp_path, monkeypatch, members):
     assert len({c for _, _, c in found}) < len(texts)
 
 
+def test_candidates_far_apart_are_not_counted(spark, tmp_path, monkeypatch):
+    """Texts that share most of a page meet in fragments, in pairs and in stars; bitmaps tell that none of them link."""
+    asked, counted = [], linked_sets._counted
+    monkeypatch.setattr(linked_sets, "_counted", lambda pairs, *rest: asked.append(pairs.count()) or counted(pairs, *rest))
+    page = [f"p{i}" for i in range(150)]
+    texts = [" ".join(page + [f"own{k}-{i}" for i in range(60)]) for k in range(30)]
+    check(documents(spark, texts), f"{tmp_path}/a", 4, 85)
+    assert sum(asked) == 0
+    check(documents(spark, texts + [texts[0] + " more"]), f"{tmp_path}/b", 4, 85)
+    assert sum(asked) == 1
+
+
+def test_parity_is_a_lower_bound():
+    dice = np.random.default_rng(3)
+    for size in (1, 5, 64, 65, 1_000, 100_000):
+        a = np.unique(dice.integers(0, 2**64, size, dtype=np.uint64))
+        for own in (0, size // 10, size):
+            b = np.unique(np.concatenate((a[own:], dice.integers(0, 2**64, own, dtype=np.uint64)))) if own else a
+            x, y = parity(a), parity(b)
+            words = min(x.size, y.size)
+            odd = odd_bits(folded(x, words) ^ folded(y, words))
+            assert odd <= np.setxor1d(a, b).size and (own or odd == 0)
+
+
 def test_short_texts_and_chains(spark, tmp_path):
     words = [f"c{i}" for i in range(200)]
     chain = [" ".join(words[i:i + 100]) for i in range(0, 60, 4)]
