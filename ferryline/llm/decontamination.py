@@ -17,7 +17,7 @@ from string import punctuation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferryline.llm.columns import let, text_of, without, words_of
+from ferryline.llm.columns import let, text_of, without
 
 WINDOW = 5
 SHARE = 0.8
@@ -58,21 +58,33 @@ def _plain(text: Column) -> Column:
     return F.regexp_replace(heads, rf"[{NAME_MARK}{HEAD_MARK}]\p{{Lu}}{{2,}}(?!\S)", f"$0{CAPITALS_MARK}")
 
 
+def _without_marks(text: Column, *marks: str) -> Column:
+    """``replace`` compares bytes, where ``translate`` would look up every character."""
+    for mark in marks:
+        text = F.replace(text, F.lit(mark), F.lit(""))
+    return text
+
+
+def _words(plain: Column) -> Column:
+    """The words of a text that has spaces only between them."""
+    return F.array_remove(F.split(plain, " "), "")
+
+
 def _forms(text: Column) -> Column:
     """Struct of the words of a text in each of FORMS, all of one length."""
     def numbered(p):
         numbers = F.regexp_replace(p, r"\b[0-9]+\b", NUMBER_SLOT)
         return F.regexp_replace(numbers, rf"{NUMBER_SLOT}\x20(?i:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"{NUMBER_SLOT} {UNIT_SLOT}")
 
-    def named(units, marks):
+    def named(units, marks, *left):
         slots = F.regexp_replace(units, rf"[{marks}]\p{{L}}+{CAPITALS_MARK}?", NAME_SLOT)
-        return words_of(F.lower(F.translate(slots, f"{HEAD_MARK}{CAPITALS_MARK}", "")))
+        return _words(F.lower(_without_marks(slots, *left, CAPITALS_MARK)))
 
     def run(p):
-        literal = words_of(F.lower(F.translate(p, f"{NAME_MARK}{HEAD_MARK}", "")))
+        literal = _words(F.lower(_without_marks(p, NAME_MARK, HEAD_MARK)))
         units = F.when(p.rlike("[0-9]"), numbered(p)).otherwise(p)
         return let(F.struct(units.alias("u"), literal.alias("l")), lambda x: F.struct(
-            named(x["u"], NAME_MARK).alias(INSIDE), named(x["u"], NAME_MARK + HEAD_MARK).alias(ALL), x["l"].alias(LITERAL)))
+            named(x["u"], NAME_MARK, HEAD_MARK).alias(INSIDE), named(x["u"], NAME_MARK + HEAD_MARK, HEAD_MARK).alias(ALL), x["l"].alias(LITERAL)))
 
     return let(_plain(text), run)
 
@@ -132,11 +144,11 @@ def _filled_windows(text: Column, short: tuple[int, ...] = (), item: bool = Fals
     Short items are one window, and one more that is looked up inside of texts: with slots only where two words are none.
     """
     def placed(x, form, hashes, width):
-        held = F.transform(x[LITERAL], lambda v: F.translate(v, CAPITALS_MARK, ""))
+        # Null where no slot is: whether a word is one is asked once, not in every window.
+        held = F.transform(x[form], lambda w, k: F.when(w.isin(*SLOTS), F.translate(F.get(x[LITERAL], k), CAPITALS_MARK, "")))
 
         def values(y, i):
-            return F.filter(F.transform(F.sequence(i, i + width - 1), lambda k: F.when(
-                F.get(x[form], k).isin(*SLOTS), F.get(y["held"], k))), lambda v: v.isNotNull())
+            return F.filter(F.transform(F.sequence(i, i + width - 1), lambda k: F.get(y["held"], k)), lambda v: v.isNotNull())
 
         return let(F.struct(hashes.alias("h"), _hashes(x[INSIDE]).alias("t"), held.alias("held")), lambda y: F.transform(y["h"], lambda w, i: F.struct(
             i.alias("i"), F.lit(form).alias("form"), w.alias("w"), values(y, i).alias("v"),

@@ -1,7 +1,10 @@
 import textwrap
 
 from llm.rows import documents, odd_documents
+from pyspark.sql import functions as F
 
+from ferryline.llm import decontamination
+from ferryline.llm.columns import words_of
 from ferryline.llm.decontamination import leaks, without_leaks
 from ferryline.llm.queries import shared
 from ferryline.sources.collections import table
@@ -77,3 +80,16 @@ def test_case_line_breaks_first_names_passages_and_short_items(spark):
     exact, again = "exact", "reparameterised"
     assert found == {(0, 0): exact, (1, 0): exact, (2, 0): exact, (3, 0): exact, (4, 1): again, (5, 1): again, (6, 0): exact,
                      (8, 2): exact, (9, 3): again, (10, 2): again}
+
+
+def test_words_are_cut_without_a_lookup_of_every_character(spark):
+    """The forms have the words that a search finds, and are made without character tables and searches for words."""
+    texts = ["", " ", "a", " a  b ", "Dr. Who, 5 km\tfrom Bonn -- NATO 3.5", "--- ... !!!", "\u0001x\u0006 Ulm", "É É5 ÄB"]
+    text = F.col("text")
+    plain = decontamination._plain(text)
+    for row in spark.createDataFrame([(t,) for t in texts], "text string").select(
+            decontamination._words(plain).alias("cut"), words_of(plain).alias("found"), decontamination._forms(text).alias("f")).collect():
+        assert row.cut == row.found
+        assert len(row.f.inside) == len(row.f.all) == len(row.f.literal) == len(row.cut)
+    plan = spark.createDataFrame([("a",)], "text string").select(decontamination._forms(text))._jdf.queryExecution().analyzed().toString()
+    assert "translate(" not in plan and "regexp_extract_all(" not in plan
