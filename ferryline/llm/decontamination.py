@@ -89,13 +89,15 @@ def _forms(text: Column) -> Column:
     return let(_plain(text), run)
 
 
-def _hashes(words: Column) -> Column:
-    """Hash of every template window; a shorter text is one window, none without words."""
-    def run(h):
-        return F.when(F.size(h) >= WINDOW, _runs(h, WINDOW)).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(
-            F.array().cast("array<bigint>"))
+def _word_hashes(x: Column) -> Column:
+    """Struct of the hashes of the words of a text in each of FORMS."""
+    return F.struct(*[F.transform(x[f], lambda w: F.xxhash64(w)).alias(f) for f in FORMS])
 
-    return let(F.transform(words, lambda w: F.xxhash64(w)), run)
+
+def _hashes(h: Column) -> Column:
+    """Hash of every template window, from word hashes; a shorter text is one window, none without words."""
+    return F.when(F.size(h) >= WINDOW, _runs(h, WINDOW)).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(
+        F.array().cast("array<bigint>"))
 
 
 def _runs(h: Column, width: int) -> Column:
@@ -103,36 +105,37 @@ def _runs(h: Column, width: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(h) - width), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(width)]))
 
 
-def _short_hashes(words: Column, width: int) -> Column:
+def _short_hashes(h: Column, width: int) -> Column:
     """As ``_hashes`` for items of ``width`` words, fewer than a window has."""
-    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.when(
-        F.size(h) >= width, _runs(h, width)).otherwise(F.array().cast("array<bigint>")))
+    return F.when(F.size(h) >= width, _runs(h, width)).otherwise(F.array().cast("array<bigint>"))
+
 
+def _changed(h: Column, other: Column, widths: tuple[int, ...]) -> Column:
+    """Hashes of the runs of ``widths`` words in which two forms of one text differ, from the word hashes of both."""
+    def hashed(places, width):
+        starts = F.array_distinct(F.flatten(F.transform(places, lambda k: F.sequence(
+            F.greatest(F.lit(0), k - (width - 1)), F.least(k, F.size(h) - width)))))
+        runs = F.transform(starts, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(width)]))
+        return F.when(F.size(h) >= width, runs).otherwise(F.array().cast("array<bigint>"))
 
-def _changed(h: Column, other: Column, width: int) -> Column:
-    """Hashes of the runs of ``width`` words in which two forms of one text differ, from the word hashes of both."""
     places = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda k: F.get(h, k) != F.get(other, k))
-    starts = F.array_distinct(F.flatten(F.transform(places, lambda k: F.sequence(
-        F.greatest(F.lit(0), k - (width - 1)), F.least(k, F.size(h) - width)))))
-    hashed = F.transform(starts, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(width)]))
-    return F.when(F.size(h) >= width, hashed).otherwise(F.array().cast("array<bigint>"))
+    return let(places, lambda x: F.concat(*[hashed(x, n) for n in widths]))
 
 
 def template_windows(text: Column, short: tuple[int, ...] = ()) -> Column:
-    """The different windows of a text in all forms, and those as wide as the short items are.
+    """The windows of a text in all forms, and those as wide as the short items are. What a text repeats comes again.
 
     Most windows hold no slot and are the same in all forms: a form is hashed only where it differs from the one before.
     """
     widths = (WINDOW, *short)
 
     def run(x):
-        words = F.struct(*[F.transform(x[f], lambda w: F.xxhash64(w)).alias(f) for f in FORMS])
-        return let(words, lambda y: F.array_distinct(F.concat(
-            *[F.when(F.size(y[LITERAL]) >= n, _runs(y[LITERAL], n)).otherwise(F.array().cast("array<bigint>")) for n in widths],
-            *[_changed(y[f], y[before], n) for f, before in ((INSIDE, LITERAL), (ALL, INSIDE)) for n in widths],
+        return let(_word_hashes(x), lambda y: F.concat(
+            *[_short_hashes(y[LITERAL], n) for n in widths],
+            *[_changed(y[f], y[before], widths) for f, before in ((INSIDE, LITERAL), (ALL, INSIDE))],
             # A text shorter than a window is one window in each form.
             *[F.when(F.size(y[f]).between(1, WINDOW - 1), F.array(F.xxhash64(y[f]))).otherwise(F.array().cast("array<bigint>"))
-              for f in FORMS])))
+              for f in FORMS]))
 
     return let(_forms(text), run)
 
@@ -143,26 +146,35 @@ def _filled_windows(text: Column, short: tuple[int, ...] = (), item: bool = Fals
 
     Short items are one window, and one more that is looked up inside of texts: with slots only where two words are none.
     """
-    def placed(x, form, hashes, width):
+    def slots(x, form):
         # Null where no slot is: whether a word is one is asked once, not in every window.
-        held = F.transform(x[form], lambda w, k: F.when(w.isin(*SLOTS), F.translate(F.get(x[LITERAL], k), CAPITALS_MARK, "")))
+        return F.transform(x[form], lambda w, k: F.when(w.isin(*SLOTS), F.translate(F.get(x[LITERAL], k), CAPITALS_MARK, "")))
 
-        def values(y, i):
-            return F.filter(F.transform(F.sequence(i, i + width - 1), lambda k: F.get(y["held"], k)), lambda v: v.isNotNull())
+    def placed(y, form, hashes, width):
+        def values(i):
+            none = F.array().cast("array<string>")
+            if form == LITERAL:
+                return none
+            # Places behind the end of a text are null too.
+            at = [F.get(y[f"slots_{form}"], i + k) for k in range(width)]
+            return F.when(F.coalesce(*at).isNotNull(), F.filter(F.array(*at), lambda v: v.isNotNull())).otherwise(none)
 
-        return let(F.struct(hashes.alias("h"), _hashes(x[INSIDE]).alias("t"), held.alias("held")), lambda y: F.transform(y["h"], lambda w, i: F.struct(
-            i.alias("i"), F.lit(form).alias("form"), w.alias("w"), values(y, i).alias("v"),
-            F.coalesce(F.get(y["t"], i), w).alias("t"))))
+        return F.transform(hashes, lambda w, i: F.struct(
+            i.alias("i"), F.lit(form).alias("form"), w.alias("w"), values(i).alias("v"), F.coalesce(F.get(y["t"], i), w).alias("t")))
 
     def run(x):
-        n = F.size(x[LITERAL])
-        parts = [placed(x, f, _hashes(x[f]), F.least(F.lit(WINDOW), n)) for f in FORMS]
-        for f in FORMS:
-            says = F.size(F.filter(x[f], lambda w: ~w.isin(*SLOTS))) >= 2
-            for k in short:
-                some = placed(x, f, _short_hashes(x[f], k), F.lit(k))
-                parts.append(F.filter(some, lambda _: (n == k) & (says | F.lit(f == LITERAL))) if item else some)
-        return F.concat(*parts)
+        def windows(y):
+            n = F.size(x[LITERAL])
+            parts = [placed(y, f, _hashes(y["h"][f]), WINDOW) for f in FORMS]
+            for f in FORMS:
+                says = F.size(F.filter(x[f], lambda w: ~w.isin(*SLOTS))) >= 2
+                for k in short:
+                    some = placed(y, f, _short_hashes(y["h"][f], k), k)
+                    parts.append(F.filter(some, lambda _: (n == k) & (says | F.lit(f == LITERAL))) if item else some)
+            return F.concat(*parts)
+
+        return let(_word_hashes(x), lambda h: let(F.struct(
+            h.alias("h"), _hashes(h[INSIDE]).alias("t"), *[slots(x, f).alias(f"slots_{f}") for f in (INSIDE, ALL)]), windows))
 
     return let(_forms(text), run)
 

@@ -93,3 +93,15 @@ def test_words_are_cut_without_a_lookup_of_every_character(spark):
         assert len(row.f.inside) == len(row.f.all) == len(row.f.literal) == len(row.cut)
     plan = spark.createDataFrame([("a",)], "text string").select(decontamination._forms(text))._jdf.queryExecution().analyzed().toString()
     assert "translate(" not in plan and "regexp_extract_all(" not in plan
+
+
+def test_places_of_changed_words_are_looked_up_once(spark):
+    """Windows of several widths share the places in which two forms differ; values of slots stay with their windows."""
+    def filters(short):
+        return spark.range(1).select(decontamination.template_windows(F.lit(ITEM), short))._jdf.queryExecution().analyzed().toString().count("filter(")
+
+    assert filters(()) == filters((2, 3))
+    rows = spark.range(1).select(F.explode(decontamination._filled_windows(F.lit("at 5 km we saw Bob"), (3,))).alias("x")).select("x.*")
+    values = {(r.form, r.i, len(r.v)): r.v for r in rows.collect()}
+    assert values["inside", 0, 2] == ["5", "km"] and values["inside", 1, 3] == ["5", "km", "bob"]
+    assert {size for form, _, size in values if form == "literal"} == {0}
