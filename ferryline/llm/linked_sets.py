@@ -339,7 +339,7 @@ def settle(
     pairs, stars = _first_pairs(groups, tables, limits[0])
     if parities is not None:
         pairs, stars = _bounded(pairs, stars, parities, percent, tables)
-    sets = None
+    sets, later = None, False
     labels = tables.keep(tables.spark.createDataFrame([], "node bigint, component bigint"))
     while True:
         if likely is not None:
@@ -351,8 +351,14 @@ def settle(
         if sets is None:
             sets = sets_of(asked.select("pivot").union(asked.select("node")).distinct().toDF("node"))
         counted = tables.keep(_counted(asked, sets, percent))
-        labels = _merged(labels, counted.where("weight <= most"), tables)
+        linked = counted.where("weight <= most")
+        # Without labels there is nothing to look up, and where no star is open nothing is left to do.
+        labels = _merged(labels, linked, tables) if later else tables.keep(components(
+            linked.select(F.col("pivot").alias("a"), F.col("node").alias("b")), tables))
+        later = True
         stars = tables.keep(_unsettled(counted.where("star"), labels))
+        if stars.isEmpty():
+            return labels
         small = F.expr(f"members <= {MEMBERS} AND differences <= {DIFFERENCES}")
         # The differences travel once, to the task of their pivot.
         rows = counted.where("star").join(stars, "pivot").withColumns(_leading(percent)).where("leads > 0 OR weight > most")

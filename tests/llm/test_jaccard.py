@@ -89,6 +89,19 @@ def test_candidates_far_apart_are_not_counted(spark, tmp_path, monkeypatch):
     assert sum(asked) == 1
 
 
+def test_settled_groups_are_not_worked_on_again(spark, tmp_path, monkeypatch):
+    """Where all members link with their pivot, no labels are merged and no differences are sent to tasks."""
+    worked = []
+    for name in ("_merged", "_links_of"):
+        before = getattr(linked_sets, name)
+        monkeypatch.setattr(linked_sets, name, lambda *a, before=before, name=name: worked.append(name) or before(*a))
+    page = [f"p{i}" for i in range(200)]
+    texts = [" ".join(page + [f"own{k}"]) for k in range(12)] + ["quite another text of a few words", " ".join(page[:20])]
+    found = check(documents(spark, texts), f"{tmp_path}/j", 4, 85)
+    assert len({c for _, _, c in found}) == 3
+    assert worked == []
+
+
 def test_parity_is_a_lower_bound():
     dice = np.random.default_rng(3)
     for size in (1, 5, 64, 65, 1_000, 100_000):
