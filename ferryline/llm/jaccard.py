@@ -30,6 +30,7 @@ from ferryline.llm.shingles import mix, parity, set_key, shingle_set
 
 KEYS_PER_BATCH = 500_000
 BROADCAST_TEXTS = 200_000
+BITMAP_WORDS = 1 << 18
 _HIGH = np.uint64(32)
 
 
@@ -166,14 +167,28 @@ def first_rows(signed: DataFrame) -> DataFrame:
         F.min("doc_id").alias("first"), F.min("text_key").alias("text_key"), F.count("*").alias("copies"))
 
 
+def _perhaps(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows whose ``text_key`` may be ``chosen``, by a bitmap of a fixed size that is broadcast.
+
+    A false hit costs a row, and nothing is missed, so the texts of the others are not shuffled.
+    """
+    word, bit = (f"pmod({{0}}, {BITMAP_WORDS}L)", "CAST(shiftrightunsigned({0}, 40) & 63 AS INT)")
+    bitmap = chosen.groupBy(F.expr(word.format("chosen")).alias("word")).agg(
+        F.expr(f"bit_or(shiftleft(1L, {bit.format('chosen')}))").alias("bits"))
+    met = rows.withColumn("word", F.expr(word.format("text_key"))).join(F.broadcast(bitmap), "word")
+    return met.where(f"shiftright(bits, {bit.format('text_key')}) & 1 = 1").select(*rows.columns)
+
+
 def sets_from(rows: DataFrame, firsts: DataFrame, size: int, tables: Tables):
-    """The sets of asked nodes, made again from one text of each; a short list of texts is broadcast."""
+    """The sets of asked nodes, made again from one text of each; a short list of texts is broadcast, of a long one a bitmap."""
     def sets_of(nodes: DataFrame) -> DataFrame:
         chosen = tables.keep(firsts.join(nodes, "node", "left_semi").select(
             F.col("text_key").alias("chosen"), (F.col("copies") > 1).alias("copied")))
         if chosen.count() <= BROADCAST_TEXTS:
-            chosen = F.broadcast(chosen)
-        texts = rows.join(chosen, F.col("text_key") == F.col("chosen")).select("text", "copied")
+            chosen, met = F.broadcast(chosen), rows
+        else:
+            met = _perhaps(rows, chosen)
+        texts = met.join(chosen, F.col("text_key") == F.col("chosen")).select("text", "copied")
         # Only sets of several rows can come twice; the others are not written again.
         found = tables.keep(texts.mapInArrow(segments(size), "node bigint, n bigint, pieces array<array<bigint>>, copied boolean"))
         copied = tables.keep(found.where("copied").dropDuplicates(["node"]))

@@ -7,14 +7,10 @@ beyond ``v``, weight ``w = 100 m + percent b`` and limit ``t = (100 - percent) |
     w(x) + w(y) <= t + (100 + percent) s,    s = shingles in which x and y differ from v alike.
 
 So a member with ``w <= t`` links with the pivot itself, and a star whose members are one component by then is done. Of the
-others,
-
-* a star of up to ``MEMBERS`` members and ``DIFFERENCES`` differences is settled by one task, which counts the shared
-  differences of all its members at once and gives back at most one link a member;
-* in a larger one, a link that the star does not show has an end ``y`` with ``w(y) > t`` and ``s`` of at least
-  ``(w(x) + w(y) - t) / (100 + percent)``. That many shared differences mean that the leading differences of both, in one
-  order for all members, meet in one: those are the keys of the next level. Its groups lack the former pivot, so levels
-  end.
+others, a link that the star does not show has an end ``y`` with ``w(y) > t``. Those ends are held against all members, in
+blocks of up to ``MEMBERS`` members and ``DIFFERENCES`` differences a side, one task a block: bitmaps of the differences
+rule out most, the closest of the rest are counted first, and members that are joined already are not counted at all.
+A block gives back at most one link a member, so all is known after one turn, however large the star.
 
 No link between two components is lost.
 """
@@ -28,15 +24,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferryline.llm.shingles import folded, odd_bits
+from ferryline.llm.shingles import MOST_BITS, folded, odd_bits, parity
 
 FRAGMENTS = 4
-LISTED = (2, 4)  # members up to which a group lists its pairs: of the first groups, and of those that follow
+LISTED = (2, 4)  # members up to which a group lists its pairs; the second number is of no use any more
 HOPS = 1
-MEMBERS = 512
-COMPARED = 4_096  # members of a star whose bitmaps one task compares
+MEMBERS = 4_096  # members and differences of one side of a block
+COMPARED = 4_096  # members of a star whose bitmaps one task compares; of a larger one, of a side of a block
 DIFFERENCES = 2_000_000
-BLOCK = 8_192
+NEAREST = 8
 BROADCAST_NODES = 200_000
 
 
@@ -135,25 +131,6 @@ def _first_pairs(groups: DataFrame, tables: Tables, limit: int) -> tuple[DataFra
     return both.select("x.*").distinct(), stars.where("pivot <> node").distinct()
 
 
-def _next_pairs(members: DataFrame, tables: Tables, limit: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs and stars of the groups ``key, node, component, lead, open`` of a later level.
-
-    A pair is listed where one end is open, the other leads, and they are not one component yet. Counts and pivots come
-    from aggregates, so that a hot key meets in no window.
-    """
-    sizes = members.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("pivot"))
-    sized = tables.keep(members.join(sizes, "key"))
-    held = F.struct("node", "component", "lead", "open")
-    listed = sized.where(F.col("c") <= limit).groupBy("key").agg(F.collect_list(held).alias("l"))
-    both = listed.select(F.explode(F.flatten(F.transform("l", lambda a, i: F.transform(
-        F.filter(F.slice("l", i + 2, F.size("l")), lambda b: (a["component"] != b["component"])
-                 & (a["lead"] & b["open"] | a["open"] & b["lead"])),
-        lambda b: F.struct(F.least(a["node"], b["node"]).alias("pivot"), F.greatest(a["node"], b["node"]).alias("node")))
-    ))).alias("x"))
-    stars = sized.where(F.col("c") > limit).where("node <> pivot").select("pivot", "node")
-    return both.select("x.*").distinct(), stars.distinct()
-
-
 def _may_link(odd: np.ndarray, n: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
     """Whether sets of ``n`` and ``other`` shingles may link; they differ in ``odd`` at least."""
     return (100 + percent) * np.maximum(odd, np.abs(n - other)) <= (100 - percent) * (n + other)
@@ -208,6 +185,56 @@ def _parts(percent: int):
     return run
 
 
+def _blocks(percent: int):
+    """Rows ``node, other, degree`` of a block of a large star: edges that join what may link, and with how many a node may.
+
+    A block is two chunks of members, or all within one chunk, from ``a, b, chunk, node, n, parity``.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        nodes, n = table.column("node").to_numpy(), table.column("n").to_numpy()
+        chunk, first = table.column("chunk").to_numpy(), table.column("a")[0].as_py()
+        inside = first == table.column("b")[0].as_py()
+        bits = table.column("parity").combine_chunks()
+        lengths, flat = bits.value_lengths().to_numpy(), bits.flatten().to_numpy()
+        begins, words = np.cumsum(lengths) - lengths, lengths.min()
+        held = np.stack([folded(flat[b:b + k], words) for b, k in zip(begins, lengths)])
+        of, degree, edges = np.arange(nodes.size), np.zeros(nodes.size, np.int64), []
+        others = np.flatnonzero(inside | (chunk != first))
+        for i in np.flatnonzero(chunk == first):
+            rest = others[others > i] if inside else others
+            near = rest[_may_link(odd_bits(held[i] ^ held[rest]), n[i], n[rest], percent)]
+            degree[i] += near.size
+            degree[near] += 1
+            for label, j in zip(*np.unique(of[near], return_index=True)):
+                if label != of[i]:
+                    edges.append((nodes[i], nodes[near[j]]))
+                    of[of == label] = of[i]
+        own = degree > 0
+        return pa.table({
+            "node": pa.array([a for a, _ in edges] + nodes[own].tolist(), pa.int64()),
+            "other": pa.array([b for _, b in edges] + nodes[own].tolist(), pa.int64()),
+            "degree": pa.array([0] * len(edges) + degree[own].tolist(), pa.int64())})
+    return run
+
+
+def _large_parts(stars: DataFrame, held: DataFrame, percent: int, tables: Tables) -> DataFrame:
+    """Stars ``pivot, node`` around the nodes that may link with most, from large stars ``pivot, node, chunks``.
+
+    The members of a star are dealt to chunks, and every two chunks are compared by a task of their own.
+    """
+    members = stars.unionByName(stars.select("pivot", F.col("pivot").alias("node"), "chunks").distinct()).join(held, "node")
+    dealt = members.withColumn("chunk", F.expr("pmod(xxhash64(node), chunks)"))
+    blocks = dealt.withColumn("with", F.explode(F.expr("sequence(0L, chunks - 1)"))).withColumns(
+        {"a": F.least("chunk", "with"), "b": F.greatest("chunk", "with")})
+    told = tables.keep(blocks.select("pivot", "a", "b", "chunk", "node", "n", "parity").groupBy("pivot", "a", "b").applyInArrow(
+        _blocks(percent), "node bigint, other bigint, degree bigint"))
+    parts = components(told.where("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b")), tables)
+    degrees = told.groupBy("node").agg(F.sum("degree").alias("degree"))
+    named = tables.keep(parts.join(degrees, "node"))
+    pivots = named.groupBy("component").agg(F.max_by("node", F.struct("degree", "node")).alias("pivot"))
+    return named.join(pivots, "component").where("pivot <> node").select("pivot", "node")
+
+
 def _bounded(
     pairs: DataFrame, stars: DataFrame, parities: DataFrame, percent: int, tables: Tables,
 ) -> tuple[DataFrame, DataFrame]:
@@ -217,12 +244,15 @@ def _bounded(
     held = tables.keep(parities.join(asked.distinct().toDF("node"), "node", "left_semi").dropDuplicates(["node"]))
     of_pivot = held.select(F.col("node").alias("pivot"), F.col("n").alias("n_pivot"), F.col("parity").alias("of_pivot"))
     likely = pairs.join(of_pivot, "pivot").join(held, "node").mapInArrow(_likely(percent), "pivot bigint, node bigint")
-    large = tables.keep(stars.groupBy("pivot").count().where(f"count >= {COMPARED}").select("pivot"))
+    large = tables.keep(stars.groupBy("pivot").count().where(f"count >= {COMPARED}").select(
+        "pivot", F.expr(f"CAST(ceil((count + 1) / {COMPARED}) AS BIGINT)").alias("chunks")))
     compared = stars.join(large, "pivot", "left_anti")
     members = compared.unionByName(compared.select("pivot", F.col("pivot").alias("node")).distinct()).join(held, "node")
     parts = tables.keep(members.groupBy("pivot").applyInArrow(_parts(percent), "pivot bigint, node bigint, star boolean"))
-    return (likely.unionByName(parts.where("NOT star").drop("star")).distinct(),
-            stars.join(large, "pivot", "left_semi").unionByName(parts.where("star").drop("star")).distinct())
+    whole = parts.where("star").drop("star")
+    if not large.isEmpty():
+        whole = whole.unionByName(_large_parts(stars.join(large, "pivot"), held, percent, tables))
+    return likely.unionByName(parts.where("NOT star").drop("star")).distinct(), whole.distinct()
 
 
 def _counted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -247,83 +277,73 @@ def _component(rows: DataFrame, labels: DataFrame, node: str, out: str) -> DataF
 
 
 def _unsettled(stars: DataFrame, labels: DataFrame) -> DataFrame:
-    """``pivot, lightest, members, differences`` of the stars with an open member: one that is in no component with the pivot."""
+    """``pivot, lightest, sides, asking`` of the stars with an open member: one that is in no component with the pivot.
+
+    ``sides`` and ``asking`` are the numbers of chunks for all members, and for those that do not link with the pivot.
+    """
     sizes = stars.select("pivot", "node", "weight", "most", F.size("apart").alias("size"))
     rows = _component(_component(sizes, labels, "node", "component"), labels, "pivot", "home")
+    heavy = F.expr("weight > most")
+
+    def chunks(members: Column, differences: Column) -> Column:
+        return F.greatest(F.lit(1), F.ceil(members / MEMBERS), F.ceil(differences / DIFFERENCES)).cast("bigint")
+
     return rows.groupBy("pivot").agg(
-        F.min(F.when(F.expr("weight > most AND component <> home"), F.col("weight"))).alias("lightest"),
-        F.count("*").alias("members"), F.sum("size").alias("differences")).where("lightest IS NOT NULL")
+        F.min(F.when(heavy & F.expr("component <> home"), F.col("weight"))).alias("lightest"),
+        chunks(F.count("*"), F.sum("size")).alias("sides"),
+        chunks(F.count(F.when(heavy, 1)), F.sum(F.when(heavy, F.col("size")))).alias("asking"),
+    ).where("lightest IS NOT NULL")
 
 
-def _leading(percent: int) -> dict[str, Column]:
-    """How many differences of a member lead, and how many open: one more than may be left over if it links with any.
+def _dealt(rows: DataFrame, percent: int) -> DataFrame:
+    """The members of stars ``lightest, sides, asking`` in blocks ``pivot, a, b``: ends that ask, and all that they may link with.
 
-    A partner of one that leads is an open member, so its weight is at least that of the lightest.
+    With ``s`` shared differences a partner weighs ``percent s`` at least, so one that asks needs ``(w - t) / 100`` of
+    them. Others need as many as a link with the lightest open member takes.
     """
-    own = F.expr("greatest(1L, CAST(ceil((weight - most) / 100D) AS BIGINT))")
-    other = F.expr(f"CAST(ceil((weight + lightest - most) / {100 + percent}D) AS BIGINT)")
-    return {"leads": F.size("apart") - F.greatest(own, other) + 1, "opens": F.size("apart") - own + 1}
-
-
-def shared_differences(apart: pa.ListArray) -> np.ndarray:
-    """How many elements every two of the lists share; a list holds an element once."""
-    count = len(apart)
-    row = np.repeat(np.arange(count), np.diff(np.asarray(apart.offsets)))
-    _, place, often = np.unique(np.asarray(apart.flatten()), return_inverse=True, return_counts=True)
-    rare = often < 2
-    column = (np.cumsum(~rare) - 1)[place]
-    kept = ~rare[place]
-    row, column = row[kept], column[kept]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    out = np.zeros((count, count), np.float32)
-    for start in range(0, int((~rare).sum()), BLOCK):
-        at = slice(*np.searchsorted(column, (start, start + BLOCK)))
-        held = np.zeros((count, BLOCK), np.float32)
-        held[row[at], column[at] - start] = 1
-        out += held @ held.T
-    return out.astype(np.int64)
+    rows = rows.withColumn("asks", F.expr("weight > most")).where(
+        f"size(apart) >= IF(asks, ceil((weight - most) / 100D), ceil((weight + lightest - most) / {100 + percent}D))")
+    deal = "pmod(xxhash64(node), {0})"
+    columns = ["pivot", "a", "b", "node", "weight", "most", "asks", "apart"]
+    ends = rows.where("asks").withColumn("a", F.expr(deal.format("asking"))).withColumn("b", F.explode(F.expr("sequence(0L, sides - 1)")))
+    others = rows.withColumn("b", F.expr(deal.format("sides"))).withColumn("a", F.explode(F.expr("sequence(0L, asking - 1)")))
+    return ends.select(columns).unionByName(others.withColumn("asks", F.lit(False)).select(columns))
 
 
 def _links_of(percent: int):
+    """Rows ``pivot, node`` of links that join the members of a block, those that ask with the others."""
     def run(table: pa.Table) -> pa.Table:
-        nodes, weight, most = table.column("node").to_pylist(), table.column("weight").to_numpy(), table.column("most").to_numpy()
-        component = [None if w <= m else n for n, w, m in zip(nodes, weight, most)]  # None: that of the pivot
-        shared = shared_differences(table.column("apart").combine_chunks())
-        linked = weight[:, None] + weight[None, :] <= most[:, None] + (100 + percent) * shared
-        root = {c: c for c in component}
-
-        def find(c):
-            while root[c] != c:
-                root[c] = c = root[root[c]]
-            return c
-
-        found = []
-        for i, j in np.argwhere(np.triu(linked, 1)).tolist():
-            a, b = find(component[i]), find(component[j])
-            if a != b:
-                root[a] = b
-                found.append((nodes[i], nodes[j]))
+        nodes, weight = table.column("node").to_numpy(), table.column("weight").to_numpy()
+        asks, most = table.column("asks").to_numpy(), table.column("most")[0].as_py()
+        lists = table.column("apart").combine_chunks()
+        sizes, flat = lists.value_lengths().to_numpy().astype(np.int64), lists.flatten().to_numpy().view(np.uint64)
+        begins = np.cumsum(sizes) - sizes
+        width = min(MOST_BITS, max(64, 1 << int(8 * sizes.mean()).bit_length()))
+        held = np.stack([parity(flat[b:b + k], width) for b, k in zip(begins, sizes)])
+        # All that link with the pivot are one component, the others one a node; a node may be on both sides.
+        of = np.where(weight <= most, -1, np.unique(nodes, return_inverse=True)[1])
+        others, found = np.flatnonzero(~asks), []
+        for i in np.flatnonzero(asks):
+            # Of two that ask, the one of the larger number does.
+            rest = others[(of[others] != of[i]) & ((weight[others] <= most) | (nodes[others] < nodes[i]))]
+            odd = odd_bits(held[i] ^ held[rest])
+            spare = most + (100 + percent) * ((sizes[i] + sizes[rest] - odd) // 2) - weight[i] - weight[rest]
+            rest = rest[spare >= 0][np.argsort(-spare[spare >= 0], kind="stable")]
+            own, taken = np.sort(flat[begins[i]:begins[i] + sizes[i]]), NEAREST
+            while rest.size:
+                some, rest, taken = rest[:taken], rest[taken:], 4 * taken
+                values = np.concatenate([flat[begins[j]:begins[j] + sizes[j]] for j in some])
+                hit = own[np.minimum(np.searchsorted(own, values), own.size - 1)] == values
+                shared = np.bincount(np.repeat(np.arange(some.size), sizes[some]), weights=hit, minlength=some.size).astype(np.int64)
+                for j in some[weight[i] + weight[some] <= most + (100 + percent) * shared]:
+                    if of[j] != of[i]:
+                        found.append((nodes[i], nodes[j]))
+                        of[of == of[j]] = of[i]
+                rest = rest[of[rest] != of[i]]
         return pa.table({"pivot": pa.array([a for a, _ in found], pa.int64()), "node": pa.array([b for _, b in found], pa.int64())})
     return run
 
 
-def _next_groups(rows: DataFrame, labels: DataFrame, tables: Tables) -> DataFrame:
-    """``key, node, component, lead, open``: the leading differences of the members of large stars."""
-    rows = _component(_component(rows, labels, "node", "component"), labels, "pivot", "home")
-    rows = rows.withColumn("open", F.expr("weight > most AND component <> home")).where("leads > 0 OR open AND opens > 0")
-    count = F.greatest("leads", F.when(F.col("open"), F.col("opens")).otherwise(0)).cast("int")
-    chosen = rows.select(
-        "pivot", "node", "component", "leads", "opens", "open", F.posexplode(F.slice("apart", 1, count)).alias("i", "shingle"))
-    members = tables.keep(chosen.select(
-        F.xxhash64("pivot", "shingle").alias("key"), "node", "component", (F.col("i") < F.col("leads")).alias("lead"),
-        (F.col("open") & (F.col("i") < F.col("opens"))).alias("open")))
-    useful = members.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.bool_or("open").alias("any_open"),
-        F.bool_or("lead").alias("any_lead")).where("low < high AND any_open AND any_lead")
-    return members.join(useful.select("key"), "key", "left_semi")
-
-
 def settle(
     groups: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, tables: Tables,
     listed: tuple[int, int] | None = None, likely: Callable[[DataFrame], DataFrame] | None = None,
@@ -335,35 +355,23 @@ def settle(
     fingerprints. ``likely`` may drop listed pairs ``pivot, node`` that cannot link, before they are counted.
     ``parities``: ``node, n, parity`` of the nodes, repeated or not; what they rule out is never counted.
     """
-    limits = listed or LISTED
-    pairs, stars = _first_pairs(groups, tables, limits[0])
+    pairs, stars = _first_pairs(groups, tables, (listed or LISTED)[0])
     if parities is not None:
         pairs, stars = _bounded(pairs, stars, parities, percent, tables)
-    sets, later = None, False
-    labels = tables.keep(tables.spark.createDataFrame([], "node bigint, component bigint"))
-    while True:
-        if likely is not None:
-            pairs = likely(pairs)
-        alone = pairs.join(stars, ["pivot", "node"], "left_anti").withColumn("star", F.lit(False))
-        asked = tables.keep(alone.unionByName(stars.withColumn("star", F.lit(True))))
-        if asked.isEmpty():
-            return labels
-        if sets is None:
-            sets = sets_of(asked.select("pivot").union(asked.select("node")).distinct().toDF("node"))
-        counted = tables.keep(_counted(asked, sets, percent))
-        linked = counted.where("weight <= most")
-        # Without labels there is nothing to look up, and where no star is open nothing is left to do.
-        labels = _merged(labels, linked, tables) if later else tables.keep(components(
-            linked.select(F.col("pivot").alias("a"), F.col("node").alias("b")), tables))
-        later = True
-        stars = tables.keep(_unsettled(counted.where("star"), labels))
-        if stars.isEmpty():
-            return labels
-        small = F.expr(f"members <= {MEMBERS} AND differences <= {DIFFERENCES}")
-        # The differences travel once, to the task of their pivot.
-        rows = counted.where("star").join(stars, "pivot").withColumns(_leading(percent)).where("leads > 0 OR weight > most")
-        links = rows.where(small).groupBy("pivot").applyInArrow(_links_of(percent), "pivot bigint, node bigint")
-        labels = _merged(labels, tables.keep(links), tables)
-        if stars.where(~small).isEmpty():
-            return labels
-        pairs, stars = _next_pairs(_next_groups(rows.where(~small), labels, tables), tables, limits[1])
+    if likely is not None:
+        pairs = likely(pairs)
+    alone = pairs.join(stars, ["pivot", "node"], "left_anti").withColumn("star", F.lit(False))
+    asked = tables.keep(alone.unionByName(stars.withColumn("star", F.lit(True))))
+    if asked.isEmpty():
+        return tables.keep(tables.spark.createDataFrame([], "node bigint, component bigint"))
+    sets = sets_of(asked.select("pivot").union(asked.select("node")).distinct().toDF("node"))
+    counted = tables.keep(_counted(asked, sets, percent))
+    linked = counted.where("weight <= most")
+    labels = tables.keep(components(linked.select(F.col("pivot").alias("a"), F.col("node").alias("b")), tables))
+    # Where no star is open nothing is left to do.
+    stars = tables.keep(_unsettled(counted.where("star"), labels))
+    if stars.isEmpty():
+        return labels
+    blocks = _dealt(counted.where("star").join(stars, "pivot"), percent)
+    links = blocks.groupBy("pivot", "a", "b").applyInArrow(_links_of(percent), "pivot bigint, node bigint")
+    return _merged(labels, tables.keep(links), tables)

@@ -63,12 +63,12 @@ def set_key(values: np.ndarray) -> int:
     return int(name.view(np.int64)[0])
 
 
-def parity(values: np.ndarray) -> np.ndarray:
-    """A bitmap of a whole set, in 64-bit words: every fingerprint flips one bit, of a power of two that is no less than the set.
+def parity(values: np.ndarray, width: int = 0) -> np.ndarray:
+    """A bitmap of a whole set, in 64-bit words: every fingerprint flips one bit, of ``width`` or of a power of two that is no less than the set.
 
     What two sets share cancels in the XOR, so its bits are never more than the fingerprints in which the sets differ.
     """
-    width = min(MOST_BITS, max(64, 1 << (values.size - 1).bit_length()))
+    width = width or min(MOST_BITS, max(64, 1 << (values.size - 1).bit_length()))
     odd = np.bincount((values & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 

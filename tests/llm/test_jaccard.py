@@ -89,6 +89,35 @@ def test_candidates_far_apart_are_not_counted(spark, tmp_path, monkeypatch):
     assert sum(asked) == 1
 
 
+@pytest.mark.parametrize("members, compared", [(4_096, 4_096), (7, 4_096), (7, 16)])
+def test_a_large_star_takes_one_turn(spark, tmp_path, monkeypatch, members, compared):
+    """Edits around the threshold leave members open: they are held against the others once, in blocks, and not star by star."""
+    monkeypatch.setattr(linked_sets, "MEMBERS", members)
+    monkeypatch.setattr(linked_sets, "COMPARED", compared)
+    monkeypatch.setattr(linked_sets, "DIFFERENCES", 2_000)
+    turns, counted = [], linked_sets._counted
+    monkeypatch.setattr(linked_sets, "_counted", lambda *rest: turns.append(1) or counted(*rest))
+    dice = random.Random(23)
+    words = [f"v{i}" for i in range(200)]
+    far = edited(words, dice, 0.06).split()
+    texts = [edited(source, dice, dice.choice([0.005, 0.01, 0.02, 0.03, 0.04])) for source in (words, far) for _ in range(60)]
+    texts += [" ".join(words[:150] + [f"own{k}-{i}" for i in range(40)]) for k in range(30)]
+    found = check(documents(spark, texts), f"{tmp_path}/j", 4, 85)
+    assert 30 < len({c for _, _, c in found}) < 100
+    assert len(turns) == 1
+
+
+def test_texts_of_a_long_list_are_found_by_a_bitmap(spark, tmp_path, monkeypatch):
+    """Of more texts than are broadcast, the chosen ones only are shuffled: few of the others pass a bitmap."""
+    passed, perhaps = [], jaccard._perhaps
+    monkeypatch.setattr(jaccard, "BROADCAST_TEXTS", 0)
+    monkeypatch.setattr(jaccard, "_perhaps", lambda *rest: passed.append(perhaps(*rest)) or passed[0])
+    page = [f"p{i}" for i in range(60)]
+    near = [" ".join(page + [f"own{k}"]) for k in range(5)]
+    check(documents(spark, [None, ""] + near + near[:2] + [f"alone {k} of its kind" for k in range(300)]), f"{tmp_path}/j", 4, 85)
+    assert 7 <= passed[0].count() < 20
+
+
 def test_settled_groups_are_not_worked_on_again(spark, tmp_path, monkeypatch):
     """Where all members link with their pivot, no labels are merged and no differences are sent to tasks."""
     worked = []
